@@ -34,7 +34,12 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[st
     neg_below is a distributed prefix sum over distinct scores; a group with
     one class only gives null.
     """
-    g = score_counts(df, score, label, by)
+    return auc_from_score_counts(score_counts(df, score, label, by), score, by, n_buckets)
+
+
+def auc_from_score_counts(g: DataFrame, score: str = "p", by: Sequence[str] = (),
+                          n_buckets: int | None = None) -> DataFrame:
+    """AUC from a (by..., score, pos, neg) table (see ``score_counts``)."""
     cum = running_totals(g, [score], ["neg"], partition_by=by, inclusive=False,
                          n_buckets=n_buckets)
     contrib = F.col("pos") * (F.col("cum_neg") + F.col("neg") / F.lit(2.0))
@@ -44,6 +49,17 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[st
     return agg.select(*by, F.when(den > 0, F.col("__u") / den).alias("auc"), "n_pos", "n_neg")
 
 
+def counts_at_threshold(g: DataFrame, score: str = "p", by: Sequence[str] = (),
+                        t: float = 0.5) -> DataFrame:
+    """tp/fp/fn/tn of ``score >= t`` from a (by..., score, pos, neg) table."""
+    hit = F.col(score) >= F.lit(t)
+    return g.groupBy(*by).agg(
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(~hit, F.col("pos")).otherwise(0)).alias("fn"),
+        F.sum(F.when(~hit, F.col("neg")).otherwise(0)).alias("tn"))
+
+
 def auc_binned(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[str] = (),
                n_bins: int = AUC_BUCKETS) -> DataFrame:
     """Bucketed AUC: scores fall in ``n_bins`` equal buckets on [0, 1]; the

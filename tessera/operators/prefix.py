@@ -24,7 +24,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import shuffle_partitions
+from tessera.session import cut_lineage, shuffle_partitions
 
 _BUCKET = "__bucket"
 
@@ -56,6 +56,7 @@ def running_totals(
     n_buckets: int | None = None,
     prefix: str = "cum_",
     inclusive: bool = True,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over rows of the same ``partition_by``
     group that come before the row (and the row itself when ``inclusive``) in
@@ -68,6 +69,11 @@ def running_totals(
     should be fine-grained (a score after ``groupBy(score)``, a unique key).
     """
     spark = df.sparkSession
+    if materialize:
+        # The input is read three times (quantiles, bucket totals, in-bucket
+        # sums): write it once to the reliable checkpoint directory instead of
+        # recomputing its lineage (e.g. a scan + aggregation) each time.
+        df = cut_lineage(df)
     if n_buckets is None:
         n_buckets = max(2, shuffle_partitions(spark))
     bcol = bucket_col or order_by[0]
@@ -102,10 +108,11 @@ def running_totals(
 
 
 def global_position(df: DataFrame, order_col: str, partition_by: Sequence[str] = (),
-                    out: str = "pos", n_buckets: int | None = None) -> DataFrame:
+                    out: str = "pos", n_buckets: int | None = None,
+                    materialize: bool = True) -> DataFrame:
     """1-based row number by ``order_col`` (unique inside a group) without a
     single-partition window."""
     tmp = df.withColumn("__one", F.lit(1).cast("long"))
     res = running_totals(tmp, [order_col], ["__one"], partition_by=partition_by,
-                         n_buckets=n_buckets, prefix="__cum")
+                         n_buckets=n_buckets, prefix="__cum", materialize=materialize)
     return res.withColumnRenamed("__cum__one", out).drop("__one")

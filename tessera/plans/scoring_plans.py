@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import THRESHOLD, safe_div
 from tessera.operators import metrics as M
 from tessera.operators.scoring import (
     PRED_COL,
@@ -16,6 +17,7 @@ from tessera.operators.scoring import (
 )
 from tessera.plans import standins as SI
 from tessera.plans.registry import plan
+from tessera.session import cut_lineage
 
 # The stored linear model used for the prospect stand-in
 # (intercept and one weight per frozen feature, in frozen order).
@@ -87,17 +89,21 @@ def segment_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: score every prospect, evaluate test rows per market segment
     (exact AUC, F1, accuracy, row count)."""
     s = test_rows(scored_prospects(spark, sf_dir)).select(
-        F.col("c_mktsegment").alias("segment"), "y", F.col(PROBA_COL).alias("p"),
-        F.col(PRED_COL).alias("pred"))
-    auc = M.auc_exact(s, "p", "y", by=["segment"])
-    f1 = M.f1_binary(s, "y", "pred", by=["segment"])
-    out = auc.join(f1, "segment")
+        F.col("c_mktsegment").alias("segment"), "y", F.col(PROBA_COL).alias("p"))
+    # one reduced table (segment, score, pos, neg) feeds every metric; it is
+    # written once to the checkpoint directory so the source is scanned once
+    g = cut_lineage(M.score_counts(s, "p", "y", by=["segment"]))
+    auc = M.auc_from_score_counts(g, "p", by=["segment"])
+    k = M.counts_at_threshold(g, "p", by=["segment"], t=THRESHOLD)
+    out = auc.join(k, "segment")
+    n = F.col("n_pos") + F.col("n_neg")
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return out.select(
         "segment",
-        (F.col("n_pos") + F.col("n_neg")).alias("n"),
+        n.alias("n"),
         F.round("auc", 6).alias("auc"),
-        F.round("f1", 6).alias("f1"),
-        F.round((F.col("tp") + F.col("tn")) / (F.col("n_pos") + F.col("n_neg")), 6).alias("accuracy"),
+        F.round(safe_div(2 * tp, 2 * tp + fp + fn), 6).alias("f1"),
+        F.round((F.col("tp") + F.col("tn")) / n, 6).alias("accuracy"),
     )
 
 
