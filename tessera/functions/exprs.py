@@ -57,12 +57,13 @@ def correct_flag(pred: Column, label: Column) -> Column:
 
 
 def fmt(x: Column, pattern: str) -> Column:
-    return F.format_string(pattern, x)
+    """printf-style text; null stays null (Java would print "null")."""
+    return F.when(x.isNotNull(), F.format_string(pattern, x))
 
 
 def pct(x: Column, decimals: int = 1) -> Column:
     """Python's ``{:.1%}``: value x 100 with a percent sign."""
-    return F.format_string(f"%.{decimals}f%%", x * 100)
+    return F.when(x.isNotNull(), F.format_string(f"%.{decimals}f%%", x * 100))
 
 
 def split_prefix(s: Column, sep: str = " (") -> Column:

@@ -34,6 +34,7 @@ def load_all() -> None:
     """Import every plan module (registration happens at import)."""
     from tessera.plans import (  # noqa: F401
         eval_plans,
+        expr_plans,
         feature_plans,
         history_plans,
         image_plans,

@@ -132,3 +132,103 @@ def with_standins(sql: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+# --------------------------------------------------------------------------
+# Leaderboard stand-in: every segment of S plays a "model".
+# --------------------------------------------------------------------------
+def leaderboard_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``LBW``: (model, auc, f1, accuracy), 4 decimals, from the whole of S."""
+    from tessera.functions.exprs import safe_div
+    from tessera.operators import metrics as M
+
+    s = scored(spark, sf_dir)
+    g = M.score_counts(s, "p", "y", by=["segment"])
+    auc = M.auc_from_score_counts(g, "p", by=["segment"])
+    k = M.counts_at_threshold(g, "p", by=["segment"], t=0.5)
+    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
+    return auc.join(k, "segment").select(
+        F.col("segment").alias("model"),
+        F.round("auc", 4).alias("auc"),
+        F.round(safe_div(2 * tp, 2 * tp + fp + fn), 4).alias("f1"),
+        F.round((tp + tn) / (tp + tn + fp + fn), 4).alias("accuracy"))
+
+
+def leaderboard_long(spark: SparkSession, sf_dir: str, source: str = "S") -> DataFrame:
+    """``LB``: (source, model, metric, value)."""
+    w = leaderboard_wide(spark, sf_dir)
+    return w.unpivot(["model"], ["auc", "f1", "accuracy"], "metric", "value").select(
+        F.lit(source).alias("source"), "model", "metric", "value")
+
+
+SQL.update({
+    "LBG": "SELECT segment, p, SUM(y) AS pos, SUM(1 - y) AS neg FROM S GROUP BY segment, p",
+    "LBA": """SELECT segment, SUM(pos * (below + neg / 2.0)) / (SUM(pos) * SUM(neg)) AS auc FROM (
+                SELECT segment, pos, neg, COALESCE(SUM(neg) OVER (PARTITION BY segment ORDER BY p
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM LBG) t
+              GROUP BY segment""",
+    "LBK": """SELECT segment, COUNT(*) FILTER (WHERE y = 1 AND p >= 0.5) AS tp,
+                COUNT(*) FILTER (WHERE y = 0 AND p >= 0.5) AS fp,
+                COUNT(*) FILTER (WHERE y = 1 AND p < 0.5) AS fn,
+                COUNT(*) FILTER (WHERE y = 0 AND p < 0.5) AS tn FROM S GROUP BY segment""",
+    "LBW": """SELECT a.segment AS model, ROUND(auc, 4) AS auc,
+                ROUND(COALESCE(2.0 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 4) AS f1,
+                ROUND((tp + tn) / CAST(tp + tn + fp + fn AS DOUBLE), 4) AS accuracy
+              FROM LBA a JOIN LBK k ON a.segment = k.segment""",
+    "LB": """SELECT 'S' AS source, model, 'auc' AS metric, auc AS value FROM LBW UNION ALL
+             SELECT 'S', model, 'f1', f1 FROM LBW UNION ALL
+             SELECT 'S', model, 'accuracy', accuracy FROM LBW""",
+})
+_DEPS.update({"LBG": ["S"], "LBA": ["LBG"], "LBK": ["S"], "LBW": ["LBA", "LBK"], "LB": ["LBW"]})
+
+
+# --------------------------------------------------------------------------
+# Importance stand-in: |corr(feature, y)| per segment ("model") of P.
+# --------------------------------------------------------------------------
+# The full dummy levels of the prospect categoricals.
+LEVELS = {
+    "o_orderpriority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+}
+IMP_FEATURES = NUM_COLS + [f"{c}_{lv}" for c in CAT_COLS for lv in LEVELS[c]]
+
+
+def _imp_feature_exprs():
+    out = {x: F.col(x) for x in NUM_COLS}
+    for col in CAT_COLS:
+        for lv in LEVELS[col]:
+            out[f"{col}_{lv}"] = F.col(col).eqNullSafe(F.lit(lv)).cast("double")
+    return out
+
+
+def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``IMP``: (feature, model, importance) rounded to 6 decimals; an
+    undefined correlation (constant feature inside a segment) counts 0."""
+    p = prospects(spark, sf_dir)
+    ex = _imp_feature_exprs()
+    names = list(ex)
+    def imp(r):
+        # an undefined correlation (null or NaN, by engine) counts 0
+        return F.round(F.when(r.isNull() | F.isnan(r), F.lit(0.0)).otherwise(F.abs(r)), 6)
+
+    wide = p.groupBy(F.col("c_mktsegment").alias("model")).agg(*[
+        imp(F.corr(ex[n], F.col("y").cast("double"))).alias(f"f{i}") for i, n in enumerate(names)])
+    arr = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"f{i}").alias("importance"))
+                    for i, n in enumerate(names)])
+    return wide.select("model", F.inline(arr)).select("feature", "model", "importance")
+
+
+def _imp_sql():
+    exprs = [(x, x) for x in NUM_COLS]
+    for col in CAT_COLS:
+        for lv in LEVELS[col]:
+            exprs.append((f"{col}_{lv}", f"CAST({col} IS NOT DISTINCT FROM '{lv}' AS DOUBLE)"))
+    parts = [f"SELECT '{n}' AS feature, c_mktsegment AS model, "
+             f"ROUND(CASE WHEN CORR({e}, CAST(y AS DOUBLE)) IS NULL OR isnan(CORR({e}, CAST(y AS DOUBLE))) "
+             f"THEN 0.0 ELSE ABS(CORR({e}, CAST(y AS DOUBLE))) END, 6) AS importance "
+             f"FROM P GROUP BY c_mktsegment" for n, e in exprs]
+    return " UNION ALL ".join(parts)
+
+
+SQL["IMP"] = _imp_sql()
+_DEPS["IMP"] = ["P"]
