@@ -107,7 +107,7 @@ def segment_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SEGMENT_EVAL_SQL = SCORED_SQL + f""",
+SEGMENT_EVAL_CTES = SCORED_SQL + f""",
 t AS (SELECT c_mktsegment AS segment, y, {PROBA_COL} AS p, {PRED_COL} AS pred FROM sc WHERE key % 5 = 0),
 g AS (SELECT segment, p, SUM(y) AS pos, SUM(1 - y) AS neg FROM t GROUP BY segment, p),
 c AS (SELECT segment, pos, neg,
@@ -119,12 +119,13 @@ k AS (SELECT segment,
              COUNT(*) FILTER (WHERE y = 1 AND pred = 1) AS tp,
              COUNT(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
              COUNT(*) FILTER (WHERE y = 1 AND pred = 0) AS fn,
-             COUNT(*) FILTER (WHERE y = 0 AND pred = 0) AS tn FROM t GROUP BY segment)
-SELECT a.segment, a.n, ROUND(a.auc, 6) AS auc,
+             COUNT(*) FILTER (WHERE y = 0 AND pred = 0) AS tn FROM t GROUP BY segment),
+segeval AS (SELECT a.segment, a.n, ROUND(a.auc, 6) AS auc,
        ROUND(COALESCE(2.0 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 6) AS f1,
        ROUND((tp + tn) / CAST(a.n AS DOUBLE), 6) AS accuracy
-FROM a JOIN k ON a.segment = k.segment
+FROM a JOIN k ON a.segment = k.segment)
 """
+SEGMENT_EVAL_SQL = SEGMENT_EVAL_CTES + "SELECT * FROM segeval"
 
 
 @plan("eval_segment_scoring", sql=SEGMENT_EVAL_SQL, uses=("P",))
