@@ -59,12 +59,23 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
 IMG_H, IMG_W, IMG_CLASSES = 8, 8, 10
 
 
+def _cents(col):
+    return F.round(col * 100).cast("long")
+
+
+def _ratio(cents_sum, n):
+    """exact integers divided once: the same double in every engine"""
+    return cents_sum.cast("double") / (n * F.lit(50000))
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``HIST``: (run, epoch, val) from events; a run is a user, an epoch a day."""
+    """``HIST``: (run, epoch, val) from events; a run is a user, an epoch a
+    day; val = mean value / 500, computed from integer cents so that both
+    engines produce the same double."""
     e = table(spark, sf_dir, "events")
     return e.groupBy(F.col("user_id").alias("run"),
                      F.dayofmonth("ts").cast("int").alias("epoch")).agg(
-        F.round(F.avg("value") / 500, 4).alias("val"))
+        _ratio(F.sum(_cents(F.col("value"))), F.count("*")).alias("val"))
 
 
 def history_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +87,12 @@ def history_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = table(spark, sf_dir, "events")
     is_train = F.col("event_type").isin("click", "view")
+    tr = _ratio(F.sum(F.when(is_train, _cents(F.col("value")))), F.count_if(is_train))
+    va = _ratio(F.sum(F.when(~is_train, _cents(F.col("value")))), F.count_if(~is_train))
     g = e.groupBy(F.col("user_id").alias("run"),
                   F.dayofmonth("ts").cast("int").alias("epoch")).agg(
-        F.round(F.avg(F.when(is_train, F.col("value"))) / 500, 4).alias("auc"),
-        F.round(F.avg(F.when(~is_train, F.col("value"))) / 500, 4).alias("val_auc"),
-        F.round(1 - F.avg(F.when(is_train, F.col("value"))) / 500, 4).alias("loss"),
-        F.round(1 - F.avg(F.when(~is_train, F.col("value"))) / 500, 4).alias("val_loss"),
-    )
+        tr.alias("auc"), va.alias("val_auc"),
+        (F.lit(1.0) - tr).alias("loss"), (F.lit(1.0) - va).alias("val_loss"))
     long = g.unpivot(["run", "epoch"], ["auc", "val_auc", "loss", "val_loss"], "metric", "value")
     return long.where(F.col("value").isNotNull())
 
@@ -98,13 +108,15 @@ SQL = {
               ((key * 37) % 700 + 300 * y) / CAST(1000 AS DOUBLE) AS p FROM P""",
     "IMG": "SELECT vec_id AS id, embedding AS px, label FROM embeddings",
     "HIST": """SELECT user_id AS run, CAST(DAY(ts) AS INT) AS epoch,
-                 ROUND(AVG(value) / 500, 4) AS val FROM events GROUP BY user_id, DAY(ts)""",
-    "HL0": """SELECT user_id AS run, CAST(DAY(ts) AS INT) AS epoch,
-               ROUND(AVG(CASE WHEN event_type IN ('click','view') THEN value END) / 500, 4) AS auc,
-               ROUND(AVG(CASE WHEN event_type NOT IN ('click','view') THEN value END) / 500, 4) AS val_auc,
-               ROUND(1 - AVG(CASE WHEN event_type IN ('click','view') THEN value END) / 500, 4) AS loss,
-               ROUND(1 - AVG(CASE WHEN event_type NOT IN ('click','view') THEN value END) / 500, 4) AS val_loss
-             FROM events GROUP BY user_id, DAY(ts)""",
+                 CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / (COUNT(*) * 50000) AS val
+               FROM events GROUP BY user_id, DAY(ts)""",
+    "HL0": """SELECT run, epoch, tr AS auc, va AS val_auc, 1.0 - tr AS loss, 1.0 - va AS val_loss FROM (
+               SELECT user_id AS run, CAST(DAY(ts) AS INT) AS epoch,
+                 CAST(SUM(CASE WHEN event_type IN ('click','view') THEN CAST(ROUND(value * 100) AS BIGINT) END) AS DOUBLE)
+                   / (COUNT(*) FILTER (WHERE event_type IN ('click','view')) * 50000) AS tr,
+                 CAST(SUM(CASE WHEN event_type NOT IN ('click','view') THEN CAST(ROUND(value * 100) AS BIGINT) END) AS DOUBLE)
+                   / (COUNT(*) FILTER (WHERE event_type NOT IN ('click','view')) * 50000) AS va
+               FROM events GROUP BY user_id, DAY(ts)) t""",
     "HL": """SELECT run, epoch, metric, value FROM (
                SELECT run, epoch, 'auc' AS metric, auc AS value FROM HL0 UNION ALL
                SELECT run, epoch, 'val_auc', val_auc FROM HL0 UNION ALL
@@ -129,6 +141,8 @@ def with_standins(sql: str, *names: str) -> str:
         add(n)
     ctes = ",\n".join(f"{n} AS ({SQL[n]})" for n in order)
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
