@@ -1,3 +1,350 @@
-"""Plans (filled in below)."""
+"""Model plans.
 
-from tessera.plans.registry import plan  # noqa: F401
+Tabular models train on the encoded prospect stand-in (train = key % 5 != 0,
+balanced class weights), image models on ``IMG``.  Results are leaderboards
+(rows-only checks: training is not SQL); Gaussian naive Bayes scoring and
+exact kNN have DuckDB oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import (
+    DecisionTreeClassifier,
+    GBTClassifier,
+    LinearSVC,
+    LogisticRegression,
+    MultilayerPerceptronClassifier,
+    NaiveBayes,
+    RandomForestClassifier,
+)
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.sql import functions as F
+
+from tessera.operators import features as FE
+from tessera.operators import models as ML
+from tessera.operators.scoring import fit_spec_one_pass
+from tessera.plans import standins as SI
+from tessera.plans.registry import plan
+from tessera.plans.scoring_plans import train_rows
+from tessera.sources import files as FS
+
+SEED = 42
+
+
+def prospect_frame(spark, sf_dir):
+    """(key, features, label, weight, split, fold) + the frozen feature list."""
+    p = SI.prospects(spark, sf_dir)
+    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    enc = FE.encode(p, spec, keep=["key", "y"])
+    w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
+    enc = enc.join(F.broadcast(w), "y", "left")  # one row per class
+    frame = ML.assemble(enc, spec.features, keep=["key", "y", "weight"]).select(
+        "key", "features", F.col("y").cast("double").alias("label"), "weight",
+        F.when(F.col("key") % 5 == 0, "test").otherwise("train").alias("split"),
+        (F.col("key") % 5).cast("int").alias("fold"))
+    return frame, spec.features
+
+
+def split(frame):
+    return frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
+
+
+def image_frame(spark, sf_dir, binary: bool = False):
+    img = SI.images(spark, sf_dir)
+    label = (F.col("label") < 5).cast("double") if binary else F.col("label").cast("double")
+    return img.select(F.col("id").alias("key"),
+                      array_to_vector(F.transform("px", lambda v: v.cast("double"))).alias("features"),
+                      label.alias("label"), F.lit(1.0).alias("weight"),
+                      F.when(F.col("id") % 5 == 0, "test").otherwise("train").alias("split"))
+
+
+def _single(spark, sf_dir, name, est):
+    tr, te = split(prospect_frame(spark, sf_dir)[0])
+    _, res = ML.fit_and_evaluate(name, est, tr, te)
+    return ML.results_frame(spark, [res])
+
+
+@plan("ml_logreg")
+def ml_logreg(spark, sf_dir):
+    return _single(spark, sf_dir, "Logistic Reg.", LogisticRegression(weightCol="weight", maxIter=100))
+
+
+@plan("ml_tree")
+def ml_tree(spark, sf_dir):
+    return _single(spark, sf_dir, "Decision Tree", DecisionTreeClassifier(weightCol="weight", maxDepth=5, seed=SEED))
+
+
+@plan("ml_forest")
+def ml_forest(spark, sf_dir):
+    return _single(spark, sf_dir, "Random Forest", RandomForestClassifier(
+        weightCol="weight", numTrees=30, maxDepth=6, featureSubsetStrategy="sqrt", seed=SEED))
+
+
+@plan("ml_bagging")
+def ml_bagging(spark, sf_dir):
+    # bagging of full-feature trees = a forest that considers every feature per split
+    return _single(spark, sf_dir, "Bagging (DT)", RandomForestClassifier(
+        weightCol="weight", numTrees=30, maxDepth=8, featureSubsetStrategy="all", seed=SEED))
+
+
+@plan("ml_oob_error")
+def ml_oob_error(spark, sf_dir):
+    tr, _ = split(prospect_frame(spark, sf_dir)[0])
+    return ML.bagged_trees_oob(tr, "key", n_trees=10, max_depth=5, seed=SEED)
+
+
+@plan("ml_gbt")
+def ml_gbt(spark, sf_dir):
+    return _single(spark, sf_dir, "Gradient Boosting", GBTClassifier(
+        weightCol="weight", maxIter=30, stepSize=0.1, maxDepth=3, subsamplingRate=0.8, seed=SEED))
+
+
+@plan("ml_gbt_early_stop")
+def ml_gbt_early_stop(spark, sf_dir):
+    frame, _ = prospect_frame(spark, sf_dir)
+    tr, te = split(frame)
+    tr = tr.withColumn("is_val", F.col("key") % 10 == 1)
+    est = GBTClassifier(weightCol="weight", maxIter=100, stepSize=0.1, maxDepth=3,
+                        validationIndicatorCol="is_val", validationTol=0.01, seed=SEED)
+    model, res = ML.fit_and_evaluate("Gradient Boosting (early stop)", est, tr, te)
+    return ML.results_frame(spark, [res]).withColumn("n_trees", F.lit(model.getNumTrees))
+
+
+@plan("ml_adaboost")
+def ml_adaboost(spark, sf_dir):
+    tr, _ = split(image_frame(spark, sf_dir, binary=True))
+    log, cur = ML.adaboost(tr, "key", rounds=10, seed=SEED)
+    from tessera.operators import metrics as M
+
+    auc = M.auc_exact(cur.select(F.col("score").alias("p"), F.col("label").cast("int").alias("y")),
+                      "p", "y").first()["auc"]
+    return spark.createDataFrame([(r, e, a, auc) for r, e, a in log],
+                                 "round int, weighted_error double, alpha double, train_auc double")
+
+
+@plan("ml_naive_bayes")
+def ml_naive_bayes(spark, sf_dir):
+    return _single(spark, sf_dir, "Naive Bayes", NaiveBayes(modelType="gaussian", weightCol="weight"))
+
+
+GNB_FEATURES = ["o_totalprice", "c_acctbal"]
+
+
+@plan("gnb_sql", uses=("P",), sql="""
+WITH tr AS (SELECT * FROM P WHERE key % 5 <> 0),
+eps AS (SELECT 1e-9 * GREATEST(VAR_POP(o_totalprice), VAR_POP(c_acctbal)) AS e FROM tr),
+st AS (SELECT y AS cls, LN(COUNT(*) / (SELECT CAST(COUNT(*) AS DOUBLE) FROM tr)) AS lp,
+              AVG(o_totalprice) AS m0, VAR_POP(o_totalprice) + MAX(e) AS v0,
+              AVG(c_acctbal) AS m1, VAR_POP(c_acctbal) + MAX(e) AS v1 FROM tr, eps GROUP BY y),
+j AS (SELECT key, cls, lp - 0.5 * LN(2 * PI() * v0) - POW(o_totalprice - m0, 2) / (2 * v0)
+                       - 0.5 * LN(2 * PI() * v1) - POW(c_acctbal - m1, 2) / (2 * v1) AS s
+      FROM P, st WHERE key % 5 = 0),
+r AS (SELECT key, cls, ROW_NUMBER() OVER (PARTITION BY key ORDER BY s DESC, cls) AS rn FROM j)
+SELECT key, cls AS pred FROM r WHERE rn = 1""")
+def gnb_sql(spark, sf_dir):
+    p = SI.prospects(spark, sf_dir)
+    model = ML.gaussian_nb_fit(train_rows(p), GNB_FEATURES, "y")
+    return ML.gaussian_nb_predict(p.where(F.col("key") % 5 == 0), model, GNB_FEATURES, keep=["key"])
+
+
+@plan("knn_exact", uses=("IMG",), sql="""
+WITH te AS (SELECT id, px FROM IMG WHERE id % 5 = 0), tr AS (SELECT id, px, label FROM IMG WHERE id % 5 <> 0),
+d AS (SELECT te.id AS qid, tr.id AS tid, tr.label AS tl,
+             list_distance(CAST(te.px AS DOUBLE[]), CAST(tr.px AS DOUBLE[])) AS d FROM te, tr),
+nn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY d, tid) AS r FROM d),
+v AS (SELECT qid, tl, COUNT(*) AS n FROM nn WHERE r <= 5 GROUP BY qid, tl),
+w AS (SELECT qid, tl, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY n DESC, tl) AS r FROM v)
+SELECT qid AS id, CAST(tl AS INT) AS pred FROM w WHERE r = 1""")
+def knn_exact(spark, sf_dir):
+    img = SI.images(spark, sf_dir)
+    test = img.where(F.col("id") % 5 == 0)
+    train = img.where(F.col("id") % 5 != 0)
+    return ML.knn_exact(train, test, "px", "id", "label", k=5)
+
+
+@plan("ml_svm_rbf_approx")
+def ml_svm_rbf_approx(spark, sf_dir):
+    p = SI.prospects(spark, sf_dir)
+    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    enc = FE.encode(p, spec, keep=["key", "y"])
+    z = ML.fourier_features(enc, spec.features, n_components=64, gamma=0.1, seed=SEED, keep=["key", "y"])
+    w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
+    z = z.join(F.broadcast(w), "y").select("key", "features", F.col("y").cast("double").alias("label"), "weight")
+    tr, te = z.where(F.col("key") % 5 != 0), z.where(F.col("key") % 5 == 0)
+    margin = F.element_at(vector_to_array(F.col("rawPrediction")), 2)
+    model = LinearSVC(weightCol="weight", maxIter=30, regParam=0.01).fit(tr)
+    pred = model.transform(te).withColumn("p", margin)
+    res = ML.evaluate(pred)
+    res.update({"model": "SVM (RBF, Fourier features)", "seconds": 0.0})
+    return ML.results_frame(spark, [res])
+
+
+def _mlp(spark, sf_dir, name, hidden, features_filter=None, max_iter=100):
+    frame, feats = prospect_frame(spark, sf_dir)
+    if features_filter is not None:
+        keep_idx = [i for i, f in enumerate(feats) if f in features_filter]
+        sub = F.array(*[F.element_at(vector_to_array("features"), i + 1) for i in keep_idx])
+        frame = frame.withColumn("features", array_to_vector(sub))
+        n_in = len(keep_idx)
+    else:
+        n_in = len(feats)
+    tr, te = split(frame)
+    # MLP has no weightCol: balance the classes by exact replication
+    tr = ML.balance_by_replication(tr, "label")
+    est = MultilayerPerceptronClassifier(layers=[n_in, *hidden, 2], maxIter=max_iter, seed=SEED, blockSize=128)
+    _, res = ML.fit_and_evaluate(name, est, tr, te)
+    return ML.results_frame(spark, [res])
+
+
+@plan("ml_mlp_simple")
+def ml_mlp_simple(spark, sf_dir):
+    return _mlp(spark, sf_dir, "ANN Simple", [64])
+
+
+@plan("ml_mlp_deep")
+def ml_mlp_deep(spark, sf_dir):
+    return _mlp(spark, sf_dir, "ANN Profond", [128, 64, 32], max_iter=60)
+
+
+@plan("ml_mlp_top10")
+def ml_mlp_top10(spark, sf_dir):
+    from tessera.plans.feature_plans import top10_features
+
+    top = [r["feature"] for r in top10_features(spark, sf_dir).collect()]  # at most 10 names
+    return _mlp(spark, sf_dir, "ANN Top10", [64, 32, 16], features_filter=set(top))
+
+
+@plan("ml_mlp_images")
+def ml_mlp_images(spark, sf_dir):
+    img = image_frame(spark, sf_dir)
+    tr, te = split(img)
+    model = MultilayerPerceptronClassifier(layers=[64, 32, 10], maxIter=100, seed=SEED).fit(tr)
+    pred = model.transform(te)
+    acc = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+    return acc.select(F.lit("MLP Base").alias("model"), F.round("accuracy", 4).alias("accuracy"))
+
+
+@plan("ml_grid_search")
+def ml_grid_search(spark, sf_dir):
+    frame, _ = prospect_frame(spark, sf_dir)
+    tr, _ = split(frame)
+    lr = LogisticRegression(weightCol="weight", maxIter=50)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01, 0.1]).build()
+    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, trainRatio=0.8, seed=SEED,
+                               evaluator=BinaryClassificationEvaluator(), parallelism=3)
+    m = tvs.fit(tr)
+    rows = [(float(g[lr.regParam]), float(v)) for g, v in zip(grid, m.validationMetrics)]
+    best = max(rows, key=lambda r: (r[1], -r[0]))
+    return spark.createDataFrame([(a, round(b, 4), int((a, b) == best)) for a, b in rows],
+                                 "reg_param double, val_auc double, best int")
+
+
+@plan("ml_cross_val")
+def ml_cross_val(spark, sf_dir):
+    frame, _ = prospect_frame(spark, sf_dir)
+    tr, _ = split(frame)  # folds 1-4 of the training rows (fold 0 is the test split)
+    tr = tr.withColumn("fold", (F.col("fold") - 1).cast("int"))
+    dt = DecisionTreeClassifier(weightCol="weight", seed=SEED)
+    grid = ParamGridBuilder().addGrid(dt.maxDepth, [2, 4, 6]).build()
+    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
+                        foldCol="fold", numFolds=4, parallelism=3, seed=SEED)
+    m = cv.fit(tr)
+    return spark.createDataFrame(
+        [(int(g[dt.maxDepth]), round(float(a), 4), round(float(s), 4))
+         for g, a, s in zip(grid, m.avgMetrics, m.stdMetrics)],
+        "max_depth int, cv_auc_mean double, cv_auc_std double")
+
+
+def _tuned(frame_tr):
+    return {
+        "CART Optimisé": DecisionTreeClassifier(weightCol="weight", maxDepth=5, minInstancesPerNode=20, seed=SEED),
+        "Random Forest Optimisé": RandomForestClassifier(weightCol="weight", numTrees=40, maxDepth=6, seed=SEED),
+        "Gradient Boosting Optimisé": GBTClassifier(weightCol="weight", maxIter=30, maxDepth=3, seed=SEED),
+    }
+
+
+@plan("ml_importances")
+def ml_importances(spark, sf_dir):
+    frame, feats = prospect_frame(spark, sf_dir)
+    tr, _ = split(frame)
+    rows = []
+    for name, est in _tuned(tr).items():
+        rows += ML.importances_rows(est.fit(tr), feats, name)
+    return spark.createDataFrame(rows, "feature string, model string, importance double")
+
+
+@plan("ml_top3")
+def ml_top3(spark, sf_dir):
+    frame, _ = prospect_frame(spark, sf_dir)
+    tr, te = split(frame)
+    res = [ML.fit_and_evaluate(name, est, tr, te)[1] for name, est in _tuned(tr).items()]
+    return ML.results_frame(spark, res).orderBy(F.desc("auc"), "model")
+
+
+def _fit_pipeline(spark, sf_dir):
+    frame, feats = prospect_frame(spark, sf_dir)
+    tr, te = split(frame)
+    pipe = Pipeline(stages=[LogisticRegression(weightCol="weight", maxIter=50)])
+    return pipe.fit(tr), te, feats
+
+
+MANIFEST_SCHEMA = ("model_name string, model_path string, features array<string>, score double, "
+                   "classes array<string>")
+
+
+def save_with_manifest(spark, model, name, feats, score, folder):
+    path = f"{folder}/{name}"
+    model.write().overwrite().save(path)
+    manifest = spark.createDataFrame([(name, path, list(feats), float(score), ["no", "yes"])],
+                                     MANIFEST_SCHEMA)
+    manifest.write.mode("overwrite").parquet(f"{folder}/manifest-{name}")
+    return path
+
+
+@plan("sink_model_manifest")
+def sink_model_manifest(spark, sf_dir):
+    model, te, feats = _fit_pipeline(spark, sf_dir)
+    res = ML.evaluate(ML.positive_proba(model.transform(te)))
+    folder = FS.scratch_path(spark, "models")
+    save_with_manifest(spark, model, "logreg", feats, res["auc"], folder)
+    return spark.read.parquet(f"{folder}/manifest-logreg")
+
+
+@plan("model_save_load")
+def model_save_load(spark, sf_dir):
+    model, te, _ = _fit_pipeline(spark, sf_dir)
+    path = FS.scratch_path(spark, "pipeline")
+    model.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    a = model.transform(te).select("key", F.col("prediction").alias("a"))
+    b = back.transform(te).select("key", F.col("prediction").alias("b"))
+    j = a.join(b, "key")
+    return j.agg(F.count("*").alias("rows"), F.count_if(F.col("a") != F.col("b")).alias("differences"))
+
+
+@plan("score_model_choice")
+def score_model_choice(spark, sf_dir):
+    """Pick a model by name among the manifests whose files exist."""
+    model, te, feats = _fit_pipeline(spark, sf_dir)
+    folder = FS.scratch_path(spark, "models")
+    save_with_manifest(spark, model, "logreg", feats, 0.0, folder)
+    manifests = spark.read.parquet(f"{folder}/manifest-*")
+    existing = FS.file_catalog(spark, folder, "*.parquet").select(
+        F.regexp_extract("path", r"/manifest-([^/]+)/", 1).alias("model_name")).distinct()
+    chosen = manifests.where(F.col("model_name") == "logreg").join(existing, "model_name", "left_semi")
+    row = chosen.first()
+    loaded = PipelineModel.load(row["model_path"])
+    scored = ML.positive_proba(loaded.transform(te))
+    return scored.select("key", F.col("prediction").cast("int").alias("prediction"),
+                         F.round("p", 6).alias("score_souscription"))
+
+
+@plan("score_model_facts")
+def score_model_facts(spark, sf_dir):
+    frame, feats = prospect_frame(spark, sf_dir)
+    tr, _ = split(frame)
+    model = RandomForestClassifier(weightCol="weight", numTrees=20, maxDepth=5, seed=SEED).fit(tr)
+    return spark.createDataFrame(ML.model_facts(model, feats), "fact string, value string")

@@ -126,5 +126,6 @@ def read_split(spark: SparkSession, path: str, split: str, split_col: str = "spl
 
 def file_catalog(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """Artefacts matching a glob: path and size (file content is pruned)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(folder)
             .select("path", "length", "modificationTime"))
