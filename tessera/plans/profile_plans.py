@@ -173,3 +173,21 @@ def _regr_sql():
 @plan("prof_regression_line", sql=_regr_sql())
 def prof_regression_line(spark, sf_dir):
     return PR.regression_lines(lineitem_numeric(spark, sf_dir), LI_NUM)
+
+
+_DESC_FIELDS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+
+
+@plan("proj_transpose", sql=f"""
+WITH d AS (
+  SELECT "column", CAST(COUNT(value) AS DOUBLE) AS count, ROUND(AVG(value), 6) AS mean,
+         ROUND(STDDEV_SAMP(value), 6) AS std, ROUND(MIN(value), 6) AS min,
+         ROUND(QUANTILE_CONT(value, 0.25), 6) AS p25, ROUND(QUANTILE_CONT(value, 0.5), 6) AS p50,
+         ROUND(QUANTILE_CONT(value, 0.75), 6) AS p75, ROUND(MAX(value), 6) AS max
+  FROM {_unpivot_sql(LI_NUM, "lineitem")} GROUP BY "column"),
+l AS (SELECT * FROM (UNPIVOT d ON {", ".join(_DESC_FIELDS)} INTO NAME field VALUE value))
+SELECT field, {", ".join(f"MAX(value) FILTER (WHERE " + '"column"' + f" = '{c}') AS {c}" for c in sorted(LI_NUM))}
+FROM l GROUP BY field""")
+def proj_transpose(spark, sf_dir):
+    d = PR.describe(lineitem_numeric(spark, sf_dir), LI_NUM)
+    return PR.transpose_small(d, "column", _DESC_FIELDS, name_col="field")

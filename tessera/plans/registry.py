@@ -41,6 +41,7 @@ def load_all() -> None:
         lookup_plans,
         model_plans,
         profile_plans,
+        report_plans,
         scoring_plans,
         source_plans,
         stream_plans,
