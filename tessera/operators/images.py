@@ -87,8 +87,42 @@ def _pixel(px: Column, h: int, w: int, r: Column, c: Column) -> Column:
     return F.when(inside, F.element_at(px, r * w + c + 1).cast("double")).otherwise(F.lit(0.0))
 
 
+UNROLL_LIMIT = 256  # multiply-adds per row up to which conv2d is unrolled (codegen size)
+
+
 def conv2d(px: Column, h: int, w: int, kernels: Sequence[Sequence[Sequence[float]]],
            bias: Sequence[float], padding: str = "same") -> Column:
+    """2-D cross-correlation (see :func:`conv2d_lambda`).  Small shapes are
+    unrolled into static ``element_at`` terms with literal weights (padding
+    resolved at plan time; fully code-generated); larger ones use the
+    higher-order-function form."""
+    k = len(kernels[0])
+    nf = len(kernels)
+    if nf * h * w * k * k > UNROLL_LIMIT:
+        return conv2d_lambda(px, h, w, kernels, bias, padding)
+    if padding == "same":
+        pad, ho, wo = (k - 1) // 2, h, w
+    elif padding == "valid":
+        pad, ho, wo = 0, h - k + 1, w - k + 1
+    else:
+        raise ValueError(padding)
+    cells = []
+    for f in range(nf):
+        for r in range(ho):
+            for cc in range(wo):
+                acc = F.lit(float(bias[f]))
+                for dy in range(k):
+                    for dx in range(k):
+                        i, j = r + dy - pad, cc + dx - pad
+                        if 0 <= i < h and 0 <= j < w:
+                            acc = acc + F.lit(float(kernels[f][dy][dx])) * \
+                                F.element_at(px, i * w + j + 1).cast("double")
+                cells.append(acc)
+    return F.array(*cells)
+
+
+def conv2d_lambda(px: Column, h: int, w: int, kernels: Sequence[Sequence[Sequence[float]]],
+                  bias: Sequence[float], padding: str = "same") -> Column:
     """2-D cross-correlation of a one-channel image with ``len(kernels)``
     k x k filters, stride 1.  Output: filter-major ``(f, r, c)`` row-major
     vector.  "same" pads (k-1) div 2 on top/left (rest bottom/right), "valid"
@@ -193,4 +227,43 @@ def dense_forward_pandas(df: DataFrame, vec_col: str, layers: Sequence[tuple], k
             res[out] = list(x)
             yield res
 
-    return df.select(*keep, vec_col).mapInPandas(run, schema)
+    cols = keep + ([vec_col] if vec_col not in keep else [])
+    return df.select(*cols).mapInPandas(run, schema)
+
+
+def conv2d_pandas(df: DataFrame, px_col: str, h: int, w: int,
+                  kernels: Sequence[Sequence[Sequence[float]]], bias: Sequence[float],
+                  padding: str = "same", keep: Sequence[str] = (), out: str = "out") -> DataFrame:
+    """Same result as :func:`conv2d`, computed per Arrow batch with NumPy
+    (sliding windows + einsum); kernels are broadcast once, rows stay in
+    their partition.  Output vector is filter-major ``(f, r, c)``."""
+    spark = df.sparkSession
+    K = np.asarray(kernels, dtype=np.float64)
+    bc = spark.sparkContext.broadcast((K, np.asarray(bias, dtype=np.float64)))
+    keep = list(keep)
+    from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+
+    schema = StructType([f for f in df.schema.fields if f.name in keep]
+                        + [StructField(out, ArrayType(DoubleType()))])
+    k = K.shape[1]
+    pad = (k - 1) // 2 if padding == "same" else 0
+
+    def run(batches):
+        import pandas as pd
+        from numpy.lib.stride_tricks import sliding_window_view
+
+        kern, b = bc.value
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf[px_col].to_numpy()).astype(np.float64).reshape(-1, h, w)
+            if padding == "same":
+                x = np.pad(x, ((0, 0), (pad, k - 1 - pad), (pad, k - 1 - pad)))
+            win = sliding_window_view(x, (k, k), axis=(1, 2))          # n, ho, wo, k, k
+            y = np.einsum("nrcij,fij->nfrc", win, kern) + b[None, :, None, None]
+            res = pd.DataFrame({c: pdf[c] for c in keep})
+            res[out] = list(y.reshape(len(pdf), -1))
+            yield res
+
+    cols = keep + ([px_col] if px_col not in keep else [])
+    return df.select(*cols).mapInPandas(run, schema)

@@ -38,10 +38,11 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[st
 
 
 def auc_from_score_counts(g: DataFrame, score: str = "p", by: Sequence[str] = (),
-                          n_buckets: int | None = None) -> DataFrame:
-    """AUC from a (by..., score, pos, neg) table (see ``score_counts``)."""
+                          n_buckets: int | None = None, materialize: bool = True) -> DataFrame:
+    """AUC from a (by..., score, pos, neg) table (see ``score_counts``);
+    ``materialize=False`` when ``g`` is already a written table."""
     cum = running_totals(g, [score], ["neg"], partition_by=by, inclusive=False,
-                         n_buckets=n_buckets)
+                         n_buckets=n_buckets, materialize=materialize)
     contrib = F.col("pos") * (F.col("cum_neg") + F.col("neg") / F.lit(2.0))
     agg = cum.groupBy(*by).agg(
         F.sum(contrib).alias("__u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.exprs import c
 from tessera.operators.prefix import running_totals
+from tessera.session import cut_lineage
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
@@ -83,7 +84,9 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "colum
     """
     counts = long.where(F.col(value).isNotNull()).groupBy(group, (F.col(value) + 0.0).alias(value)).agg(
         F.count("*").alias("cnt"))
-    cum = running_totals(counts, [value], ["cnt"], partition_by=[group])
+    # written once: read by the bucket cut, the running count and the totals
+    counts = cut_lineage(counts)
+    cum = running_totals(counts, [value], ["cnt"], partition_by=[group], materialize=False)
     tot = counts.groupBy(group).agg(F.sum("cnt").alias("__n"))
     j = cum.join(tot, group)
     lo_rank = F.col("cum_cnt") - F.col("cnt")       # first 0-based rank held by this value

@@ -182,7 +182,7 @@ def eval_cv_summary(spark, sf_dir):
     s = SI.scored(spark, sf_dir).withColumn("fold", (F.col("key") % FOLDS).cast("long"))
     by = ["segment", "fold"]
     g = cut_lineage(M.score_counts(s, "p", "y", by=by))
-    auc = M.auc_from_score_counts(g, "p", by=by)
+    auc = M.auc_from_score_counts(g, "p", by=by, materialize=False)
     k = M.counts_at_threshold(g, "p", by=by, t=0.5)
     from tessera.functions.exprs import safe_div
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")

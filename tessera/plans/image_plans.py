@@ -201,10 +201,11 @@ def _conv_sql(padding):
 
 
 def conv_cells(spark, sf_dir, padding):
+    """Convolution of every image (NumPy fast path per Arrow batch), one row
+    per output cell."""
     ho, wo = (H, W) if padding == "same" else (H - 2, W - 2)
-    img = _img(spark, sf_dir).select(
-        "id", IM.conv2d(F.col("px"), H, W, KERNELS, KERNEL_BIAS, padding).alias("out"))
-    e = img.select("id", F.posexplode("out").alias("pos", "value"))
+    conv = IM.conv2d_pandas(_img(spark, sf_dir), "px", H, W, KERNELS, KERNEL_BIAS, padding, keep=["id"])
+    e = conv.select("id", F.posexplode("out").alias("pos", "value"))
     f = (F.col("pos") / (ho * wo)).cast("int")
     rem = F.col("pos") - f * (ho * wo)
     return e.select("id", f.alias("f"), (rem / wo).cast("int").alias("r"),
@@ -256,5 +257,5 @@ SELECT x.id, list_transform(range(0, {N_PX}),
 FROM x JOIN IMG ON x.id = IMG.id""")
 def img_residual_add(spark, sf_dir):
     img = _img(spark, sf_dir)
-    conv = IM.conv2d(F.col("px"), H, W, KERNELS[:1], KERNEL_BIAS[:1], "same")
-    return img.select("id", round_arr(IM.residual_add(conv, F.col("px"))).alias("out"))
+    conv = IM.conv2d_pandas(img, "px", H, W, KERNELS[:1], KERNEL_BIAS[:1], "same", keep=["id", "px"])
+    return conv.select("id", round_arr(IM.residual_add(F.col("out"), F.col("px"))).alias("out"))

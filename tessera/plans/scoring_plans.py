@@ -93,7 +93,7 @@ def segment_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one reduced table (segment, score, pos, neg) feeds every metric; it is
     # written once to the checkpoint directory so the source is scanned once
     g = cut_lineage(M.score_counts(s, "p", "y", by=["segment"]))
-    auc = M.auc_from_score_counts(g, "p", by=["segment"])
+    auc = M.auc_from_score_counts(g, "p", by=["segment"], materialize=False)
     k = M.counts_at_threshold(g, "p", by=["segment"], t=THRESHOLD)
     out = auc.join(k, "segment")
     n = F.col("n_pos") + F.col("n_neg")

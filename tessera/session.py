@@ -69,10 +69,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and read it back: one pass over the input (``Dataset.checkpoint`` on an
+    unpersisted plan computes it twice), lineage cut, and the result survives
+    executor loss.  Never ``localCheckpoint``."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tessera-cut/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

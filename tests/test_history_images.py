@@ -87,3 +87,18 @@ def test_dense_expression_equals_numpy_fast_path(spark):
     for i in range(20):
         assert np.allclose(expr[i], fast[i])
         assert sum(expr[i]) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("padding", ["same", "valid"])
+def test_conv2d_fast_path_equals_expression(spark, padding):
+    rng = np.random.default_rng(12)
+    imgs = rng.normal(size=(7, 36))
+    kern = rng.normal(size=(2, 3, 3)).tolist()
+    df = spark.createDataFrame([(i, imgs[i].tolist()) for i in range(7)], "id long, px array<double>")
+    a = {r["id"]: r["o"] for r in df.select("id", IM.conv2d_lambda(F.col("px"), 6, 6, kern, [0.1, -0.2], padding)
+                                            .alias("o")).collect()}
+    b = {r["id"]: r["out"] for r in IM.conv2d_pandas(df, "px", 6, 6, kern, [0.1, -0.2], padding, keep=["id"]).collect()}
+    u = {r["id"]: r["o"] for r in df.select("id", IM.conv2d(F.col("px"), 6, 6, kern, [0.1, -0.2], padding)
+                                            .alias("o")).collect()}
+    for i in range(7):
+        assert np.allclose(a[i], b[i]) and np.allclose(a[i], u[i])
