@@ -37,6 +37,7 @@ def distinct_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LE
     """
     if not cols:
         return {}
+    check_cardinality(df, cols, max_levels)
     row = df.agg(*[F.array_sort(F.collect_set(c(x).cast("string"))).alias(x) for x in cols]).first()
     out = {}
     for x in cols:
@@ -47,6 +48,15 @@ def distinct_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LE
     return out
 
 
+def check_cardinality(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> None:
+    """Refuse a one-hot of a high-cardinality column *before* any set of its
+    values is built (HyperLogLog sketch: bounded memory per task)."""
+    row = df.agg(*[F.approx_count_distinct(c(x), 0.02).alias(x) for x in cols]).first()
+    for x in cols:
+        if (row[x] or 0) > max_levels * 1.1:
+            raise ValueError(f"{x}: about {row[x]} levels exceed the one-hot limit {max_levels}")
+
+
 def onehot_exprs(levels: Mapping[str, Sequence[str]]) -> list[Column]:
     """``col_level`` = 1 when ``col <=> level`` else 0 (null -> 0, never null)."""
     out = []

@@ -61,6 +61,9 @@ def fit_spec_one_pass(train: DataFrame, numeric: Sequence[str], cat_cols: Sequen
                       max_levels: int = MAX_LEVELS) -> FeatureSpec:
     """Levels (drop-first) and scaler statistics of the training rows in one
     aggregation job; the driver receives one row of bounded size."""
+    from tessera.operators.features import check_cardinality
+
+    check_cardinality(train, cat_cols, max_levels)
     aggs = [F.array_sort(F.collect_set(c(x).cast("string"))).alias(f"l{i}")
             for i, x in enumerate(cat_cols)]
     for i, x in enumerate(numeric):
