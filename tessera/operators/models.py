@@ -228,7 +228,7 @@ def gaussian_nb_predict(df: DataFrame, model: dict, features: Sequence[str], kee
 # ---- exact k nearest neighbours ---------------------------------------------------
 
 def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str, k: int = 5,
-              block_rows: int = 20000) -> DataFrame:
+              block_rows: int = 20000, max_distances: int = 1 << 24) -> DataFrame:
     """Exact kNN (squared L2, ties by train key, majority vote, vote ties ->
     smallest class).
 
@@ -251,22 +251,34 @@ def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str,
     def cell(qpdf, tpdf):
         import pandas as pd
 
+        cols = ["qid", "tid", "tl", "d"]
         if len(qpdf) == 0 or len(tpdf) == 0:
-            return pd.DataFrame({"qid": [], "tid": [], "tl": [], "d": []})
-        Q = np.stack(qpdf["qv"].to_numpy()).astype(np.float64)
+            return pd.DataFrame({c: [] for c in cols})
         T = np.stack(tpdf["tv"].to_numpy()).astype(np.float64)
-        tid = tpdf["tid"].to_numpy()
-        d = (Q * Q).sum(1)[:, None] - 2 * Q @ T.T + (T * T).sum(1)[None, :]
+        tid = tpdf["tid"].to_numpy().astype(np.int64)
+        tl = tpdf["tl"].to_numpy().astype(np.int64)
+        t2 = (T * T).sum(1)
         kk = min(k, T.shape[0])
-        # per test row: sort by (distance, train key), keep the first k
-        order = np.lexsort((np.broadcast_to(tid, d.shape), d), axis=-1)[:, :kk]
-        rows_i = np.repeat(np.arange(Q.shape[0]), kk)
-        cols_j = order.reshape(-1)
-        return pd.DataFrame({
-            "qid": qpdf["qid"].to_numpy()[rows_i].astype(np.int64),
-            "tid": tid[cols_j].astype(np.int64),
-            "tl": tpdf["tl"].to_numpy()[cols_j].astype(np.int64),
-            "d": d[rows_i, cols_j].astype(np.float64)})
+        # query rows in sub-batches: at most ~16M distances (128 MB) at a time
+        step = max(1, max_distances // T.shape[0])
+        parts = []
+        for lo in range(0, len(qpdf), step):
+            q = qpdf.iloc[lo:lo + step]
+            Q = np.stack(q["qv"].to_numpy()).astype(np.float64)
+            d = (Q * Q).sum(1)[:, None] - 2 * Q @ T.T + t2[None, :]
+            # every train row tied with the k-th distance stays a candidate,
+            # then (distance, train key) order picks exactly k
+            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+            r, j = np.nonzero(d <= kth[:, None])
+            order = np.lexsort((tid[j], d[r, j], r))
+            r, j = r[order], j[order]
+            starts = np.r_[0, np.flatnonzero(np.diff(r)) + 1]
+            rank = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
+            keep = rank < kk
+            r, j = r[keep], j[keep]
+            parts.append(pd.DataFrame({"qid": q["qid"].to_numpy()[r].astype(np.int64), "tid": tid[j],
+                                       "tl": tl[j], "d": d[r, j]}))
+        return pd.concat(parts, ignore_index=True)
 
     cand = te.groupBy("b", "c").cogroup(tr.groupBy("b", "c")).applyInPandas(cell, out_schema)
     from pyspark.sql import Window

@@ -18,6 +18,10 @@ def test_knn_exact_matches_bruteforce(spark):
                                  "id long, v array<double>, label int")
     # tiny blocks force several (block, chunk) cells
     got = {r["id"]: r["pred"] for r in ML.knn_exact(train, test, "v", "id", "label", k=5, block_rows=25).collect()}
+    # sub-batches of 2 query rows inside each cell give the same answer
+    small = {r["id"]: r["pred"] for r in ML.knn_exact(train, test, "v", "id", "label", k=5, block_rows=25,
+                                                      max_distances=60).collect()}
+    assert small == got
     for i in range(30):
         d = ((tr - te[i]) ** 2).sum(1)
         nn = sorted(range(120), key=lambda j: (d[j], j))[:5]
