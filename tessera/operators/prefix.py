@@ -34,7 +34,8 @@ def quantile_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:
     if n_buckets <= 1:
         return [float("-inf"), float("inf")]
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.select(F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("q")).first()
+    acc = max(10000, 10 * n_buckets)
+    row = df.select(F.percentile_approx(F.col(col).cast("double"), probs, acc).alias("q")).first()
     qs = row["q"] if row is not None and row["q"] is not None else []
     inner = sorted({float(q) for q in qs if q is not None})
     return [float("-inf")] + inner + [float("inf")]
@@ -47,6 +48,21 @@ def add_bucket(df: DataFrame, col: str, splits: Sequence[float], out: str = _BUC
     return res.drop(src).withColumn(out, F.col(out).cast("int"))
 
 
+def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: int,
+                     out: str = _BUCKET) -> DataFrame:
+    """Bucket by quantiles of ``col`` computed *inside each group*, so a hot
+    group is cut into ``n_buckets`` balanced pieces even when its values sit
+    in a narrow range.  The boundaries stay a table (one row per group), joined
+    back on the group key; a row's bucket = boundaries <= its value."""
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    acc = max(10000, 10 * n_buckets)
+    splits = df.groupBy(*part).agg(
+        F.percentile_approx(F.col(col).cast("double"), probs, acc).alias("__splits"))
+    x = F.col(col).cast("double")
+    return df.join(splits, on=list(part), how="inner").withColumn(
+        out, F.size(F.filter("__splits", lambda s: s <= x)).cast("int")).drop("__splits")
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -80,8 +96,11 @@ def running_totals(
     if not isinstance(bcol, str):
         raise ValueError("bucket_col must be a column name")
     part = list(partition_by)
-    splits = quantile_splits(df, bcol, n_buckets)
-    db = add_bucket(df, bcol, splits)
+    if part:
+        db = add_group_bucket(df, bcol, part, n_buckets)
+    else:
+        splits = quantile_splits(df, bcol, n_buckets)
+        db = add_bucket(df, bcol, splits)
 
     # (1) + (2): per (group, bucket) totals and their exclusive running sum.
     tot = db.groupBy(*part, _BUCKET).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])

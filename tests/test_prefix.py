@@ -35,3 +35,17 @@ def test_no_single_partition_window(spark):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "HashAggregate(keys=[__bucket" in lines[i + 1]
+
+
+def test_hot_group_in_narrow_range_is_split(spark):
+    # group "hot" holds most rows, all inside a tiny value range; per-group
+    # quantile buckets still cut it into several pieces
+    from tessera.operators.prefix import add_group_bucket
+
+    rows = [("hot", 0.5 + i * 1e-9) for i in range(4000)] + [("cold", float(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, k double")
+    b = add_group_bucket(df, "k", ["g"], 8).where("g = 'hot'").groupBy("__bucket").count().collect()
+    assert len(b) >= 6 and max(r["count"] for r in b) < 1000
+    out = running_totals(df.withColumn("v", F.lit(1)), ["k"], ["v"], partition_by=["g"], n_buckets=8)
+    hot = out.where("g = 'hot'").orderBy("k").select("cum_v").collect()
+    assert [r[0] for r in hot] == list(range(1, 4001))
