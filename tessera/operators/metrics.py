@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import EPSILON_CLIP, c, clip, safe_div
 from tessera.operators.prefix import running_totals
+from tessera.session import cut_lineage
 
 # Fixed value: number of thresholds of the bucketed (Keras-style) AUC.
 AUC_BUCKETS = 200
@@ -98,9 +99,11 @@ def roc_points(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[s
                n_buckets: int | None = None) -> DataFrame:
     """ROC curve: one point per distinct score, descending, plus the origin
     with threshold +inf.  ``tpr = cum_pos / P``, ``fpr = cum_neg / N``."""
-    g = score_counts(df, score, label, by).withColumn("__neg_score", -F.col(score))
+    # the per-score counts are written once and feed the running sums, the
+    # class totals and the origin rows
+    g = cut_lineage(score_counts(df, score, label, by).withColumn("__neg_score", -F.col(score)))
     cum = running_totals(g, ["__neg_score"], ["pos", "neg"], partition_by=by, inclusive=True,
-                         n_buckets=n_buckets)
+                         n_buckets=n_buckets, materialize=False)
     if by:
         tot = g.groupBy(*by).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
         cum = cum.join(tot, on=list(by))
