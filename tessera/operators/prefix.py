@@ -48,18 +48,47 @@ def add_bucket(df: DataFrame, col: str, splits: Sequence[float], out: str = _BUC
     return res.drop(src).withColumn(out, F.col(out).cast("int"))
 
 
+MAX_LITERAL_GROUPS = 1000  # groups whose boundaries are folded into the plan
+
+
 def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: int,
                      out: str = _BUCKET) -> DataFrame:
     """Bucket by quantiles of ``col`` computed *inside each group*, so a hot
     group is cut into ``n_buckets`` balanced pieces even when its values sit
-    in a narrow range.  The boundaries stay a table (one row per group), joined
-    back on the group key; a row's bucket = boundaries <= its value."""
+    in a narrow range.  A row's bucket = number of its group's boundaries <=
+    its value.
+
+    Up to ``MAX_LITERAL_GROUPS`` groups the boundaries (groups x n_buckets
+    numbers, a checked bound) reach the driver once and become a literal map
+    in the plan; beyond that they stay a table joined back on the group key.
+    """
     probs = [i / n_buckets for i in range(1, n_buckets)]
     acc = max(10000, 10 * n_buckets)
+    part = list(part)
     splits = df.groupBy(*part).agg(
         F.percentile_approx(F.col(col).cast("double"), probs, acc).alias("__splits"))
     x = F.col(col).cast("double")
-    return df.join(splits, on=list(part), how="inner").withColumn(
+    rows = splits.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(rows) <= MAX_LITERAL_GROUPS:
+        types = {f.name: f.dataType for f in df.schema.fields}
+
+        def key_of(values):
+            # the same expression builds the literal keys and the row key
+            if len(part) == 1:
+                return values[0].cast(types[part[0]])
+            return F.to_json(F.struct(*[v.cast(types[p]).alias(p) for v, p in zip(values, part)]))
+
+        pairs = []
+        for r in rows:
+            arr = F.array(*[F.lit(float(v)) for v in (r["__splits"] or [])]).cast("array<double>")
+            pairs += [key_of([F.lit(r[p]) for p in part]), arr]
+        if not pairs:
+            return df.withColumn(out, F.lit(0))
+        mp = F.create_map(*pairs)
+        key = key_of([F.col(p) for p in part])
+        bounds = F.coalesce(F.element_at(mp, key), F.array().cast("array<double>"))
+        return df.withColumn(out, F.size(F.filter(bounds, lambda s: s <= x)).cast("int"))
+    return df.join(splits, on=part, how="inner").withColumn(
         out, F.size(F.filter("__splits", lambda s: s <= x)).cast("int")).drop("__splits")
 
 
