@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from tessera.functions.exprs import c, safe_div
+from tessera.functions.exprs import c
 from tessera.operators import metrics as M
 from tessera.session import cut_lineage
 
@@ -323,5 +323,4 @@ def f1_from(pred: DataFrame) -> float:
 
 __all__ = ["assemble", "evaluate", "fit_and_evaluate", "results_frame", "balance_by_replication",
            "bootstrap_weight", "bagged_trees_oob", "adaboost", "fourier_features",
-           "gaussian_nb_fit", "gaussian_nb_predict", "knn_exact", "model_facts", "importances_rows",
-           "safe_div"]
+           "gaussian_nb_fit", "gaussian_nb_predict", "knn_exact", "model_facts", "importances_rows"]

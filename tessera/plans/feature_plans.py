@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import features as FE
-from tessera.operators.lookups import top_k_list_text  # noqa: F401  (re-exported helper)
 from tessera.operators.scoring import fit_spec_one_pass
 from tessera.plans import standins as SI
 from tessera.plans.expr_plans import _ONEHOT_SQL, FROZEN, _q, full_onehot_prospects
