@@ -29,34 +29,32 @@ def dummy_name(col: str, level: str) -> str:
 
 def distinct_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS
                     ) -> dict[str, list[str]]:
-    """Sorted distinct non-null levels of each column, in one pass.
+    """Sorted distinct non-null levels of each column, in one job.
 
-    ``collect_set`` is combined map-side, so each task ships at most the
-    column cardinality; the driver receives ``sum(levels)`` strings and the
-    check below bounds it.
+    The (column, level) pairs are a distributed ``groupBy`` (partial
+    aggregation, no set held in one buffer); at most ``len(cols) *
+    max_levels + 1`` pairs reach the driver, so a column above the limit is
+    detected without collecting it.
     """
     if not cols:
         return {}
-    check_cardinality(df, cols, max_levels)
-    row = df.agg(*[F.array_sort(F.collect_set(c(x).cast("string"))).alias(x) for x in cols]).first()
-    out = {}
+    long = df.select(*[c(x).cast("string").alias(x) for x in cols]).unpivot(
+        [], list(cols), "__col", "__level").where(F.col("__level").isNotNull())
+    cap = len(cols) * max_levels + 1
+    rows = long.groupBy("__col", "__level").agg(F.count("*").alias("n")).select(
+        "__col", "__level").limit(cap).collect()
+    if len(rows) >= cap:
+        raise ValueError(f"more than {max_levels} levels in one of {list(cols)}")
+    out: dict[str, list[str]] = {x: [] for x in cols}
+    for r in rows:
+        out[r["__col"]].append(r["__level"])
     for x in cols:
-        lv = list(row[x] or [])
-        if len(lv) > max_levels:
-            raise ValueError(f"{x}: {len(lv)} levels exceed the one-hot limit {max_levels}")
-        out[x] = lv
+        if len(out[x]) > max_levels:
+            raise ValueError(f"{x}: {len(out[x])} levels exceed the one-hot limit {max_levels}")
+        out[x].sort()
     return out
 
 
-def check_cardinality(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> None:
-    """Refuse a one-hot of a high-cardinality column *before* any set of its
-    values is built (HyperLogLog sketch: bounded memory per task)."""
-    row = df.agg(*[F.approx_count_distinct(c(x), 0.02).alias(x) for x in cols]).first()
-    for x in cols:
-        if (row[x] or 0) > max_levels * 1.1:
-            raise ValueError(f"{x}: about {row[x]} levels exceed the one-hot limit {max_levels}")
-
-
 def onehot_exprs(levels: Mapping[str, Sequence[str]]) -> list[Column]:
     """``col_level`` = 1 when ``col <=> level`` else 0 (null -> 0, never null)."""
     out = []

@@ -59,22 +59,16 @@ class LinearModel:
 
 def fit_spec_one_pass(train: DataFrame, numeric: Sequence[str], cat_cols: Sequence[str],
                       max_levels: int = MAX_LEVELS) -> FeatureSpec:
-    """Levels (drop-first) and scaler statistics of the training rows in one
-    aggregation job; the driver receives one row of bounded size."""
-    from tessera.operators.features import check_cardinality
+    """Levels (drop-first) and scaler statistics of the training rows: one
+    distributed distinct of the levels (bounded by the level limit) and one
+    aggregation row for the statistics."""
+    from tessera.operators.features import distinct_levels
 
-    check_cardinality(train, cat_cols, max_levels)
-    aggs = [F.array_sort(F.collect_set(c(x).cast("string"))).alias(f"l{i}")
-            for i, x in enumerate(cat_cols)]
+    levels = distinct_levels(train, cat_cols, max_levels)
+    aggs = []
     for i, x in enumerate(numeric):
         aggs += [F.avg(c(x)).alias(f"m{i}"), F.stddev_pop(c(x)).alias(f"s{i}")]
-    r = train.agg(*aggs).first()
-    levels = {}
-    for i, x in enumerate(cat_cols):
-        lv = list(r[f"l{i}"] or [])
-        if len(lv) > max_levels:
-            raise ValueError(f"{x}: {len(lv)} levels exceed the one-hot limit {max_levels}")
-        levels[x] = lv
+    r = train.agg(*aggs).first() if aggs else None
     mean = {x: r[f"m{i}"] for i, x in enumerate(numeric)}
     std = {x: r[f"s{i}"] for i, x in enumerate(numeric)}
     return FeatureSpec(list(numeric), drop_first_levels(levels), mean, std)
