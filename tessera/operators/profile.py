@@ -73,8 +73,17 @@ def long_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         [], list(cols), "column", "value")
 
 
-def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "column",
-                    value: str = "value") -> DataFrame:
+def value_counts_table(long: DataFrame, group: str = "column", value: str = "value") -> DataFrame:
+    """(group, value, cnt) for the non-null values, written once to the
+    checkpoint folder: every statistic below is computed from it, so the
+    source is scanned once."""
+    counts = long.where(F.col(value).isNotNull()).groupBy(
+        group, (F.col(value) + 0.0).alias(value)).agg(F.count("*").alias("cnt"))
+    return cut_lineage(counts)
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group: str = "column",
+                          value: str = "value") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``quantile_cont``)
     per group, without holding a group's values in one task.
 
@@ -82,10 +91,6 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "colum
     at rank r is the one whose cumulative range covers r.  ``h = (n-1) q``,
     result ``v[floor h] + (v[ceil h] - v[floor h]) (h - floor h)``.
     """
-    counts = long.where(F.col(value).isNotNull()).groupBy(group, (F.col(value) + 0.0).alias(value)).agg(
-        F.count("*").alias("cnt"))
-    # written once: read by the bucket cut, the running count and the totals
-    counts = cut_lineage(counts)
     cum = running_totals(counts, [value], ["cnt"], partition_by=[group], materialize=False)
     tot = counts.groupBy(group).agg(F.sum("cnt").alias("__n"))
     j = cum.join(tot, group)
@@ -106,14 +111,22 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "colum
         for i in range(len(probs))])
 
 
+def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "column",
+                    value: str = "value") -> DataFrame:
+    return quantiles_from_counts(value_counts_table(long, group, value), probs, group, value)
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, decimals: int | None = 6) -> DataFrame:
-    """``df.describe().T``: column, count, mean, std (n-1), min, p25, p50, p75, max."""
+    """``df.describe().T``: column, count, mean, std (n-1), min, p25, p50, p75, max.
+
+    Moments are one partial aggregation over the (column-pruned) source;
+    quantiles come from the written distinct-value counts."""
     long = long_numeric(df, cols)
     stats = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    qs = exact_quantiles(long, [0.25, 0.5, 0.75]).select(
+    qs = quantiles_from_counts(value_counts_table(long), [0.25, 0.5, 0.75]).select(
         "column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
     out = stats.join(qs, "column", "left")
     r = (lambda x: F.round(F.col(x), decimals)) if decimals is not None else F.col
