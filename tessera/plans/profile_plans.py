@@ -191,3 +191,17 @@ FROM l GROUP BY field""")
 def proj_transpose(spark, sf_dir):
     d = PR.describe(lineitem_numeric(spark, sf_dir), LI_NUM)
     return PR.transpose_small(d, "column", _DESC_FIELDS, name_col="field")
+
+
+@plan("prof_cat_vs_target_labels", sql="""
+SELECT "column", level, COUNT(*) AS n, CAST(SUM(toxic) AS BIGINT) AS positives, AVG(toxic) AS rate
+FROM (UNPIVOT (SELECT l.toxic, d.lang, d.source FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
+      ON lang, source INTO NAME "column" VALUE level)
+GROUP BY "column", level
+""")
+def prof_cat_vs_target_labels(spark, sf_dir):
+    """Category vs target over labelled documents (labels ⋈ documents); the
+    document scan reads only the key and the two categorical columns."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return PR.category_vs_target(lab.join(docs, "doc_id"), ["lang", "source"], "toxic")
