@@ -48,7 +48,8 @@ def add_bucket(df: DataFrame, col: str, splits: Sequence[float], out: str = _BUC
     return res.drop(src).withColumn(out, F.col(out).cast("int"))
 
 
-MAX_LITERAL_GROUPS = 1000  # groups whose boundaries are folded into the plan
+MAX_LITERAL_GROUPS = 1000        # groups whose boundaries are folded into the plan
+MAX_LITERAL_BOUNDARIES = 100_000  # ... and at most this many numbers in total
 
 
 def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: int,
@@ -58,18 +59,21 @@ def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: in
     in a narrow range.  A row's bucket = number of its group's boundaries <=
     its value.
 
-    Up to ``MAX_LITERAL_GROUPS`` groups the boundaries (groups x n_buckets
-    numbers, a checked bound) reach the driver once and become a literal map
-    in the plan; beyond that they stay a table joined back on the group key.
+    Up to ``MAX_LITERAL_GROUPS`` groups (and ``MAX_LITERAL_BOUNDARIES``
+    numbers) the boundaries reach the driver once and become a literal map in
+    the plan; beyond that they stay a table joined back on the group key.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
     acc = max(10000, 10 * n_buckets)
     part = list(part)
     splits = df.groupBy(*part).agg(
         F.percentile_approx(F.col(col).cast("double"), probs, acc).alias("__splits"))
-    x = F.col(col).cast("double")
-    rows = splits.limit(MAX_LITERAL_GROUPS + 1).collect()
-    if len(rows) <= MAX_LITERAL_GROUPS:
+    xc = F.col(col).cast("double")
+    # NaN sorts after every number in Spark: give it the last bucket
+    x = F.when(F.isnan(xc), F.lit(float("inf"))).otherwise(xc)
+    max_groups = min(MAX_LITERAL_GROUPS, MAX_LITERAL_BOUNDARIES // max(1, n_buckets - 1))
+    rows = splits.limit(max_groups + 1).collect() if max_groups > 0 else [None]
+    if len(rows) <= max_groups:
         types = {f.name: f.dataType for f in df.schema.fields}
 
         def key_of(values):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import AUC_BUCKETS, bucket_of
-from tessera.sources.files import scratch_path
+from tessera.sources.files import _fs_path, scratch_path
 
 WATERMARK = "1 day"
 WINDOW = "1 day"
@@ -25,7 +25,13 @@ WINDOW = "1 day"
 def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Stream of a fixture table (schema taken from the batch table, glob
     filter so only that table's files are picked up)."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
+    path = f"{folder}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    fs, p = _fs_path(spark, path)
+    if fs.getFileStatus(p).isDirectory():
+        # a table written by Spark: a folder of part files
+        return (spark.readStream.format("parquet").schema(schema)
+                .option("maxFilesPerTrigger", 64).load(path))
     return (spark.readStream.format("parquet").schema(schema)
             .option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 1)
             .load(folder))
