@@ -39,7 +39,7 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[st
 
 
 def auc_from_score_counts(g: DataFrame, score: str = "p", by: Sequence[str] = (),
-                          n_buckets: int | None = None, materialize: bool = True) -> DataFrame:
+                          n_buckets: int | None = None, materialize: bool | str = "auto") -> DataFrame:
     """AUC from a (by..., score, pos, neg) table (see ``score_counts``);
     ``materialize=False`` when ``g`` is already a written table."""
     cum = running_totals(g, [score], ["neg"], partition_by=by, inclusive=False,

@@ -96,6 +96,13 @@ def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: in
         out, F.size(F.filter("__splits", lambda s: s <= x)).cast("int")).drop("__splits")
 
 
+def needs_materialize(df: DataFrame) -> bool:
+    """True when the plan does more than scan, filter and project files: then
+    recomputing it three times costs more than writing it once."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "Exchange" in plan or "Window" in plan or "MapInPandas" in plan or "Generate" in plan
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -105,7 +112,7 @@ def running_totals(
     n_buckets: int | None = None,
     prefix: str = "cum_",
     inclusive: bool = True,
-    materialize: bool = True,
+    materialize: bool | str = "auto",
 ) -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over rows of the same ``partition_by``
     group that come before the row (and the row itself when ``inclusive``) in
@@ -118,10 +125,12 @@ def running_totals(
     should be fine-grained (a score after ``groupBy(score)``, a unique key).
     """
     spark = df.sparkSession
+    if materialize == "auto":
+        materialize = needs_materialize(df)
     if materialize:
         # The input is read three times (quantiles, bucket totals, in-bucket
-        # sums): write it once to the reliable checkpoint directory instead of
-        # recomputing its lineage (e.g. a scan + aggregation) each time.
+        # sums): write it once to the checkpoint folder instead of
+        # recomputing its lineage (a shuffle, an aggregation, a join) each time.
         df = cut_lineage(df)
     if n_buckets is None:
         n_buckets = max(2, shuffle_partitions(spark))
@@ -161,7 +170,7 @@ def running_totals(
 
 def global_position(df: DataFrame, order_col: str, partition_by: Sequence[str] = (),
                     out: str = "pos", n_buckets: int | None = None,
-                    materialize: bool = True) -> DataFrame:
+                    materialize: bool | str = "auto") -> DataFrame:
     """1-based row number by ``order_col`` (unique inside a group) without a
     single-partition window."""
     tmp = df.withColumn("__one", F.lit(1).cast("long"))
