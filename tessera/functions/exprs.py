@@ -30,6 +30,12 @@ def safe_div(num: Column, den: Column, default=0.0) -> Column:
     return F.coalesce(F.try_divide(num, F.when(den != 0, den)), F.lit(default))
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation, null when either side is constant (``corr``
+    divides by zero there, which fails under ANSI mode)."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.exprs import c
+from tessera.functions.exprs import c, safe_corr
 from tessera.operators.prefix import running_totals
 from tessera.session import cut_lineage
 
@@ -169,7 +169,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, decimals: int
     """Pearson correlation for every ordered pair (a, b) in one aggregation."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = [(a, b) for a in cols for b in cols]
-    one = df.agg(*[F.corr(c(a), c(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    one = df.agg(*[safe_corr(c(a), c(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
                               F.round(F.col(f"r{i}"), decimals).alias("r"))
                      for i, (a, b) in enumerate(pairs)])

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import safe_corr
 from tessera.sources.tables import table
 
 # Fixed values of the stand-ins (shared by the Spark plans and the SQL text).
@@ -226,7 +227,7 @@ def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.round(F.when(r.isNull() | F.isnan(r), F.lit(0.0)).otherwise(F.abs(r)), 6)
 
     wide = p.groupBy(F.col("c_mktsegment").alias("model")).agg(*[
-        imp(F.corr(ex[n], F.col("y").cast("double"))).alias(f"f{i}") for i, n in enumerate(names)])
+        imp(safe_corr(ex[n], F.col("y").cast("double"))).alias(f"f{i}") for i, n in enumerate(names)])
     arr = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"f{i}").alias("importance"))
                     for i, n in enumerate(names)])
     return wide.select("model", F.inline(arr)).select("feature", "model", "importance")
