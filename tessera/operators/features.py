@@ -39,7 +39,7 @@ def distinct_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LE
     if not cols:
         return {}
     long = df.select(*[c(x).cast("string").alias(x) for x in cols]).unpivot(
-        [], list(cols), "__col", "__level").where(F.col("__level").isNotNull())
+        [], [c(x) for x in cols], "__col", "__level").where(F.col("__level").isNotNull())
     cap = len(cols) * max_levels + 1
     rows = long.groupBy("__col", "__level").agg(F.count("*").alias("n")).select(
         "__col", "__level").limit(cap).collect()
@@ -87,12 +87,19 @@ def onehot_drop_first(df: DataFrame, cat_cols: Sequence[str],
     return onehot(df, drop_first_levels(lv))
 
 
+def _check_keep(keep: Sequence[str], features: Sequence[str]) -> None:
+    both = sorted(set(keep) & set(features))
+    if both:
+        raise ValueError(f"kept columns are also features: {both}; keep a separate row key")
+
+
 def align(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (),
           fill=0) -> DataFrame:
     """``reindex(columns=features, fill_value=0)``: present columns pass
     through in frozen order, absent ones become the constant ``fill``, extra
     ones vanish (except ``keep`` columns, put first)."""
     present = set(df.columns)
+    _check_keep(keep, features)
     cols = [c(k) for k in keep]
     for f in features:
         if f in present:
@@ -189,6 +196,7 @@ def encode(df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = (), scale: bo
     base level and unseen levels all give the zero vector (``get_dummies`` +
     ``reindex``)."""
     present = set(df.columns)
+    _check_keep(keep, spec.features)
     cols = [c(k) for k in keep]
     for x in spec.numeric:
         e = c(x).cast("double") if x in present else F.lit(0.0)

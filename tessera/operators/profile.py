@@ -70,7 +70,7 @@ def long_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, value double) for the numeric columns (``unpivot``)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     return df.select(*[c(x).cast("double").alias(x) for x in cols]).unpivot(
-        [], list(cols), "column", "value")
+        [], [c(x) for x in cols], "column", "value")
 
 
 def value_counts_table(long: DataFrame, group: str = "column", value: str = "value") -> DataFrame:
@@ -179,7 +179,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, decimals: int
 def category_vs_target(df: DataFrame, cat_cols: Sequence[str], target: str) -> DataFrame:
     """Per (column, level): rows, positives, positive rate."""
     long = df.select(c(target).alias("__y"), *[c(x).cast("string").alias(x) for x in cat_cols]
-                     ).unpivot(["__y"], list(cat_cols), "column", "level")
+                     ).unpivot(["__y"], [c(x) for x in cat_cols], "column", "level")
     return long.groupBy("column", "level").agg(
         F.count("*").alias("n"), F.sum("__y").cast("long").alias("positives"),
         F.avg("__y").alias("rate"))
@@ -238,6 +238,6 @@ def transpose_small(df: DataFrame, id_col: str, value_cols: Sequence[str],
     The pivot values are the ids seen (a small summary: bounded)."""
     long = df.select(c(id_col).cast("string").alias(id_col),
                      *[c(v).cast("double").alias(v) for v in value_cols]).unpivot(
-        [id_col], list(value_cols), name_col, "value")
+        [c(id_col)], [c(v) for v in value_cols], name_col, "value")
     ids = sorted(r[0] for r in df.select(c(id_col).cast("string")).distinct().collect())
     return long.groupBy(name_col).pivot(id_col, ids).agg(F.first("value"))
