@@ -55,6 +55,8 @@ def fit_and_evaluate(name: str, estimator, train: DataFrame, test: DataFrame,
     pred = model.transform(test)
     if score == "p":
         pred = positive_proba(pred)
+    elif score == "margin":
+        pred = pred.withColumn("p", F.element_at(vector_to_array(F.col("rawPrediction")), 2))
     else:
         pred = pred.withColumn("p", F.col(score))
     res = evaluate(pred)

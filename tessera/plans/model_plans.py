@@ -174,11 +174,9 @@ def ml_svm_rbf_approx(spark, sf_dir):
     w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
     z = z.join(F.broadcast(w), "y").select("key", "features", F.col("y").cast("double").alias("label"), "weight")
     tr, te = z.where(F.col("key") % 5 != 0), z.where(F.col("key") % 5 == 0)
-    margin = F.element_at(vector_to_array(F.col("rawPrediction")), 2)
-    model = LinearSVC(weightCol="weight", maxIter=30, regParam=0.01).fit(tr)
-    pred = model.transform(te).withColumn("p", margin)
-    res = ML.evaluate(pred)
-    res.update({"model": "SVM (RBF, Fourier features)", "seconds": 0.0})
+    # LinearSVC has no probability: the margin of the positive class is the score
+    svc = LinearSVC(weightCol="weight", maxIter=30, regParam=0.01)
+    _, res = ML.fit_and_evaluate("SVM (RBF, Fourier features)", svc, tr, te, score="margin")
     return ML.results_frame(spark, [res])
 
 
@@ -258,7 +256,7 @@ def ml_cross_val(spark, sf_dir):
         "max_depth int, cv_auc_mean double, cv_auc_std double")
 
 
-def _tuned(frame_tr):
+def _tuned():
     return {
         "CART Optimisé": DecisionTreeClassifier(weightCol="weight", maxDepth=5, minInstancesPerNode=20, seed=SEED),
         "Random Forest Optimisé": RandomForestClassifier(weightCol="weight", numTrees=40, maxDepth=6, seed=SEED),
@@ -271,7 +269,7 @@ def ml_importances(spark, sf_dir):
     frame, feats = prospect_frame(spark, sf_dir)
     tr, _ = split(frame)
     rows = []
-    for name, est in _tuned(tr).items():
+    for name, est in _tuned().items():
         rows += ML.importances_rows(est.fit(tr), feats, name)
     return spark.createDataFrame(rows, "feature string, model string, importance double")
 
@@ -280,7 +278,7 @@ def ml_importances(spark, sf_dir):
 def ml_top3(spark, sf_dir):
     frame, _ = prospect_frame(spark, sf_dir)
     tr, te = split(frame)
-    res = [ML.fit_and_evaluate(name, est, tr, te)[1] for name, est in _tuned(tr).items()]
+    res = [ML.fit_and_evaluate(name, est, tr, te)[1] for name, est in _tuned().items()]
     return ML.results_frame(spark, res).orderBy(F.desc("auc"), "model")
 
 
