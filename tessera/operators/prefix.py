@@ -27,6 +27,19 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage, shuffle_partitions
 
 _BUCKET = "__bucket"
+BUCKET_BYTES = 64 << 20   # target input bytes per bucket (one in-bucket window task)
+
+
+def auto_buckets(df: DataFrame) -> int:
+    """Bucket count from Catalyst's size estimate of ``df`` (exact file size
+    after a lineage cut; no job): ~``BUCKET_BYTES`` per bucket, at least 1,
+    at most 4 x ``spark.sql.shuffle.partitions``."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (no estimate: fall back to the partition count)
+        return max(2, shuffle_partitions(df.sparkSession))
+    cap = max(2, 4 * shuffle_partitions(df.sparkSession))
+    return int(min(cap, max(1, -(-size // BUCKET_BYTES))))
 
 
 def quantile_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:
@@ -133,12 +146,15 @@ def running_totals(
         # recomputing its lineage (a shuffle, an aggregation, a join) each time.
         df = cut_lineage(df)
     if n_buckets is None:
-        n_buckets = max(2, shuffle_partitions(spark))
+        n_buckets = auto_buckets(df)
     bcol = bucket_col or order_by[0]
     if not isinstance(bcol, str):
         raise ValueError("bucket_col must be a column name")
     part = list(partition_by)
-    if part:
+    if n_buckets <= 1:
+        # the whole input fits one bucket's budget: no boundary job
+        db = df.withColumn(_BUCKET, F.lit(0))
+    elif part:
         db = add_group_bucket(df, bcol, part, n_buckets)
     else:
         splits = quantile_splits(df, bcol, n_buckets)

@@ -53,7 +53,12 @@ PLAN_CHECKS = ["eval_segment_scoring", "score_batch", "prof_describe", "eval_auc
 
 
 @pytest.mark.parametrize("key", PLAN_CHECKS)
-def test_plan_shape(spark, key):
+def test_plan_shape(spark, key, monkeypatch):
+    # plan shape at scale: force the multi-bucket path (tiny fixtures would
+    # otherwise fit one bucket's byte budget)
+    from tessera.operators import prefix
+
+    monkeypatch.setattr(prefix, "BUCKET_BYTES", 1)
     df = E.queries()[key](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan

@@ -49,3 +49,16 @@ def test_hot_group_in_narrow_range_is_split(spark):
     out = running_totals(df.withColumn("v", F.lit(1)), ["k"], ["v"], partition_by=["g"], n_buckets=8)
     hot = out.where("g = 'hot'").orderBy("k").select("cum_v").collect()
     assert [r[0] for r in hot] == list(range(1, 4001))
+
+
+def test_bucket_count_follows_input_size(spark, monkeypatch):
+    from tessera.operators import prefix
+    from tessera.session import cut_lineage
+
+    small = cut_lineage(spark.range(1000).select(F.col("id").cast("double").alias("k")))
+    assert prefix.auto_buckets(small) == 1          # fits one bucket: no boundary job
+    monkeypatch.setattr(prefix, "BUCKET_BYTES", 64)
+    n = prefix.auto_buckets(small)
+    assert 1 < n <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = running_totals(small.withColumn("v", F.lit(1)), ["k"], ["v"]).orderBy("k").collect()
+    assert [r["cum_v"] for r in out] == list(range(1, 1001))
