@@ -28,18 +28,22 @@ from tessera.session import cut_lineage, shuffle_partitions
 
 _BUCKET = "__bucket"
 BUCKET_BYTES = 64 << 20   # target input bytes per bucket (one in-bucket window task)
+SINGLE_BUCKET_BYTES = 1 << 20  # below this one task does it: no boundary job
 
 
 def auto_buckets(df: DataFrame) -> int:
     """Bucket count from Catalyst's size estimate of ``df`` (exact file size
-    after a lineage cut; no job): ~``BUCKET_BYTES`` per bucket, at least 1,
-    at most 4 x ``spark.sql.shuffle.partitions``."""
+    after a lineage cut; no job): one bucket for tiny inputs, otherwise at
+    least ``spark.sql.shuffle.partitions`` (use every core) and ~``BUCKET_BYTES``
+    per bucket, at most 4 x the shuffle partitions."""
+    parts = max(2, shuffle_partitions(df.sparkSession))
     try:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no estimate: fall back to the partition count)
-        return max(2, shuffle_partitions(df.sparkSession))
-    cap = max(2, 4 * shuffle_partitions(df.sparkSession))
-    return int(min(cap, max(1, -(-size // BUCKET_BYTES))))
+    except Exception:  # noqa: BLE001  (no estimate: one bucket per shuffle partition)
+        return parts
+    if size <= SINGLE_BUCKET_BYTES:
+        return 1
+    return int(min(4 * parts, max(parts, -(-size // BUCKET_BYTES))))
 
 
 def quantile_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:

@@ -58,6 +58,7 @@ def test_plan_shape(spark, key, monkeypatch):
     # otherwise fit one bucket's byte budget)
     from tessera.operators import prefix
 
+    monkeypatch.setattr(prefix, "SINGLE_BUCKET_BYTES", 0)
     monkeypatch.setattr(prefix, "BUCKET_BYTES", 1)
     df = E.queries()[key](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()

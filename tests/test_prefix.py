@@ -57,6 +57,7 @@ def test_bucket_count_follows_input_size(spark, monkeypatch):
 
     small = cut_lineage(spark.range(1000).select(F.col("id").cast("double").alias("k")))
     assert prefix.auto_buckets(small) == 1          # fits one bucket: no boundary job
+    monkeypatch.setattr(prefix, "SINGLE_BUCKET_BYTES", 16)
     monkeypatch.setattr(prefix, "BUCKET_BYTES", 64)
     n = prefix.auto_buckets(small)
     assert 1 < n <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
