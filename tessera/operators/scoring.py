@@ -74,10 +74,6 @@ def fit_spec_one_pass(train: DataFrame, numeric: Sequence[str], cat_cols: Sequen
     return FeatureSpec(list(numeric), drop_first_levels(levels), mean, std)
 
 
-def probability(df: DataFrame, spec: FeatureSpec, model: LinearModel) -> Column:
-    return F.round(sigmoid(model.logit(spec, set(df.columns))), PROBA_DECIMALS)
-
-
 def score_batch(df: DataFrame, spec: FeatureSpec, model: LinearModel, target: str | None = "y",
                 with_proba: bool = True) -> DataFrame:
     """Input columns + ``prediction`` (+ ``score_souscription``).
@@ -91,12 +87,3 @@ def score_batch(df: DataFrame, spec: FeatureSpec, model: LinearModel, target: st
     if with_proba:
         cols.append(p.alias(PROBA_COL))
     return df.select(*cols)
-
-
-def proba_from_vector(prob_col: str = "probability") -> Column:
-    """Positive-class probability from a Spark ML probability vector; null when
-    the model has none or it has one class."""
-    from pyspark.ml.functions import vector_to_array
-
-    arr = vector_to_array(F.col(prob_col))
-    return F.when(F.size(arr) > 1, F.element_at(arr, 2))

@@ -72,3 +72,31 @@ def test_domain_rules(spark):
     r = {row["k"]: row for row in check_rules(df, [("a", "range", (0.0, 100.0)),
                                                    ("c", "levels", ["x"])], keep=["k"]).collect()}
     assert r[1]["valid"] == 1 and r[2]["broken"] == "a,c" and r[3]["broken"] == "a"
+
+
+def test_top_k_per_group_two_phase(spark):
+    import pandas as pd
+
+    from tessera.operators.lookups import top_k_per_group
+
+    rows = [("hot", i, float((i * 7919) % 1000)) for i in range(3000)] + \
+           [("cold", i, float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "g string, k long, v double")
+    got = top_k_per_group(df, ["g"], [F.desc("v"), F.asc("k")], 3, salt_buckets=16).toPandas()
+    pdf = pd.DataFrame(rows, columns=["g", "k", "v"]).sort_values(["g", "v", "k"], ascending=[True, False, True])
+    exp = pdf.groupby("g").head(3)
+    assert sorted(zip(got.g, got.k)) == sorted(zip(exp.g, exp.k))
+    assert sorted(got["rank"]) == [1, 1, 2, 2, 3, 3]
+
+
+def test_split_valid_and_approx_describe(spark):
+    from tessera.operators.profile import describe_approx
+    from tessera.operators.rules import split_valid
+
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "k int, a double")
+    ok, bad = split_valid(df, [("a", "range", (0.0, 10.0))])
+    assert [r["k"] for r in ok.collect()] == [1]
+    assert sorted(r["k"] for r in bad.collect()) == [2, 3]
+    nums = spark.range(1, 1001).selectExpr("cast(id as double) as x")
+    d = describe_approx(nums, ["x"]).first()
+    assert d["count"] == 1000 and abs(d["p50"] - 500.5) <= 2
