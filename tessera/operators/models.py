@@ -25,6 +25,8 @@ from tessera.functions.exprs import c
 from tessera.operators import metrics as M
 from tessera.session import cut_lineage
 
+MAX_CLASSES = 10_000  # per-class statistics collected on the driver
+
 
 def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (),
              out: str = "features") -> DataFrame:
@@ -80,7 +82,10 @@ def balance_by_replication(df: DataFrame, label: str = "label") -> DataFrame:
     """Replicate each row ``round(max_count / class_count)`` times (exact and
     deterministic, unlike sampling); counts per class reach the driver (one
     number per class)."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    counts = {r[0]: r[1] for r in rows}
     top = max(counts.values())
     rep = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(round(top / n))))])
     return df.withColumn("__rep", F.explode(F.sequence(F.lit(1), rep[F.col(label)]))).drop("__rep")
@@ -193,7 +198,9 @@ def gaussian_nb_fit(train: DataFrame, features: Sequence[str], label: str, var_s
     aggs = [F.count("*").alias("n")]
     for i, f in enumerate(features):
         aggs += [F.avg(c(f)).alias(f"m{i}"), F.var_pop(c(f)).alias(f"v{i}")]
-    rows = train.groupBy(c(label).alias("cls")).agg(*aggs).collect()
+    rows = train.groupBy(c(label).alias("cls")).agg(*aggs).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     all_var = train.agg(*[F.var_pop(c(f)).alias(f"v{i}") for i, f in enumerate(features)]).first()
     eps = var_smoothing * max(float(all_var[f"v{i}"] or 0.0) for i in range(len(features)))
     total = sum(r["n"] for r in rows)

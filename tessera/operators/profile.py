@@ -239,5 +239,8 @@ def transpose_small(df: DataFrame, id_col: str, value_cols: Sequence[str],
     long = df.select(c(id_col).cast("string").alias(id_col),
                      *[c(v).cast("double").alias(v) for v in value_cols]).unpivot(
         [c(id_col)], [c(v) for v in value_cols], name_col, "value")
-    ids = sorted(r[0] for r in df.select(c(id_col).cast("string")).distinct().collect())
+    max_ids = 1000  # a transposed summary has one column per id: keep it small
+    ids = sorted(r[0] for r in df.select(c(id_col).cast("string")).distinct().limit(max_ids + 1).collect())
+    if len(ids) > max_ids:
+        raise ValueError(f"transpose of more than {max_ids} rows: not a small summary")
     return long.groupBy(name_col).pivot(id_col, ids).agg(F.first("value"))

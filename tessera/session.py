@@ -1,8 +1,8 @@
 """Spark session helpers.
 
 The library never creates machine-local scratch space on a cluster: lineage is
-cut with ``DataFrame.checkpoint()`` into the directory the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is absent (local tests,
+cut by writing a Parquet table into the directory the cluster names in
+``spark.checkpoint.dir`` (and ``DataFrame.checkpoint()`` uses the same folder).  Only when that setting is absent (local tests,
 benches) do we fall back to a fresh directory under the system temp folder.
 """
 
