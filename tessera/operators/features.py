@@ -167,10 +167,45 @@ def scaler_stats(train: DataFrame, cols: Sequence[str]) -> tuple[dict, dict]:
             {x: r[f"s{i}"] for i, x in enumerate(cols)})
 
 
-def fit_spec(train: DataFrame, numeric: Sequence[str], cat_cols: Sequence[str]) -> FeatureSpec:
-    levels = drop_first_levels(distinct_levels(train, cat_cols))
-    mean, std = scaler_stats(train, numeric)
-    return FeatureSpec(list(numeric), levels, mean, std)
+def fit_spec(train: DataFrame, numeric: Sequence[str], cat_cols: Sequence[str],
+                      max_levels: int = MAX_LEVELS) -> FeatureSpec:
+    """Levels (drop-first) and scaler statistics of the training rows in one
+    scan: ``GROUPING SETS`` ((cat_1), ..., (cat_k), ()) gives one row per level
+    of every categorical plus the grand total carrying the statistics.  At
+    most ``k * max_levels + 1`` rows reach the driver (checked)."""
+    if not cat_cols:
+        mean, std = scaler_stats(train, numeric)
+        return FeatureSpec(list(numeric), {}, mean, std)
+    keys = [c(x).cast("string").alias(f"__k{i}") for i, x in enumerate(cat_cols)]
+    base = train.select(*keys, *[c(x).alias(f"__x{i}") for i, x in enumerate(numeric)])
+    sets = [[F.col(f"__k{i}")] for i in range(len(cat_cols))] + [[]]
+    aggs = [F.grouping_id().alias("__gid")]
+    for i in range(len(numeric)):
+        aggs += [F.avg(f"__x{i}").alias(f"m{i}"), F.stddev_pop(f"__x{i}").alias(f"s{i}")]
+    g = base.groupingSets(sets, *[F.col(f"__k{i}") for i in range(len(cat_cols))]).agg(*aggs)
+    cap = len(cat_cols) * max_levels + 2
+    rows = g.limit(cap).collect()
+    if len(rows) >= cap:
+        raise ValueError(f"more than {max_levels} levels in one of {list(cat_cols)}")
+    total_gid = (1 << len(cat_cols)) - 1   # every key aggregated away
+    levels: dict[str, list[str]] = {x: [] for x in cat_cols}
+    total = None
+    for r in rows:
+        if r["__gid"] == total_gid:
+            total = r
+            continue
+        for i, x in enumerate(cat_cols):
+            # grouped by key i alone: its bit is 0, all others are 1
+            if r["__gid"] == total_gid & ~(1 << (len(cat_cols) - 1 - i)):
+                if r[f"__k{i}"] is not None:
+                    levels[x].append(r[f"__k{i}"])
+    for x in cat_cols:
+        if len(levels[x]) > max_levels:
+            raise ValueError(f"{x}: {len(levels[x])} levels exceed the one-hot limit {max_levels}")
+        levels[x].sort()
+    mean = {x: (total[f"m{i}"] if total else None) for i, x in enumerate(numeric)}
+    std = {x: (total[f"s{i}"] if total else None) for i, x in enumerate(numeric)}
+    return FeatureSpec(list(numeric), drop_first_levels(levels), mean, std)
 
 
 def scale_expr(x: Column, mean: float, std: float) -> Column:
