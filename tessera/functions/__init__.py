@@ -1,0 +1 @@
+"""Column expressions built from ``pyspark.sql.functions`` (JVM-side)."""

@@ -1,0 +1 @@
+"""Structured Streaming: stateless scoring and windowed monitoring."""
