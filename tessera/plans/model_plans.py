@@ -311,8 +311,11 @@ def sink_model_manifest(spark, sf_dir):
     return spark.read.parquet(f"{folder}/manifest-logreg")
 
 
-@plan("model_save_load")
+@plan("model_save_load", uses=("P",), sql="""
+SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS differences FROM P WHERE key % 5 = 0""")
 def model_save_load(spark, sf_dir):
+    """A saved and reloaded pipeline predicts exactly as the original on every
+    test row (the oracle: all test rows, no difference)."""
     model, te, _ = _fit_pipeline(spark, sf_dir)
     path = FS.scratch_path(spark, "pipeline")
     model.write().overwrite().save(path)
