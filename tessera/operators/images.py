@@ -185,6 +185,21 @@ def residual_add(x: Column, shortcut: Column) -> Column:
 
 # ---- NumPy fast path ----------------------------------------------------------
 
+class _Local:
+    """Stand-in for a broadcast when there is no SparkContext (the value then
+    travels inside the task closure; fine for weights of this size)."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _share(spark, value):
+    try:
+        return spark.sparkContext.broadcast(value)
+    except Exception:  # noqa: BLE001
+        return _Local(value)
+
+
 def _np_act(z: np.ndarray, activation: str) -> np.ndarray:
     if activation == "relu":
         return np.maximum(z, 0.0)
@@ -203,10 +218,8 @@ def dense_forward_pandas(df: DataFrame, vec_col: str, layers: Sequence[tuple], k
     """Forward pass of a stack of dense layers ``[(W (out x in), b, act), ...]``
     with NumPy per Arrow batch.  The weights are broadcast once and shared by
     every task; rows never leave their partition."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast([(np.asarray(W, dtype=np.float64),
-                                        np.asarray(b, dtype=np.float64), act)
-                                       for W, b, act in layers])
+    bc = _share(df.sparkSession, [(np.asarray(W, dtype=np.float64),
+                                   np.asarray(b, dtype=np.float64), act) for W, b, act in layers])
     keep = list(keep)
     key_fields = [f for f in df.schema.fields if f.name in keep]
     from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -237,9 +250,8 @@ def conv2d_pandas(df: DataFrame, px_col: str, h: int, w: int,
     """Same result as :func:`conv2d`, computed per Arrow batch with NumPy
     (sliding windows + einsum); kernels are broadcast once, rows stay in
     their partition.  Output vector is filter-major ``(f, r, c)``."""
-    spark = df.sparkSession
     K = np.asarray(kernels, dtype=np.float64)
-    bc = spark.sparkContext.broadcast((K, np.asarray(bias, dtype=np.float64)))
+    bc = _share(df.sparkSession, (K, np.asarray(bias, dtype=np.float64)))
     keep = list(keep)
     from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 

@@ -116,7 +116,10 @@ def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: in
 def needs_materialize(df: DataFrame) -> bool:
     """True when the plan does more than scan, filter and project files: then
     recomputing it three times costs more than writing it once."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:  # noqa: BLE001  (no JVM handle, e.g. Spark Connect: be safe)
+        return True
     return "Exchange" in plan or "Window" in plan or "MapInPandas" in plan or "Generate" in plan
 
 

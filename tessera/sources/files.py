@@ -31,9 +31,28 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _local(path: str) -> str:
+    return path[5:] if path.startswith("file:") else path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
+    try:
+        fs, p = _fs_path(spark, path)
+        return bool(fs.exists(p))
+    except Exception:  # noqa: BLE001  (no JVM handle: local paths only)
+        import os
+
+        return os.path.exists(_local(path))
+
+
+def is_directory(spark: SparkSession, path: str) -> bool:
+    try:
+        fs, p = _fs_path(spark, path)
+        return bool(fs.getFileStatus(p).isDirectory())
+    except Exception:  # noqa: BLE001
+        import os
+
+        return os.path.isdir(_local(path))
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import AUC_BUCKETS, bucket_of
-from tessera.sources.files import _fs_path, scratch_path
+from tessera.sources.files import is_directory, scratch_path
 
 WATERMARK = "1 day"
 WINDOW = "1 day"
@@ -27,8 +27,7 @@ def file_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     filter so only that table's files are picked up)."""
     path = f"{folder}/{name}.parquet"
     schema = spark.read.parquet(path).schema
-    fs, p = _fs_path(spark, path)
-    if fs.getFileStatus(p).isDirectory():
+    if is_directory(spark, path):
         # a table written by Spark: a folder of part files
         return (spark.readStream.format("parquet").schema(schema)
                 .option("maxFilesPerTrigger", 64).load(path))
