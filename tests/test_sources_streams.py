@@ -68,3 +68,22 @@ def test_append_mode_holds_back_the_open_window(spark):
     assert complete.count() == batch.count()
     assert 0 < append.count() < complete.count()
     assert append.agg(F.max("day")).first()[0] < complete.agg(F.max("day")).first()[0]
+
+
+def test_path_helpers_and_weight_sharing(spark):
+    from tessera.operators.images import _Local, _share
+
+    folder = FS.scratch_path(spark, "helpers")
+    spark.range(3).write.parquet(folder)
+    assert FS.path_exists(spark, folder) and FS.is_directory(spark, folder)
+    assert not FS.path_exists(spark, folder + "-missing")
+    shared = _share(spark, [1, 2, 3])
+    assert shared.value == [1, 2, 3]
+
+    class NoContext:  # a session without a SparkContext (e.g. Spark Connect)
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no context")
+
+    local = _share(NoContext(), {"w": 1})
+    assert isinstance(local, _Local) and local.value == {"w": 1}
