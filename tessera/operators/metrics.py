@@ -39,11 +39,10 @@ def auc_exact(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[st
 
 
 def auc_from_score_counts(g: DataFrame, score: str = "p", by: Sequence[str] = (),
-                          n_buckets: int | None = None, materialize: bool | str = "auto") -> DataFrame:
-    """AUC from a (by..., score, pos, neg) table (see ``score_counts``);
-    ``materialize=False`` when ``g`` is already a written table."""
+                          n_buckets: int | None = None) -> DataFrame:
+    """AUC from a (by..., score, pos, neg) table (see ``score_counts``)."""
     cum = running_totals(g, [score], ["neg"], partition_by=by, inclusive=False,
-                         n_buckets=n_buckets, materialize=materialize)
+                         n_buckets=n_buckets)
     contrib = F.col("pos") * (F.col("cum_neg") + F.col("neg") / F.lit(2.0))
     agg = cum.groupBy(*by).agg(
         F.sum(contrib).alias("__u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
@@ -103,10 +102,14 @@ def roc_points(df: DataFrame, score: str = "p", label: str = "y", by: Sequence[s
     # class totals and the origin rows
     g = cut_lineage(score_counts(df, score, label, by).withColumn("__neg_score", -F.col(score)))
     cum = running_totals(g, ["__neg_score"], ["pos", "neg"], partition_by=by, inclusive=True,
-                         n_buckets=n_buckets, materialize=False)
+                         n_buckets=n_buckets)
     if by:
-        tot = g.groupBy(*by).agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-        cum = cum.join(tot, on=list(by))
+        tot = g.groupBy(*[c(b).alias(f"__by{i}") for i, b in enumerate(by)]).agg(
+            F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
+        on = F.lit(True)
+        for i, b in enumerate(by):
+            on = on & c(b).eqNullSafe(F.col(f"__by{i}"))
+        cum = cum.join(tot, on)
         P, N = F.col("__P"), F.col("__N")
     else:
         # two numbers reach the driver and are folded in as literals

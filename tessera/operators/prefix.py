@@ -1,126 +1,47 @@
 """Distributed running totals (prefix sums) without a single-task window.
 
-A window ``ORDER BY x`` without ``PARTITION BY`` moves every row to one task.
-Here the order column is cut into ``n_buckets`` quantile ranges (boundaries
-from one ``percentile_approx`` pass; only ``n_buckets`` numbers reach the
-driver).  Then:
-
-1. per (group, bucket) totals — at most ``groups x n_buckets`` rows;
-2. exclusive running sum of those totals per group -> bucket offset;
-3. running sum inside each (group, bucket) — a window whose partitions are
-   ~``rows / n_buckets`` big, so a hot group is spread over many tasks;
-4. total = offset + in-bucket running sum.
-
-The bucket of a row is a pure function of its value and of literal boundaries,
-so any recomputation after an executor loss gives the same buckets (unlike
-``spark_partition_id()`` after ``repartitionByRange``).
+A window ``ORDER BY x`` without ``PARTITION BY`` moves every row to one task,
+and one hot group does the same with ``PARTITION BY``.  Here the rows are laid
+out in ranges of (group, order) first, the same way at every size:
+
+1. ``repartitionByRange`` over (group, order) and one write to the shared
+   folder, with the range number stored as a column: a task that is run again
+   later reads the stored number, so no boundary can move;
+2. totals per (range, group) - about ``ranges + groups`` rows;
+3. their exclusive running sum per group: the offset of a range;
+4. running sum inside (range, group), plus the offset.
+
+A hot group spreads over as many ranges as its rows fill.  Null groups and
+null order keys are ordinary values (nulls order first); all joins are null-safe.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage, shuffle_partitions
-
-_BUCKET = "__bucket"
-BUCKET_BYTES = 64 << 20   # target input bytes per bucket (one in-bucket window task)
-SINGLE_BUCKET_BYTES = 1 << 20  # below this one task does it: no boundary job
-
-
-def auto_buckets(df: DataFrame) -> int:
-    """Bucket count from Catalyst's size estimate of ``df`` (exact file size
-    after a lineage cut; no job): one bucket for tiny inputs, otherwise at
-    least ``spark.sql.shuffle.partitions`` (use every core) and ~``BUCKET_BYTES``
-    per bucket, at most 4 x the shuffle partitions."""
-    parts = max(2, shuffle_partitions(df.sparkSession))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no estimate: one bucket per shuffle partition)
-        return parts
-    if size <= SINGLE_BUCKET_BYTES:
-        return 1
-    return int(min(4 * parts, max(parts, -(-size // BUCKET_BYTES))))
-
-
-def quantile_splits(df: DataFrame, col: str, n_buckets: int) -> list[float]:
-    """Strictly increasing split points (with -inf/+inf) for ``Bucketizer``."""
-    if n_buckets <= 1:
-        return [float("-inf"), float("inf")]
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = max(10000, 10 * n_buckets)
-    row = df.select(F.percentile_approx(F.col(col).cast("double"), probs, acc).alias("q")).first()
-    qs = row["q"] if row is not None and row["q"] is not None else []
-    inner = sorted({float(q) for q in qs if q is not None})
-    return [float("-inf")] + inner + [float("inf")]
-
-
-def add_bucket(df: DataFrame, col: str, splits: Sequence[float], out: str = _BUCKET) -> DataFrame:
-    src = "__bucket_src"
-    b = Bucketizer(splits=list(splits), inputCol=src, outputCol=out, handleInvalid="keep")
-    res = b.transform(df.withColumn(src, F.col(col).cast("double")))
-    return res.drop(src).withColumn(out, F.col(out).cast("int"))
-
-
-MAX_LITERAL_GROUPS = 1000        # groups whose boundaries are folded into the plan
-MAX_LITERAL_BOUNDARIES = 100_000  # ... and at most this many numbers in total
-
-
-def add_group_bucket(df: DataFrame, col: str, part: Sequence[str], n_buckets: int,
-                     out: str = _BUCKET) -> DataFrame:
-    """Bucket by quantiles of ``col`` computed *inside each group*, so a hot
-    group is cut into ``n_buckets`` balanced pieces even when its values sit
-    in a narrow range.  A row's bucket = number of its group's boundaries <=
-    its value.
-
-    Up to ``MAX_LITERAL_GROUPS`` groups (and ``MAX_LITERAL_BOUNDARIES``
-    numbers) the boundaries reach the driver once and become a literal map in
-    the plan; beyond that they stay a table joined back on the group key.
-    """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = max(10000, 10 * n_buckets)
-    part = list(part)
-    splits = df.groupBy(*part).agg(
-        F.percentile_approx(F.col(col).cast("double"), probs, acc).alias("__splits"))
-    xc = F.col(col).cast("double")
-    # NaN sorts after every number in Spark: give it the last bucket
-    x = F.when(F.isnan(xc), F.lit(float("inf"))).otherwise(xc)
-    max_groups = min(MAX_LITERAL_GROUPS, MAX_LITERAL_BOUNDARIES // max(1, n_buckets - 1))
-    rows = splits.limit(max_groups + 1).collect() if max_groups > 0 else [None]
-    if len(rows) <= max_groups:
-        types = {f.name: f.dataType for f in df.schema.fields}
-
-        def key_of(values):
-            # the same expression builds the literal keys and the row key
-            if len(part) == 1:
-                return values[0].cast(types[part[0]])
-            return F.to_json(F.struct(*[v.cast(types[p]).alias(p) for v, p in zip(values, part)]))
-
-        pairs = []
-        for r in rows:
-            arr = F.array(*[F.lit(float(v)) for v in (r["__splits"] or [])]).cast("array<double>")
-            pairs += [key_of([F.lit(r[p]) for p in part]), arr]
-        if not pairs:
-            return df.withColumn(out, F.lit(0))
-        mp = F.create_map(*pairs)
-        key = key_of([F.col(p) for p in part])
-        bounds = F.coalesce(F.element_at(mp, key), F.array().cast("array<double>"))
-        return df.withColumn(out, F.size(F.filter(bounds, lambda s: s <= x)).cast("int"))
-    return df.join(splits, on=part, how="inner").withColumn(
-        out, F.size(F.filter("__splits", lambda s: s <= x)).cast("int")).drop("__splits")
-
-
-def needs_materialize(df: DataFrame) -> bool:
-    """True when the plan does more than scan, filter and project files: then
-    recomputing it three times costs more than writing it once."""
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    except Exception:  # noqa: BLE001  (no JVM handle, e.g. Spark Connect: be safe)
-        return True
-    return "Exchange" in plan or "Window" in plan or "MapInPandas" in plan or "Generate" in plan
+from tessera.functions.exprs import c
+from tessera.session import cut_lineage, input_bytes, shuffle_partitions
+
+RANGE = "__range"
+RANGE_BYTES = 64 << 20   # input bytes per range
+
+
+def range_count(df: DataFrame) -> int:
+    """Ranges for ``df``: one per ``RANGE_BYTES`` of its input and at least one
+    per shuffle partition; no upper limit."""
+    return max(2, shuffle_partitions(df.sparkSession), -(-input_bytes(df) // RANGE_BYTES))
+
+
+def laid_out(df: DataFrame, keys: Sequence[str | Column], n_ranges: int | None = None) -> DataFrame:
+    """``df`` written in ranges of ``keys``, with the range number in ``__range``.
+
+    Rows that are equal in all keys share a range: end the keys with a unique
+    column where many rows may tie.  An empty input gives an empty table."""
+    n = n_ranges or range_count(df)
+    return cut_lineage(df.repartitionByRange(n, *keys).withColumn(RANGE, F.spark_partition_id()))
 
 
 def running_totals(
@@ -128,75 +49,43 @@ def running_totals(
     order_by: Sequence[str | Column],
     values: Sequence[str],
     partition_by: Sequence[str] = (),
-    bucket_col: str | None = None,
     n_buckets: int | None = None,
     prefix: str = "cum_",
     inclusive: bool = True,
-    materialize: bool | str = "auto",
 ) -> DataFrame:
     """Add ``<prefix><v>`` = sum of ``v`` over rows of the same ``partition_by``
     group that come before the row (and the row itself when ``inclusive``) in
-    ``order_by`` order.
-
-    ``order_by`` must be a total order inside a group (add a unique key to
-    break ties).  ``bucket_col`` is the numeric column used for the range cut
-    (default: the first ``order_by`` entry, which must then be a column name of
-    ascending order).  Rows with equal ``bucket_col`` fall in one bucket, so it
-    should be fine-grained (a score after ``groupBy(score)``, a unique key).
-    """
-    spark = df.sparkSession
-    if materialize == "auto":
-        materialize = needs_materialize(df)
-    if materialize:
-        # The input is read three times (quantiles, bucket totals, in-bucket
-        # sums): write it once to the checkpoint folder instead of
-        # recomputing its lineage (a shuffle, an aggregation, a join) each time.
-        df = cut_lineage(df)
-    if n_buckets is None:
-        n_buckets = auto_buckets(df)
-    bcol = bucket_col or order_by[0]
-    if not isinstance(bcol, str):
-        raise ValueError("bucket_col must be a column name")
+    ``order_by`` order, a total order inside a group (add a unique key to
+    break ties).  Null groups are a group; null order keys come first."""
     part = list(partition_by)
-    if n_buckets <= 1:
-        # the whole input fits one bucket's budget: no boundary job
-        db = df.withColumn(_BUCKET, F.lit(0))
-    elif part:
-        db = add_group_bucket(df, bcol, part, n_buckets)
-    else:
-        splits = quantile_splits(df, bcol, n_buckets)
-        db = add_bucket(df, bcol, splits)
-
-    # (1) + (2): per (group, bucket) totals and their exclusive running sum.
-    tot = db.groupBy(*part, _BUCKET).agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
-    w_off = Window.partitionBy(*part).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tot.select(
-        *part, _BUCKET,
-        *[F.coalesce(F.sum(f"__t_{v}").over(w_off), F.lit(0)).alias(f"__o_{v}") for v in values])
-    if not part:
-        # at most n_buckets rows: a proven size bound, safe to broadcast
-        offsets = F.broadcast(offsets)
-
-    # (3): running sum inside a bucket.
-    frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*part, _BUCKET).orderBy(*order_by).rowsBetween(
-        Window.unboundedPreceding, frame_end)
-    inner = db.select(
-        "*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"__r_{v}") for v in values])
-
-    joined = inner.join(offsets, on=[*part, _BUCKET], how="inner")
-    out = joined.select(
-        *[c for c in df.columns],
-        *[(F.col(f"__o_{v}") + F.col(f"__r_{v}")).alias(f"{prefix}{v}") for v in values])
-    return out
-
-
-def global_position(df: DataFrame, order_col: str, partition_by: Sequence[str] = (),
-                    out: str = "pos", n_buckets: int | None = None,
-                    materialize: bool | str = "auto") -> DataFrame:
+    order = [c(o) for o in order_by]
+    laid = laid_out(df, [*[c(p) for p in part], *order], n_buckets)
+    own = Window.partitionBy(RANGE, *[c(p) for p in part]).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    inner = laid.select("*", *[
+        F.coalesce(F.sum(c(v)).over(own), F.lit(0)).alias(f"__in_{i}") for i, v in enumerate(values)])
+    totals = laid.groupBy(RANGE, *[c(p) for p in part]).agg(
+        *[F.sum(c(v)).alias(f"__t{i}") for i, v in enumerate(values)])
+    before = Window.partitionBy(*[c(p) for p in part]).orderBy(RANGE).rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col(RANGE).alias("__o_range"), *[c(p).alias(f"__o_part{i}") for i, p in enumerate(part)],
+        *[F.coalesce(F.sum(f"__t{i}").over(before), F.lit(0)).alias(f"__off_{i}")
+          for i, _ in enumerate(values)])
+    on = F.col(RANGE) == F.col("__o_range")
+    for i, p in enumerate(part):
+        on = on & c(p).eqNullSafe(F.col(f"__o_part{i}"))
+    return inner.join(offsets, on).select(
+        *[c(x) for x in df.columns],
+        *[(F.col(f"__off_{i}") + F.col(f"__in_{i}")).alias(f"{prefix}{v}") for i, v in enumerate(values)])
+
+
+def global_position(df: DataFrame, order_col: str | Sequence[str], partition_by: Sequence[str] = (),
+                    out: str = "pos", n_buckets: int | None = None) -> DataFrame:
     """1-based row number by ``order_col`` (unique inside a group) without a
     single-partition window."""
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
     tmp = df.withColumn("__one", F.lit(1).cast("long"))
-    res = running_totals(tmp, [order_col], ["__one"], partition_by=partition_by,
-                         n_buckets=n_buckets, prefix="__cum", materialize=materialize)
+    res = running_totals(tmp, order, ["__one"], partition_by=partition_by,
+                         n_buckets=n_buckets, prefix="__cum")
     return res.withColumnRenamed("__cum__one", out).drop("__one")

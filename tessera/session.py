@@ -8,8 +8,10 @@ benches) do we fall back to a fresh directory under the system temp folder.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,38 +55,67 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory; set a local one only when the
-    session has none (tests and single-machine runs)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
+    """The shared checkpoint directory of the session.
+
+    On a cluster the folder must be named in ``spark.checkpoint.dir`` (a
+    machine-local folder would be invisible to the other machines); only a
+    ``local[...]`` master, as in tests, gets a temp folder of its own."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir and sc is not None:
-        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if sc is not None:
-        sc.setCheckpointDir(conf_dir)
+    sc.setCheckpointDir(conf_dir)
     return conf_dir
 
 
+#: tables written by ``cut_lineage`` in this process and not yet released
+_CUT_TABLES: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and read it back: one pass over the input (``Dataset.checkpoint`` on an
     unpersisted plan computes it twice), lineage cut, and the result survives
-    executor loss.  Never ``localCheckpoint``."""
-    import uuid
-
+    executor loss.  Never ``localCheckpoint``.  The tables go when the process
+    ends or with ``release_cut_tables``."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tessera-cut/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if not _CUT_TABLES:
+        atexit.register(release_cut_tables, spark)
+    _CUT_TABLES.append(path)
+    # the written schema is known: no job to infer it
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_cut_tables(spark: SparkSession) -> int:
+    """Delete the tables ``cut_lineage`` has written so far (call it when no
+    frame built on them is needed any more); returns how many."""
+    n = 0
+    while _CUT_TABLES:
+        path = _CUT_TABLES.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            n += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+        except Exception:  # noqa: BLE001  (the session has ended: nothing left to ask)
+            break
+    return n
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables below ``df`` (Catalyst's leaf sizes; no job).
+    Leaves of unknown size count as nothing."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

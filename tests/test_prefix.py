@@ -1,22 +1,24 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.prefix import global_position, running_totals
+from tessera.operators.prefix import RANGE, global_position, laid_out, running_totals
 
 
-def test_running_totals_match_pandas_with_hot_group(spark):
+@pytest.mark.parametrize("n", [1, 7, 64])
+def test_running_totals_match_pandas_with_hot_and_null_groups(spark, n):
     rng = np.random.default_rng(1)
-    n = 3000
-    # one group holds most rows (skew), keys unique inside a group
-    g = np.where(rng.random(n) < 0.7, "hot", rng.choice(["a", "b", "c"], n))
-    pdf = pd.DataFrame({"g": g, "k": rng.permutation(n).astype(float), "v": rng.integers(0, 5, n)})
+    rows = 3000
+    # one group holds most rows (skew), one group is null; keys unique in a group
+    g = np.where(rng.random(rows) < 0.7, "hot", rng.choice(["a", "b", None], rows))
+    pdf = pd.DataFrame({"g": g, "k": rng.permutation(rows).astype(float), "v": rng.integers(0, 5, rows)})
     df = spark.createDataFrame(pdf)
-    out = running_totals(df, ["k"], ["v"], partition_by=["g"], n_buckets=7).toPandas()
-    exp = pdf.sort_values(["g", "k"]).assign(cum_v=lambda d: d.groupby("g")["v"].cumsum())
-    m = out.merge(exp, on=["g", "k"], suffixes=("", "_e"))
-    assert len(m) == n
-    assert (m["cum_v"] == m["cum_v_e"]).all()
+    out = running_totals(df, ["k"], ["v"], partition_by=["g"], n_buckets=n).toPandas()
+    exp = pdf.sort_values(["g", "k"]).assign(cum_v=lambda d: d.groupby("g", dropna=False)["v"].cumsum())
+    got = out.sort_values("k")["cum_v"].tolist()
+    assert len(out) == rows
+    assert got == exp.sort_values("k")["cum_v"].tolist()
 
 
 def test_exclusive_totals_and_position(spark):
@@ -27,39 +29,41 @@ def test_exclusive_totals_and_position(spark):
     assert [r["pos"] for r in pos] == list(range(1, 101))
 
 
+@pytest.mark.parametrize("n", [1, 7, 64])
+def test_null_order_key_keeps_its_row(spark, n):
+    df = spark.createDataFrame([(None,), (3.0,), (1.0,), (2.0,)], "k double")
+    got = {r["k"]: r["pos"] for r in global_position(df, "k", n_buckets=n).collect()}
+    assert got == {None: 1, 1.0: 2, 2.0: 3, 3.0: 4}
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "g string, k double, v int")
+    assert running_totals(df, ["k"], ["v"], partition_by=["g"]).collect() == []
+
+
 def test_no_single_partition_window(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("k"), F.lit(1).alias("v"))
     plan = running_totals(df, ["k"], ["v"], n_buckets=4)._jdf.queryExecution().executedPlan().toString()
-    # only the per-bucket totals (at most n_buckets rows) may meet in one partition
+    # only the per-range totals may meet in one partition
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
-            assert "HashAggregate(keys=[__bucket" in lines[i + 1]
+            assert "HashAggregate(keys=[__range" in lines[i + 1]
 
 
 def test_hot_group_in_narrow_range_is_split(spark):
-    # group "hot" holds most rows, all inside a tiny value range; per-group
-    # quantile buckets still cut it into several pieces
-    from tessera.operators.prefix import add_group_bucket
-
     rows = [("hot", 0.5 + i * 1e-9) for i in range(4000)] + [("cold", float(i)) for i in range(100)]
     df = spark.createDataFrame(rows, "g string, k double")
-    b = add_group_bucket(df, "k", ["g"], 8).where("g = 'hot'").groupBy("__bucket").count().collect()
+    b = laid_out(df, ["g", "k"], 8).where("g = 'hot'").groupBy(RANGE).count().collect()
     assert len(b) >= 6 and max(r["count"] for r in b) < 1000
-    out = running_totals(df.withColumn("v", F.lit(1)), ["k"], ["v"], partition_by=["g"], n_buckets=8)
-    hot = out.where("g = 'hot'").orderBy("k").select("cum_v").collect()
-    assert [r[0] for r in hot] == list(range(1, 4001))
-
-
-def test_bucket_count_follows_input_size(spark, monkeypatch):
-    from tessera.operators import prefix
-    from tessera.session import cut_lineage
-
-    small = cut_lineage(spark.range(1000).select(F.col("id").cast("double").alias("k")))
-    assert prefix.auto_buckets(small) == 1          # fits one bucket: no boundary job
-    monkeypatch.setattr(prefix, "SINGLE_BUCKET_BYTES", 16)
-    monkeypatch.setattr(prefix, "BUCKET_BYTES", 64)
-    n = prefix.auto_buckets(small)
-    assert 1 < n <= 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = running_totals(small.withColumn("v", F.lit(1)), ["k"], ["v"]).orderBy("k").collect()
-    assert [r["cum_v"] for r in out] == list(range(1, 1001))
+
+
+def test_cut_tables_are_released(spark):
+    import os
+
+    from tessera.session import cut_lineage, release_cut_tables
+
+    path = cut_lineage(spark.range(5)).inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    assert release_cut_tables(spark) >= 1
+    assert not os.path.exists(path)
