@@ -7,7 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import bpe
 from tessera.llm.common import documents
+from tessera.llm.mixing import mix_report
+from tessera.llm.quality_rules import quality_rules
+from tessera.llm.sharding import shard_documents
 from tessera.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +26,44 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 @query
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
+
+
+@query
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(documents(spark, sf_dir))
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir))))
+
+
+@query
+def op6_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(documents(spark, sf_dir))
+
+
+@query
+def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
+ORACLE["op6_systematic_mix"] = r"""
+WITH d AS (SELECT doc_id, source, COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+p AS (SELECT source, SUM(size)::BIGINT AS source_size, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS place
+      FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][((place - 1) % 3 + 1)::INT] AS weight, 2 * source_size AS cap FROM p),
+c AS (SELECT *, COALESCE(SUM(cap) OVER o, 0) AS cut, COALESCE(SUM(weight) OVER o, 0) AS gone,
+             SUM(weight) OVER () AS weights, SUM(source_size) OVER () AS total, cap / weight AS ratio
+      FROM w WINDOW o AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT level FROM (SELECT (1.5 * total::DOUBLE - cut::DOUBLE) / (weights - gone)::DOUBLE AS level, ratio, place FROM c)
+      WHERE level <= ratio ORDER BY ratio, place LIMIT 1),
+t AS (SELECT source, source_size, LEAST(level * weight, cap::DOUBLE) AS target,
+        COALESCE(LEAST(level * weight, cap::DOUBLE) / NULLIF(source_size, 0)::DOUBLE, 0) AS rate,
+        LIST_SUM([(STRPOS('0123456789abcdef', SUBSTR(MD5('mixing|' || COALESCE(source, CHR(0) || 'null')), i, 1)) - 1)
+                  * (16 ** (8 - i)) FOR i IN RANGE(1, 9)]) / 4294967296.0 AS u
+      FROM c, l),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY size DESC, MD5(doc_id::VARCHAR), doc_id) AS pos FROM d)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       ((FLOOR(u + rate * pos) - FLOOR(u + rate * (pos - 1))) * size)::BIGINT AS taken
+FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source"""
