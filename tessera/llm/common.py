@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,3 +58,10 @@ def pretoken_pattern() -> str:
 
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: its cleaner acts
+    when the driver collects the frames that used them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe
 from tessera.llm.common import documents
+from tessera.llm.minhash import near_duplicates
 from tessera.llm.mixing import mix_report
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.sharding import shard_documents
@@ -43,6 +44,11 @@ def op6_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(documents(spark, sf_dir))
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
+
+
 @query
 def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
