@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe
 from tessera.llm.common import documents
+from tessera.llm.fingerprints import fingerprint_next
 from tessera.llm.minhash import near_duplicates
 from tessera.llm.mixing import mix_report
 from tessera.llm.quality_rules import quality_rules
@@ -54,6 +55,11 @@ def op8_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+@query
+def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_next(documents(spark, sf_dir))
+
+
 ORACLE["op6_systematic_mix"] = r"""
 WITH d AS (SELECT doc_id, source, COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 p AS (SELECT source, SUM(size)::BIGINT AS source_size, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS place
