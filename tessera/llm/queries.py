@@ -15,6 +15,7 @@ from tessera.llm.mixing import mix_report
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.sharding import shard_documents
 from tessera.llm.token_counts import token_counts
+from tessera.llm.token_output import token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,6 +61,11 @@ def op9_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_next(documents(spark, sf_dir))
 
 
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(documents(spark, sf_dir))
+
+
 ORACLE["op6_systematic_mix"] = r"""
 WITH d AS (SELECT doc_id, source, COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 p AS (SELECT source, SUM(size)::BIGINT AS source_size, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS place
