@@ -12,6 +12,7 @@ from tessera.llm.common import documents
 from tessera.llm.fingerprints import fingerprint_next
 from tessera.llm.minhash import near_duplicates
 from tessera.llm.mixing import mix_report
+from tessera.llm.quality_classifier import score_quality
 from tessera.llm.quality_rules import quality_rules
 from tessera.llm.sharding import shard_documents
 from tessera.llm.token_counts import token_counts
@@ -36,6 +37,11 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
 
 
+@query
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(documents(spark, sf_dir))))
