@@ -35,7 +35,7 @@ WIDTHS = (4, 8, 12, 16, 24, 32, 64)
 MATRIX_WIDTH = WIDTHS[-1]
 #: rows in one matrix, and pieces whose ids a worker keeps
 MATRIX_ROWS = 1 << 15
-MAX_PIECES = 400_000
+MAX_PIECES = 250_000
 NONE = np.int32(2**31 - 1)
 
 

@@ -89,15 +89,17 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken."""
-    key = ["doc_id", "source", "text_crc32"]
-    nth = Window.partitionBy(*key).orderBy(F.lit(1))
+    # one 128-bit key without nulls for the join and the numbering of equal
+    # rows, so that texts move once
+    what = [F.col("doc_id"), F.col("source"), F.col("text_crc32")]
+    key = {"k1": F.xxhash64(*what), "k2": F.xxhash64(F.lit(1), *what)}
     rows = docs.select("doc_id", "source", F.crc32(text_or_empty()).alias("text_crc32"), F.struct("*").alias("row"))
-    rows = rows.withColumn("nth", F.row_number().over(nth))
-    taken = copies(docs).select(*[F.col(k).alias(f"t_{k}") for k in key], "copies")
-    taken = taken.groupBy(*[f"t_{k}" for k in key]).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    on = F.col("doc_id").eqNullSafe(F.col("t_doc_id")) & F.col("source").eqNullSafe(F.col("t_source")) & (
-        F.col("text_crc32") == F.col("t_text_crc32"))
+    rows = rows.withColumns(key).select("k1", "k2", "row")
+    taken = copies(docs).withColumns(key).groupBy("k1", "k2").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    joined = rows.join(taken, ["k1", "k2"]).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(1))))
     # equal rows share their copies evenly
     own = F.expr("CAST(copies DIV rows + IF(nth <= copies % rows, 1, 0) AS INT)")
-    return rows.join(taken, on).withColumn("own", own).where("own > 0").select(
+    return joined.withColumn("own", own).where("own > 0").select(
         "row", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("copy")).select("row.*")

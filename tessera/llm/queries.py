@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import bpe
 from tessera.llm.common import documents
 from tessera.llm.fingerprints import fingerprint_next
+from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.minhash import near_duplicates
 from tessera.llm.mixing import mix_report
 from tessera.llm.quality_classifier import score_quality
@@ -32,6 +33,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
 @query
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents(spark, sf_dir))
@@ -91,3 +97,21 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY size DESC, MD5(d
 SELECT doc_id, size::BIGINT AS size, source_size, target,
        ((FLOOR(u + rate * pos) - FLOOR(u + rate * (pos - 1))) * size)::BIGINT AS taken
 FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source"""
+
+ORACLE["op2_line_dedup"] = r"""
+WITH l AS (SELECT doc_id, i AS line_no, lines[i + 1] AS line FROM (
+             SELECT doc_id, STRING_SPLIT(COALESCE(text, ''), CHR(10)) AS lines,
+                    UNNEST(RANGE(LEN(STRING_SPLIT(COALESCE(text, ''), CHR(10))))) AS i FROM documents)),
+s AS (SELECT doc_id, line_no, line, LIST_SORT(LIST_DISTINCT(REGEXP_EXTRACT_ALL(LOWER(line), '[^\x20\x09-\x0D]+'))) AS words FROM l),
+c AS (SELECT words, LEN(words) AS n, MIN((doc_id, line_no)) AS first, ROW_NUMBER() OVER () AS id
+      FROM s WHERE LEN(words) > 0 GROUP BY words),
+t AS (SELECT id, n, first, UNNEST(words) AS w FROM c),
+p AS (SELECT a.id AS earlier, b.id AS later FROM t a JOIN t b ON a.w = b.w AND a.first < b.first
+        AND a.n * 100 >= b.n * 80 AND b.n * 100 >= a.n * 80
+      GROUP BY a.id, b.id, a.n, b.n HAVING COUNT(*) * 100 >= (a.n + b.n - COUNT(*)) * 80),
+r AS (SELECT s.doc_id, s.line_no, s.line, LEN(s.words) > 0 AS has_words,
+             LEN(s.words) > 0 AND ((s.doc_id, s.line_no) > c.first OR c.id IN (SELECT later FROM p)) AS gone
+      FROM s LEFT JOIN c ON s.words = c.words)
+SELECT doc_id, COALESCE(STRING_AGG(line, CHR(10) ORDER BY line_no) FILTER (WHERE NOT gone), '') AS text,
+       COUNT(*) FILTER (WHERE has_words) AS n_lines, COUNT(*) FILTER (WHERE gone) AS n_removed
+FROM r GROUP BY doc_id"""
