@@ -1,13 +1,64 @@
-"""Corpus preparation: the stages that turn ``documents`` into training input."""
+"""Corpus preparation: the stages that turn ``documents`` into training input.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of ``documents``.  Rows a stage drops stay dropped; line
+dedup shortens texts and keeps every document (a text that loses all its lines
+becomes empty); mixing repeats rows.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.llm import bpe, line_dedup, minhash, mixing, quality_rules
+from tessera.llm.common import documents
+from tessera.session import cut_lineage
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat themselves, or hold too few words, go."""
+    return quality_rules.keep_good(docs)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines go that are like an earlier line of the corpus."""
+    shorter = line_dedup.dedup_lines(docs)
+    return shorter.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (five-word shingles, 0.8)."""
+    return minhash.keep_first(docs, shingle=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their target weights; rows may repeat."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, and the digest of what they decode to."""
+    coded = bpe.decode(bpe.encode(docs, keep=("doc_id", "lang", "source")))
+    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("mixing", mix),
+    ("byte_bpe", encode),
+]
+
+#: no SQL for byte-pair merges: the tests hold the pipeline against plain Python
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written once, so that the
+    next stage does not compute it again."""
+    docs = documents(spark, sf_dir)
+    for _, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
