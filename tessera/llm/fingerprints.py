@@ -139,7 +139,8 @@ def fingerprint_next(docs: DataFrame) -> DataFrame:
     n = min(MAX_RANGES, partitions_for(docs, 8 << 20))
     shares = [i / n for i in range(1, n)]
     found = rows.select(F.percentile_approx(F.col("doc_id").cast("double"), shares, 100 * n)).first()[0] if shares else []
-    splits = [float("-inf"), *sorted(set(found or [])), float("inf")]
+    # one cut at least, as the bucketizer asks for
+    splits = [float("-inf"), *sorted(set(found or [0.0])), float("inf")]
     cut = Bucketizer(splits=splits, inputCol="number", outputCol="bucket", handleInvalid="keep")
     # ranges in descending order, null numbers behind the rest
     last = len(splits) - 1
