@@ -6,8 +6,6 @@ codegen (higher-order array functions stay JVM-side too).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,8 +29,11 @@ def safe_div(num: Column, den: Column, default=0.0) -> Column:
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation, null when either side is constant (``corr``
-    divides by zero there, which fails under ANSI mode)."""
+    """Pearson correlation over the rows where both values exist, null when
+    either side is constant there (``corr`` divides by zero, which fails under
+    ANSI mode)."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -81,19 +82,8 @@ def contains_ci(s: Column, needle: str) -> Column:
     return F.lower(s).contains(needle.lower())
 
 
-def nonneg_zero(x: Column) -> Column:
-    """Fold -0.0 into 0.0 before grouping or hashing."""
-    return x + F.lit(0.0)
-
-
 # ---- array (vector) expressions -----------------------------------------
 
-def arr_dot(x: Column, w: Sequence[float]) -> Column:
-    """Dot product of an array column with literal weights."""
-    wl = F.array(*[F.lit(float(v)) for v in w])
-    return F.aggregate(F.zip_with(x, wl, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-
-
 def arr_sum(x: Column) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v)
 

@@ -166,13 +166,15 @@ def head(df: DataFrame, key: str, n: int = 20) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, decimals: int = 6) -> DataFrame:
-    """Pearson correlation for every ordered pair (a, b) in one aggregation."""
+    """Pearson correlation for every ordered pair (a, b) in one aggregation; each
+    unordered pair is computed once, over the rows where both values exist."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    pairs = [(a, b) for a in cols for b in cols]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     one = df.agg(*[safe_corr(c(a), c(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    ordered = [(x, y, i) for i, (a, b) in enumerate(pairs) for x, y in ({(a, b), (b, a)})]
     rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
                               F.round(F.col(f"r{i}"), decimals).alias("r"))
-                     for i, (a, b) in enumerate(pairs)])
+                     for a, b, i in sorted(ordered)])
     return one.select(F.inline(rows))
 
 

@@ -7,24 +7,17 @@ literals, so each row is scored inside one whole-stage-codegen stage.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import c, sigmoid, threshold
-from tessera.operators.features import (
-    MAX_LEVELS,
-    FeatureSpec,
-    dummy_name,
-    fit_spec,
-    scale_expr,
-)
+from tessera.operators.features import FeatureSpec, dummy_name, scale_expr
 
 PROBA_COL = "score_souscription"
 PRED_COL = "prediction"
-PROBA_DECIMALS = 6
 
 
 @dataclass
@@ -57,21 +50,16 @@ class LinearModel:
         return out
 
 
-def fit_spec_one_pass(train: DataFrame, numeric: Sequence[str], cat_cols: Sequence[str],
-                      max_levels: int = MAX_LEVELS) -> FeatureSpec:
-    """Same as :func:`tessera.operators.features.fit_spec` (one scan)."""
-    return fit_spec(train, numeric, cat_cols, max_levels)
-
-
 def score_batch(df: DataFrame, spec: FeatureSpec, model: LinearModel, target: str | None = "y",
                 with_proba: bool = True) -> DataFrame:
     """Input columns + ``prediction`` (+ ``score_souscription``).
 
     The target never enters the score (it is not in the frozen list, so the
-    alignment drops it); the input columns are returned unchanged.
+    alignment drops it); the input columns are returned unchanged.  The
+    prediction follows the score as computed: rounding is for reports.
     """
     present = set(df.columns) - ({target} if target else set())
-    p = F.round(sigmoid(model.logit(spec, present)), PROBA_DECIMALS)
+    p = sigmoid(model.logit(spec, present))
     cols = [c(x) for x in df.columns] + [threshold(p).alias(PRED_COL)]
     if with_proba:
         cols.append(p.alias(PROBA_COL))

@@ -39,9 +39,15 @@ def _round_auc(df):
     return df.withColumn("auc", F.round("auc", 6))
 
 
-@plan("eval_auc_exact", uses=("S",), sql=f"WITH {auc_sql()} SELECT * FROM a")
+@plan("eval_auc_exact", uses=("SR",), sql=f"WITH {auc_sql('SR')} SELECT * FROM a")
 def eval_auc_exact(spark, sf_dir):
-    return _round_auc(M.auc_exact(SI.scored(spark, sf_dir), "p", "y"))
+    return _round_auc(M.auc_exact(SI.scored_raw(spark, sf_dir), "p", "y"))
+
+
+@plan("eval_auc_null_segment", uses=("SR",), sql=f"WITH {auc_sql('SR', by='segment')} SELECT * FROM a")
+def eval_auc_null_segment(spark, sf_dir):
+    """Null is a segment of its own."""
+    return _round_auc(M.auc_exact(SI.scored_raw(spark, sf_dir), "p", "y", by=["segment"]))
 
 
 @plan("eval_auc_by_segment", uses=("S",), sql=f"WITH {auc_sql(by='segment')} SELECT * FROM a")
@@ -131,7 +137,7 @@ def eval_logloss_binary(spark, sf_dir):
     return ll.select(F.round("logloss", 6).alias("logloss"))
 
 
-_ROC_SQL = """g AS (SELECT p, SUM(y) AS pos, SUM(1 - y) AS neg FROM S GROUP BY p),
+_ROC_SQL = """g AS (SELECT p, SUM(y) AS pos, SUM(1 - y) AS neg FROM SR GROUP BY p),
 tot AS (SELECT SUM(pos) AS tot_pos, SUM(neg) AS tot_neg FROM g),
 c AS (SELECT p, SUM(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
              SUM(neg) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM g),
@@ -141,16 +147,16 @@ roc AS (SELECT p AS threshold, ROUND(cn / CAST(tot_neg AS DOUBLE), 6) AS fpr,
 
 
 def roc(spark, sf_dir):
-    r = M.roc_points(SI.scored(spark, sf_dir), "p", "y")
+    r = M.roc_points(SI.scored_raw(spark, sf_dir), "p", "y")
     return r.select("threshold", F.round("fpr", 6).alias("fpr"), F.round("tpr", 6).alias("tpr"))
 
 
-@plan("eval_roc_points", uses=("S",), sql=f"WITH {_ROC_SQL} SELECT * FROM roc")
+@plan("eval_roc_points", uses=("SR",), sql=f"WITH {_ROC_SQL} SELECT * FROM roc")
 def eval_roc_points(spark, sf_dir):
     return roc(spark, sf_dir)
 
 
-@plan("eval_roc_zoom", uses=("S",), sql=f"WITH {_ROC_SQL} SELECT * FROM roc WHERE fpr <= {ROC_ZOOM_FPR}")
+@plan("eval_roc_zoom", uses=("SR",), sql=f"WITH {_ROC_SQL} SELECT * FROM roc WHERE fpr <= {ROC_ZOOM_FPR}")
 def eval_roc_zoom(spark, sf_dir):
     return roc(spark, sf_dir).where(F.col("fpr") <= ROC_ZOOM_FPR)
 

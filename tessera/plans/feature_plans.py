@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import features as FE
-from tessera.operators.scoring import fit_spec_one_pass
+from tessera.operators.features import fit_spec
 from tessera.plans import standins as SI
 from tessera.plans.expr_plans import _ONEHOT_SQL, FROZEN, _q, full_onehot_prospects
 from tessera.plans.registry import plan
@@ -140,7 +140,7 @@ def _assemble_sql():
 @plan("feat_assemble_array", uses=("P",), sql=_assemble_sql())
 def feat_assemble_array(spark, sf_dir):
     p = SI.prospects(spark, sf_dir)
-    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key"])
     arr = FE.assemble_array(enc, spec.features, keep=["key"])
     return arr.select("key", F.transform("features", lambda v: F.round(v, 6)).alias("features"))
@@ -159,6 +159,27 @@ def split_stratified(spark, sf_dir):
     return FE.stratified_split(SI.prospects(spark, sf_dir).select("key", "y"), "key", "y", 5)
 
 
+@plan("split_stratified_null_class", uses=("SR",), sql="""
+SELECT key, segment, CASE WHEN ROW_NUMBER() OVER (PARTITION BY segment ORDER BY key) % 5 = 0
+                          THEN 'test' ELSE 'train' END AS split FROM SR""")
+def split_stratified_null_class(spark, sf_dir):
+    """Rows without a class are a class of their own."""
+    return FE.stratified_split(SI.scored_raw(spark, sf_dir).select("key", "segment"), "key", "segment", 5)
+
+
+@plan("split_validation_tail_null_key", uses=("P",), sql="""
+WITH k AS (SELECT NULLIF(key, (SELECT MAX(key) FROM P)) AS key FROM P)
+SELECT key, CASE WHEN ROW_NUMBER() OVER (ORDER BY key NULLS FIRST)
+                      <= FLOOR(COUNT(*) OVER () * (CAST(1.0 AS DOUBLE) - CAST(0.15 AS DOUBLE)))
+                 THEN 'train' ELSE 'val' END AS split FROM k""")
+def split_validation_tail_null_key(spark, sf_dir):
+    """A row without a key stands first and is kept."""
+    p = SI.prospects(spark, sf_dir)
+    last = p.agg(F.max("key")).first()[0]
+    keys = p.select(F.when(F.col("key") != last, F.col("key")).alias("key"))
+    return FE.validation_tail(keys, "key", 0.15)
+
+
 @plan("split_validation_tail", uses=("P",), sql="""
 SELECT key, CASE WHEN ROW_NUMBER() OVER (ORDER BY key)
                       <= FLOOR(COUNT(*) OVER () * (CAST(1.0 AS DOUBLE) - CAST(0.15 AS DOUBLE)))

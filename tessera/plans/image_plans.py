@@ -69,9 +69,9 @@ pr AS (SELECT id, label, z, list_transform(e, lambda v: v / list_sum(e)) AS prob
 
 
 @plan("img_normalize", uses=("IMG",), sql="""
-SELECT id, list_transform(px, lambda v: ROUND(CAST(v AS DOUBLE) / 255.0, 6)) AS px FROM IMG""")
+SELECT id, list_transform(px, lambda v: CAST(v AS DOUBLE) / 255.0) AS px FROM IMG""")
 def img_normalize(spark, sf_dir):
-    return _img(spark, sf_dir).select("id", round_arr(IM.normalize(F.col("px"))).alias("px"))
+    return _img(spark, sf_dir).select("id", IM.normalize(F.col("px")).alias("px"))
 
 
 @plan("img_reshape", uses=("IMG",), sql=f"""

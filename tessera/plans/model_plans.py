@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import features as FE
 from tessera.operators import models as ML
-from tessera.operators.scoring import fit_spec_one_pass
+from tessera.operators.features import fit_spec
 from tessera.plans import standins as SI
 from tessera.plans.registry import plan
 from tessera.plans.scoring_plans import train_rows
@@ -37,7 +37,7 @@ SEED = 42
 def prospect_frame(spark, sf_dir):
     """(key, features, label, weight, split, fold) + the frozen feature list."""
     p = SI.prospects(spark, sf_dir)
-    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key", "y"])
     w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
     enc = enc.join(F.broadcast(w), "y", "left")  # one row per class
@@ -168,7 +168,7 @@ def knn_exact(spark, sf_dir):
 @plan("ml_svm_rbf_approx")
 def ml_svm_rbf_approx(spark, sf_dir):
     p = SI.prospects(spark, sf_dir)
-    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key", "y"])
     z = ML.fourier_features(enc, spec.features, n_components=64, gamma=0.1, seed=SEED, keep=["key", "y"])
     w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")

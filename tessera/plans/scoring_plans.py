@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import THRESHOLD, safe_div
 from tessera.operators import metrics as M
+from tessera.operators.features import fit_spec
 from tessera.operators.scoring import (
     PRED_COL,
     PROBA_COL,
     LinearModel,
-    fit_spec_one_pass,
     score_batch,
 )
 from tessera.plans import standins as SI
@@ -47,7 +47,7 @@ def test_rows(p: DataFrame) -> DataFrame:
 
 def scored_prospects(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = SI.prospects(spark, sf_dir)
-    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     return score_batch(p, spec, MODEL, target=SI.TARGET)
 
 
@@ -64,25 +64,32 @@ def _logit_sql() -> str:
     return " + ".join(terms)
 
 
+# decimals of the score column in reports and files; decisions use the score itself
+REPORT_DECIMALS = 6
+
+
+def rounded_scores(df: DataFrame) -> DataFrame:
+    return df.withColumn(PROBA_COL, F.round(PROBA_COL, REPORT_DECIMALS))
+
+
 SCORED_SQL = f"""
 WITH st AS (SELECT AVG(o_totalprice) AS m0, STDDEV_POP(o_totalprice) AS s0,
                    AVG(c_acctbal) AS m1, STDDEV_POP(c_acctbal) AS s1
             FROM P WHERE key % 5 <> 0),
-sc0 AS (SELECT P.*, ROUND(1 / (1 + EXP(-({_logit_sql()}))), 6) AS {PROBA_COL}
-        FROM P, st),
+sc0 AS (SELECT P.*, 1 / (1 + EXP(-({_logit_sql()}))) AS raw FROM P, st),
 sc AS (SELECT key, o_totalprice, c_acctbal, o_orderpriority, c_mktsegment, y,
-              CAST({PROBA_COL} >= 0.5 AS INT) AS {PRED_COL}, {PROBA_COL} FROM sc0)
+              CAST(raw >= 0.5 AS INT) AS {PRED_COL}, ROUND(raw, 6) AS {PROBA_COL} FROM sc0)
 """
 
 
 @plan("score_batch", sql=SCORED_SQL + "SELECT * FROM sc", uses=("P",))
 def q_score_batch(spark, sf_dir):
-    return scored_prospects(spark, sf_dir)
+    return rounded_scores(scored_prospects(spark, sf_dir))
 
 
 @plan("score_proba", sql=SCORED_SQL + f"SELECT key, {PROBA_COL} FROM sc", uses=("P",))
 def q_score_proba(spark, sf_dir):
-    return scored_prospects(spark, sf_dir).select("key", PROBA_COL)
+    return rounded_scores(scored_prospects(spark, sf_dir)).select("key", PROBA_COL)
 
 
 def segment_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +115,7 @@ def segment_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SEGMENT_EVAL_CTES = SCORED_SQL + f""",
-t AS (SELECT c_mktsegment AS segment, y, {PROBA_COL} AS p, {PRED_COL} AS pred FROM sc WHERE key % 5 = 0),
+t AS (SELECT c_mktsegment AS segment, y, raw AS p, CAST(raw >= 0.5 AS INT) AS pred FROM sc0 WHERE key % 5 = 0),
 g AS (SELECT segment, p, SUM(y) AS pos, SUM(1 - y) AS neg FROM t GROUP BY segment, p),
 c AS (SELECT segment, pos, neg,
              COALESCE(SUM(neg) OVER (PARTITION BY segment ORDER BY p

@@ -5,11 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators.features import FeatureSpec, holdout_split
-from tessera.operators.scoring import fit_spec_one_pass
+from tessera.operators.features import FeatureSpec, fit_spec, holdout_split
 from tessera.plans import standins as SI
 from tessera.plans.registry import plan
-from tessera.plans.scoring_plans import SCORED_SQL, scored_prospects, train_rows
+from tessera.plans.scoring_plans import SCORED_SQL, rounded_scores, scored_prospects, train_rows
 from tessera.sources import files as FS
 from tessera.sources.tables import table
 
@@ -27,6 +26,31 @@ def src_csv_semicolon(spark, sf_dir):
     return FS.read_delimited(spark, path, CUSTOMER_SCHEMA, sep=";")
 
 
+@plan("src_csv_by_name", sql="""
+SELECT c_custkey, '"' || c_name || '"; said, "so"' AS c_name, c_mktsegment, CAST(NULL AS STRING) AS absent FROM customer""")
+def src_csv_by_name(spark, sf_dir):
+    """Columns in another order, one more and one less than declared; quotes and
+    delimiters inside the text."""
+    path = FS.scratch_path(spark, "customer-by-name")
+    quoted = F.concat(F.lit('"'), F.col("c_name"), F.lit('"; said, "so"'))
+    FS.write_delimited(table(spark, sf_dir, "customer").select(
+        "c_mktsegment", quoted.alias("c_name"), "c_nationkey", "c_custkey"), path, sep=";")
+    return FS.read_delimited(spark, path, "c_custkey BIGINT, c_name STRING, c_mktsegment STRING, absent STRING", sep=";")
+
+
+@plan("src_csv_rejects", sql="""
+SELECT 'kept' AS what, c_custkey || ',' || c_nationkey AS line FROM customer WHERE c_custkey % 10 <> 0
+UNION ALL SELECT 'rejected', c_custkey || ',n/a' FROM customer WHERE c_custkey % 10 = 0""")
+def src_csv_rejects(spark, sf_dir):
+    """Rows that do not fit the declared types come back as text."""
+    path = FS.scratch_path(spark, "customer-rejects")
+    nation = F.when(F.col("c_custkey") % 10 == 0, F.lit("n/a")).otherwise(F.col("c_nationkey").cast("string"))
+    FS.write_delimited(table(spark, sf_dir, "customer").select("c_custkey", nation.alias("c_nationkey")), path)
+    good, bad = FS.read_with_rejects(spark, path, "c_nationkey INT, c_custkey BIGINT")
+    kept = good.select(F.lit("kept").alias("what"), F.concat_ws(",", "c_custkey", "c_nationkey").alias("line"))
+    return kept.unionByName(bad.select(F.lit("rejected").alias("what"), "line"))
+
+
 @plan("src_csv_report", uses=("LBW",), sql="SELECT * FROM LBW")
 def src_csv_report(spark, sf_dir):
     path = FS.scratch_path(spark, "report")
@@ -80,7 +104,7 @@ def _meta_sql():
 @plan("src_feature_meta", uses=("P",), sql=_meta_sql())
 def src_feature_meta(spark, sf_dir):
     p = SI.prospects(spark, sf_dir)
-    spec = fit_spec_one_pass(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     path = FS.scratch_path(spark, "feature-meta")
     spec.to_df(spark).write.mode("overwrite").parquet(path)
     back = FeatureSpec.from_df(spark.read.parquet(path), SI.NUM_COLS, SI.CAT_COLS)
@@ -111,5 +135,5 @@ def sink_report_csv(spark, sf_dir):
 @plan("sink_predictions_csv", uses=("P",), sql=SCORED_SQL + "SELECT * FROM sc")
 def sink_predictions_csv(spark, sf_dir):
     path = FS.scratch_path(spark, "predictions-csv")
-    FS.write_delimited(scored_prospects(spark, sf_dir), path)  # parallel part files
+    FS.write_delimited(rounded_scores(scored_prospects(spark, sf_dir)), path)  # parallel part files
     return FS.read_delimited(spark, path, SCORED_SCHEMA)

@@ -51,6 +51,17 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                     score_expr().alias("p"))
 
 
+def scored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SR``: as ``S`` with a score that takes nearly as many values as rows
+    (one division of integers: the same double in every engine), and a segment
+    that is null for some rows."""
+    p = prospects(spark, sf_dir)
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return p.select(
+        "key", F.when(F.col("key") % 7 != 0, F.col("c_mktsegment")).alias("segment"), "y",
+        ((cents * 7919 % 999983 + F.col("y") * 300000).cast("double") / F.lit(1300000.0)).alias("p"))
+
+
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``IMG``: 64 floats as an 8x8 one-channel image, 10 classes."""
     return table(spark, sf_dir, "embeddings").select(
@@ -107,6 +118,8 @@ SQL = {
             FROM orders JOIN customer ON o_custkey = c_custkey""",
     "S": """SELECT key, c_mktsegment AS segment, y,
               ((key * 37) % 700 + 300 * y) / CAST(1000 AS DOUBLE) AS p FROM P""",
+    "SR": """SELECT key, CASE WHEN key % 7 <> 0 THEN c_mktsegment END AS segment, y,
+              CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) * 7919 % 999983 + y * 300000 AS DOUBLE) / 1300000.0 AS p FROM P""",
     "IMG": "SELECT vec_id AS id, embedding AS px, label FROM embeddings",
     "HIST": """SELECT user_id AS run, CAST(DAY(ts) AS INT) AS epoch,
                  CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS DOUBLE) / (COUNT(*) * 50000) AS val
@@ -125,7 +138,7 @@ SQL = {
                SELECT run, epoch, 'val_loss', val_loss FROM HL0) t WHERE value IS NOT NULL""",
 }
 
-_DEPS = {"S": ["P"], "HL": ["HL0"]}
+_DEPS = {"S": ["P"], "SR": ["P"], "HL": ["HL0"]}
 
 
 def with_standins(sql: str, *names: str) -> str:

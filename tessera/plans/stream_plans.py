@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators.metrics import auc_from_bucket_counts
-from tessera.operators.scoring import fit_spec_one_pass, score_batch
+from tessera.operators.features import fit_spec
+from tessera.operators.scoring import score_batch
 from tessera.plans import standins as SI
 from tessera.plans.registry import plan
-from tessera.plans.scoring_plans import MODEL, SCORED_SQL, train_rows
+from tessera.plans.scoring_plans import MODEL, SCORED_SQL, rounded_scores, train_rows
 from tessera.sources.tables import table
 from tessera.streaming import monitor as ST
 
@@ -20,7 +21,7 @@ POSITIVE_EVENT = "purchase"
 @plan("stream_score", uses=("P",), sql=SCORED_SQL + "SELECT * FROM sc")
 def stream_score(spark, sf_dir):
     # the stored model's statistics come from the batch training rows
-    spec = fit_spec_one_pass(train_rows(SI.prospects(spark, sf_dir)), SI.NUM_COLS, SI.CAT_COLS)
+    spec = fit_spec(train_rows(SI.prospects(spark, sf_dir)), SI.NUM_COLS, SI.CAT_COLS)
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
 
     def build(sp):
@@ -31,7 +32,7 @@ def stream_score(spark, sf_dir):
             "c_mktsegment", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
         return score_batch(p, spec, MODEL, target="y")
 
-    return ST.stream_score(spark, sf_dir, build)
+    return rounded_scores(ST.stream_score(spark, sf_dir, build))
 
 
 @plan("stream_prediction_counts", sql="""

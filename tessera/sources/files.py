@@ -11,9 +11,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tessera.session import ensure_checkpoint_dir
+from tessera.functions.exprs import c
+from tessera.session import cut_lineage, ensure_checkpoint_dir
 
 # Delimiters tried by the sniffer, most likely first.
 SNIFF_DELIMITERS = [",", ";", "\t", "|"]
@@ -31,52 +32,74 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _local(path: str) -> str:
-    return path[5:] if path.startswith("file:") else path
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        fs, p = _fs_path(spark, path)
-        return bool(fs.exists(p))
-    except Exception:  # noqa: BLE001  (no JVM handle: local paths only)
-        import os
+def is_directory(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.getFileStatus(p).isDirectory())
 
-        return os.path.exists(_local(path))
 
+#: column that holds the text of a row which does not fit the schema
+REJECTED = "_rejected"
+
+
+def _csv(spark: SparkSession, sep: str, header: bool):
+    """Reader options: quotes inside quoted text are doubled."""
+    return spark.read.option("header", header).option("sep", sep).option("quote", '"').option("escape", '"')
 
-def is_directory(spark: SparkSession, path: str) -> bool:
-    try:
-        fs, p = _fs_path(spark, path)
-        return bool(fs.getFileStatus(p).isDirectory())
-    except Exception:  # noqa: BLE001
-        import os
 
-        return os.path.isdir(_local(path))
+def _by_header(spark: SparkSession, path: str, schema: StructType, sep: str) -> StructType:
+    """The declared types in the order of the file's header; columns that are
+    not declared are read as text."""
+    types = {f.name: f.dataType for f in schema.fields}
+    found = _csv(spark, sep, True).csv(path).columns   # reads the first line
+    return StructType([StructField(n, types.get(n, StringType())) for n in found])
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str | None = None,
-                   sep: str = ",", header: bool = True) -> DataFrame:
-    """Delimited scan with a declared schema (no inference pass over the data)."""
-    r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+                   sep: str = ",", header: bool = True, mode: str = "FAILFAST") -> DataFrame:
+    """Delimited scan with a declared schema (no inference pass over the data).
+
+    With a header, columns are found by name: their order in the file is free,
+    further columns are left out, declared ones that are absent are null.  A row
+    that does not fit the types fails the query; ``read_with_rejects`` splits
+    such rows off instead."""
+    if schema is None:
+        return _csv(spark, sep, header).option("inferSchema", True).csv(path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not header:
+        return _csv(spark, sep, False).option("mode", mode).schema(declared).csv(path)
+    laid = _by_header(spark, path, declared, sep)
+    # files of one folder whose headers differ are refused
+    df = _csv(spark, sep, True).option("mode", mode).option("enforceSchema", False).schema(laid).csv(path)
+    return df.select(*[c(f.name) if f.name in laid.names else F.lit(None).cast(f.dataType).alias(f.name)
+                       for f in declared.fields])
+
+
+def read_with_rejects(spark: SparkSession, path: str, schema: StructType | str, sep: str = ","
+                      ) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, text of the rows that do not)."""
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    laid = _by_header(spark, path, declared, sep).add(REJECTED, "string")
+    # written once: the parser sees all columns of a row, and both results agree
+    df = cut_lineage(_csv(spark, sep, True).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", REJECTED).schema(laid).csv(path))
+    good = df.where(F.col(REJECTED).isNull()).select(*[
+        c(f.name) if f.name in laid.names else F.lit(None).cast(f.dataType).alias(f.name) for f in declared.fields])
+    return good, df.where(F.col(REJECTED).isNotNull()).select(F.col(REJECTED).alias("line"))
 
 
 def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              sep: str = ",") -> DataFrame | None:
-    """``load_csv``: the table, or ``None`` when the path is absent or unreadable."""
-    try:
-        if not path_exists(spark, path):
-            return None
-        df = read_delimited(spark, path, schema, sep)
-        df.schema  # noqa: B018  (resolve now: a bad file fails here, not later)
-        return df
-    except Exception:  # noqa: BLE001
+    """The table, or ``None`` when there is no such path or it holds no columns;
+    any other failure (rights, a broken store) is raised."""
+    if not path_exists(spark, path):
         return None
+    df = read_delimited(spark, path, schema, sep)
+    return df if df.columns else None
 
 
 def load_csv_or_empty(spark: SparkSession, path: str, schema: StructType | str, sep: str = ","
@@ -127,7 +150,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", single_file: bool
         out = out.withColumnRenamed(out.columns[0], "")
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    out.write.mode("overwrite").option("header", True).option("sep", sep).option("quote", '"').option(
+        "escape", '"').csv(path)
     return path
 
 

@@ -47,11 +47,11 @@ def test_gaussian_nb_matches_numpy(spark):
 
 
 def test_stream_score_equals_batch(spark):
-    from tessera.plans.scoring_plans import scored_prospects
+    from tessera.plans.scoring_plans import rounded_scores, scored_prospects
     from tessera.plans.stream_plans import stream_score
 
     s = stream_score(spark, SF)
-    b = scored_prospects(spark, SF)
+    b = rounded_scores(scored_prospects(spark, SF))
     assert s.count() == b.count()
     assert s.exceptAll(b.select(*s.columns)).count() == 0
 
