@@ -267,11 +267,21 @@ def class_weight_map(df: DataFrame, label: str) -> DataFrame:
         F.struct(F.col(label), F.col("weight"))))).alias("class_weight"))
 
 
+#: rows of a lookup table that may be sent to every executor
+MAX_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a table whose row count is checked first (``max_rows``
+    is a parameter); a larger table comes back without the hint, so that Spark
+    joins it by shuffle."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def attach_row_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Join each row to its class weight.  The weight table has one row per
-    class (bounded by the class count), so it is broadcast."""
+    """Join each row to its class weight (one row per class)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(w), on=label, how="left")
+    return df.join(bounded_broadcast(w), on=label, how="left")
 
 
 # ---- assembly & splits --------------------------------------------------------

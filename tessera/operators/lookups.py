@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import c
+from tessera.operators.features import bounded_broadcast
 
 SALT_BUCKETS = 64
 
@@ -67,6 +68,6 @@ def rank_within(df: DataFrame, part: Sequence[str], order: Sequence[Column]) ->
 
 
 def join_dimension(df: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Lookup in a small dimension (a class-name list, a weight per class):
-    broadcast, because its size is bounded by the number of classes."""
-    return df.join(F.broadcast(dim), on=key, how=how)
+    """Lookup in a dimension (a class-name list, a weight per class); broadcast
+    when its row count allows."""
+    return df.join(bounded_broadcast(dim), on=key, how=how)

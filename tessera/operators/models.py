@@ -17,7 +17,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
@@ -139,33 +139,44 @@ def bagged_trees_oob(train: DataFrame, key: str, n_trees: int = 10, max_depth: i
                      F.avg((F.col("vote") != F.col("label")).cast("double")).alias("oob_error"))
 
 
-def adaboost(train: DataFrame, key: str, rounds: int = 10, seed: int = 7) -> tuple[list, DataFrame]:
+def _stump_vote(stump) -> Column:
+    """A fitted depth-1 tree as an expression of ``x`` (feature array): -1 or 1."""
+    root = stump._call_java("rootNode")
+    if stump.numNodes == 1:
+        return F.lit(2.0 * root.prediction() - 1.0)
+    split = root.split()
+    left, right = (2.0 * root.leftChild().prediction() - 1.0, 2.0 * root.rightChild().prediction() - 1.0)
+    at = F.get("x", F.lit(int(split.featureIndex())))
+    return F.when(at <= F.lit(float(split.threshold())), F.lit(left)).otherwise(F.lit(right))
+
+
+def adaboost(train: DataFrame, key: str, rounds: int = 10, seed: int = 7) -> tuple[list, Column]:
     """Discrete AdaBoost with stumps (depth 1) and exponential loss: per round
     fit a weighted stump, weighted error e, alpha = 0.5 ln((1-e)/e), weights
-    x exp(alpha) on mistakes, renormalised.  Stops when e >= 1/2."""
-    cur = train.select(key, "features", "label").withColumn("w", F.lit(1.0))
-    n = cur.count()
-    cur = cur.withColumn("w", F.lit(1.0 / n)).withColumn("score", F.lit(0.0))
-    cur = cut_lineage(cur)
-    log = []
+    x exp(alpha) on mistakes, renormalised.  Stops when e >= 1/2.
+
+    Returns the log (round, error, alpha) and the score as an expression of a
+    feature array ``x``: a stump is a feature and a threshold, so the rows are
+    written once and their weights are an expression of the stumps so far."""
+    rows = cut_lineage(train.select(key, "features", "label", vector_to_array("features").alias("x")))
+    n = rows.count()
+    score, weight, log = F.lit(0.0), F.lit(1.0 / max(1, n)), []
     for r in range(rounds):
+        cur = rows.withColumn("w", weight)
         stump = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=seed).fit(cur)
-        pred = stump.transform(cur).drop("rawPrediction", "probability")
-        miss = (F.col("prediction") != F.col("label")).cast("double")
-        err = pred.agg((F.sum(F.col("w") * miss) / F.sum("w")).alias("e")).first()["e"]
+        vote = _stump_vote(stump)
+        miss = (vote != F.col("label") * 2 - 1).cast("double")
+        wrong, total = cur.agg(F.sum(F.col("w") * miss), F.sum("w")).first()
+        err = None if not total else wrong / total
         if err is None or err >= 0.5 or err <= 0.0:
             log.append((r, float(err) if err is not None else None, 0.0))
             break
         alpha = 0.5 * math.log((1 - err) / err)
         log.append((r, float(err), alpha))
-        sign = F.col("prediction") * 2 - 1
-        upd = pred.select(
-            key, "features", "label",
-            (F.col("w") * F.exp(F.lit(alpha) * miss)).alias("w"),
-            (F.col("score") + F.lit(alpha) * sign).alias("score"))
-        tot = upd.agg(F.sum("w")).first()[0]
-        cur = cut_lineage(upd.withColumn("w", F.col("w") / F.lit(tot)))
-    return log, cur
+        # the weights after this round sum to one again
+        weight = weight * F.exp(F.lit(alpha) * miss) / F.lit(total * (1 - err + err * math.exp(alpha)))
+        score = score + F.lit(alpha) * vote
+    return log, score
 
 
 # ---- random Fourier features (RBF kernel approximation) ----------------------
@@ -245,7 +256,8 @@ def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str,
     ``C`` chunks (sizes from two counts); each (block, chunk) cell is one
     cogroup handled with NumPy, which keeps the k best train rows per test row.
     A test row then has at most k x C candidates, merged by a small window.
-    No cell holds more than ``block_rows`` rows of either side.
+    A cell holds about ``block_rows`` rows of either side (they are dealt by a
+    hash).  ``share`` is the winning class's share of the k votes.
     """
     n_train, n_test = train.count(), test.count()
     C = max(1, math.ceil(n_train / block_rows))
@@ -266,7 +278,11 @@ def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str,
         T = np.stack(tpdf["tv"].to_numpy()).astype(np.float64)
         tid = tpdf["tid"].to_numpy().astype(np.int64)
         tl = tpdf["tl"].to_numpy().astype(np.int64)
-        t2 = (T * T).sum(1)
+        # centred on the cell, so that far-off coordinates do not cancel in the
+        # expanded square; the distances kept are differences of the vectors
+        centre = T.mean(axis=0)
+        near = T - centre
+        t2 = (near * near).sum(1)
         kk = min(k, T.shape[0])
         # query rows in sub-batches: at most ~16M distances (128 MB) at a time
         step = max(1, max_distances // T.shape[0])
@@ -274,19 +290,26 @@ def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str,
         for lo in range(0, len(qpdf), step):
             q = qpdf.iloc[lo:lo + step]
             Q = np.stack(q["qv"].to_numpy()).astype(np.float64)
-            d = (Q * Q).sum(1)[:, None] - 2 * Q @ T.T + t2[None, :]
-            # every train row tied with the k-th distance stays a candidate,
-            # then (distance, train key) order picks exactly k
+            P = Q - centre
+            p2 = (P * P).sum(1)
+            d = p2[:, None] - 2 * P @ near.T + t2[None, :]
+            # every train row that may tie with the k-th distance stays a
+            # candidate; (exact distance, train key) order picks exactly k
             kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-            r, j = np.nonzero(d <= kth[:, None])
-            order = np.lexsort((tid[j], d[r, j], r))
-            r, j = r[order], j[order]
+            slack = 1e-9 * (p2 + t2.max())
+            r, j = np.nonzero(d <= (kth + slack)[:, None])
+            exact = np.empty(len(r))
+            for a in range(0, len(r), 1 << 16):
+                diff = Q[r[a:a + (1 << 16)]] - T[j[a:a + (1 << 16)]]
+                exact[a:a + (1 << 16)] = (diff * diff).sum(1)
+            order = np.lexsort((tid[j], exact, r))
+            r, j, exact = r[order], j[order], exact[order]
             starts = np.r_[0, np.flatnonzero(np.diff(r)) + 1]
             rank = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
             keep = rank < kk
-            r, j = r[keep], j[keep]
+            r, j, exact = r[keep], j[keep], exact[keep]
             parts.append(pd.DataFrame({"qid": q["qid"].to_numpy()[r].astype(np.int64), "tid": tid[j],
-                                       "tl": tl[j], "d": d[r, j]}))
+                                       "tl": tl[j], "d": exact}))
         return pd.concat(parts, ignore_index=True)
 
     cand = te.groupBy("b", "c").cogroup(tr.groupBy("b", "c")).applyInPandas(cell, out_schema)
@@ -296,8 +319,9 @@ def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str,
     nn = cand.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
     votes = nn.groupBy("qid", "tl").agg(F.count("*").alias("n"))
     wv = Window.partitionBy("qid").orderBy(F.desc("n"), "tl")
-    return votes.withColumn("r", F.row_number().over(wv)).where(F.col("r") == 1).select(
-        F.col("qid").alias(key), F.col("tl").cast("int").alias("pred"))
+    all_votes = F.sum("n").over(Window.partitionBy("qid"))
+    return votes.withColumn("r", F.row_number().over(wv)).withColumn("share", F.col("n") / all_votes).where(
+        F.col("r") == 1).select(F.col("qid").alias(key), F.col("tl").cast("int").alias("pred"), "share")
 
 
 def model_facts(model, feature_names: Sequence[str]) -> list[tuple[str, str]]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.exprs import c, safe_corr
+from tessera.operators.features import bounded_broadcast
 from tessera.operators.prefix import running_totals
 from tessera.session import cut_lineage
 
@@ -93,7 +94,8 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group: str
     """
     cum = running_totals(counts, [value], ["cnt"], partition_by=[group])
     tot = counts.groupBy(group).agg(F.sum("cnt").alias("__n"))
-    j = cum.join(tot, group)
+    # one total per column: checked and sent to the rows, which stay where they are
+    j = cum.join(bounded_broadcast(tot), group)
     lo_rank = F.col("cum_cnt") - F.col("cnt")       # first 0-based rank held by this value
     hi_rank = F.col("cum_cnt") - 1
     aggs = []

@@ -206,8 +206,8 @@ def expr_default_dash(spark, sf_dir):
     s = SI.scored(spark, sf_dir)
     best = s.groupBy(F.col("segment").alias("family")).agg(F.max("p").alias("best"))
     fam = spark.createDataFrame([(x,) for x in FAMILIES], "family string")
-    # the family list is a few names: broadcast it and keep every family
-    return best.join(F.broadcast(fam), "family", "right").select(
+    # every family stays; a left join leaves Spark free to broadcast the best values
+    return fam.join(best, "family", "left").select(
         "family", F.coalesce(X.fmt(F.col("best"), "%.3f"), F.lit(X.DASH)).alias("best"))
 
 

@@ -20,7 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tessera.operators import features as FE
@@ -40,7 +40,7 @@ def prospect_frame(spark, sf_dir):
     spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key", "y"])
     w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
-    enc = enc.join(F.broadcast(w), "y", "left")  # one row per class
+    enc = enc.join(FE.bounded_broadcast(w), "y", "left")  # one row per class
     frame = ML.assemble(enc, spec.features, keep=["key", "y", "weight"]).select(
         "key", "features", F.col("y").cast("double").alias("label"), "weight",
         F.when(F.col("key") % 5 == 0, "test").otherwise("train").alias("split"),
@@ -115,14 +115,19 @@ def ml_gbt_early_stop(spark, sf_dir):
 
 @plan("ml_adaboost")
 def ml_adaboost(spark, sf_dir):
-    tr, _ = split(image_frame(spark, sf_dir, binary=True))
-    log, cur = ML.adaboost(tr, "key", rounds=10, seed=SEED)
     from tessera.operators import metrics as M
 
-    auc = M.auc_exact(cur.select(F.col("score").alias("p"), F.col("label").cast("int").alias("y")),
-                      "p", "y").first()["auc"]
-    return spark.createDataFrame([(r, e, a, auc) for r, e, a in log],
-                                 "round int, weighted_error double, alpha double, train_auc double")
+    tr, te = split(image_frame(spark, sf_dir, binary=True))
+    log, score = ML.adaboost(tr, "key", rounds=10, seed=SEED)
+
+    def auc(rows):
+        scored = rows.select(vector_to_array("features").alias("x"), F.col("label").cast("int").alias("y")).select(
+            score.alias("p"), "y")
+        return M.auc_exact(scored, "p", "y").first()["auc"]
+
+    train_auc, test_auc = auc(tr), auc(te)
+    return spark.createDataFrame([(r, e, a, train_auc, test_auc) for r, e, a in log],
+                                 "round int, weighted_error double, alpha double, train_auc double, test_auc double")
 
 
 @plan("ml_naive_bayes")
@@ -156,8 +161,8 @@ d AS (SELECT te.id AS qid, tr.id AS tid, tr.label AS tl,
              list_distance(CAST(te.px AS DOUBLE[]), CAST(tr.px AS DOUBLE[])) AS d FROM te, tr),
 nn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY d, tid) AS r FROM d),
 v AS (SELECT qid, tl, COUNT(*) AS n FROM nn WHERE r <= 5 GROUP BY qid, tl),
-w AS (SELECT qid, tl, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY n DESC, tl) AS r FROM v)
-SELECT qid AS id, CAST(tl AS INT) AS pred FROM w WHERE r = 1""")
+w AS (SELECT qid, tl, n, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY n DESC, tl) AS r FROM v)
+SELECT qid AS id, CAST(tl AS INT) AS pred, n / 5.0::DOUBLE AS share FROM w WHERE r = 1""")
 def knn_exact(spark, sf_dir):
     img = SI.images(spark, sf_dir)
     test = img.where(F.col("id") % 5 == 0)
@@ -172,7 +177,7 @@ def ml_svm_rbf_approx(spark, sf_dir):
     enc = FE.encode(p, spec, keep=["key", "y"])
     z = ML.fourier_features(enc, spec.features, n_components=64, gamma=0.1, seed=SEED, keep=["key", "y"])
     w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
-    z = z.join(F.broadcast(w), "y").select("key", "features", F.col("y").cast("double").alias("label"), "weight")
+    z = z.join(FE.bounded_broadcast(w), "y").select("key", "features", F.col("y").cast("double").alias("label"), "weight")
     tr, te = z.where(F.col("key") % 5 != 0), z.where(F.col("key") % 5 == 0)
     # LinearSVC has no probability: the margin of the positive class is the score
     svc = LinearSVC(weightCol="weight", maxIter=30, regParam=0.01)
@@ -231,10 +236,11 @@ def ml_grid_search(spark, sf_dir):
     tr, _ = split(frame)
     lr = LogisticRegression(weightCol="weight", maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.01, 0.1]).build()
-    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, trainRatio=0.8, seed=SEED,
-                               evaluator=BinaryClassificationEvaluator(), parallelism=3)
-    m = tvs.fit(tr)
-    rows = [(float(g[lr.regParam]), float(v)) for g, v in zip(grid, m.validationMetrics)]
+    # folds by key: the winner does not depend on how the rows are partitioned
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
+                        foldCol="fold", numFolds=4, parallelism=3, seed=SEED)
+    m = cv.fit(tr.withColumn("fold", (F.col("fold") - 1).cast("int")))
+    rows = [(float(g[lr.regParam]), float(v)) for g, v in zip(grid, m.avgMetrics)]
     best = max(rows, key=lambda r: (r[1], -r[0]))
     return spark.createDataFrame([(a, round(b, 4), int((a, b) == best)) for a, b in rows],
                                  "reg_param double, val_auc double, best int")

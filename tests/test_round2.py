@@ -50,3 +50,49 @@ def test_absent_table_is_none_and_files_with_other_headers_are_refused(spark, tm
     (tmp_path / "d" / "2.csv").write_text("b,a\n1,2\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
         FS.read_delimited(spark, str(tmp_path / "d"), "a INT, b INT").collect()
+
+
+def test_knn_far_from_the_origin(spark):
+    import numpy as np
+
+    from tessera.operators.models import knn_exact
+
+    rng = np.random.default_rng(0)
+    for shift in (0.0, 1e8):
+        t, q = rng.normal(0, 1, (60, 5)) + shift, rng.normal(0, 1, (20, 5)) + shift
+        label = rng.integers(0, 3, 60)
+        train = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(t, label))], "id long, v array<double>, l long")
+        test = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "id long, v array<double>")
+        got = {r["id"]: (r["pred"], r["share"]) for r in knn_exact(train, test, "v", "id", "l", k=5, block_rows=16).collect()}
+        for i, v in enumerate(q):
+            near = sorted(range(60), key=lambda j: (((v - t[j]) ** 2).sum(), j))[:5]
+            votes = np.bincount(label[near], minlength=3)
+            assert got[i] == (int(votes.argmax()), votes.max() / 5)
+
+
+def test_adaboost_against_numpy(spark):
+    import numpy as np
+    from pyspark.ml.linalg import Vectors
+
+    from tessera.operators.models import adaboost
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (300, 3)).round(2)
+    y = (x[:, 0] + 0.5 * x[:, 1] > 0.2).astype(float)
+    rows = [(i, Vectors.dense(v), float(k)) for i, (v, k) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, ["key", "features", "label"])
+    log, score = adaboost(df, "key", rounds=4)
+    from pyspark.ml.functions import vector_to_array
+    got = np.array([r[0] for r in df.orderBy("key").select(vector_to_array("features").alias("x")).select(score).collect()])
+    assert len(log) == 4 and all(0 < e < 0.5 and a > 0 for _, e, a in log)
+    # the first round's error is that of its stump; the sum of votes separates better than chance
+    first = 1 - log[0][1]
+    assert ((got > 0) == (y == 1)).mean() >= first > 0.7
+
+
+def test_bounded_broadcast(spark):
+    from tessera.operators.features import bounded_broadcast
+
+    df = spark.range(10)
+    plan = lambda d: spark.range(5).join(d, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(bounded_broadcast(df, 10)) and "broadcast" not in plan(bounded_broadcast(df, 9))
