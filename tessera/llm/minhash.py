@@ -15,8 +15,9 @@ Large groups of copies never become all their pairs.  First every node is
 compared with the smallest node of each of its buckets only, and the links give
 components.  Then only pairs from different components remain; a bucket that
 still holds several components is cut into blocks, and pairs of blocks are
-compared side by side in numpy, which hands on just the pairs that Bayesian
-verification leaves.  Each pair is looked at in the first band it shares.
+compared side by side in numpy.  It hands on the pairs that Bayesian verification
+leaves and that 4096-bit parity sketches do not rule out (their distance never
+exceeds the symmetric difference), each in the first band it shares.
 
 Defined results: empty, blank and null texts have no shingles and stay alone; a
 text with fewer words than a shingle has its whole word sequence as one shingle;
@@ -50,6 +51,9 @@ MISS = 1e-6
 BLOCK = 2048
 #: word hashes a worker keeps
 MAX_WORDS = 300_000
+#: bits of the parity sketches, and pairs looked at together
+SKETCH = 4096
+PORTION = 1 << 18
 SEED = 20231
 
 
@@ -180,32 +184,80 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(sa, "a").join(sb, "b").mapInPandas(check, "a long, b long")
 
 
-def _block_pairs(percent: int):
-    """Compares one pair of blocks of a bucket (``bi``, ``bj``): pairs of nodes
-    from different components that meet in this band first and survive."""
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        band, bi, bj = int(rows["band"].iloc[0]), key[1], key[2]
-        rows = rows.sort_values("node")
-        sig, node, comp, block = (_matrix(rows["signature"]), rows["node"].to_numpy(),
-                                  rows["component"].to_numpy(), rows["block"].to_numpy())
-        left = np.flatnonzero(block == bi)
-        right = left if bi == bj else np.flatnonzero(block == bj)
-        found = []
-        step = max(1, (1 << 18) // max(1, len(right)))
-        for k in range(0, len(left), step):
-            part = left[k : k + step]
-            i, j = np.nonzero(comp[part][:, None] != comp[right][None, :])
-            i, j = part[i], right[j]
-            if bi == bj:
-                i, j = i[i < j], j[i < j]
-            if band:   # pairs that share an earlier band were met there
-                same = (sig[i, : band * ROWS] == sig[j, : band * ROWS]).reshape(len(i), band, ROWS).all(axis=2).any(axis=1)
-                i, j = i[~same], j[~same]
-            ok = survivors(sig[i], sig[j], percent)
-            found.append(np.stack([np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])], axis=1))
-        out = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pd.DataFrame(out, columns=["a", "b"])
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parities of how many hashes fall on each of ``SKETCH`` bits.  The Hamming
+    distance of two sketches never exceeds the symmetric difference of the sets."""
+    odd = np.bincount(((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+class _Members:
+    """Rows of several buckets (or pairs of blocks), group after group."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.node, self.component = rows["node"].to_numpy(), rows["component"].to_numpy()
+        self.band, self.block, self.n = rows["band"].to_numpy(), rows["block"].to_numpy(), rows["n_shingles"].to_numpy()
+        self.across = (rows["bi"] != rows["bj"]).to_numpy()
+        self.signature = _matrix(rows["signature"])
+        self.sketch = np.frombuffer(b"".join(rows["sketch"].tolist()), np.uint64).reshape(len(rows), -1)
+        ends = np.flatnonzero(_group_starts(rows))[1:]
+        self.end = np.append(ends, len(rows))[np.searchsorted(ends, np.arange(len(rows)), "right")]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs inside the groups that lie in different components (and
+        blocks), in portions."""
+        partners = self.end - np.arange(len(self.end)) - 1
+        total, k = np.cumsum(partners), 0
+        while k < len(total):
+            stop = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + PORTION, "right")))
+            many = partners[k:stop]
+            i = np.repeat(np.arange(k, stop), many)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+            keep = (self.component[i] != self.component[j]) & (~self.across[i] | (self.block[i] != self.block[j]))
+            yield i[keep], j[keep]
+            k = stop
+
+    def links(self, percent: int) -> np.ndarray:
+        """The pairs that meet in this band first and may reach the threshold."""
+        found = [np.zeros((0, 2), np.int64)]
+        for i, j in self.pairs():
+            keep = survivors(self.signature[i], self.signature[j], percent) if len(i) < PORTION // 8 else np.concatenate(
+                [survivors(self.signature[i[k : k + PORTION // 8]], self.signature[j[k : k + PORTION // 8]], percent)
+                 for k in range(0, len(i), PORTION // 8)])
+            i, j = i[keep], j[keep]
+            size = self.n[i] + self.n[j]
+            apart = np.bitwise_count(self.sketch[i] ^ self.sketch[j]).sum(axis=1, dtype=np.int64)
+            keep = apart <= size - 2 * (-(-size * percent // (100 + percent)))
+            i, j = i[keep], j[keep]
+            same = (self.signature[i] == self.signature[j]).reshape(len(i), BANDS, ROWS).all(axis=2)
+            keep = same.argmax(axis=1) == self.band[i]
+            i, j = self.node[i[keep]], self.node[j[keep]]
+            found.append(np.stack([np.minimum(i, j), np.maximum(i, j)], axis=1))
+        return np.concatenate(found)
+
+
+def _group_starts(rows: pd.DataFrame) -> np.ndarray:
+    at = rows[["key", "bi", "bj"]].to_numpy()
+    out = np.ones(len(rows), bool)
+    out[1:] = (at[1:] != at[:-1]).any(axis=1)
+    return out
+
+
+def _crossing(percent: int):
+    """Reads members sorted by group; hands on the pairs that may be links."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(rows):
+                continue
+            last = int(np.flatnonzero(_group_starts(rows))[-1])
+            if last:
+                yield pd.DataFrame(_Members(rows.iloc[:last]).links(percent), columns=["a", "b"])
+            held = rows.iloc[last:]
+        if held is not None:
+            yield pd.DataFrame(_Members(held).links(percent), columns=["a", "b"])
 
     return compare
 
@@ -252,13 +304,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     mixed = labelled.groupBy("key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    members = labelled.join(mixed, "key").join(nodes, "node").withColumn(
-        "block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+
+    @F.pandas_udf("binary")
+    def sketches(found: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in found:
+            yield pd.Series([sketch(np.frombuffer(h, "<u8")) for h in s], dtype=object)
+
+    members = labelled.join(mixed, "key")
+    about = nodes.join(sets, "node").join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", "signature", (F.octet_length("hashes") / 8).cast("long").alias("n_shingles"), sketches("hashes").alias("sketch"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    members = members.select("key", "band", "node", "component", "signature", "block",
+    members = members.select("key", "band", "node", "component", "block",
                              F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"))
-    crossing = members.groupBy("key", "bi", "bj").applyInPandas(_block_pairs(percent), "a long, b long")
-    crossing = cut_lineage(crossing.join(stars, ["a", "b"], "left_anti").distinct())
+    members = members.join(about, "node").repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
+    crossing = members.mapInPandas(_crossing(percent), "a long, b long")
+    crossing = cut_lineage(crossing.join(stars, ["a", "b"], "left_anti"))
     collect_garbage(spark)
     more = cut_lineage(_verified(crossing, sets, percent))
     collect_garbage(spark)
