@@ -8,6 +8,7 @@ exact kNN have DuckDB oracles.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -29,13 +30,15 @@ from tessera.operators.features import fit_spec
 from tessera.plans import standins as SI
 from tessera.plans.registry import plan
 from tessera.plans.scoring_plans import train_rows
+from tessera.session import cut_lineage
 from tessera.sources import files as FS
 
 SEED = 42
 
 
 def prospect_frame(spark, sf_dir):
-    """(key, features, label, weight, split, fold) + the frozen feature list."""
+    """(key, features, label, weight, split, fold) + the frozen feature list;
+    written once, since every fit and evaluation reads it again."""
     p = SI.prospects(spark, sf_dir)
     spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key", "y"])
@@ -45,7 +48,7 @@ def prospect_frame(spark, sf_dir):
         "key", "features", F.col("y").cast("double").alias("label"), "weight",
         F.when(F.col("key") % 5 == 0, "test").otherwise("train").alias("split"),
         (F.col("key") % 5).cast("int").alias("fold"))
-    return frame, spec.features
+    return cut_lineage(frame), spec.features
 
 
 def split(frame):
@@ -214,9 +217,10 @@ def ml_mlp_deep(spark, sf_dir):
 
 @plan("ml_mlp_top10")
 def ml_mlp_top10(spark, sf_dir):
-    from tessera.plans.feature_plans import top10_features
-
-    top = [r["feature"] for r in top10_features(spark, sf_dir).collect()]  # at most 10 names
+    """Network on the ten features that the tuned trees, fitted on training rows
+    only, rate highest on average."""
+    frame, feats = prospect_frame(spark, sf_dir)
+    top = ranked_features(_importances(frame, feats))[:10]
     return _mlp(spark, sf_dir, "ANN Top10", [64, 32, 16], features_filter=set(top))
 
 
@@ -270,14 +274,90 @@ def _tuned():
     }
 
 
+def _importances(frame, feats):
+    """(feature, model, importance) of the tuned trees on the training rows: one
+    row per feature and model."""
+    tr, _ = split(frame)
+    return [r for name, est in _tuned().items() for r in ML.importances_rows(est.fit(tr), feats, name)]
+
+
+def ranked_features(rows):
+    """Feature names by mean importance over the models, descending."""
+    total: dict[str, float] = {}
+    for feature, _, importance in rows:
+        total[feature] = total.get(feature, 0.0) + importance
+    return sorted(total, key=lambda f: (-total[f], f))
+
+
 @plan("ml_importances")
 def ml_importances(spark, sf_dir):
+    return spark.createDataFrame(_importances(*prospect_frame(spark, sf_dir)),
+                                 "feature string, model string, importance double")
+
+
+@plan("ml_top10_features")
+def ml_top10_features(spark, sf_dir):
+    """Ranking of the features by the trained models."""
+    rows = _importances(*prospect_frame(spark, sf_dir))
+    mean = spark.createDataFrame(rows, "feature string, model string, importance double").groupBy("feature").agg(
+        F.avg("importance").alias("mean"))
+    return mean.orderBy(F.desc("mean"), "feature").limit(10)
+
+
+def _moments_sql():
+    """Class means and variances of every encoded feature, from the raw rows."""
+    names = [(x, f"(({x} - m{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END)") for i, x in enumerate(SI.NUM_COLS)]
+    names += [(f"{c}_{lv}", f"CAST({c} IS NOT DISTINCT FROM '{lv}' AS DOUBLE)")
+              for c in SI.CAT_COLS for lv in SI.LEVELS[c][1:]]
+    parts = [f"SELECT y AS label, '{n}' AS feature, ROUND(AVG({e}), 5) AS mean, ROUND(VAR_POP({e}), 5) AS variance "
+             "FROM P, st WHERE key % 5 <> 0 GROUP BY y" for n, e in names]
+    return """WITH st AS (SELECT AVG(o_totalprice) AS m0, STDDEV_POP(o_totalprice) AS s0,
+                   AVG(c_acctbal) AS m1, STDDEV_POP(c_acctbal) AS s1 FROM P WHERE key % 5 <> 0)
+""" + " UNION ALL ".join(parts)
+
+
+@plan("ml_naive_bayes_moments", uses=("P",), sql=_moments_sql())
+def ml_naive_bayes_moments(spark, sf_dir):
+    """What the fitted Gaussian naive Bayes has learned, against the class means
+    and variances of the rows."""
     frame, feats = prospect_frame(spark, sf_dir)
     tr, _ = split(frame)
+    model = NaiveBayes(modelType="gaussian", weightCol="weight").fit(tr)
+    mean, var = model.theta.toArray(), model.sigma.toArray()
+    rows = [(k, f, float(mean[k][i]), float(var[k][i])) for k in range(len(mean)) for i, f in enumerate(feats)]
+    return spark.createDataFrame(rows, "label int, feature string, mean double, variance double").select(
+        "label", "feature", F.round("mean", 5).alias("mean"), F.round("variance", 5).alias("variance"))
+
+
+def _candidates():
+    """The classifiers of the common leaderboard."""
+    return {
+        "Logistic Regression": LogisticRegression(weightCol="weight", maxIter=30),
+        "CART": DecisionTreeClassifier(weightCol="weight", seed=SEED),
+        "Random Forest": RandomForestClassifier(weightCol="weight", numTrees=20, seed=SEED),
+        "Gradient Boosting": GBTClassifier(weightCol="weight", maxIter=10, seed=SEED),
+        "Naive Bayes": NaiveBayes(modelType="gaussian", weightCol="weight"),
+    }
+
+
+@plan("ml_leaderboard")
+def ml_leaderboard(spark, sf_dir):
+    """Every classifier: cross-validated AUC and F1 (mean and deviation over the
+    four training folds), test AUC and F1, seconds of the final fit."""
+    frame, _ = prospect_frame(spark, sf_dir)
+    tr, te = split(frame)
     rows = []
-    for name, est in _tuned().items():
-        rows += ML.importances_rows(est.fit(tr), feats, name)
-    return spark.createDataFrame(rows, "feature string, model string, importance double")
+    for name, est in _candidates().items():
+        folds = [ML.fit_and_evaluate(name, est, tr.where(F.col("fold") != k), tr.where(F.col("fold") == k))[1]
+                 for k in (1, 2, 3, 4)]
+        final = ML.fit_and_evaluate(name, est, tr, te)[1]
+        cv = [x for m in ("auc", "f1") for v in [[f[m] for f in folds if f[m] is not None]]
+              for x in ((float(np.mean(v)), float(np.std(v))) if v else (None, None))]
+        rows.append((name, *cv, final["auc"], final["f1"], final["seconds"]))
+    board = spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double, cv_f1_mean double, "
+                                        "cv_f1_std double, test_auc double, test_f1 double, seconds double")
+    return board.select("model", *[F.round(c, 4).alias(c) for c in board.columns[1:-1]], "seconds").orderBy(
+        F.desc("test_auc"), "model")
 
 
 @plan("ml_top3")
@@ -308,6 +388,19 @@ def save_with_manifest(spark, model, name, feats, score, folder):
     return path
 
 
+_FEATURE_LIST = SI.NUM_COLS + [f"{c}_{lv}" for c in SI.CAT_COLS for lv in SI.LEVELS[c][1:]]
+
+
+@plan("sink_manifest_contents", sql=f"""
+SELECT 'logreg' AS model_name, {_FEATURE_LIST!r} AS features, ['no', 'yes'] AS classes""")
+def sink_manifest_contents(spark, sf_dir):
+    """What a saved model's manifest says about it."""
+    model, _, feats = _fit_pipeline(spark, sf_dir)
+    folder = FS.scratch_path(spark, "models")
+    save_with_manifest(spark, model, "logreg", feats, 0.0, folder)
+    return spark.read.parquet(f"{folder}/manifest-logreg").select("model_name", "features", "classes")
+
+
 @plan("sink_model_manifest")
 def sink_model_manifest(spark, sf_dir):
     model, te, feats = _fit_pipeline(spark, sf_dir)
