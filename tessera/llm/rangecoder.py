@@ -4,18 +4,19 @@ A block is a run of ids that starts from fresh models and decodes on its own.
 All blocks of a call advance together: step ``t`` codes id ``t`` of every block,
 as numpy operations over the blocks.
 
-The distribution of the next id mixes three predictions:
+Three predictions share the code space of the next id:
 
 * order 0: how often each group of 64 neighbouring ids occurred in the block so
-  far, even inside a group (byte-pair ids are numbered by frequency; the table
-  is refreshed after 32, 64, 128, ... ids);
-* order 1 and order 2: the id last seen behind the previous one or two ids,
-  from hashed tables that hold an id and a confidence.
+  far, even inside a group (byte-pair ids are numbered by frequency);
+* order 1 and order 2: the id last seen behind the previous one or two ids, from
+  hashed tables that hold an id and a confidence.
 
-Each order-1 and order-2 prediction gets a share of the code space that follows
-how often predictions of its confidence came true in this block; the rest goes
-to order 0.  A carry-less range coder with 64-bit state codes the interval; it
-moves 32 bits out when its range has no more than 32 bits left.
+An order-1 or order-2 prediction gets a share that follows how often predictions
+of its confidence came true in this block; where both predict the same id their
+shares add up.  The rest goes to order 0.  Shares and order-0 tables are made
+anew after 32, 64, 128, ... ids.  A carry-less range coder with 64-bit state
+codes the interval; it moves 32 bits out when its range has no more than 32 bits
+left.
 
 Block: magic, number of ids, bytes of code, CRC-32 of the ids, code.
 """
@@ -33,7 +34,7 @@ _HEAD = struct.Struct("<4sIII")
 GROUP_BITS = 6              # ids of a group
 UNIT_BITS = 14              # group tables sum to 2**14
 TOTAL_BITS = GROUP_BITS + UNIT_BITS
-SHARE_BITS = 4              # code space is dealt out in sixteenths
+SHARE_BITS = 5              # code space is dealt out in 32 shares
 GAIN = 16                   # weight of an occurrence against an unseen group
 BITS1, BITS2 = 10, 11       # slots of the hashed tables
 LEVELS = 4                  # confidences
@@ -44,12 +45,10 @@ U = np.uint64
 _MEMBER = (1 << GROUP_BITS) - 1
 _SHIFT, _WORD = U(TOTAL_BITS + SHARE_BITS), U(32)
 _LOW32 = U(0xFFFFFFFF)
-# the models compute with 32-bit integers
-I = np.int32
-_ONE, _TWO, _SIXTEEN, _TOTAL = I(1), I(2), I(16), I(TOTAL_BITS)
-_ID, _ID_BITS, _LEVEL = I(0xFFFF), I(16), I(1 << 16)
-_TO_SHARE, _CERTAIN, _SPEED = I(12 - SHARE_BITS), I(1 << 12), I(4)
-_RISE = np.array([1 << 16] * (LEVELS - 1) + [0], np.int32)
+_MASK1, _MASK2 = (1 << BITS1) - 1, (1 << BITS2) - 1
+_WHOLE = 1 << (TOTAL_BITS + SHARE_BITS)
+# an entry of the hashed tables: id | confidence << 16; a hit raises it so much
+_RISE = np.array([1 << 16] * (LEVELS - 1) + [0])
 
 
 def _epochs(steps: int) -> list[tuple[int, int]]:
@@ -94,101 +93,118 @@ class _OrderZero:
         at = (x >> GROUP_BITS) + self.row
         low = self.cum.take(at)
         width = self.cum.take(at + 1) - low
-        return ((low << GROUP_BITS) + (x & _MEMBER) * width).astype(np.int32), width.astype(np.int32)
+        return (low << GROUP_BITS) + (x & _MEMBER) * width, width
 
-    def find(self, lanes: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """The id whose interval holds ``v``, for some lanes."""
+    def find(self, lanes: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(id, lower end, width) of the intervals that hold ``v``, for some lanes."""
         group = self.group_of.take(self.unit_row.take(lanes) + (v >> GROUP_BITS)).astype(np.int64)
         at = self.row.take(lanes) + group
         low = self.cum.take(at)
-        return (group << GROUP_BITS) + (v - (low << GROUP_BITS)) // (self.cum.take(at + 1) - low)
-
-
-def _slots(last: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """Slots of the order-1 and the order-2 table (stacked) for contexts."""
-    a, b = last.astype(np.uint32), before.astype(np.uint32)
-    one = (a * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS1)
-    two = (a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77)) >> np.uint32(32 - BITS2)
-    return np.concatenate([one, two + np.uint32(1 << BITS1)], axis=-1)
+        width = self.cum.take(at + 1) - low
+        low <<= GROUP_BITS
+        member = (v - low) // width
+        return (group << GROUP_BITS) + member, low + member * width, width
 
 
 class _Contexts:
     """Order-1 and order-2 predictions of several blocks, both stacked in one
     array: the first half holds order 1."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, steps: int):
         self.lanes = lanes
         each = (1 << BITS1) + (1 << BITS2)
-        self.table = np.zeros(lanes * each, np.int32)      # id | confidence << 16
-        row = np.arange(lanes) * each
-        self.row = np.concatenate([row, row])
-        # how often predictions came true (in 1/4096), by order, lane, confidence
-        self.hit = np.zeros(2 * lanes * LEVELS, np.int32)
+        self.table = np.zeros(lanes * each, np.int64)
+        # order 2 lies behind order 1
+        self.row = np.arange(lanes) * each
         self.level_row = np.arange(2 * lanes) * LEVELS
-
-    def predict(self, slots: np.ndarray) -> None:
-        """Sets the predicted ids and the shares of code space."""
-        self.slot = slots + self.row
-        self.entry = entry = self.table.take(self.slot)
-        self.c, self.k = entry & _ID, entry >> _ID_BITS
-        self.at = self.level_row + self.k
-        self.rate = self.hit.take(self.at)
-        w = self.rate >> _TO_SHARE
-        n = self.lanes
-        np.minimum(w[n:], _SIXTEEN - _TWO, out=w[n:])
-        np.minimum(w[:n], _SIXTEEN - _ONE - w[n:], out=w[:n])
-        self.rest = _SIXTEEN - w[n:] - w[:n]
-        self.mass = w << _TOTAL
-
-    def mixed(self, x: np.ndarray, low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, width) of ids with the order-0 span (low, wide); notes hits."""
-        n, xx = self.lanes, np.concatenate([x, x])
-        self.true = self.c == xx
-        under, own = self.mass * (self.c < xx), self.mass * self.true
-        return self.rest * low + under[:n] + under[n:], self.rest * wide + own[:n] + own[n:]
-
-    def update(self, x: np.ndarray) -> None:
-        true = self.true
-        self.hit[self.at] = self.rate + (((true * _CERTAIN) - self.rate) >> _SPEED)
-        fresh = np.concatenate([x, x])
-        fresh += _LEVEL
-        wrong = np.where(self.k > _ONE, self.entry - _LEVEL, fresh)
-        self.table[self.slot] = np.where(true, self.entry + _RISE.take(self.k), wrong)
+        self.tried = np.ones(2 * lanes * LEVELS)
+        self.came = np.zeros(2 * lanes * LEVELS)
+        self.seen = np.zeros((_longest_epoch(steps), 2 * lanes), np.uint8)
+        self.hits = np.zeros((_longest_epoch(steps), 2 * lanes), bool)
+        self.t = 0
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Shares from how often predictions came true so far: 1 to 15 of 32."""
+        if self.t:
+            seen, hits = self.seen[: self.t], self.hits[: self.t]
+            for level in range(LEVELS):
+                at = seen == level
+                self.tried[level::LEVELS] += np.count_nonzero(at, axis=0)
+                self.came[level::LEVELS] += np.count_nonzero(at & hits, axis=0)
+        shares = np.clip((self.came * 32 / self.tried).astype(np.int64), 1, 15)
+        self.mass = shares << TOTAL_BITS
+        self.t = 0
+
+    def slots(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Table places for contexts (any rows x lanes), both orders stacked."""
+        out = np.empty((*last.shape[:-1], 2 * self.lanes), np.int64)
+        np.add(last & _MASK1, self.row, out=out[..., : self.lanes])
+        np.add((last * 40503 + before) & _MASK2, self.row + (1 << BITS1), out=out[..., self.lanes :])
+        return out
+
+    def predict(self, slot: np.ndarray) -> None:
+        n, self.slot = self.lanes, slot
+        self.entry = self.table.take(slot)
+        self.c, self.k = self.entry & 0xFFFF, self.entry >> 16
+        mass = self.mass.take(self.level_row + self.k)
+        self.m1 = mass[:n]
+        self.m12 = self.m1 + mass[n:]
+        self.rest = (_WHOLE - self.m12) >> TOTAL_BITS
+
+    def interval(self, xx: np.ndarray, low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, width) of ids (stacked twice) with the order-0 span (low,
+        wide); notes which predictions came true."""
+        n, self.true = self.lanes, self.c == xx
+        t1, t2 = self.true[:n], self.true[n:]
+        start = np.where(t1, 0, np.where(t2, self.m1, self.m12 + self.rest * low))
+        end = np.where(t2, self.m12, np.where(t1, self.m1, start + self.rest * wide))
+        return start, end - start
+
+    def update(self, xx: np.ndarray) -> None:
+        self.seen[self.t], self.hits[self.t] = self.k, self.true
+        self.t += 1
+        self.table[self.slot] = np.where(self.true, self.entry + _RISE.take(self.k), xx)
+
+
+def _longest_epoch(steps: int) -> int:
+    return max(b - a for a, b in _epochs(steps))
 
 
 def _encode(lanes: np.ndarray, size: int) -> list[bytes]:
     """Code of every row of ``lanes`` (blocks x ids)."""
     n, steps = lanes.shape
-    ids = np.ascontiguousarray(lanes.T).astype(np.int32)
-    zero, contexts = _OrderZero(n, size, False), _Contexts(n)
-    behind = np.zeros((steps + 2, n), np.int32)
-    behind[2:] = ids
+    behind = np.zeros((steps + 2, n), np.int64)
+    behind[2:] = lanes.T
+    ids = behind[2:]
+    zero, contexts = _OrderZero(n, size, False), _Contexts(n, steps)
     low, rng = np.zeros(n, U), np.full(n, U(2**64 - 1))
     out, pos = np.zeros(n * (steps + 4), "<u4"), np.arange(n) * (steps + 4)
     begin = pos.copy()
     done = 0
     for first, stop in _epochs(steps):
         zero.refresh(ids[done:first])
+        contexts.refresh()
         done = first
-        for part in range(first, stop, 512):
-            end = min(part + 512, stop)
+        for part in range(first, stop, 256):
+            end = min(part + 256, stop)
             lows, wides = zero.span(ids[part:end])
-            slots = _slots(behind[part + 1 : end + 1], behind[part:end])
-            for t in range(part, end):
-                x = ids[t]
-                contexts.predict(slots[t - part])
-                start, width = contexts.mixed(x, lows[t - part], wides[t - part])
+            slots = contexts.slots(behind[part + 1 : end + 1], behind[part:end])
+            twice = np.concatenate([ids[part:end]] * 2, axis=1)
+            for xx, slot, lo, wide in zip(twice, slots, lows, wides, strict=True):
+                contexts.predict(slot)
+                start, width = contexts.interval(xx, lo, wide)
                 unit = rng >> _SHIFT
-                low += unit * start.astype(U)
-                rng = unit * width.astype(U)
+                low += unit * start.view(U)
+                rng = unit * width.view(U)
                 go = np.flatnonzero(rng <= _LOW32)
                 if len(go):
-                    l, r = low[go], rng[go]
+                    l, r, to = low.take(go), rng.take(go), pos.take(go)
                     r = np.where((l ^ (l + r)) >> _WORD, (U(0) - l) & _LOW32, r)
-                    out[pos[go]] = l >> _WORD
-                    pos[go] += 1
+                    out[to] = l >> _WORD
+                    pos[go] = to + 1
                     low[go], rng[go] = l << _WORD, r << _WORD
-                contexts.update(x)
+                contexts.update(xx)
     for _ in range(2):
         out[pos] = low >> _WORD
         pos += 1
@@ -198,52 +214,43 @@ def _encode(lanes: np.ndarray, size: int) -> list[bytes]:
 
 def _decode(codes: list[bytes], steps: int, size: int) -> np.ndarray:
     n = len(codes)
-    zero, contexts = _OrderZero(n, size, True), _Contexts(n)
+    zero, contexts = _OrderZero(n, size, True), _Contexts(n, steps)
     words = np.array([len(c) // 4 for c in codes])
     units = np.frombuffer(b"".join(codes) + bytes(16), "<u4").astype(U)
     pos = np.cumsum(words) - words
     code = units[pos] << _WORD | units[pos + 1]
     pos += 2
     low, rng = np.zeros(n, U), np.full(n, U(2**64 - 1))
-    most = U((1 << (TOTAL_BITS + SHARE_BITS)) - 1)
-    out = np.zeros((steps + 2, n), np.int32)
+    most = U(_WHOLE - 1)
+    out = np.zeros((steps + 2, n), np.int64)
+    lows, wides = np.zeros(n, np.int64), np.zeros(n, np.int64)
     done = 0
     for first, stop in _epochs(steps):
         zero.refresh(out[done + 2 : first + 2])
+        contexts.refresh()
         done = first
         for t in range(first, stop):
-            contexts.predict(_slots(out[t + 1], out[t]))
+            contexts.predict(contexts.slots(out[t + 1], out[t]))
             unit = rng >> _SHIFT
-            v = np.minimum((code - low) // unit, most).astype(np.int32)
-            # is one of the predicted ids meant?
-            c, mass, rest = contexts.c, contexts.mass, contexts.rest
-            x, other = c[:n].copy(), c[n:]
-            l1, d1 = zero.span(x)
-            l2, d2 = zero.span(other)
-            m1, m2 = mass[:n], mass[n:]
-            both = x == other
-            s1 = rest * l1 + m2 * (other < x)
-            s2 = rest * l2 + m1 * (x < other)
-            e1 = s1 + rest * d1 + m1 + m2 * both
-            e2 = s2 + rest * d2 + m2 + m1 * both
-            second = (v >= s2) & (v < e2)
-            x = np.where(second, other, x)
-            free = np.flatnonzero(~(second | (v >= s1) & (v < e1)))
+            v = np.minimum((code - low) // unit, most).view(np.int64)
+            x = np.where(v < contexts.m1, contexts.c[:n], contexts.c[n:])
+            free = np.flatnonzero(v >= contexts.m12)
             if len(free):
-                plain = (v - m1 * (v >= e1) - m2 * (v >= e2))[free]
-                x[free] = zero.find(free, plain // rest[free])
+                plain = (v.take(free) - contexts.m12.take(free)) // contexts.rest.take(free)
+                x[free], lows[free], wides[free] = zero.find(free, plain)
             out[t + 2] = x
-            start, width = contexts.mixed(x, *zero.span(x))
-            low += unit * start.astype(U)
-            rng = unit * width.astype(U)
+            xx = np.concatenate([x, x])
+            start, width = contexts.interval(xx, lows, wides)
+            low += unit * start.view(U)
+            rng = unit * width.view(U)
             go = np.flatnonzero(rng <= _LOW32)
             if len(go):
-                l, r = low[go], rng[go]
+                l, r, at = low.take(go), rng.take(go), pos.take(go)
                 r = np.where((l ^ (l + r)) >> _WORD, (U(0) - l) & _LOW32, r)
-                code[go] = code[go] << _WORD | units[np.minimum(pos[go], len(units) - 1)]
-                pos[go] += 1
+                code[go] = code.take(go) << _WORD | units.take(at, mode="clip")
+                pos[go] = at + 1
                 low[go], rng[go] = l << _WORD, r << _WORD
-            contexts.update(x)
+            contexts.update(xx)
     return out[2:].T
 
 

@@ -18,6 +18,7 @@ gives an empty file set; only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import functools
+import re
 import struct
 import uuid
 import zlib
@@ -39,7 +40,7 @@ END_ID = 0
 SHARD_BYTES = 12 << 20
 SEGMENT_IDS = 1 << 23
 BLOCK_IDS = (256, 4096)
-#: pieces whose ids a worker keeps
+#: pieces, and words, whose ids a worker keeps
 MAX_PIECES = 600_000
 
 SEGMENT = "shard int, segment int, n_ids long, size int, block int, directory binary, ids binary"
@@ -47,35 +48,63 @@ _DIRECTORY = struct.Struct("<4sIII")
 _MAGIC = b"TID1"
 
 
-class _Pieces(dict):
-    """Ids (little-endian 16-bit) of pieces, by the library."""
+#: a blank that the next word does not take: text with one is cut as a whole
+_LOOSE_BLANK = re.compile(r" (?:\s|$)")
+
+
+class _Encoder:
+    """Ids (little-endian 16-bit) by the library, which merges each piece of its
+    cut separately, so each distinct piece is encoded once."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, cuts: list[list[str]]) -> None:
+        known = self.pieces
+        new = [p for p in dict.fromkeys(p for pieces in cuts for p in pieces) if p not in known]
+        for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[p] = np.array(e.ids, "<u2").tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        cuts = pretokens.cut(texts)
+        self._learn(cuts)
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cuts]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        for kept in (self.pieces, self.words):
+            if len(kept) > MAX_PIECES:
+                kept.clear()
+        out: list[bytes] = [b""] * len(texts)
+        # a blank before a non-space always begins a piece: between such blanks
+        # the text falls into words (with their signs) that repeat
+        simple, others = [], []
+        for i, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                out[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
+            elif _LOOSE_BLANK.search(t):
+                others.append(i)
+            else:
+                simple.append(i)
+        for i, ids in zip(others, self._whole([texts[i] for i in others]), strict=True):
+            out[i] = ids
+        words = [texts[i].split(" ") for i in simple]
+        firsts = self._whole([ws[0] for ws in words])
+        known = self.words
+        new = [w for w in set().union(*[ws[1:] for ws in words]) if w not in known]
+        known.update(zip(new, self._whole([" " + w for w in new]), strict=True))
+        for i, first, ws in zip(simple, firsts, words, strict=True):
+            out[i] = first + b"".join(map(known.__getitem__, ws[1:]))
+        return out
 
 
 @functools.cache
-def _library(path: str):
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    return tokenizer, special, _Pieces()
-
-
-def encode_texts(texts: list[str], path: str) -> list[bytes]:
-    """Ids (little-endian 16-bit) of every text.  The library merges each piece
-    of its cut separately, so each distinct piece is encoded once; texts with a
-    special string go to the library whole."""
-    tokenizer, special, known = _library(path)
-    if len(known) > MAX_PIECES:
-        known.clear()
-    cut = pretokens.cut(texts)
-    new = [p for p in dict.fromkeys(p for pieces in cut for p in pieces) if p not in known]
-    for p, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[p] = np.array(e.ids, "<u2").tobytes()
-    out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-    for i, t in enumerate(texts):
-        if any(s in t for s in special):
-            out[i] = np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
-    return out
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 def pack_directory(doc_ids: list, lengths: np.ndarray) -> bytes:
@@ -105,7 +134,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k
     shards = partitions_for(docs, SHARD_BYTES)
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = _library(file)[0].get_vocab_size()
+        encoder = _encoder(file)
+        size = encoder.library.get_vocab_size()
         if size > 1 << 16:
             raise ValueError("the file format holds 16-bit ids")
         end = np.array([end_id], "<u2").tobytes()
@@ -124,7 +154,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k
                 "directory": [pack_directory(numbers, lengths)], "ids": [rangecoder.encode(ids, size, block)]})
 
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"], encode_texts(batch["text"].tolist(), file), strict=True):
+            for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"].tolist()), strict=True):
                 numbers.append(None if pd.isna(doc_id) else int(doc_id))
                 held.append(ids + end)
                 n_ids += len(ids) // 2 + 1

@@ -146,6 +146,17 @@ def test_op10_documents(spark, library):
     assert got == expected_files(texts_of(docs), library)
 
 
+def test_encoder_matches_library(library, monkeypatch):
+    texts = odd_texts() + ["two  blanks", "end ", " start", "a \n b", "a\n b", "tab\t x", "a\u00a0 b", "x \u3000y", "it 's 'll", " ", "a b c"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = token_output._Encoder(JSON)
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == want
+    monkeypatch.setattr(token_output, "MAX_PIECES", 5)
+    for t, ids in zip(texts[:50], want):
+        assert np.frombuffer(encoder.encode([t])[0], "<u2").tolist() == ids
+    assert encoder.encode([]) == []
+
+
 def test_directory_round_trip():
     ids, lengths = [None, 5, -3, 2**62], np.array([1, 0, 7, 9])
     back, n = token_output.unpack_directory(token_output.pack_directory(ids, lengths))
