@@ -16,7 +16,10 @@ whether or not that earlier line stays itself.
    exceeds the symmetric difference of the sets.
 4. Candidates are verified on their whole sets of 64-bit word hashes, fetched
    for the candidate lines alone.
-5. The later class of a link loses its first line as well.
+5. The later class of a link loses its first line as well.  One link decides a
+   class, so a group of many near copies never becomes all its pairs: each class
+   is first compared with the earliest class of each of its min-hash groups, and
+   the prefix join then looks for an earlier partner of the undecided ones only.
 
 Defined results: null texts are empty; lines without words are never removed;
 rows with equal doc_id and text are one document; null doc_ids come last; a
@@ -29,17 +32,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE, WORD, collect_garbage, text_or_empty
+from tessera.llm.common import WORD, collect_garbage, text_or_empty
 from tessera.session import cut_lineage
 
 PERCENT = 80
 SLOTS = 1 << 20
+#: min-hash groups of a class
+GROUPS = 4
+#: the white space besides the blank
+OTHER_SPACE = r"[\x09-\x0D]"
 
 
 def words(line: Column) -> Column:
     """Distinct 64-bit hashes of a line's words, in ascending order."""
-    found = F.array_distinct(F.array_remove(F.split(F.lower(line), SPACE), ""))
-    return F.sort_array(F.transform(found, lambda w: F.xxhash64(w)))
+    # one kind of white space: Spark splits at a single character much faster
+    # than at a pattern
+    low = F.lower(line)
+    blank = F.when(low.rlike(OTHER_SPACE), F.regexp_replace(low, OTHER_SPACE, " ")).otherwise(low)
+    hashes = F.transform(F.split(blank, " "), lambda w: F.xxhash64(w))
+    return F.sort_array(F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit("")))))
 
 
 def place(doc_id: Column, line_no: Column) -> Column:
@@ -48,13 +59,16 @@ def place(doc_id: Column, line_no: Column) -> Column:
     return (number.cast("decimal(38,0)") * F.lit(1 << 31).cast("decimal(12,0)") + line_no).cast("decimal(38,0)")
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, place, words) of every line with words."""
+def places(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, line_no, place, line) of every line with words."""
     text = text_or_empty()
     every = docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return every.where(F.col("line").rlike(WORD)).select(
-        "doc_id", "text_key", "line_no", place(F.col("doc_id"), F.col("line_no")).alias("place"),
-        words(F.col("line")).alias("words"))
+    return every.where(F.col("line").rlike(WORD)).withColumn("place", place(F.col("doc_id"), F.col("line_no")))
+
+
+def lines(docs: DataFrame) -> DataFrame:
+    """``places`` with the set of each line instead of its text."""
+    return places(docs).withColumn("words", words(F.col("line"))).drop("line")
 
 
 def with_class(found: DataFrame) -> DataFrame:
@@ -80,12 +94,14 @@ def slot_counts(found: DataFrame) -> Column:
 
 
 def by_rarity(words_: Column, counts: Column) -> Column:
-    """The words ordered by (count of their slot, hash)."""
+    """A number for each word, in ascending order: the count of its slot, then 32
+    bits of its hash.  Words that share a number stand for each other in the
+    join, which can only add candidates."""
     # the counts enter as a field of a one-element array, so that the inner
     # function can look at them without a copy for each row
-    return F.transform(F.array(F.struct(counts.alias("counts"), words_.alias("words"))), lambda s: F.transform(
-        F.array_sort(F.transform(s["words"], lambda w: F.struct(F.get(s["counts"], slot(w)).alias("n"), w.alias("w")))),
-        lambda x: x["w"]))[0]
+    return F.sort_array(F.transform(F.array(F.struct(counts.alias("counts"), words_.alias("words"))), lambda s: F.transform(
+        s["words"], lambda w: F.shiftleft(F.least(F.get(s["counts"], slot(w)), F.lit(2**31 - 1)), 32).bitwiseOR(
+            F.shiftrightunsigned(w, 32))))[0])
 
 
 def parity(words_: Column, half: int) -> Column:
@@ -96,9 +112,38 @@ def parity(words_: Column, half: int) -> Column:
         mine(w), a.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63).cast("long")).cast("int")))).otherwise(a))
 
 
-def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(c1, c2) of the classes whose first line is similar to an earlier class's.
-    ``classes`` has (c1, c2, first, n): digest, place of the first line, size."""
+def group_keys(words_: Column) -> Column:
+    """``GROUPS`` keys, each of the least and the greatest of the words' hashes."""
+    keys = [F.xxhash64(words_[0], F.element_at(words_, -1))]
+    for i in range(1, GROUPS):
+        again = F.transform(words_, lambda w, i=i: F.xxhash64(w, F.lit(i)))
+        keys.append(F.xxhash64(F.array_min(again), F.array_max(again)))
+    return F.array(*keys)
+
+
+def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(c1, c2) of the later class of every pair (a_c1, b_c1) whose whole sets
+    reach the similarity.  At most SLOTS numbers pick the first lines of the
+    classes before any word is hashed, so little of the text is taken up again
+    and little moves to the exact join."""
+    wanted = pairs.select(F.col("a_c1").alias("c1")).unionByName(pairs.select(F.col("b_c1").alias("c1"))).distinct()
+    wanted = cut_lineage(firsts.select("c1", "c2", F.col("first").alias("place")).join(wanted, "c1", "left_semi"))
+    at = slot(F.xxhash64("place"))
+    some = F.broadcast(wanted.select(at.alias("some")).distinct())
+    found = places(docs).join(some, at == F.col("some"), "left_semi").select("place", "line").join(wanted, "place")
+    sets = found.select("c1", "c2", "place", words(F.col("line")).alias("words"))
+    sets = cut_lineage(sets.groupBy("c1", "c2").agg(F.first("place").alias("place"), F.first("words").alias("words")))
+    of = lambda s: sets.select(*[F.col(x).alias(f"{s}_{x}") for x in sets.columns])
+    both = pairs.join(of("a"), "a_c1").join(of("b"), "b_c1")
+    shared = F.size(F.array_intersect("a_words", "b_words"))
+    links = both.where(shared * 100 >= (F.size("a_words") + F.size("b_words") - shared) * percent)
+    later = F.when(F.col("a_place") > F.col("b_place"), F.struct(F.col("a_c1").alias("c1"), F.col("a_c2").alias("c2"))).otherwise(
+        F.struct(F.col("b_c1").alias("c1"), F.col("b_c2").alias("c2")))
+    return links.select(later.alias("c")).select("c.*").distinct()
+
+
+def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(c1, c2) of the classes whose first line is similar to an earlier class's."""
     spark = docs.sparkSession
     counts = slot_counts(lines(docs))
     # what the join needs of each class, from its first line
@@ -109,51 +154,45 @@ def similar_classes(docs: DataFrame, classes: DataFrame, percent: int = PERCENT)
     # written there); no row carries the counts
     described = every.withColumn("counts", counts).select(
         "c1", "c2", "place", by_rarity(F.col("words"), F.col("counts")).alias("words"), parity(F.col("words"), 0).alias("p0"),
-        parity(F.col("words"), 1).alias("p1")).select(
-        "c1", "c2", "place", size.alias("n"), "p0", "p1",
-        F.transform(prefix, lambda w: F.shiftright(w, 32).cast("int")).alias("prefix"))
+        parity(F.col("words"), 1).alias("p1"), group_keys(F.col("words")).alias("groups")).select(
+        "c1", "c2", "place", size.alias("n"), "p0", "p1", "groups", prefix.alias("prefix"))
     firsts = cut_lineage(described.groupBy("c1", "c2").agg(
-        F.min("place").alias("first"), *[F.first(x).alias(x) for x in ("n", "p0", "p1", "prefix")]))
+        F.min("place").alias("first"), *[F.first(x).alias(x) for x in ("n", "p0", "p1", "groups", "prefix")]))
+    collect_garbage(spark)
+    # each class against the earliest of its groups
+    grouped = firsts.select("c1", "first", F.explode("groups").alias("key"))
+    heads = grouped.groupBy("key").agg(F.min("first").alias("head"), F.max("first").alias("last")).where("head <> last")
+    heads = grouped.join(heads, "key").where("first = head").select("key", F.col("c1").alias("a_c1"))
+    stars = grouped.join(heads, "key").where("c1 <> a_c1").select("a_c1", F.col("c1").alias("b_c1")).distinct()
+    decided = cut_lineage(verified(cut_lineage(stars), firsts, docs, percent))
     collect_garbage(spark)
-    posts = firsts.select("c1", "c2", "n", "p0", "p1", F.posexplode("prefix").alias("at", "key"))
-    a, b = (posts.select(*[F.col(x).alias(f"{side}_{x}") for x in posts.columns if x != "key"], "key") for side in "ab")
+    # the prefix join, for an earlier partner of the undecided
+    marked = firsts.join(decided.withColumn("decided", F.lit(True)), ["c1", "c2"], "left").withColumn(
+        "open", F.col("decided").isNull().cast("int"))
+    posts = marked.select("c1", "first", "n", "p0", "p1", "open", F.posexplode(F.transform(
+        "prefix", lambda w: w.bitwiseAND(F.lit(2**32 - 1)))).alias("at", "key"))
+    a, b = (posts.select("key", *[F.col(x).alias(f"{side}_{x}") for x in posts.columns if x != "key"]) for side in "ab")
     na, nb = F.col("a_n"), F.col("b_n")
     overlap = F.ceil((na + nb) * percent / (100 + percent))
     room = F.least(na - F.col("a_at"), nb - F.col("b_at"))
     distance = F.bit_count(F.col("a_p0").bitwiseXOR(F.col("b_p0"))) + F.bit_count(F.col("a_p1").bitwiseXOR(F.col("b_p1")))
-    order = (F.col("a_c1") < F.col("b_c1")) | (F.col("a_c1") == F.col("b_c1")) & (F.col("a_c2") < F.col("b_c2"))
-    near = a.join(b, (a["key"] == b["key"]) & order & (na * 100 >= nb * percent) & (nb * 100 >= na * percent)
-                  & (room >= overlap) & (distance <= na + nb - 2 * overlap))
-    pairs = cut_lineage(near.select("a_c1", "a_c2", "b_c1", "b_c2").distinct())
+    # whether b is open is asked together with a's own mark (which does not
+    # matter), so that both sides hold the same columns and share one shuffle
+    near = a.join(b, (a["key"] == b["key"]) & (F.col("a_first") < F.col("b_first")) & (2 * F.col("b_open") + F.col("a_open") >= 2) & (na * 100 >= nb * percent)
+                  & (nb * 100 >= na * percent) & (room >= overlap) & (distance <= na + nb - 2 * overlap))
+    pairs = cut_lineage(near.select("a_c1", "b_c1").distinct())
     collect_garbage(spark)
-    # whole sets of the classes in a pair: at most SLOTS numbers filter the lines
-    # before the exact join, so few of them move
-    wanted = pairs.select(F.col("a_c1").alias("c1"), F.col("a_c2").alias("c2")).unionByName(
-        pairs.select(F.col("b_c1").alias("c1"), F.col("b_c2").alias("c2"))).distinct()
-    wanted = cut_lineage(wanted.join(firsts.select("c1", "c2", "first"), ["c1", "c2"]))
-    some = F.broadcast(wanted.select(slot(F.col("c1")).alias("some")).distinct())
-    sets = every.select("c1", "c2", "place", "words").join(some, slot(F.col("c1")) == F.col("some"), "left_semi").join(
-        wanted.withColumnRenamed("first", "place"), ["c1", "c2", "place"])
-    sets = cut_lineage(sets.groupBy("c1", "c2").agg(F.first("place").alias("place"), F.first("words").alias("words")))
-    collect_garbage(spark)
-    of = lambda s: sets.select(*[F.col(x).alias(f"{s}_{x}") for x in sets.columns])
-    both = pairs.join(of("a"), ["a_c1", "a_c2"]).join(of("b"), ["b_c1", "b_c2"])
-    shared = F.size(F.array_intersect("a_words", "b_words"))
-    links = both.where(shared * 100 >= (F.size("a_words") + F.size("b_words") - shared) * percent)
-    later = F.when(F.col("a_place") > F.col("b_place"), F.struct(F.col("a_c1").alias("c1"), F.col("a_c2").alias("c2"))).otherwise(
-        F.struct(F.col("b_c1").alias("c1"), F.col("b_c2").alias("c2")))
-    return links.select(later.alias("c")).select("c.*").distinct()
+    return decided.unionByName(verified(pairs, firsts, docs, percent)).distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n_lines, removed): lines with words, and the numbers of
     those that go, of every document that has a line with words."""
-    places = cut_lineage(with_class(lines(docs)).select(
-        "doc_id", "text_key", "line_no", "place", "c1", "c2", F.size("words").alias("n")))
-    classes = places.groupBy("c1", "c2").agg(F.min("place").alias("first"))
-    later = similar_classes(docs, classes, percent).withColumn("similar", F.lit(True))
+    found = cut_lineage(with_class(lines(docs)).select("doc_id", "text_key", "line_no", "place", "c1", "c2"))
+    classes = found.groupBy("c1", "c2").agg(F.min("place").alias("first"))
+    later = similar_classes(docs, percent).withColumn("similar", F.lit(True))
     classes = classes.join(later, ["c1", "c2"], "left")
-    judged = places.join(classes, ["c1", "c2"]).withColumn(
+    judged = found.join(classes, ["c1", "c2"]).withColumn(
         "gone", F.col("similar").isNotNull() | (F.col("place") > F.col("first")))
     return cut_lineage(judged.groupBy("doc_id", "text_key").agg(
         F.count_distinct("line_no").alias("n_lines"),
