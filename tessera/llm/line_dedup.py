@@ -112,6 +112,18 @@ def parity(words_: Column, half: int) -> Column:
         mine(w), a.bitwiseXOR(F.call_function("shiftleft", one, w.bitwiseAND(F.lit(63).cast("long")).cast("int")))).otherwise(a))
 
 
+def least_overlap(percent: int) -> Column:
+    """Common words that sets of ``a_n`` and ``b_n`` words need."""
+    return F.ceil((F.col("a_n") + F.col("b_n")) * percent / (100 + percent))
+
+
+def may_be_similar(percent: int) -> Column:
+    """Length and bitmap filters for columns of two classes (``a_``, ``b_``)."""
+    na, nb = F.col("a_n"), F.col("b_n")
+    distance = F.bit_count(F.col("a_p0").bitwiseXOR(F.col("b_p0"))) + F.bit_count(F.col("a_p1").bitwiseXOR(F.col("b_p1")))
+    return (na * 100 >= nb * percent) & (nb * 100 >= na * percent) & (distance <= na + nb - 2 * least_overlap(percent))
+
+
 def group_keys(words_: Column) -> Column:
     """``GROUPS`` keys, each of the least and the greatest of the words' hashes."""
     keys = [F.xxhash64(words_[0], F.element_at(words_, -1))]
@@ -160,10 +172,13 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("place").alias("first"), *[F.first(x).alias(x) for x in ("n", "p0", "p1", "groups", "prefix")]))
     collect_garbage(spark)
     # each class against the earliest of its groups
-    grouped = firsts.select("c1", "first", F.explode("groups").alias("key"))
-    heads = grouped.groupBy("key").agg(F.min("first").alias("head"), F.max("first").alias("last")).where("head <> last")
-    heads = grouped.join(heads, "key").where("first = head").select("key", F.col("c1").alias("a_c1"))
-    stars = grouped.join(heads, "key").where("c1 <> a_c1").select("a_c1", F.col("c1").alias("b_c1")).distinct()
+    grouped = firsts.select("c1", "first", "n", "p0", "p1", F.explode("groups").alias("key"))
+    several = grouped.groupBy("key").agg(F.min("first").alias("head"), F.max("first").alias("last")).where("head <> last")
+    grouped = grouped.join(several.select("key", "head"), "key")
+    a, b = (grouped.select("key", "head", *[F.col(x).alias(f"{side}_{x}") for x in ("c1", "first", "n", "p0", "p1")])
+            for side in "ab")
+    stars = a.where("a_first = head").drop("head").join(b.drop("head"), "key").where(
+        (F.col("a_c1") != F.col("b_c1")) & may_be_similar(percent)).select("a_c1", "b_c1").distinct()
     decided = cut_lineage(verified(cut_lineage(stars), firsts, docs, percent))
     collect_garbage(spark)
     # the prefix join, for an earlier partner of the undecided
@@ -173,13 +188,11 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "prefix", lambda w: w.bitwiseAND(F.lit(2**32 - 1)))).alias("at", "key"))
     a, b = (posts.select("key", *[F.col(x).alias(f"{side}_{x}") for x in posts.columns if x != "key"]) for side in "ab")
     na, nb = F.col("a_n"), F.col("b_n")
-    overlap = F.ceil((na + nb) * percent / (100 + percent))
     room = F.least(na - F.col("a_at"), nb - F.col("b_at"))
-    distance = F.bit_count(F.col("a_p0").bitwiseXOR(F.col("b_p0"))) + F.bit_count(F.col("a_p1").bitwiseXOR(F.col("b_p1")))
     # whether b is open is asked together with a's own mark (which does not
     # matter), so that both sides hold the same columns and share one shuffle
-    near = a.join(b, (a["key"] == b["key"]) & (F.col("a_first") < F.col("b_first")) & (2 * F.col("b_open") + F.col("a_open") >= 2) & (na * 100 >= nb * percent)
-                  & (nb * 100 >= na * percent) & (room >= overlap) & (distance <= na + nb - 2 * overlap))
+    near = a.join(b, (a["key"] == b["key"]) & (F.col("a_first") < F.col("b_first"))
+                  & (2 * F.col("b_open") + F.col("a_open") >= 2) & (room >= least_overlap(percent)) & may_be_similar(percent))
     pairs = cut_lineage(near.select("a_c1", "b_c1").distinct())
     collect_garbage(spark)
     return decided.unionByName(verified(pairs, firsts, docs, percent)).distinct()
