@@ -143,7 +143,10 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int)
     at = slot(F.xxhash64("place"))
     some = F.broadcast(wanted.select(at.alias("some")).distinct())
     found = places(docs).join(some, at == F.col("some"), "left_semi").select("place", "line").join(wanted, "place")
-    sets = found.select("c1", "c2", "place", words(F.col("line")).alias("words"))
+    # a place may hold lines of several texts: only the line with the digest
+    # asked for speaks for its class
+    fetched = found.select(F.col("c1").alias("is1"), F.col("c2").alias("is2"), "place", words(F.col("line")).alias("words"))
+    sets = with_class(fetched).where("c1 = is1 AND c2 = is2")
     sets = cut_lineage(sets.groupBy("c1", "c2").agg(F.first("place").alias("place"), F.first("words").alias("words")))
     of = lambda s: sets.select(*[F.col(x).alias(f"{s}_{x}") for x in sets.columns])
     both = pairs.join(of("a"), "a_c1").join(of("b"), "b_c1")

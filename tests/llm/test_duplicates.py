@@ -68,6 +68,19 @@ def test_op2_near_lines(spark):
     check_lines(spark.createDataFrame(texts, "doc_id long, text string"))
 
 
+def test_op2_shared_places(spark):
+    """Near copies of numbered lines whose own places are shared: many rows
+    without a doc_id, and one doc_id with two texts."""
+    rng = random.Random(6)
+    base = [[f"w{i}_{k}" for k in range(20)] for i in range(30)]
+    copies = [" ".join([*b[1:], f"new{rng.randrange(10**9)}"]) for b in base]
+    rows = [(i, " ".join(b)) for i, b in enumerate(base)]
+    rows += [(None if i < 28 else 500, c) for i, c in enumerate(copies)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r["doc_id"], r["text"], r["n_lines"], r["n_removed"]) for r in got) == Counter(
+        [(i, t, 1, 0) for i, t in rows[:30]] + [(i, "", 1, 1) for i, _ in rows[30:]])
+
+
 def shingle_set(text, n):
     w = text.encode().lower().split()
     if not w:
