@@ -1,8 +1,10 @@
 """Line deduplication by an exact set-similarity join, in DataFrame operations.
 
 A line's set is its distinct lower-cased words.  A line goes when an earlier
-line (by doc_id, then line number) has a set of Jaccard similarity 0.8 or more,
-whether or not that earlier line stays itself.
+line has a set of Jaccard similarity 0.8 or more, whether or not that earlier line
+stays itself.  Lines stand in the order of doc_id (null last), then the 64-bit hash
+of the text, then line number: the order is total, also among rows that share a
+doc_id or have none.
 
 1. Lines with equal sets form a class (128-bit digest); its first line speaks
    for it, all others go.
@@ -22,9 +24,10 @@ whether or not that earlier line stays itself.
    the prefix join then looks for an earlier partner of the undecided ones only.
 
 Defined results: null texts are empty; lines without words are never removed;
-rows with equal doc_id and text are one document; null doc_ids come last; a
-text that loses all its lines becomes empty; an empty table gives an empty one;
-only the documented columns are read.
+rows with equal doc_id and text are one document (also without a doc_id), rows
+with one doc_id and different texts are several; null doc_ids come last; a text
+that loses all its lines becomes empty; an empty table gives an empty one; only the
+documented columns are read.
 """
 
 from __future__ import annotations
@@ -53,17 +56,17 @@ def words(line: Column) -> Column:
     return F.sort_array(F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit("")))))
 
 
-def place(doc_id: Column, line_no: Column) -> Column:
-    """One number that orders lines by doc_id and line number."""
-    number = F.coalesce(doc_id.cast("long"), F.lit(2**63 - 1))
-    return (number.cast("decimal(38,0)") * F.lit(1 << 31).cast("decimal(12,0)") + line_no).cast("decimal(38,0)")
+def place() -> Column:
+    """What orders lines: doc_id (null last), text, line number."""
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("number")
+    return F.struct(number, F.col("doc_id").isNull().alias("unnumbered"), "text_key", "line_no")
 
 
 def places(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, line_no, place, line) of every line with words."""
+    """(doc_id, text_key, line_no, line) of every line with words."""
     text = text_or_empty()
     every = docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return every.where(F.col("line").rlike(WORD)).withColumn("place", place(F.col("doc_id"), F.col("line_no")))
+    return every.where(F.col("line").rlike(WORD))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -139,12 +142,13 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int)
     classes before any word is hashed, so little of the text is taken up again
     and little moves to the exact join."""
     wanted = pairs.select(F.col("a_c1").alias("c1")).unionByName(pairs.select(F.col("b_c1").alias("c1"))).distinct()
-    wanted = cut_lineage(firsts.select("c1", "c2", F.col("first").alias("place")).join(wanted, "c1", "left_semi"))
-    at = slot(F.xxhash64("place"))
-    some = F.broadcast(wanted.select(at.alias("some")).distinct())
-    found = places(docs).join(some, at == F.col("some"), "left_semi").select("place", "line").join(wanted, "place")
-    # a place may hold lines of several texts: only the line with the digest
-    # asked for speaks for its class
+    wanted = cut_lineage(firsts.select("c1", "c2", F.col("first").alias("place"), F.xxhash64("first").alias("at")).join(
+        wanted, "c1", "left_semi"))
+    some = F.broadcast(wanted.select(slot(F.col("at")).alias("some")).distinct())
+    found = places(docs).select(F.xxhash64(place()).alias("at"), "line").join(
+        some, slot(F.col("at")) == F.col("some"), "left_semi").join(wanted, "at")
+    # places meet by their hash: only the line with the digest asked for speaks
+    # for its class
     fetched = found.select(F.col("c1").alias("is1"), F.col("c2").alias("is2"), "place", words(F.col("line")).alias("words"))
     sets = with_class(fetched).where("c1 = is1 AND c2 = is2")
     sets = cut_lineage(sets.groupBy("c1", "c2").agg(F.first("place").alias("place"), F.first("words").alias("words")))
@@ -158,7 +162,8 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int)
 
 
 def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(c1, c2) of the classes whose first line is similar to an earlier class's."""
+    """(c1, c2, first, similar) of every class: the place of its first line, and
+    whether that line is similar to an earlier class's (true or null)."""
     spark = docs.sparkSession
     counts = slot_counts(lines(docs))
     # what the join needs of each class, from its first line
@@ -168,7 +173,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the optimizer moves the subquery into the expression below (it may not be
     # written there); no row carries the counts
     described = every.withColumn("counts", counts).select(
-        "c1", "c2", "place", by_rarity(F.col("words"), F.col("counts")).alias("words"), parity(F.col("words"), 0).alias("p0"),
+        "c1", "c2", place().alias("place"), by_rarity(F.col("words"), F.col("counts")).alias("words"), parity(F.col("words"), 0).alias("p0"),
         parity(F.col("words"), 1).alias("p1"), group_keys(F.col("words")).alias("groups")).select(
         "c1", "c2", "place", size.alias("n"), "p0", "p1", "groups", prefix.alias("prefix"))
     firsts = cut_lineage(described.groupBy("c1", "c2").agg(
@@ -187,29 +192,29 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # the prefix join, for an earlier partner of the undecided
     marked = firsts.join(decided.withColumn("decided", F.lit(True)), ["c1", "c2"], "left").withColumn(
         "open", F.col("decided").isNull().cast("int"))
-    posts = marked.select("c1", "first", "n", "p0", "p1", "open", F.posexplode(F.transform(
+    # of the place, the number alone goes with every word: classes whose first
+    # lines tie in it meet once, and the verification tells which is the later
+    posts = marked.select("c1", "first.number", "n", "p0", "p1", "open", F.posexplode(F.transform(
         "prefix", lambda w: w.bitwiseAND(F.lit(2**32 - 1)))).alias("at", "key"))
     a, b = (posts.select("key", *[F.col(x).alias(f"{side}_{x}") for x in posts.columns if x != "key"]) for side in "ab")
     na, nb = F.col("a_n"), F.col("b_n")
     room = F.least(na - F.col("a_at"), nb - F.col("b_at"))
-    # whether b is open is asked together with a's own mark (which does not
-    # matter), so that both sides hold the same columns and share one shuffle
-    near = a.join(b, (a["key"] == b["key"]) & (F.col("a_first") < F.col("b_first"))
-                  & (2 * F.col("b_open") + F.col("a_open") >= 2) & (room >= least_overlap(percent)) & may_be_similar(percent))
+    # both sides hold the same columns and share one shuffle
+    earlier = (F.col("a_number") < F.col("b_number")) & (F.col("b_open") == 1)
+    tied = (F.col("a_number") == F.col("b_number")) & (F.col("a_c1") < F.col("b_c1")) & (F.col("a_open") + F.col("b_open") > 0)
+    near = a.join(b, (a["key"] == b["key"]) & (earlier | tied) & (room >= least_overlap(percent)) & may_be_similar(percent))
     pairs = cut_lineage(near.select("a_c1", "b_c1").distinct())
     collect_garbage(spark)
-    return decided.unionByName(verified(pairs, firsts, docs, percent)).distinct()
+    later = decided.unionByName(verified(pairs, firsts, docs, percent)).distinct()
+    return firsts.select("c1", "c2", "first").join(later.withColumn("similar", F.lit(True)), ["c1", "c2"], "left")
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n_lines, removed): lines with words, and the numbers of
     those that go, of every document that has a line with words."""
-    found = cut_lineage(with_class(lines(docs)).select("doc_id", "text_key", "line_no", "place", "c1", "c2"))
-    classes = found.groupBy("c1", "c2").agg(F.min("place").alias("first"))
-    later = similar_classes(docs, percent).withColumn("similar", F.lit(True))
-    classes = classes.join(later, ["c1", "c2"], "left")
-    judged = found.join(classes, ["c1", "c2"]).withColumn(
-        "gone", F.col("similar").isNotNull() | (F.col("place") > F.col("first")))
+    found = cut_lineage(with_class(lines(docs)).select("doc_id", "text_key", "line_no", "c1", "c2"))
+    judged = found.join(similar_classes(docs, percent), ["c1", "c2"]).withColumn(
+        "gone", F.col("similar").isNotNull() | (place() > F.col("first")))
     return cut_lineage(judged.groupBy("doc_id", "text_key").agg(
         F.count_distinct("line_no").alias("n_lines"),
         F.collect_set(F.when(F.col("gone"), F.col("line_no"))).alias("removed")))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from llm_cases import SF_CHECK, texts_of
 from pyspark.sql import functions as F
 
@@ -81,6 +82,32 @@ def test_op2_shared_places(spark):
         [(i, t, 1, 0) for i, t in rows[:30]] + [(i, "", 1, 1) for i, _ in rows[30:]])
 
 
+def in_order(row):
+    """The order of documents: doc_id (null last), then Spark's hash of the text."""
+    key = xxhash.xxh64_intdigest(row[1].encode(), seed=42)
+    return (row[0] is None, row[0] or 0, key - 2**64 if key >= 2**63 else key)
+
+
+def test_op2_tied_rows(spark):
+    """Rows without a doc_id, with one doc_id and several texts, and numbered
+    like the place of the null ones: each copy but the first of them goes."""
+    rng = random.Random(8)
+    licence = " ".join(f"l{k}" for k in range(20))
+    def text(i):
+        near = licence.split()
+        near[rng.randrange(20)] = f"n{i}"
+        return "\n".join([rng.choice([licence, " ".join(near)]), *[" ".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(3)], f"own{i}"])
+    rows = [(i, text(k)) for k, i in enumerate([None] * 25 + [7] * 6 + [BIG] * 4 + [9, 10])]
+    rows += [rows[0], rows[26], (BIG, rows[1][1])]
+    order = sorted(set(rows), key=in_order)
+    want = brute_lines([(k, t) for k, (_, t) in enumerate(order)])
+    got = line_dedup.dedup_lines(spark.createDataFrame([(*r, r[1]) for r in rows], "doc_id long, text string, was string")).collect()
+    assert Counter((r["doc_id"], r["was"], r["text"], r["n_lines"], r["n_removed"]) for r in got) == Counter(
+        (i, t, *want[order.index((i, t)), t]) for i, t in rows)
+    # the licence line stays once, in the first document
+    assert sum("l3 " in r["text"] or "l5 " in r["text"] for r in got) == sum(r == order[0] for r in rows)
+
+
 def shingle_set(text, n):
     w = text.encode().lower().split()
     if not w:
