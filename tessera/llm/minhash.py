@@ -3,7 +3,7 @@
 Documents are linked when the Jaccard similarity of their word-shingle sets
 reaches a threshold; the result names every document's component of links.
 
-1. Equal sets become one node (the smallest document number among them).
+1. Equal sets become one node, numbered by 64 bits of the set's digest.
 2. Signatures of 128 minima fall into 32 bands; nodes that agree in a band are
    candidates.  A pair at similarity 0.8 shares no band with probability 5e-8.
 3. Candidates are compared signature batch by signature batch: with a uniform
@@ -21,8 +21,12 @@ exceeds the symmetric difference), each in the first band it shares.
 
 Defined results: empty, blank and null texts have no shingles and stay alone; a
 text with fewer words than a shingle has its whole word sequence as one shingle;
-repeated rows share a component; a null doc_id links with nothing; an empty
-table gives an empty one; only ``doc_id`` and ``text`` are read.
+rows are linked by their texts, whatever their doc_ids: texts of one doc_id may
+lie in different components, and rows without a doc_id lie in the component of
+their text; a component is named by its smallest doc_id (null if none has one);
+one row of a component is kept, the first by doc_id (null last) and hash of the
+text, also among repeated rows; an empty table gives an empty one; only ``doc_id``
+and ``text`` are read (``keep_first`` also orders rows equal in these by the rest).
 """
 
 from __future__ import annotations
@@ -138,19 +142,25 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def facts(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, signature) of every row."""
+    """(doc_id, text_key, n_shingles, node, signature) of every row."""
     small_batches(docs)
 
-    @F.pandas_udf("n_shingles long, digest binary, signature binary")
+    @F.pandas_udf("n_shingles long, node long, signature binary")
     def describe(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
             sets = [shingles(t, n) for t in s]
             yield pd.DataFrame({
                 "n_shingles": [len(x) for x in sets],
-                "digest": [hashlib.blake2b(x.astype("<u8").tobytes(), digest_size=16).digest() for x in sets],
+                "node": [_node(x) for x in sets],
                 "signature": [signature(x).astype("<u4").tobytes() if len(x) else None for x in sets]})
 
-    return docs.select("doc_id", describe(text_or_empty()).alias("f")).select("doc_id", "f.*")
+    return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), describe(text_or_empty()).alias("f")).select(
+        "doc_id", "text_key", "f.*")
+
+
+def _node(hashes: np.ndarray) -> int:
+    """The number of a set."""
+    return int.from_bytes(hashlib.blake2b(hashes.astype("<u8").tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _bayes(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -262,16 +272,17 @@ def _crossing(percent: int):
     return compare
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; a link needs
-    ``100 * |intersection| >= percent * |union|`` of ``shingle``-word shingles."""
+def judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, kept) of every row."""
     spark = docs.sparkSession
-    described = cut_lineage(facts(docs, shingle))
-    classes = cut_lineage(described.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min(F.col("doc_id").cast("long")).alias("node")))
-    nodes = described.where("n_shingles > 0").withColumn("node", F.col("doc_id").cast("long")).join(
-        classes, ["digest", "node"], "left_semi").select("node", "signature")
-    nodes = cut_lineage(nodes.dropDuplicates(["node"]))
+    # numbered where it is written, so that one of several equal rows can be told
+    described = cut_lineage(facts(docs, shingle).withColumn("row_no", F.monotonically_increasing_id()))
+    spoken = described.where("n_shingles > 0")
+    first = F.struct(F.col("doc_id").isNull().alias("unnumbered"), "doc_id", "text_key", "row_no")
+    classes = cut_lineage(spoken.groupBy("node").agg(F.min(first).alias("first")))
+    nodes = spoken.select("node", "row_no", "signature").join(
+        classes.select("node", F.col("first.row_no").alias("row_no")), ["node", "row_no"], "left_semi").select("node", "signature")
+    nodes = cut_lineage(nodes)
     # (key, band, node) of every band
     bands = nodes.select("node", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -279,17 +290,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     shared = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last")
     candidates = cut_lineage(bands.join(shared.select("key", "first"), "key"))
     collect_garbage(spark)
-    # the full sets of every node that has a candidate
-    wanted = candidates.select(F.col("node").alias("doc_id")).distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(
-        wanted, "doc_id", "left_semi")
-
-    @F.pandas_udf("binary")
-    def hashes(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    # the full sets of every node that has a candidate, from its first row
+    at = F.xxhash64(F.col("doc_id").cast("long"), F.col("text_key")).alias("at")
+    wanted = classes.join(candidates.select("node").distinct(), "node", "left_semi").select("first.*").select(at).distinct()
+    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text")).select(
+        at, "text").join(wanted, "at", "left_semi")
+
+    @F.pandas_udf("node long, hashes binary")
+    def hashes(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
-            yield pd.Series([shingles(t, shingle).astype("<u8").tobytes() for t in s], dtype=object)
+            sets = [shingles(t, shingle) for t in s]
+            yield pd.DataFrame({"node": [_node(x) for x in sets],
+                                "hashes": pd.Series([x.astype("<u8").tobytes() for x in sets], dtype=object)})
 
-    sets = cut_lineage(rows.select(F.col("doc_id").alias("node"), hashes("text").alias("hashes")).dropDuplicates(["node"]))
+    sets = cut_lineage(rows.select(hashes("text").alias("s")).select("s.*").dropDuplicates(["node"]))
     collect_garbage(spark)
     # first each node against the smallest node of its buckets
     stars = cut_lineage(candidates.where("node <> first").select(
@@ -324,16 +338,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     more = cut_lineage(_verified(crossing, sets, percent))
     collect_garbage(spark)
     found = components(links.unionByName(more)) if not more.isEmpty() else found
-    labels = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
-    out = described.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(
-        labels, "digest", "left")
-    # without shingles, or without a number, a row stays alone
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", F.col("doc_id").cast("long")))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # a component is named by the first of its rows
+    labels = classes.join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
+    heads = labels.groupBy("component").agg(F.min("first").alias("head"))
+    labels = labels.join(heads, "component").select(
+        F.col("node").alias("of"), F.col("head.doc_id").alias("name"), F.col("head.row_no").alias("head"))
+    out = described.select("doc_id", "text_key", "n_shingles", "row_no", "node").join(
+        labels, (F.col("n_shingles") > 0) & (F.col("node") == F.col("of")), "left")
+    # without shingles a row stays alone
+    alone = F.col("n_shingles") == 0
+    return out.select("doc_id", "text_key", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("name")).cast("long").alias(
+        "component_id"), (alone | (F.col("row_no") == F.col("head"))).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; a link needs
+    ``100 * |intersection| >= percent * |union|`` of ``shingle``-word shingles."""
+    return judged(docs, shingle, percent).drop("text_key")
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` without the later documents of each component."""
-    gone = near_duplicates(docs, shingle, percent).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` without the later rows of each component."""
+    some = judged(docs, shingle, percent).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
+        F.count("*").alias("n"), F.sum(F.col("kept").cast("long")).alias("n_kept")).where("n_kept < n")
+    some = cut_lineage(some.select("__id", "__key", "n_kept"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty()) == F.col("__key"))
+    kept = docs.join(some, same, "left_anti").select(*docs.columns)
+    repeated = some.where("n_kept > 0")
+    if repeated.isEmpty():
+        return kept
+    # of rows equal in doc_id and text one stays
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = docs.select("doc_id", "text", row.alias("__row")).join(repeated, same).groupBy("__id", "__key").agg(
+        F.min_by("__row", F.to_json("__row")).alias("row")).select("row.*")
+    return kept.unionByName(one)

@@ -158,6 +158,29 @@ def test_op7(edge, empty):
     assert minhash.near_duplicates(empty).collect() == []
 
 
+def test_op7_shared_numbers(spark):
+    """Rows without a doc_id, one doc_id with several texts, and equal rows."""
+    rng = random.Random(9)
+    base = [[f"w{i}_{k}" for k in range(60)] for i in range(12)]
+    def near(i):
+        return " ".join([*base[i][:-1], f"new{rng.randrange(10**9)}"])
+    rows = [(7, near(i)) for i in range(8)] + [(100 + i, near(i)) for i in range(8)] + [(3, near(2))]
+    rows += [(None, near(i)) for i in range(12) for _ in range(3)] + [(7, near(0)), (None, "")]
+    rows += [rows[0], rows[-3], rows[-3], (2, ""), (2, ""), (50, "all alone in the world"), (50, "all alone in the world")]
+    order = sorted(set(rows), key=in_order)
+    of = brute_components(list(enumerate(t for _, t in order)), 4)
+    head = {r: of(k, r[1])[2] for k, r in enumerate(order)}
+    want = Counter((i, len(shingle_set(t, 4)), order[head[i, t]][0]) for i, t in rows)
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, at int")
+    got = minhash.near_duplicates(df, 4).collect()
+    assert Counter(tuple(r[:3]) for r in got) == want
+    stay = Counter(r for k, r in enumerate(order) if head[r] == k) + Counter({(2, ""): 1})
+    assert Counter(r["doc_id"] for r in got if r["kept"]) == Counter(i for i, t in stay.elements())
+    kept = minhash.keep_first(df, 4)
+    assert kept.columns == df.columns
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == stay
+
+
 def test_op7_documents(spark):
     check_components(spark.read.parquet(f"{SF_CHECK}/documents.parquet"), 5)
 
