@@ -34,6 +34,11 @@ def small_batches(df: DataFrame) -> None:
         df.sparkSession.conf.set(key, str(BATCH_ROWS))
 
 
+def batch_rows(spark: SparkSession, n: int) -> None:
+    """Rows in an Arrow batch of this session from now on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
+
+
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     """Partitions for a shuffle of ``df``: one per ``bytes_each`` of its input
     and at least one per shuffle partition of the session."""

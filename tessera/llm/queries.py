@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe
+from tessera.llm.collocations import collocations
 from tessera.llm.common import documents
 from tessera.llm.fingerprints import fingerprint_next
 from tessera.llm.line_dedup import dedup_lines
@@ -78,6 +79,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(documents(spark, sf_dir))
 
 
+@query
+def op11_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 ORACLE["op6_systematic_mix"] = r"""
 WITH d AS (SELECT doc_id, source, COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 p AS (SELECT source, SUM(size)::BIGINT AS source_size, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS place
@@ -115,3 +121,28 @@ r AS (SELECT s.doc_id, s.line_no, s.line, LEN(s.words) > 0 AS has_words,
 SELECT doc_id, COALESCE(STRING_AGG(line, CHR(10) ORDER BY line_no) FILTER (WHERE NOT gone), '') AS text,
        COUNT(*) FILTER (WHERE has_words) AS n_lines, COUNT(*) FILTER (WHERE gone) AS n_removed
 FROM r GROUP BY doc_id"""
+
+ORACLE["op11_setm_collocations"] = r"""
+WITH p AS (SELECT lang, p, i, UNNEST(ws) AS w, UNNEST(RANGE(LEN(ws))) AS j FROM (
+   SELECT lang, p, i, REGEXP_EXTRACT_ALL(piece, '[^\x20\x09]+') AS ws FROM (
+    SELECT lang, i AS p, UNNEST(ps) AS piece, UNNEST(RANGE(LEN(ps))) AS i FROM (
+     SELECT COALESCE(lang, 'und') AS lang, ROW_NUMBER() OVER () AS i,
+       REGEXP_SPLIT_TO_ARRAY(TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+     FROM documents WHERE text IS NOT NULL)))),
+g AS (SELECT lang, w, LEAD(w) OVER o AS w2, LEAD(w, 2) OVER o AS w3 FROM p WINDOW o AS (PARTITION BY p, i ORDER BY j)),
+f AS (SELECT lang, w AS phrase, COUNT(*) AS f, 1 AS m FROM g GROUP BY ALL
+      UNION ALL SELECT lang, w || ' ' || w2, COUNT(*), 2 FROM g WHERE w2 IS NOT NULL GROUP BY ALL
+      UNION ALL SELECT lang, w || ' ' || w2 || ' ' || w3, COUNT(*), 3 FROM g WHERE w3 IS NOT NULL GROUP BY ALL),
+t AS (SELECT lang, SUM(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, f AS a, m, STRING_SPLIT(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT lang, phrase, a, m, k, ARRAY_TO_STRING(ws[1:k], ' ') AS head, ARRAY_TO_STRING(ws[k + 1:], ' ') AS tail
+      FROM (SELECT *, UNNEST(RANGE(1, m)) AS k FROM c)),
+s AS (SELECT k.lang, k.phrase, k.a, k.m, k.k, x.f AS l, y.f AS r, (1000000::HUGEINT * k.a * k.a) // (x.f::HUGEINT * y.f) AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.phrase = head JOIN f y ON y.lang = k.lang AND y.phrase = tail),
+b AS (SELECT * FROM s QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+v AS (SELECT lang, phrase, MAX(a) AS a FROM (SELECT lang, a, UNNEST([ARRAY_TO_STRING(ws[1:2], ' '), ARRAY_TO_STRING(ws[2:3], ' ')]) AS phrase
+      FROM c WHERE m = 3) GROUP BY ALL)
+SELECT b.lang, ROW_NUMBER() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, ENCODE(b.phrase)) AS rank, b.phrase, b.a, l, r, n, score::BIGINT AS score
+FROM b JOIN t ON t.lang = b.lang LEFT JOIN v ON v.lang = b.lang AND v.phrase = b.phrase
+WHERE COALESCE(100 * v.a < 50 * b.a, TRUE)
+QUALIFY rank <= 2000"""
