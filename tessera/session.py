@@ -9,6 +9,7 @@ benches) do we fall back to a fresh directory under the system temp folder.
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -92,7 +93,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         atexit.register(release_cut_tables, spark)
     _CUT_TABLES.append(path)
     # the written schema is known: no job to infer it
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the tables of frames that ``cut_lineage`` has returned, once every
+    frame that reads them has been written itself, and let Spark's cleaner drop
+    the shuffle files of finished steps."""
+    for df in tables:
+        path = df._cut_path
+        if path in _CUT_TABLES:
+            _CUT_TABLES.remove(path)
+            _delete(df.sparkSession, path)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def release_cut_tables(spark: SparkSession) -> int:
@@ -102,9 +125,7 @@ def release_cut_tables(spark: SparkSession) -> int:
     while _CUT_TABLES:
         path = _CUT_TABLES.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            n += bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+            n += _delete(spark, path)
         except Exception:  # noqa: BLE001  (the session has ended: nothing left to ask)
             break
     return n

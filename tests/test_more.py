@@ -60,3 +60,15 @@ def test_bootstrap_weights_are_poisson_like(spark):
     stats = w.agg(F.avg("w"), F.avg((F.col("w") == 0).cast("double"))).first()
     assert stats[0] == pytest.approx(1.0, abs=0.03)
     assert stats[1] == pytest.approx(np.exp(-1), abs=0.02)
+
+
+def test_release_deletes_one_cut_table(spark):
+    from tessera.session import cut_lineage, release
+
+    a, b = cut_lineage(spark.range(5)), cut_lineage(spark.range(6))
+    release(a)
+    assert b.count() == 6
+    with pytest.raises(Exception, match="(?i)not exist"):
+        a.count()
+    release(a)   # a table that is gone is left alone
+    assert b.count() == 6
