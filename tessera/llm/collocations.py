@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.bytewords import byte_classes, slices, split
 from tessera.llm.common import BATCH_ROWS, batch_rows, partitions_for
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, release
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -48,6 +48,7 @@ CHUNK_WORDS = 1 << 21
 #: parts of a language that are ranked side by side before they are merged
 SALTS = 64
 SEEDS = 16
+GROUP_ROWS = 1 << 16
 
 CLASSES = byte_classes(b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d")
 
@@ -279,22 +280,21 @@ def mined(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUN
             words = word_table(relation)
             if not words.groupBy("code").count().where("count > 1").head(1):
                 break
+            release(relation, words)
         else:
             raise ValueError("words share codes under every seed")
-        batch_rows(spark, 1 << 16)
-        relation = semi_join(relation, frequent(word_groups(relation), min_count, parts), 1)
+        # group rows are a few bytes each; what relation rows take is bounded by Spark's bytes per batch
+        batch_rows(spark, GROUP_ROWS)
         counts = []
-        for k in range(2, max_words + 1):
-            # relation rows are megabytes each, group rows a few bytes
-            batch_rows(spark, 1)
-            if k == max_words:
-                counts.append(cut_lineage(_added(exact_counts(relation, k, max_words, True), max_words, min_count)))
-                break
-            groups = cut_lineage(phrase_groups(relation, k))
-            batch_rows(spark, 1 << 16)
-            relation = semi_join(relation, frequent(groups, min_count, parts), k)
-            batch_rows(spark, 1)
-            counts.append(cut_lineage(_added(exact_counts(relation, k, max_words, False), max_words, min_count)))
+        for k in range(1, max_words):
+            groups = word_groups(relation) if k == 1 else phrase_groups(relation, k)
+            reduced = semi_join(relation, frequent(groups, min_count, parts), k)
+            release(relation)
+            relation = reduced
+            if k > 1:
+                counts.append(_added(exact_counts(relation, k, max_words, False), max_words, min_count))
+        counts.append(_added(exact_counts(relation, max_words, max_words, True), max_words, min_count))
+        release(relation)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     phrases = functools.reduce(DataFrame.unionAll, counts)
@@ -304,7 +304,7 @@ def mined(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUN
 
 def _added(counts: DataFrame, max_words: int, min_count: int) -> DataFrame:
     names = [f"c{i + 1}" for i in range(max_words)]
-    return counts.groupBy(*names).agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
+    return cut_lineage(counts.groupBy(*names).agg(F.sum("n").alias("a")).where(F.col("a") >= min_count))
 
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, top: int = TOP,
