@@ -11,6 +11,7 @@ from tessera.llm import bpe
 from tessera.llm.collocations import collocations
 from tessera.llm.common import documents
 from tessera.llm.fingerprints import fingerprint_next
+from tessera.llm.lexical_search import search
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.minhash import near_duplicates
 from tessera.llm.mixing import mix_report
@@ -84,6 +85,11 @@ def op11_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+@query
+def op13_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 ORACLE["op6_systematic_mix"] = r"""
 WITH d AS (SELECT doc_id, source, COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 p AS (SELECT source, SUM(size)::BIGINT AS source_size, ROW_NUMBER() OVER (ORDER BY source NULLS LAST) AS place
@@ -146,3 +152,23 @@ SELECT b.lang, ROW_NUMBER() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a D
 FROM b JOIN t ON t.lang = b.lang LEFT JOIN v ON v.lang = b.lang AND v.phrase = b.phrase
 WHERE COALESCE(100 * v.a < 50 * b.a, TRUE)
 QUALIFY rank <= 2000"""
+
+ORACLE["op13_mask_search"] = r"""
+WITH d AS (SELECT doc_id, ROW_NUMBER() OVER () AS i,
+             REGEXP_EXTRACT_ALL(TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+           FROM documents WHERE text IS NOT NULL),
+q AS (SELECT q, item_id, t, COUNT(*) AS times FROM (
+        SELECT ROW_NUMBER() OVER () AS q, item_id, UNNEST(REGEXP_EXTRACT_ALL(
+               TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark))
+      GROUP BY q, item_id, t),
+s AS (SELECT COUNT(*)::BIGINT AS n_docs, SUM(LEN(ts))::BIGINT AS n_terms FROM d WHERE LEN(ts) > 0),
+p AS (SELECT i, doc_id, t, n, COUNT(*)::BIGINT AS tf FROM (SELECT i, doc_id, LEN(ts)::BIGINT AS n, UNNEST(ts) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY i, doc_id, t, n),
+w AS (SELECT t, FLOOR(1000 * LN((2 * n_docs + 2)::DOUBLE / (2 * COUNT(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM p, s GROUP BY t, n_docs),
+c AS (SELECT q, item_id, i, doc_id, SUM(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM q JOIN p USING (t) JOIN w USING (t), s GROUP BY q, item_id, i, doc_id)
+SELECT item_id, (ROW_NUMBER() OVER (PARTITION BY q ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM c WHERE score > 0 QUALIFY rank <= 10"""

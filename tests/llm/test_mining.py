@@ -1,12 +1,14 @@
 """Collocations, archives and ranked search by brute force."""
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tessera.llm import bytewords, collocations
+from tessera.llm import bytewords, collocations, lexical_search
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -74,3 +76,68 @@ def test_op11_random(spark, max_words):
     # a low cover drops more, a high one nothing
     check_collocations(df, max_words=max_words, cover=20, top=5)
 
+
+def brute_search(docs, items, k=10):
+    """docs of (doc_id, text), items of (item_id, text); {(item_id, text): [(doc_id, score)]}"""
+    counts = [(i, Counter(lexical_search.terms_of(t))) for i, t in docs]
+    counts = [(i, c) for i, c in counts if c]
+    n_docs, n_terms = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = {}
+    for item_id, text in set(items):
+        found = []
+        for i, c in counts:
+            m = 25 + 75 * sum(c.values()) * n_docs // n_terms
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                        for t in lexical_search.terms_of(text) if c[t])
+            if score > 0:
+                found.append((-score, i is None, i or 0))
+        if found:
+            out[item_id, text] = [(None if none else i, -s) for s, none, i in sorted(found)[:k]]
+    return out
+
+
+def check_search(spark, docs, items, k=10, **options):
+    got = lexical_search.search(docs, items, k, **options).collect()
+    want = brute_search([tuple(r) for r in docs.select("doc_id", "text").collect()],
+                        [tuple(r) for r in items.select("item_id", "text").collect()], k)
+    assert Counter((r["item_id"], r["rank"], r["doc_id"], r["score"]) for r in got) == Counter(
+        (item_id, rank + 1, i, s) for (item_id, _), found in want.items() for rank, (i, s) in enumerate(found))
+    return got
+
+
+def test_op13_edges(spark, edge, empty):
+    rows = [(1, "the river of stone"), (2, None), (3, ""), (4, "zzz nowhere"), (1, "the river of stone"), (1, "Blue walk WALK walk"),
+            (None, "naïve é éàü 一二"), (5, "x1 don't ab"), (6, " ".join(f"w{k} the{k}" for k in range(90)) + " the the number of")]
+    items = spark.createDataFrame(rows, "item_id long, text string").withColumns({"doc_id": F.lit(1), "score": F.lit("x")})
+    assert check_search(spark, edge, items)
+    assert check_search(spark, edge, items, k=3, block_items=2, chunk_docs=4)
+    assert lexical_search.search(empty, items).collect() == []
+    assert lexical_search.search(edge, items.limit(0)).collect() == []
+    assert lexical_search.search(edge, items.where("item_id = 2")).collect() == []
+
+
+def test_op13_random(spark):
+    """Items of more terms than a word of a mask has bits, many equal scores."""
+    rng = random.Random(13)
+    vocabulary = [f"t{k}" for k in range(150)]
+    weights = [1 / (k + 1) for k in range(150)]
+    docs = [(rng.randint(0, 250), " ".join(rng.choices(vocabulary, weights, k=rng.randint(0, 60)))) for _ in range(300)]
+    docs += [(1000 + i, "t1 t2 t3") for i in range(40)] + [(None, "t1 t2 t140")] * 3
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 3, 30, 120])))) for i in range(25)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert check_search(spark, d, spark.createDataFrame(items, "item_id long, text string"), chunk_docs=50)
+
+
+def test_op13_skips_masks():
+    """Few documents are scored where masks with high bounds fill the ranks."""
+    n, scored = 5000, []
+    term = np.concatenate([np.r_[0, 1, 2] if i < 20 else np.r_[0] for i in range(n)])
+    size = np.array([3 if i < 20 else 1 for i in range(n)])
+    row = {"doc_id": np.arange(n), "known": np.ones(n, np.uint8), "length": np.full(n, 5), "first": np.r_[0, np.cumsum(size)],
+           "term": term.astype(np.int32), "tf": np.ones(len(term), np.int32)}
+    chunk = lexical_search.Chunk({k: lexical_search._pack(v) for k, v in row.items()}, n, 5 * n, 3)
+    real = chunk.scores
+    chunk.scores = lambda docs, weight: scored.extend(docs) or real(docs, weight)
+    docs, scores = chunk.top({0: 10, 1: 900, 2: 800}, np.zeros(3, np.int64), 10)
+    assert docs.tolist() == list(range(10)) and len(set(scores.tolist())) == 1 and len(scored) < 200
