@@ -98,7 +98,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder of any file system Spark knows."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
@@ -112,7 +113,7 @@ def release(*tables: DataFrame) -> None:
         path = df._cut_path
         if path in _CUT_TABLES:
             _CUT_TABLES.remove(path)
-            _delete(df.sparkSession, path)
+            remove(df.sparkSession, path)
     if tables:
         gc.collect()
         tables[0].sparkSession.sparkContext._jvm.System.gc()
@@ -125,7 +126,7 @@ def release_cut_tables(spark: SparkSession) -> int:
     while _CUT_TABLES:
         path = _CUT_TABLES.pop()
         try:
-            n += _delete(spark, path)
+            n += remove(spark, path)
         except Exception:  # noqa: BLE001  (the session has ended: nothing left to ask)
             break
     return n
