@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import bpe
+from tessera.llm.archives import archive_report
 from tessera.llm.collocations import collocations
 from tessera.llm.common import documents
 from tessera.llm.fingerprints import fingerprint_next
@@ -85,6 +86,11 @@ def op11_setm_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents(spark, sf_dir))
 
 
+@query
+def op12_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op13_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -172,3 +178,13 @@ c AS (SELECT q, item_id, i, doc_id, SUM(times * w * ((1000000000 * tf) // (1000
       FROM q JOIN p USING (t) JOIN w USING (t), s GROUP BY q, item_id, i, doc_id)
 SELECT item_id, (ROW_NUMBER() OVER (PARTITION BY q ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
 FROM c WHERE score > 0 QUALIFY rank <= 10"""
+
+ORACLE["op12_warc_captures"] = r"""
+WITH p AS (SELECT page_id, ENCODE(COALESCE(html, '')) AS body, SHA1(ENCODE(COALESCE(html, ''))) AS hex FROM pages),
+d AS (SELECT page_id, OCTET_LENGTH(body)::BIGINT AS payload_bytes, hex,
+        LIST_AGGREGATE([SUBSTR('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || SUBSTR(hex, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))::INT) & 31)::INT + 1, 1)
+           FOR i IN RANGE(32)], 'string_agg', '') AS payload_digest,
+        MAX(page_id) OVER (PARTITION BY body) AS newest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> newest THEN newest END AS refers_to FROM d"""

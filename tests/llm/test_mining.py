@@ -1,4 +1,8 @@
 """Collocations, archives and ranked search by brute force."""
+import base64
+import glob
+import gzip
+import hashlib
 import math
 import random
 import re
@@ -8,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import bytewords, collocations, lexical_search
+from tessera.llm import archives, bytewords, collocations, lexical_search
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -141,3 +145,99 @@ def test_op13_skips_masks():
     chunk.scores = lambda docs, weight: scored.extend(docs) or real(docs, weight)
     docs, scores = chunk.top({0: 10, 1: 900, 2: 800}, np.zeros(3, np.int64), 10)
     assert docs.tolist() == list(range(10)) and len(set(scores.tolist())) == 1 and len(scored) < 200
+
+
+QUOTED = "before\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:0>\r\nContent-Length: 2\r\n\r\nab"
+PAGES = "page_id long, url string, html string, type string, digest string, n long, value string"
+
+
+def page_rows():
+    long_page = "<p>é</p>\r\n" * 30000
+    pages = [(1, "http://a.org/x", "one"), (2, "http://a.org/y", "one"), (3, None, "one"), (4, "http://b.org/ \r\nX: y", None),
+             (5, "http://b.org", ""), (6, "u", QUOTED), (7, "u", QUOTED + "\r\n"), (8, "u", QUOTED), (9, "u", "\r\n\r\n"),
+             (10, "u", "\r\n\r\nWARC/1."), (11, "u", "WARC/1.1\r\n"), (12, "u", long_page), (12, "u", long_page), (13, "v", "rep"),
+             (13, "v", "rep"), (13, "v", "rep"), (13, "w", "rep"), (13, None, "rep"), (None, "n", "rep"), (None, "n", "alone"),
+             (None, None, "alone"), (None, "only", "single")]
+    return [(*p, "t", "d", 0, "v") for p in pages]
+
+
+def brute_pages(rows, least=0):
+    out = []
+    newest = {}
+    for k, (page_id, url, html, *_) in enumerate(rows):
+        at = (page_id is not None, page_id or 0, url is not None, url or "", k)
+        newest[html or ""] = max(newest.get(html or "", at), at)
+    for k, (page_id, _, html, *_) in enumerate(rows):
+        body = (html or "").encode()
+        top = newest[html or ""]
+        first = k == top[-1] or len(body) < least
+        out.append((page_id, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "response" if first else "revisit",
+                    None if first or not top[0] else top[1]))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("least", [0, 4])
+def test_op12_edges(spark, least):
+    rows = page_rows()
+    df = spark.createDataFrame(rows, PAGES).repartition(3)
+    got = archives.archive_report(df, least)
+    assert Counter(tuple(r) for r in got.collect()) == brute_pages(rows, least)
+    assert got.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert archives.archive_report(df.limit(0)).collect() == []
+
+
+def test_op12_files_are_warc(spark, tmp_path):
+    """The files fall into records by Content-Length alone, each behind the last."""
+    rows = page_rows()
+    path = str(tmp_path / "w")
+    archives.write_archives(spark.createDataFrame(rows, PAGES).repartition(2), path)
+    kinds, ids = Counter(), []
+    for f in glob.glob(path + "/*.gz"):
+        data = gzip.open(f).read()
+        at = 0
+        while at < len(data):
+            head, _, _ = data[at:].partition(b"\r\n\r\n")
+            lines = head.split(b"\r\n")
+            assert lines[0] == b"WARC/1.1"
+            fields = dict(x.split(b": ", 1) for x in lines[1:])
+            at += len(head) + 4 + int(fields[b"Content-Length"])
+            assert data[at : at + 4] == b"\r\n\r\n"
+            at += 4
+            kinds[fields[b"WARC-Type"]] += 1
+            ids.append(fields[b"WARC-Record-ID"])
+    n = len({r[2] or "" for r in rows})
+    assert kinds == {b"request": len(rows), b"metadata": len(rows), b"response": n, b"revisit": len(rows) - n}
+    assert len(set(ids)) == len(ids)
+    whole = archives.captures(archives.read_archives(spark, path)).collect()
+    bodies = Counter(bytes(r["response"]["payload"]).decode() for r in whole if r["type"] == "response")
+    assert bodies == Counter({r[2] or "" for r in rows})
+    assert all(r["request"]["record_id"] and r["metadata"]["record_id"] for r in whole)
+    assert {r["target_uri"] for r in whole if r["metadata"]["fields"].get("page") == "4"} == {"http://b.org/%20%20%20X:%20y"}
+
+
+def test_op12_foreign_archives(spark, tmp_path):
+    """Records linked from the response's side, incomplete and damaged ones."""
+    def record(kind, own, body=b"", **fields):
+        lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: {own}", *[f"{k.replace('_', '-')}: {v}" for k, v in fields.items()]]
+        return ("WARC/1.0\r\n" + "\r\n".join(lines) + f"\r\nContent-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n"
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nbody\xff"
+    good = [record("warcinfo", "w", b"software: y"), record("request", "q", b"GET /", WARC_Concurrent_To="z"),
+            record("response", "r", http, WARC_Concurrent_To="q", Content_Type="application/http; msgtype=response"),
+            record("resource", "s", b"img"), record("metadata", "m2", b"a: 1", WARC_Concurrent_To="r", Content_Type="application/warc-fields"),
+            record("metadata", "m1", b"a: 2", WARC_Concurrent_To="r", Content_Type="application/warc-fields")]
+    def reads(name, parts):
+        (tmp_path / name).mkdir()
+        with open(tmp_path / name / "a.warc.gz", "wb") as f:
+            for p in parts:      # a member for each record, as crawlers write
+                f.write(gzip.compress(p))
+        return archives.read_archives(spark, str(tmp_path / name))
+    got = {r["record_id"]: r for r in archives.captures(reads("good", good)).collect()}
+    assert set(got) == {"r", "s"} and got["s"]["request"] is None and got["s"]["metadata"] is None
+    assert got["r"]["request"]["record_id"] == "q" and got["r"]["metadata"]["fields"] == {"a": "2"}
+    assert bytes(got["r"]["response"]["payload"]) == b"body\xff" and got["r"]["response"]["fields"] == {"server": "x"}
+    cut = [good[0], good[2][:-12]]
+    long = [good[0], good[2][:-4] + b"more" + good[2][-4:]]
+    bad = [record("response", "r", http, Content_Type="application/http", WARC_Payload_Digest="sha1:AAAA")]
+    for name, parts in (("cut", cut), ("long", long), ("bad", bad)):
+        with pytest.raises(Exception, match="ends inside|longer than|unlike"):
+            reads(name, parts).collect()
