@@ -5,10 +5,9 @@ revisit, where another capture holds the same payload) and metadata; request and
 metadata name the capture's record in WARC-Concurrent-To.  ``write_archives``
 composes records as text columns and lets Spark's text writer lay them into
 gzip files, with the blank lines that end a record as line separator.
-``read_archives`` lets Spark's text reader cut the files behind every record end
-that precedes a version line, and puts a record together again where its payload
-holds such a place itself (Content-Length decides); a file is streamed, so memory
-is bounded by a record.  ``captures`` joins the records by their identifiers, in
+``read_archives`` lets Spark's text reader cut the files at version lines, and puts
+a record together again where its payload holds such a line itself
+(Content-Length decides); a file is streamed, so memory is bounded by a record.  ``captures`` joins the records by their identifiers, in
 whichever direction a crawler wrote them, into one nested row per capture.
 
 Of the pages with equal payloads the one with the largest page_id (then the
@@ -44,7 +43,9 @@ MIN_REVISIT_BYTES = 0
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
-MARK = f"{END}WARC/1."
+#: where the reader cuts: no part of it is a beginning of it, so that a reader
+#: that works buffer by buffer finds every one
+MARK = "\nWARC/1."
 
 PAYLOAD = ["digest", "n", "x"]
 

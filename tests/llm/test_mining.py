@@ -178,7 +178,8 @@ def brute_pages(rows, least=0):
 
 @pytest.mark.parametrize("least", [0, 4])
 def test_op12_edges(spark, least):
-    rows = page_rows()
+    # more pages than a reader's buffer holds, so that version lines cross its ends
+    rows = page_rows() + [(100 + i, "u" * (i % 50), "p" * (i % 97), "t", "d", 0, "v") for i in range(3000)]
     df = spark.createDataFrame(rows, PAGES).repartition(3)
     got = archives.archive_report(df, least)
     assert Counter(tuple(r) for r in got.collect()) == brute_pages(rows, least)
