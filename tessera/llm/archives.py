@@ -247,7 +247,9 @@ def archive_report(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES)
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     try:
         write_archives(pages, path, min_revisit_bytes)
-        found = cut_lineage(captures(read_archives(spark, path, payloads=False)).select(
+        # written once: the assembly reads the records from three sides
+        records = cut_lineage(read_archives(spark, path, payloads=False))
+        found = cut_lineage(captures(records).select(
             "record_id", "type", F.col("metadata.fields")["page"].cast("long").alias("page_id"),
             "response.payload_bytes", "response.payload_digest", "response.refers_to"))
     finally:

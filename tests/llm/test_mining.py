@@ -155,7 +155,7 @@ def page_rows():
     long_page = "<p>é</p>\r\n" * 30000
     pages = [(1, "http://a.org/x", "one"), (2, "http://a.org/y", "one"), (3, None, "one"), (4, "http://b.org/ \r\nX: y", None),
              (5, "http://b.org", ""), (6, "u", QUOTED), (7, "u", QUOTED + "\r\n"), (8, "u", QUOTED), (9, "u", "\r\n\r\n"),
-             (10, "u", "\r\n\r\nWARC/1."), (11, "u", "WARC/1.1\r\n"), (12, "u", long_page), (12, "u", long_page), (13, "v", "rep"),
+             (10, "u", "\r\n\r\nWARC/1."), (20, "u", "\nWARC/1." * 9), (11, "u", "WARC/1.1\r\n"), (12, "u", long_page), (12, "u", long_page), (13, "v", "rep"),
              (13, "v", "rep"), (13, "v", "rep"), (13, "w", "rep"), (13, None, "rep"), (None, "n", "rep"), (None, "n", "alone"),
              (None, None, "alone"), (None, "only", "single")]
     return [(*p, "t", "d", 0, "v") for p in pages]
