@@ -19,9 +19,9 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tessera.functions.exprs import c
+from tessera.operators import knn
 from tessera.operators import metrics as M
 from tessera.session import cut_lineage
 
@@ -248,80 +248,11 @@ def gaussian_nb_predict(df: DataFrame, model: dict, features: Sequence[str], kee
 # ---- exact k nearest neighbours ---------------------------------------------------
 
 def knn_exact(train: DataFrame, test: DataFrame, vec: str, key: str, label: str, k: int = 5,
-              block_rows: int = 20000, max_distances: int = 1 << 24) -> DataFrame:
+              block_rows: int = 2048, part_rows: int = knn.PART_ROWS, max_distances: int = knn.MAX_DISTANCES) -> DataFrame:
     """Exact kNN (squared L2, ties by train key, majority vote, vote ties ->
-    smallest class).
-
-    Block nested loop: test rows are cut into ``Tb`` blocks and train rows into
-    ``C`` chunks (sizes from two counts); each (block, chunk) cell is one
-    cogroup handled with NumPy, which keeps the k best train rows per test row.
-    A test row then has at most k x C candidates, merged by a small window.
-    A cell holds about ``block_rows`` rows of either side (they are dealt by a
-    hash).  ``share`` is the winning class's share of the k votes.
-    """
-    n_train, n_test = train.count(), test.count()
-    C = max(1, math.ceil(n_train / block_rows))
-    Tb = max(1, math.ceil(n_test / block_rows))
-    tr = train.select(F.col(key).alias("tid"), F.col(vec).alias("tv"), F.col(label).alias("tl")).withColumn(
-        "c", F.pmod(F.xxhash64("tid"), F.lit(C))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(Tb - 1))))
-    te = test.select(F.col(key).alias("qid"), F.col(vec).alias("qv")).withColumn(
-        "b", F.pmod(F.xxhash64("qid"), F.lit(Tb))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(C - 1))))
-    out_schema = StructType([StructField("qid", LongType()), StructField("tid", LongType()),
-                             StructField("tl", LongType()), StructField("d", DoubleType())])
-
-    def cell(qpdf, tpdf):
-        import pandas as pd
-
-        cols = ["qid", "tid", "tl", "d"]
-        if len(qpdf) == 0 or len(tpdf) == 0:
-            return pd.DataFrame({c: [] for c in cols})
-        T = np.stack(tpdf["tv"].to_numpy()).astype(np.float64)
-        tid = tpdf["tid"].to_numpy().astype(np.int64)
-        tl = tpdf["tl"].to_numpy().astype(np.int64)
-        # centred on the cell, so that far-off coordinates do not cancel in the
-        # expanded square; the distances kept are differences of the vectors
-        centre = T.mean(axis=0)
-        near = T - centre
-        t2 = (near * near).sum(1)
-        kk = min(k, T.shape[0])
-        # query rows in sub-batches: at most ~16M distances (128 MB) at a time
-        step = max(1, max_distances // T.shape[0])
-        parts = []
-        for lo in range(0, len(qpdf), step):
-            q = qpdf.iloc[lo:lo + step]
-            Q = np.stack(q["qv"].to_numpy()).astype(np.float64)
-            P = Q - centre
-            p2 = (P * P).sum(1)
-            d = p2[:, None] - 2 * P @ near.T + t2[None, :]
-            # every train row that may tie with the k-th distance stays a
-            # candidate; (exact distance, train key) order picks exactly k
-            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-            slack = 1e-9 * (p2 + t2.max())
-            r, j = np.nonzero(d <= (kth + slack)[:, None])
-            exact = np.empty(len(r))
-            for a in range(0, len(r), 1 << 16):
-                diff = Q[r[a:a + (1 << 16)]] - T[j[a:a + (1 << 16)]]
-                exact[a:a + (1 << 16)] = (diff * diff).sum(1)
-            order = np.lexsort((tid[j], exact, r))
-            r, j, exact = r[order], j[order], exact[order]
-            starts = np.r_[0, np.flatnonzero(np.diff(r)) + 1]
-            rank = np.arange(len(r)) - np.repeat(starts, np.diff(np.r_[starts, len(r)]))
-            keep = rank < kk
-            r, j, exact = r[keep], j[keep], exact[keep]
-            parts.append(pd.DataFrame({"qid": q["qid"].to_numpy()[r].astype(np.int64), "tid": tid[j],
-                                       "tl": tl[j], "d": exact}))
-        return pd.concat(parts, ignore_index=True)
-
-    cand = te.groupBy("b", "c").cogroup(tr.groupBy("b", "c")).applyInPandas(cell, out_schema)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("qid").orderBy("d", "tid")
-    nn = cand.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-    votes = nn.groupBy("qid", "tl").agg(F.count("*").alias("n"))
-    wv = Window.partitionBy("qid").orderBy(F.desc("n"), "tl")
-    all_votes = F.sum("n").over(Window.partitionBy("qid"))
-    return votes.withColumn("r", F.row_number().over(wv)).withColumn("share", F.col("n") / all_votes).where(
-        F.col("r") == 1).select(F.col("qid").alias(key), F.col("tl").cast("int").alias("pred"), "share")
+    smallest class) over a metric index; ``share`` is the winning class's share
+    of the k votes."""
+    return knn.classify(knn.nearest(train, test, vec, key, label, k, block_rows, part_rows, max_distances), key)
 
 
 def model_facts(model, feature_names: Sequence[str]) -> list[tuple[str, str]]:

@@ -173,6 +173,32 @@ def knn_exact(spark, sf_dir):
     return ML.knn_exact(train, test, "px", "id", "label", k=5)
 
 
+_LEVELS_SQL = "SELECT LIST({0} ORDER BY {0}) AS {1} FROM (SELECT DISTINCT {0} FROM P WHERE key % 5 <> 0 AND {0} IS NOT NULL)"
+
+
+@plan("ml_knn_prospects", uses=("P",), sql=f"""
+WITH st AS (SELECT AVG(o_totalprice) AS m0, STDDEV_POP(o_totalprice) AS s0, AVG(c_acctbal) AS m1, STDDEV_POP(c_acctbal) AS s1
+            FROM P WHERE key % 5 <> 0),
+lv AS (SELECT * FROM ({_LEVELS_SQL.format("o_orderpriority", "a")}), ({_LEVELS_SQL.format("c_mktsegment", "b")})),
+v AS (SELECT key, y, LIST_CONCAT([(o_totalprice - m0) / s0, (c_acctbal - m1) / s1],
+             [CAST(o_orderpriority IS NOT DISTINCT FROM x AS DOUBLE) FOR x IN a[2:]] ||
+             [CAST(c_mktsegment IS NOT DISTINCT FROM x AS DOUBLE) FOR x IN b[2:]]) AS px FROM P, st, lv),
+d AS (SELECT te.key AS qid, tr.key AS tid, tr.y AS tl, LIST_DISTANCE(te.px, tr.px) AS d
+      FROM v te JOIN v tr ON te.key % 5 = 0 AND tr.key % 5 <> 0),
+nn AS (SELECT qid, UNNEST(ARG_MIN(tl, (d, tid), 5)) AS tl FROM d GROUP BY qid),
+c AS (SELECT qid, tl, COUNT(*) AS n FROM nn GROUP BY qid, tl),
+w AS (SELECT qid, tl, n, ROW_NUMBER() OVER (PARTITION BY qid ORDER BY n DESC, tl) AS r FROM c)
+SELECT qid AS key, CAST(tl AS INT) AS pred, n / 5.0::DOUBLE AS share FROM w WHERE r = 1""")
+def ml_knn_prospects(spark, sf_dir):
+    """kNN over the encoded, scaled prospects: every test row against the index
+    of the training rows."""
+    p = SI.prospects(spark, sf_dir)
+    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
+    enc = FE.encode(p, spec, keep=["key", "y"])
+    rows = cut_lineage(enc.select("key", "y", F.array(*[F.col(f"`{f}`").cast("double") for f in spec.features]).alias("v")))
+    return ML.knn_exact(rows.where("key % 5 <> 0"), rows.where("key % 5 = 0"), "v", "key", "y", k=5)
+
+
 @plan("ml_svm_rbf_approx")
 def ml_svm_rbf_approx(spark, sf_dir):
     p = SI.prospects(spark, sf_dir)
