@@ -17,9 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.exprs import c, safe_corr
-from tessera.operators.features import bounded_broadcast
-from tessera.operators.prefix import running_totals
-from tessera.session import cut_lineage
+from tessera.operators.quantiles import exact_quantiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                  T.DecimalType)
@@ -74,61 +72,17 @@ def long_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         [], [c(x) for x in cols], "column", "value")
 
 
-def value_counts_table(long: DataFrame, group: str = "column", value: str = "value") -> DataFrame:
-    """(group, value, cnt) for the non-null values, written once to the
-    checkpoint folder: every statistic below is computed from it, so the
-    source is scanned once."""
-    counts = long.where(F.col(value).isNotNull()).groupBy(
-        group, (F.col(value) + 0.0).alias(value)).agg(F.count("*").alias("cnt"))
-    return cut_lineage(counts)
-
-
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group: str = "column",
-                          value: str = "value") -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas / ``quantile_cont``)
-    per group, without holding a group's values in one task.
-
-    Distinct (group, value) counts get a distributed running count; the value
-    at rank r is the one whose cumulative range covers r.  ``h = (n-1) q``,
-    result ``v[floor h] + (v[ceil h] - v[floor h]) (h - floor h)``.
-    """
-    cum = running_totals(counts, [value], ["cnt"], partition_by=[group])
-    tot = counts.groupBy(group).agg(F.sum("cnt").alias("__n"))
-    # one total per column: checked and sent to the rows, which stay where they are
-    j = cum.join(bounded_broadcast(tot), group)
-    lo_rank = F.col("cum_cnt") - F.col("cnt")       # first 0-based rank held by this value
-    hi_rank = F.col("cum_cnt") - 1
-    aggs = []
-    for i, q in enumerate(probs):
-        h = (F.col("__n") - 1) * F.lit(float(q))
-        r_lo, r_hi = F.floor(h), F.ceil(h)
-        aggs += [
-            F.max(F.when((lo_rank <= r_lo) & (r_lo <= hi_rank), F.col(value))).alias(f"__lo{i}"),
-            F.max(F.when((lo_rank <= r_hi) & (r_hi <= hi_rank), F.col(value))).alias(f"__hi{i}"),
-            F.max(h - r_lo).alias(f"__fr{i}"),
-        ]
-    a = j.groupBy(group).agg(*aggs)
-    return a.select(group, *[
-        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__fr{i}")).alias(f"q{i}")
-        for i in range(len(probs))])
-
-
-def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "column",
-                    value: str = "value") -> DataFrame:
-    return quantiles_from_counts(value_counts_table(long, group, value), probs, group, value)
-
-
 def describe(df: DataFrame, cols: Sequence[str] | None = None, decimals: int | None = 6) -> DataFrame:
     """``df.describe().T``: column, count, mean, std (n-1), min, p25, p50, p75, max.
 
     Moments are one partial aggregation over the (column-pruned) source;
-    quantiles come from the written distinct-value counts."""
+    quantiles are selected exactly (``quantiles.exact_quantiles``)."""
     long = long_numeric(df, cols)
     stats = long.groupBy("column").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    qs = quantiles_from_counts(value_counts_table(long), [0.25, 0.5, 0.75]).select(
+    qs = exact_quantiles(long, [0.25, 0.5, 0.75]).select(
         "column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
     out = stats.join(qs, "column", "left")
     r = (lambda x: F.round(F.col(x), decimals)) if decimals is not None else F.col
@@ -136,19 +90,6 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, decimals: int | N
                                            ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
-def describe_approx(df: DataFrame, cols: Sequence[str] | None = None, accuracy: int = 10000
-                    ) -> DataFrame:
-    """Same shape with ``percentile_approx`` (one pass, bounded memory)."""
-    long = long_numeric(df, cols)
-    return long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.percentile_approx("value", [0.25, 0.5, 0.75], accuracy).alias("q"),
-        F.max("value").alias("max")).select(
-        "column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"),
-        F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max")
-
-
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Frequency per value, null excluded, count descending then value."""
     return df.where(c(col).isNotNull()).groupBy(c(col).alias(col)).agg(

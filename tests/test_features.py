@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import features as FE
-from tessera.operators.profile import describe, exact_quantiles, histogram, long_numeric
+from tessera.operators.profile import describe, histogram, long_numeric
+from tessera.operators.quantiles import exact_quantiles
 from tessera.operators.rules import check_rules
 
 
@@ -89,14 +90,44 @@ def test_top_k_per_group_two_phase(spark):
     assert sorted(got["rank"]) == [1, 1, 2, 2, 3, 3]
 
 
-def test_split_valid_and_approx_describe(spark):
-    from tessera.operators.profile import describe_approx
+def test_split_valid(spark):
     from tessera.operators.rules import split_valid
 
     df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "k int, a double")
     ok, bad = split_valid(df, [("a", "range", (0.0, 10.0))])
     assert [r["k"] for r in ok.collect()] == [1]
     assert sorted(r["k"] for r in bad.collect()) == [2, 3]
-    nums = spark.range(1, 1001).selectExpr("cast(id as double) as x")
-    d = describe_approx(nums, ["x"]).first()
-    assert d["count"] == 1000 and abs(d["p50"] - 500.5) <= 2
+
+
+def test_quantiles_by_selection(spark):
+    """Ties, several groups, nulls, and brackets narrowed over several rounds."""
+    import numpy as np
+
+    from tessera.operators import quantiles as Q
+
+    rng = np.random.default_rng(12)
+    n = 40_000
+    cols = {"ties": rng.integers(0, 5, n).astype(float), "wide": rng.normal(size=n) * 1e6,
+            "half": np.where(rng.random(n) < 0.5, 7.0, rng.normal(size=n)), "edge": np.repeat([1.0, 2.0], n // 2),
+            "signed": rng.choice([0.0, -0.0, 1.0], n), "few": np.r_[rng.normal(size=3), np.full(n - 3, np.nan)]}
+    import pandas as pd
+    long = spark.createDataFrame(pd.DataFrame({"column": np.repeat(list(cols), n), "value": np.concatenate(list(cols.values()))}))
+    long = long.withColumn("value", F.nanvl("value", F.lit(None).cast("double"))).repartition(6)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for limit in (1 << 16, 30):
+        got = {r["column"]: r for r in Q.exact_quantiles(long, probs, limit=limit).collect()}
+        for name, values in cols.items():
+            want = np.quantile(values[~np.isnan(values)], probs)
+            assert [got[name][f"q{i}"] for i in range(len(probs))] == pytest.approx(list(want), rel=1e-12, abs=1e-12), (name, limit)
+        assert not any(np.signbit(got["signed"][f"q{i}"]) for i in range(len(probs)))
+
+
+def test_quantile_brackets_are_small(spark):
+    from tessera.operators import quantiles as Q
+
+    rows = spark.range(300_000).selectExpr("'x' AS column", "CAST(hash(id) AS DOUBLE) AS value")
+    found = Q.brackets(rows, [0.25, 0.5, 0.75], "column", limit=500).collect()
+    for r in found:
+        inside = rows.where((F.col("value") >= r["lo"]) & (F.col("value") <= r["hi"])).count()
+        assert 0 < inside <= 502 and r["n"] == 300_000
+    assert Q.exact_quantiles(rows.limit(0), [0.5]).collect() == []
