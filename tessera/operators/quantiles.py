@@ -9,9 +9,10 @@ the table's size, and nothing is written per distinct value.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.features import bounded_broadcast
@@ -19,7 +20,7 @@ from tessera.session import cut_lineage
 
 #: steps of the grid of sketched quantiles, and the sketch's accuracy (ranks
 #: are off by n / ACCURACY at most)
-GRID, ACCURACY = 4096, 1 << 14
+GRID, ACCURACY = 1024, 1 << 12
 #: rows a bracket may hold for the counting pass, besides those of its ends
 LIMIT = 1 << 16
 
@@ -34,17 +35,17 @@ def _narrowed(stats: DataFrame, group: str) -> DataFrame:
     rows between the new ends."""
     h = (F.col("n") - 1) * F.col("prob")
     at = lambda r: (r - F.col("below")) / F.col("inside") * GRID
-    # a step of the grid is four times the sketch's error; few rows stay as they are
-    low = F.greatest(F.floor(at(F.floor(h))) - 2, F.lit(0)).cast("int")
-    high = F.least(F.ceil(at(F.ceil(h) + 1)) + 2, F.lit(GRID)).cast("int")
-    few = F.col("inside") <= ACCURACY
-    end = lambda i: F.when(few, F.col("grid")[0 if i is low else GRID]).otherwise(F.get("grid", i))
-    size = F.when(few, F.col("inside")).otherwise(F.ceil((high - low + 1) / GRID * F.col("inside")))
-    return stats.select(group, "n", "prob", end(low).alias("lo"), end(high).alias("hi"), size.cast("long").alias("size"))
+    # a step of the grid is four times the sketch's error; two ranks more where
+    # a step is less than one
+    low = F.greatest(F.floor(at(F.floor(h) - 2)) - 2, F.lit(0)).cast("int")
+    high = F.least(F.ceil(at(F.ceil(h) + 3)) + 2, F.lit(GRID)).cast("int")
+    size = F.ceil((high - low + 1) / GRID * F.col("inside"))
+    return stats.select(group, "n", "prob", F.get("grid", low).alias("lo"), F.get("grid", high).alias("hi"), size.cast("long").alias("size"))
 
 
 def brackets(rows: DataFrame, probs: Sequence[float], group: str, limit: int) -> DataFrame:
-    """One row per group and target: the ends of a bracket with few rows inside."""
+    """One row per group and target: the ends of a bracket with at most ``limit``
+    (20 or more) rows inside."""
     first = rows.groupBy(group).agg(F.count("*").alias("n"), _sketch()).select(
         "*", F.lit(0).alias("below"), F.col("n").alias("inside"),
         F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
@@ -81,14 +82,16 @@ def exact_quantiles(long: DataFrame, probs: Sequence[float], group: str = "colum
     A group without values has no row."""
     rows = long.where(F.col(value).isNotNull()).select(group, (F.col(value) + 0.0).alias("value"))
     found = brackets(rows, probs, group, limit)
-    # per group: the targets' brackets in one array
-    ends = found.groupBy(group).agg(F.max("n").alias("n"), F.collect_list(F.struct("lo", "hi")).alias("ends"))
+    # per group: the ends of the targets' brackets, side by side
+    ends = found.groupBy(group).agg(F.max("n").alias("n"), *[
+        F.max(F.when(F.col("prob") == float(p), F.col(x))).alias(f"{x}{i}") for i, p in enumerate(probs) for x in ("lo", "hi")])
     # the place of a row: how many brackets end below it, then its value where it
     # lies in one; rows between brackets only count
-    zone = F.aggregate("ends", F.lit(0), lambda a, e: a + (e["hi"] < F.col("value")).cast("int"))
-    inside = F.exists("ends", lambda e: (e["lo"] <= F.col("value")) & (F.col("value") <= e["hi"]))
+    v, each = F.col("value"), range(len(probs))
+    zone = functools.reduce(Column.__add__, [(F.col(f"hi{i}") < v).cast("int") for i in each])
+    inside = functools.reduce(Column.__or__, [(F.col(f"lo{i}") <= v) & (v <= F.col(f"hi{i}")) for i in each])
     counts = rows.join(bounded_broadcast(ends), group).groupBy(
-        group, "n", zone.alias("zone"), F.when(inside, F.col("value")).alias("value")).agg(F.count("*").alias("cnt"))
+        group, "n", zone.alias("zone"), F.when(inside, v).alias("value")).agg(F.count("*").alias("cnt"))
     # at most LIMIT rows and a few for each target
     upto = F.sum("cnt").over(Window.partitionBy(group).orderBy("zone", F.asc_nulls_first("value")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow))
