@@ -42,7 +42,7 @@ def stream_prediction_counts(spark, sf_dir):
     ev = ST.file_stream(spark, sf_dir, "events")
     pred = (F.col("value") / 500 >= 0.5).cast("int")
     counts = ST.daily_prediction_counts(ev, pred)
-    return ST.run_to_parquet(counts, spark, "daily-counts", mode="complete")
+    return ST.run_windowed(counts, spark, "daily-counts", ["day", "prediction"]).table()
 
 
 @plan("stream_auc_binned", sql=f"""
@@ -57,6 +57,6 @@ SELECT day, ROUND(SUM(pos * (below + neg / 2.0)) / NULLIF(SUM(pos) * SUM(neg), 0
 def stream_auc_binned(spark, sf_dir):
     ev = ST.file_stream(spark, sf_dir, "events")
     counts = ST.windowed_bucket_counts(ev, F.col("value") / 500, F.col("event_type") == POSITIVE_EVENT)
-    state = ST.run_to_parquet(counts, spark, "bucket-counts", mode="complete")
+    state = ST.run_windowed(counts, spark, "bucket-counts", ["day", "bucket"]).table()
     auc = auc_from_bucket_counts(state, by=["day"])
     return auc.select("day", F.round("auc", 6).alias("auc"), "n_pos", "n_neg")

@@ -89,15 +89,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tessera-cut/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    if not _CUT_TABLES:
-        atexit.register(release_cut_tables, spark)
-    _CUT_TABLES.append(path)
+    released_at_exit(spark, path)
     # the written schema is known: no job to infer it
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
 
 
+def released_at_exit(spark: SparkSession, path: str) -> str:
+    """Note ``path`` to be deleted when the process ends."""
+    if not _CUT_TABLES:
+        atexit.register(release_cut_tables, spark)
+    _CUT_TABLES.append(path)
+    return path
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder of any file system Spark knows."""
     jvm = spark.sparkContext._jvm

@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.functions.exprs import c
-from tessera.session import cut_lineage, ensure_checkpoint_dir
+from tessera.session import cut_lineage, ensure_checkpoint_dir, released_at_exit
 
 # Delimiters tried by the sniffer, most likely first.
 SNIFF_DELIMITERS = [",", ";", "\t", "|"]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint directory."""
+    """The path of a fresh folder under the session's shared checkpoint directory;
+    what is written there goes when the process ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tessera-io/{name}-{uuid.uuid4().hex[:12]}"
+    return released_at_exit(spark, f"{base}/tessera-io/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def _fs_path(spark: SparkSession, path: str):
@@ -42,6 +43,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return bool(fs.getFileStatus(p).isDirectory())
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none where it does not exist."""
+    fs, p = _fs_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
+
+
 #: column that holds the text of a row which does not fit the schema
 REJECTED = "_rejected"
 

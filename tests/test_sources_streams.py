@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.sources import files as FS
@@ -55,19 +56,71 @@ def test_checkpoint_dir_comes_from_session(spark):
     assert FS.scratch_path(spark, "x").startswith(d.rstrip("/"))
 
 
-def test_append_mode_holds_back_the_open_window(spark):
-    ev = ST.file_stream(spark, SF, "events")
+def test_append_holds_back_the_open_window_and_update_does_not(spark):
     pred = (F.col("value") / 500 >= 0.5).cast("int")
-    complete = ST.run_to_parquet(ST.daily_prediction_counts(ev, pred), spark, "t-complete", "complete")
-    ev2 = ST.file_stream(spark, SF, "events")
-    append = ST.run_to_parquet(ST.daily_prediction_counts(ev2, pred), spark, "t-append", "append")
-    # complete mode = the batch result; append mode only emits windows the
-    # watermark has passed
+    counts = lambda: ST.daily_prediction_counts(ST.file_stream(spark, SF, "events"), pred)
+    update = ST.run_windowed(counts(), spark, "t-update", ["day", "prediction"]).table()
+    append = ST.run_to_parquet(counts(), spark, "t-append")
     batch = spark.read.parquet(os.path.join(SF, "events.parquet")).groupBy(
-        F.to_date("ts").alias("day"), pred.alias("prediction")).count()
-    assert complete.count() == batch.count()
-    assert 0 < append.count() < complete.count()
-    assert append.agg(F.max("day")).first()[0] < complete.agg(F.max("day")).first()[0]
+        F.to_date("ts").alias("day"), pred.alias("prediction")).agg(F.count("*").alias("n"))
+    assert update.count() == batch.count() and update.exceptAll(batch.select(*update.columns)).count() == 0
+    assert 0 < append.count() < update.count()
+    assert append.agg(F.max("day")).first()[0] < update.agg(F.max("day")).first()[0]
+
+
+def day_counts(spark, folder):
+    """Counts per day of a folder of files, one file a batch."""
+    events = ST.file_stream(spark, os.path.dirname(folder), os.path.basename(folder).removesuffix(".parquet"), files_per_batch=1)
+    return ST.daily_prediction_counts(events, F.lit(1))
+
+
+def write_days(spark, folder, name, days):
+    import time
+
+    rows = [(f"2024-01-{d:02d} 10:00:00",) for d in days]
+    part = f"{folder}-{name}"
+    spark.createDataFrame(rows, "ts string").select(F.col("ts").cast("timestamp_ntz").alias("ts")).coalesce(1).write.parquet(part)
+    os.makedirs(folder, exist_ok=True)
+    (file,) = [f for f in os.listdir(part) if f.endswith(".parquet")]
+    os.rename(os.path.join(part, file), os.path.join(folder, f"{name}.parquet"))
+    time.sleep(0.02)     # files are read in the order of their times
+
+
+def test_state_is_evicted_and_late_rows_are_dropped(spark, tmp_path):
+    folder = str(tmp_path / "days.parquet")
+    write_days(spark, folder, "a", [1, 2, 2, 10])
+    write_days(spark, folder, "b", [9, 10, 11])
+    write_days(spark, folder, "c", [2, 20])      # the watermark stood at the 9th: the 2nd is late
+    run = ST.run_windowed(day_counts(spark, folder), spark, "t-evict", ["day", "prediction"])
+    got = {r["day"].day: r["n"] for r in run.table().collect()}
+    assert got == {1: 1, 2: 2, 9: 1, 10: 2, 11: 1, 20: 1}
+    state = [p["stateOperators"][0] for p in run.progress if p["stateOperators"]]
+    assert sum(s["numRowsDroppedByWatermark"] for s in state) == 1
+    assert state[-1]["numRowsTotal"] == 1 and max(s["numRowsTotal"] for s in state) > 2
+    # every batch wrote what it changed only
+    assert len(run.batches()) >= 3
+    first = spark.read.parquet(f"{run.path}/batch={run.batches()[0]}")
+    assert sorted(r["day"].day for r in first.collect()) == [1, 2, 10]
+
+
+def test_failed_write_keeps_the_last_result(spark, tmp_path):
+    folder = str(tmp_path / "days.parquet")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    write_days(spark, folder, "a", [1, 1, 2])
+    whole = ST.run_windowed(day_counts(spark, folder), spark, "t", ["day", "prediction"], out, checkpoint)
+    before = {tuple(r) for r in whole.table().collect()}
+    write_days(spark, folder, "b", [2, 3])
+
+    def fails(batch, path):
+        batch.write.mode("overwrite").parquet(path + "/part-of-it")
+        raise OSError("the disk is gone")
+
+    with pytest.raises(Exception, match="disk is gone"):
+        ST.run_windowed(day_counts(spark, folder), spark, "t", ["day", "prediction"], out, checkpoint, write=fails)
+    assert {tuple(r) for r in whole.table().collect()} == before
+    # the next run begins with the batch that failed
+    again = ST.run_windowed(day_counts(spark, folder), spark, "t", ["day", "prediction"], out, checkpoint)
+    assert {r["day"].day: r["n"] for r in again.table().collect()} == {1: 2, 2: 2, 3: 1}
 
 
 def test_path_helpers_and_weight_sharing(spark):
