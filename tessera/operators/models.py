@@ -10,17 +10,21 @@ checkpointed each round so the lineage stays short and survives executor loss.
 
 from __future__ import annotations
 
+import functools
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import c
+from tessera.functions.exprs import c, clip, safe_div
 from tessera.operators import knn
 from tessera.operators import metrics as M
 from tessera.session import cut_lineage
@@ -76,6 +80,73 @@ def results_frame(spark, rows: Sequence[dict]) -> DataFrame:
          for r in rows], RESULT_SCHEMA)
 
 
+# ---- many models and folds, one scored table ------------------------------------
+
+#: fits that run side by side; each is a series of small jobs
+PARALLEL_FITS = 4
+SCORED = "model string, fold int, key long, p double, pred int, y int"
+
+
+def margin(prediction: DataFrame) -> Column:
+    """The score that ranks a classifier's rows: the positive class's probability,
+    its margin where the model has none, or the column ``p`` it adds itself."""
+    if "p" in prediction.columns:
+        return F.col("p")
+    of = "probability" if "probability" in prediction.columns else "rawPrediction"
+    return F.element_at(vector_to_array(F.col(of)), 2)
+
+
+def score_folds(frame: DataFrame, candidates: Mapping[str, object], fold: str, folds: Sequence[int],
+                seconds: dict | None = None) -> DataFrame:
+    """Every candidate fitted without each fold and scored on it: one written table
+    of ``SCORED`` rows, whatever the number of models and folds.
+
+    A candidate is an estimator, or a function (training rows, rows) -> rows with
+    ``key``, ``label``, ``p`` and ``prediction``.  ``seconds`` takes the time of
+    each fit, by (model, fold)."""
+
+    def one(job: tuple) -> DataFrame:
+        (name, candidate), k = job
+        train, held = frame.where(F.col(fold) != k), frame.where(F.col(fold) == k)
+        t0 = time.time()
+        done = candidate(train, held) if callable(candidate) else candidate.fit(train).transform(held)
+        if seconds is not None:
+            seconds[name, k] = time.time() - t0
+        return done.select(F.lit(name).alias("model"), F.lit(k).cast("int").alias("fold"), F.col("key").cast("long").alias("key"),
+                           margin(done).cast("double").alias("p"), F.col("prediction").cast("int").alias("pred"),
+                           F.col("label").cast("int").alias("y"))
+
+    jobs = [(c_, k) for c_ in candidates.items() for k in folds]
+    with ThreadPool(PARALLEL_FITS) as pool:
+        parts = pool.map(inheritable_thread_target(frame.sparkSession)(one), jobs)
+    return cut_lineage(functools.reduce(DataFrame.unionAll, parts))
+
+
+def fold_metrics(scored: DataFrame) -> DataFrame:
+    """(model, fold, n, auc, f1, accuracy) of a table of scores, in one pass: rows
+    become counts per (model, fold, score, decision), the counts every metric."""
+    by = ["model", "fold"]
+    counts = cut_lineage(scored.groupBy(*by, (F.col("p") + F.lit(0.0)).alias("p"), "pred").agg(
+        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")))
+    auc = M.auc_from_score_counts(counts.where("p IS NOT NULL").groupBy(*by, "p").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")), "p", by).select(*by, "auc")
+    hit = F.col("pred") == 1
+    k = counts.groupBy(*by).agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"), F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"))
+    f1 = safe_div(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
+    right = F.try_divide(F.col("n") - F.col("fp") - F.col("fn"), F.col("n"))
+    return k.join(auc, by, "left").select(*by, "n", "auc", f1.alias("f1"), right.alias("accuracy"))
+
+
+def fold_summary(metrics: DataFrame, test_fold: int) -> DataFrame:
+    """Per model: mean and population deviation of AUC and F1 over the folds, and
+    both on the test fold."""
+    held, cv = F.col("fold") == test_fold, F.col("fold") != test_fold
+    aggs = [f(F.when(cv, F.col(m))).alias(f"cv_{m}_{s}") for m in ("auc", "f1") for f, s in ((F.avg, "mean"), (F.stddev_pop, "std"))]
+    return metrics.groupBy("model").agg(*aggs, *[F.max(F.when(held, F.col(m))).alias(f"test_{m}") for m in ("auc", "f1")])
+
+
 # ---- class balance for estimators without weightCol ---------------------------
 
 def balance_by_replication(df: DataFrame, label: str = "label") -> DataFrame:
@@ -85,6 +156,8 @@ def balance_by_replication(df: DataFrame, label: str = "label") -> DataFrame:
     rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    if not rows:
+        return df
     counts = {r[0]: r[1] for r in rows}
     top = max(counts.values())
     rep = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(round(top / n))))])
@@ -181,23 +254,55 @@ def adaboost(train: DataFrame, key: str, rounds: int = 10, seed: int = 7) -> tup
 
 # ---- random Fourier features (RBF kernel approximation) ----------------------
 
-def fourier_features(df: DataFrame, features: Sequence[str], n_components: int = 64,
-                     gamma: float = 0.1, seed: int = 11, keep: Sequence[str] = ()) -> DataFrame:
-    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi):
-    the projection (D x d numbers, from the seed) is folded in as literals."""
+def fourier_vector(x: Column, d: int, n_components: int = 64, gamma: float = 0.1, seed: int = 11) -> Column:
+    """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi), as a vector
+    of a feature array of ``d`` entries: the projection (D x d numbers, from the
+    seed) is folded in as literals."""
     from tessera.operators.images import dense
 
     rng = np.random.default_rng(seed)
-    d = len(features)
     Wm = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, d))
     bv = rng.uniform(0.0, 2 * math.pi, size=n_components)
-    x = F.array(*[c(f).cast("double") for f in features])
     # W x + b as one dense layer over the feature array (array functions keep
     # the generated code small whatever D is), then sqrt(2/D) cos(.)
-    z = dense(x, Wm.tolist(), bv.tolist())
     scale = math.sqrt(2.0 / n_components)
-    comps = F.transform(z, lambda v: F.lit(scale) * F.cos(v))
-    return df.select(*[c(k) for k in keep], array_to_vector(comps).alias("features"))
+    return array_to_vector(F.transform(dense(x, Wm.tolist(), bv.tolist()), lambda v: F.lit(scale) * F.cos(v)))
+
+
+def fourier_features(df: DataFrame, features: Sequence[str], n_components: int = 64,
+                     gamma: float = 0.1, seed: int = 11, keep: Sequence[str] = ()) -> DataFrame:
+    """``fourier_vector`` of feature columns."""
+    x = F.array(*[c(f).cast("double") for f in features])
+    return df.select(*[c(k) for k in keep], fourier_vector(x, len(features), n_components, gamma, seed).alias("features"))
+
+
+# ---- calibrated scores ---------------------------------------------------------
+
+def calibrate(scored: DataFrame, margin_col: str = "margin", label: str = "label"):
+    """Isotonic regression of the label on a margin: Spark pools adjacent violators
+    inside ranges of the margin, then the few steps that are left."""
+    return IsotonicRegression(featuresCol=margin_col, labelCol=label, predictionCol="p").fit(
+        scored.select(margin_col, label))
+
+
+def calibrated(model, scored: DataFrame) -> DataFrame:
+    """Rows with ``p``: the probability that belongs to their margin, never
+    decreasing in it."""
+    return model.transform(scored).withColumn("p", F.least(F.greatest(F.col("p"), F.lit(0.0)), F.lit(1.0)))
+
+
+def calibration(scored: DataFrame, bins: int = 10) -> DataFrame:
+    """One row (log_loss, brier, calibration_error) of probabilities ``p`` and
+    labels ``y``: the error is the mean distance of the bins' mean probability
+    and share of positives, weighted by rows."""
+    y, q = F.col("y").cast("double"), clip(F.col("p"))
+    loss = -(y * F.log(q) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - q))
+    per = scored.groupBy(M.bucket_of(F.col("p"), bins).alias("bin")).agg(
+        F.count("*").alias("n"), F.sum("p").alias("p"), F.sum(y).alias("y"), F.sum(loss).alias("loss"),
+        F.sum((F.col("p") - y) ** 2).alias("square"))
+    n = F.sum("n")
+    return per.agg(F.try_divide(F.sum("loss"), n).alias("log_loss"), F.try_divide(F.sum("square"), n).alias("brier"),
+                   F.try_divide(F.sum(F.abs(F.col("p") - F.col("y"))), n).alias("calibration_error"))
 
 
 # ---- Gaussian naive Bayes as expressions --------------------------------------
@@ -276,15 +381,3 @@ def model_facts(model, feature_names: Sequence[str]) -> list[tuple[str, str]]:
 def importances_rows(model, feature_names: Sequence[str], model_name: str) -> list[tuple]:
     imp = model.featureImportances.toArray()
     return [(feature_names[i], model_name, float(imp[i])) for i in range(len(feature_names))]
-
-
-def f1_from(pred: DataFrame) -> float:
-    k = M.binary_counts(pred.select(F.col("label").cast("int").alias("y"),
-                                    F.col("prediction").cast("int").alias("pred")), "y", "pred").first()
-    tp, fp, fn = k["tp"], k["fp"], k["fn"]
-    return 0.0 if 2 * tp + fp + fn == 0 else 2 * tp / (2 * tp + fp + fn)
-
-
-__all__ = ["assemble", "evaluate", "fit_and_evaluate", "results_frame", "balance_by_replication",
-           "bootstrap_weight", "bagged_trees_oob", "adaboost", "fourier_features",
-           "gaussian_nb_fit", "gaussian_nb_predict", "knn_exact", "model_facts", "importances_rows"]

@@ -8,10 +8,13 @@ exact kNN have DuckDB oracles.
 
 from __future__ import annotations
 
-import numpy as np
+import functools
+import time
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -24,14 +27,20 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import clip
 from tessera.operators import features as FE
+from tessera.operators import knn
 from tessera.operators import models as ML
+from tessera.operators import pipeline as PL
+from tessera.operators import staged as ST
 from tessera.operators.features import fit_spec
 from tessera.plans import standins as SI
 from tessera.plans.registry import plan
-from tessera.plans.scoring_plans import train_rows
+from tessera.operators.scoring import PRED_COL, PROBA_COL
+from tessera.plans.scoring_plans import COEF, INTERCEPT, SCORED_SQL, rounded_scores, train_rows
 from tessera.session import cut_lineage
 from tessera.sources import files as FS
+from tessera.sources.registry import ModelRegistry
 
 SEED = 42
 
@@ -254,10 +263,14 @@ def ml_mlp_top10(spark, sf_dir):
 def ml_mlp_images(spark, sf_dir):
     img = image_frame(spark, sf_dir)
     tr, te = split(img)
+    t0 = time.time()
     model = MultilayerPerceptronClassifier(layers=[64, 32, 10], maxIter=100, seed=SEED).fit(tr)
-    pred = model.transform(te)
-    acc = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
-    return acc.select(F.lit("MLP Base").alias("model"), F.round("accuracy", 4).alias("accuracy"))
+    seconds = time.time() - t0
+    pred = model.transform(te).select("prediction", "label", F.element_at(
+        vector_to_array("probability"), F.col("label").cast("int") + 1).alias("p"))
+    found = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"), F.avg(-F.log(clip(F.col("p")))).alias("loss"))
+    return found.select(F.lit("MLP Base").alias("model"), F.round("accuracy", 4).alias("accuracy"),
+                        F.round("loss", 4).alias("loss"), F.lit(round(seconds, 1)).alias("seconds"))
 
 
 @plan("ml_grid_search")
@@ -355,35 +368,160 @@ def ml_naive_bayes_moments(spark, sf_dir):
         "label", "feature", F.round("mean", 5).alias("mean"), F.round("variance", 5).alias("variance"))
 
 
+def _knn(train, rows):
+    """Share of positives among the five nearest training rows."""
+    vectors = lambda df: df.select("key", "label", vector_to_array("features").alias("v"))
+    near = knn.nearest(vectors(train), vectors(rows), "v", "key", "label", 5)
+    share = near.groupBy(F.col("qid").alias("key")).agg(F.avg("tl").alias("p"))
+    return rows.select("key", "label").join(share, "key").withColumn("prediction", (F.col("p") > 0.5).cast("double"))
+
+
+def _adaboost(train, rows):
+    _, score = ML.adaboost(train, "key", rounds=10, seed=SEED)
+    return rows.select("key", "label", vector_to_array("features").alias("x")).select(
+        "key", "label", score.alias("p")).withColumn("prediction", (F.col("p") > 0).cast("double"))
+
+
+def _network(train, rows):
+    size = train.select(F.size(vector_to_array("features"))).first()[0]
+    est = MultilayerPerceptronClassifier(layers=[size, 16, 2], maxIter=30, seed=SEED, blockSize=128)
+    return est.fit(ML.balance_by_replication(train, "label")).transform(rows)
+
+
+def _kernel(df):
+    size = df.select(F.size(vector_to_array("features"))).first()[0]
+    return df.withColumn("features", ML.fourier_vector(vector_to_array("features"), size, 64, 0.1, SEED))
+
+
+def _svm(train, rows):
+    """A linear machine on Fourier features; its margin calibrated on a fourth of
+    the training rows that it has not seen."""
+    fit, held = train.where(F.col("key") % 4 != 1), train.where(F.col("key") % 4 == 1)
+    svc = LinearSVC(weightCol="weight", maxIter=15, regParam=0.01).fit(_kernel(fit))
+    margins = lambda df: svc.transform(_kernel(df)).withColumn(
+        "margin", F.element_at(vector_to_array("rawPrediction"), 2)).drop("probability", "rawPrediction")
+    return ML.calibrated(ML.calibrate(margins(held)), margins(rows))
+
+
 def _candidates():
     """The classifiers of the common leaderboard."""
     return {
         "Logistic Regression": LogisticRegression(weightCol="weight", maxIter=30),
         "CART": DecisionTreeClassifier(weightCol="weight", seed=SEED),
         "Random Forest": RandomForestClassifier(weightCol="weight", numTrees=20, seed=SEED),
+        "Bagging": RandomForestClassifier(weightCol="weight", numTrees=10, featureSubsetStrategy="all", seed=SEED),
         "Gradient Boosting": GBTClassifier(weightCol="weight", maxIter=10, seed=SEED),
+        "AdaBoost": _adaboost,
         "Naive Bayes": NaiveBayes(modelType="gaussian", weightCol="weight"),
+        "k-NN": _knn,
+        "SVM (RBF)": _svm,
+        "MLP": _network,
     }
 
 
 @plan("ml_leaderboard")
 def ml_leaderboard(spark, sf_dir):
     """Every classifier: cross-validated AUC and F1 (mean and deviation over the
-    four training folds), test AUC and F1, seconds of the final fit."""
+    four training folds), test AUC and F1, seconds of the final fit.  All scores
+    of all models and folds are one written table, measured in one pass."""
     frame, _ = prospect_frame(spark, sf_dir)
+    seconds: dict = {}
+    training = frame.where(F.col("split") == "train")
+    folds = ML.score_folds(training, _candidates(), "fold", [1, 2, 3, 4])
+    # fold 0 holds the test rows
+    final = ML.score_folds(frame, _candidates(), "fold", [0], seconds)
+    board = ML.fold_summary(ML.fold_metrics(folds.unionAll(final)), test_fold=0)
+    times = spark.createDataFrame([(m, round(s, 1)) for (m, _), s in seconds.items()], "model string, seconds double")
+    return board.join(F.broadcast(times), "model").select(  # one row per model
+        "model", *[F.round(c, 4).alias(c) for c in board.columns[1:]], "seconds").orderBy(F.desc("test_auc"), "model")
+
+
+_FOLD_SCORES = """
+WITH s AS (SELECT 'm' || m AS model, CAST(key % 5 AS INT) AS fold, key, y,
+                  CAST((key * (37 + 11 * m)) % 701 + y * (100 * m) AS DOUBLE) / 1000.0::DOUBLE AS p FROM P, (VALUES (1), (2), (3)) t(m)),
+c AS (SELECT model, fold, p, SUM(y) AS pos, SUM(1 - y) AS neg FROM s GROUP BY ALL),
+a AS (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY model, fold ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
+u AS (SELECT model, fold, SUM(pos * (below + neg / 2.0::DOUBLE)) / (SUM(pos) * SUM(neg))::DOUBLE AS auc FROM a GROUP BY ALL),
+k AS (SELECT model, fold, COUNT(*) FILTER (WHERE y = 1 AND p >= 0.5) AS tp, COUNT(*) FILTER (WHERE y = 0 AND p >= 0.5) AS fp,
+             COUNT(*) FILTER (WHERE y = 1 AND p < 0.5) AS fn FROM s GROUP BY ALL),
+f AS (SELECT u.model, u.fold, auc, 2.0::DOUBLE * tp / (2 * tp + fp + fn) AS f1 FROM u JOIN k ON u.model = k.model AND u.fold = k.fold)
+SELECT model, ROUND(AVG(auc) FILTER (WHERE fold <> 0), 6) AS cv_auc_mean, ROUND(STDDEV_POP(auc) FILTER (WHERE fold <> 0), 6) AS cv_auc_std,
+       ROUND(AVG(f1) FILTER (WHERE fold <> 0), 6) AS cv_f1_mean, ROUND(STDDEV_POP(f1) FILTER (WHERE fold <> 0), 6) AS cv_f1_std,
+       ROUND(MAX(auc) FILTER (WHERE fold = 0), 6) AS test_auc, ROUND(MAX(f1) FILTER (WHERE fold = 0), 6) AS test_f1 FROM f GROUP BY model"""
+
+
+@plan("eval_fold_scores", uses=("P",), sql=_FOLD_SCORES)
+def eval_fold_scores(spark, sf_dir):
+    """The leaderboard's metric pass over a written table of scores of three
+    scoring rules on five folds."""
+    rules = F.explode(F.array(*[F.lit(m) for m in (1, 2, 3)])).alias("m")
+    rows = SI.prospects(spark, sf_dir).select("key", "y", rules)
+    m = F.col("m")
+    p = ((F.col("key") * (37 + 11 * m)) % 701 + F.col("y") * (100 * m)).cast("double") / F.lit(1000.0)
+    scored = cut_lineage(rows.select(F.concat(F.lit("m"), m.cast("string")).alias("model"), (F.col("key") % 5).cast("int").alias("fold"),
+                                     "key", p.alias("p"), (p >= 0.5).cast("int").alias("pred"), "y"))
+    board = ML.fold_summary(ML.fold_metrics(scored), test_fold=0)
+    return board.select("model", *[F.round(c, 6).alias(c) for c in board.columns[1:]])
+
+
+@plan("ml_svm_calibrated")
+def ml_svm_calibrated(spark, sf_dir):
+    """The kernel machine with a probability: AUC and F1 beside log loss, Brier
+    score and calibration error on the test rows."""
+    tr, te = split(prospect_frame(spark, sf_dir)[0])
+    scored = cut_lineage(_svm(tr, te).select(F.lit("SVM (RBF)").alias("model"), F.lit(0).alias("fold"), "key", "p",
+                                             (F.col("p") >= 0.5).cast("int").alias("pred"), F.col("label").cast("int").alias("y")))
+    return ML.fold_metrics(scored).crossJoin(ML.calibration(scored)).select(   # one row each
+        "model", *[F.round(x, 4).alias(x) for x in ("auc", "f1", "log_loss", "brier", "calibration_error")])
+
+
+def _curve(spark, family, parameter, model, rows, over):
+    threshold = 0.0 if isinstance(model, GBTClassificationModel) else 0.5
+    found = ST.curve(ST.stage_scores(spark, model, rows, over), threshold)
+    return found.select(F.lit(family).alias("family"), F.lit(parameter).alias("parameter"), F.col("stage").alias("value"), "auc", "f1")
+
+
+def _best(curves):
+    """The curve points with the best of each family marked (ties: the smallest value)."""
+    best = curves.groupBy("family").agg(F.max_by("value", F.struct("auc", -F.col("value"))).alias("at"))   # one row per family
+    return curves.join(F.broadcast(best), "family").select(
+        "family", "parameter", "value", F.round("auc", 4).alias("auc"), F.round("f1", 4).alias("f1"),
+        (F.col("value") == F.col("at")).cast("int").alias("best"))
+
+
+@plan("ml_sweep_trees")
+def ml_sweep_trees(spark, sf_dir):
+    """Test AUC and F1 after 1, 2, ... trees of a forest and of boosting: one fit
+    and one scan each."""
+    tr, te = split(prospect_frame(spark, sf_dir)[0])
+    models = {"Random Forest": RandomForestClassifier(weightCol="weight", numTrees=30, maxDepth=6, seed=SEED),
+              "Gradient Boosting": GBTClassifier(weightCol="weight", maxIter=20, maxDepth=3, seed=SEED)}
+    parts = [_curve(spark, name, "trees", est.fit(tr), te, "trees") for name, est in models.items()]
+    return _best(parts[0].unionAll(parts[1]))
+
+
+@plan("ml_sweep_depth")
+def ml_sweep_depth(spark, sf_dir):
+    """Training and test curves against the depth of one tree, cut off at each."""
+    tr, te = split(prospect_frame(spark, sf_dir)[0])
+    model = DecisionTreeClassifier(weightCol="weight", maxDepth=10, seed=SEED).fit(tr)
+    return _best(_curve(spark, "CART, test", "depth", model, te, "depth").unionAll(
+        _curve(spark, "CART, training", "depth", model, tr, "depth")))
+
+
+@plan("ml_sweep_features")
+def ml_sweep_features(spark, sf_dir):
+    """Test curves against the features a split may choose from."""
+    frame, feats = prospect_frame(spark, sf_dir)
     tr, te = split(frame)
-    rows = []
-    for name, est in _candidates().items():
-        folds = [ML.fit_and_evaluate(name, est, tr.where(F.col("fold") != k), tr.where(F.col("fold") == k))[1]
-                 for k in (1, 2, 3, 4)]
-        final = ML.fit_and_evaluate(name, est, tr, te)[1]
-        cv = [x for m in ("auc", "f1") for v in [[f[m] for f in folds if f[m] is not None]]
-              for x in ((float(np.mean(v)), float(np.std(v))) if v else (None, None))]
-        rows.append((name, *cv, final["auc"], final["f1"], final["seconds"]))
-    board = spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double, cv_f1_mean double, "
-                                        "cv_f1_std double, test_auc double, test_f1 double, seconds double")
-    return board.select("model", *[F.round(c, 4).alias(c) for c in board.columns[1:-1]], "seconds").orderBy(
-        F.desc("test_auc"), "model")
+    parts = []
+    for n in (1, 2, 4, len(feats)):
+        est = RandomForestClassifier(weightCol="weight", numTrees=15, maxDepth=6, featureSubsetStrategy=str(n), seed=SEED)
+        scored = ST.stage_scores(spark, est.fit(tr), te, "trees").where(F.col("stage") == 15).withColumn("stage", F.lit(n))
+        parts.append(scored)
+    found = ST.curve(functools.reduce(lambda a, b: a.unionAll(b), parts))
+    return _best(found.select(F.lit("Random Forest").alias("family"), F.lit("features per split").alias("parameter"),
+                              F.col("stage").alias("value"), "auc", "f1"))
 
 
 @plan("ml_top3")
@@ -394,83 +532,114 @@ def ml_top3(spark, sf_dir):
     return ML.results_frame(spark, res).orderBy(F.desc("auc"), "model")
 
 
-def _fit_pipeline(spark, sf_dir):
-    frame, feats = prospect_frame(spark, sf_dir)
-    tr, te = split(frame)
-    pipe = Pipeline(stages=[LogisticRegression(weightCol="weight", maxIter=50)])
-    return pipe.fit(tr), te, feats
+def _raw_training(p):
+    """Raw prospects with the columns a classifier is trained on."""
+    tr = train_rows(p)
+    return FE.attach_row_weight(tr, "y").withColumn("label", F.col("y").cast("double"))
 
 
-MANIFEST_SCHEMA = ("model_name string, model_path string, features array<string>, score double, "
-                   "classes array<string>")
+def _fit_pipeline(spark, sf_dir, estimator=None):
+    """A pipeline fitted on raw training rows, and the raw test rows."""
+    p = SI.prospects(spark, sf_dir)
+    estimator = estimator or LogisticRegression(weightCol="weight", maxIter=50)
+    pipe = Pipeline(stages=[PL.FitEncoding(numeric=SI.NUM_COLS, categorical=SI.CAT_COLS), estimator])
+    return pipe.fit(_raw_training(p)), p.where(F.col("key") % 5 == 0)
 
 
-def save_with_manifest(spark, model, name, feats, score, folder):
-    path = f"{folder}/{name}"
-    model.write().overwrite().save(path)
-    manifest = spark.createDataFrame([(name, path, list(feats), float(score), ["no", "yes"])],
-                                     MANIFEST_SCHEMA)
-    manifest.write.mode("overwrite").parquet(f"{folder}/manifest-{name}")
-    return path
+def _test_auc(model, te):
+    return ML.evaluate(ML.positive_proba(model.transform(te.withColumn("label", F.col("y").cast("double")))))["auc"]
+
 
+def _registry(spark):
+    return ModelRegistry(spark, FS.scratch_path(spark, "registry"))
 
-_FEATURE_LIST = SI.NUM_COLS + [f"{c}_{lv}" for c in SI.CAT_COLS for lv in SI.LEVELS[c][1:]]
 
+_LEVEL_NAMES = "(SELECT LIST('{0}_' || x ORDER BY x) FROM (SELECT DISTINCT {0} AS x FROM P WHERE key % 5 <> 0 AND {0} IS NOT NULL))[2:]"
 
-@plan("sink_manifest_contents", sql=f"""
-SELECT 'logreg' AS model_name, {_FEATURE_LIST!r} AS features, ['no', 'yes'] AS classes""")
+
+@plan("sink_manifest_contents", uses=("P",), sql=f"""
+SELECT 'logreg' AS name, 1 AS version, LIST_CONCAT({SI.NUM_COLS!r}, {" || ".join(_LEVEL_NAMES.format(c) for c in SI.CAT_COLS)}) AS features,
+       COUNT(*) AS rows, COUNT(*) FILTER (WHERE y = 0) AS n_no, COUNT(*) FILTER (WHERE y = 1) AS n_yes,
+       ROUND(AVG(o_totalprice), 4) AS mean_o_totalprice, ROUND(STDDEV_POP(o_totalprice), 4) AS std_o_totalprice,
+       ROUND(AVG(c_acctbal), 4) AS mean_c_acctbal, ROUND(STDDEV_POP(c_acctbal), 4) AS std_c_acctbal
+FROM P WHERE key % 5 <> 0""")
 def sink_manifest_contents(spark, sf_dir):
-    """What a saved model's manifest says about it."""
-    model, _, feats = _fit_pipeline(spark, sf_dir)
-    folder = FS.scratch_path(spark, "models")
-    save_with_manifest(spark, model, "logreg", feats, 0.0, folder)
-    return spark.read.parquet(f"{folder}/manifest-logreg").select("model_name", "features", "classes")
+    """What the manifest and the stored stages of a published model say: features
+    from the levels seen, training rows by class, scaler statistics."""
+    model, _ = _fit_pipeline(spark, sf_dir)
+    registry = _registry(spark)
+    registry.publish("logreg", model, None, train_rows(SI.prospects(spark, sf_dir)), "y")
+    scaler = registry.load("logreg").stages[0].stages[1]
+    stats = {f"{n}_{x}": v for n, values in (("mean", scaler.mean), ("std", scaler.std))
+             for x, v in zip(SI.NUM_COLS, scaler.getOrDefault(values), strict=True)}
+    return registry.manifests().select(
+        "name", "version", "features", "rows", F.col("classes")["0"].alias("n_no"), F.col("classes")["1"].alias("n_yes"),
+        *[F.round(F.lit(v), 4).alias(k) for k, v in stats.items()])
 
 
 @plan("sink_model_manifest")
 def sink_model_manifest(spark, sf_dir):
-    model, te, feats = _fit_pipeline(spark, sf_dir)
-    res = ML.evaluate(ML.positive_proba(model.transform(te)))
-    folder = FS.scratch_path(spark, "models")
-    save_with_manifest(spark, model, "logreg", feats, res["auc"], folder)
-    return spark.read.parquet(f"{folder}/manifest-logreg")
+    model, te = _fit_pipeline(spark, sf_dir)
+    registry = _registry(spark)
+    registry.publish("logreg", model, _test_auc(model, te), train_rows(SI.prospects(spark, sf_dir)), "y", {"maxIter": 50})
+    return registry.manifests()
 
 
 @plan("model_save_load", uses=("P",), sql="""
 SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS differences FROM P WHERE key % 5 = 0""")
 def model_save_load(spark, sf_dir):
-    """A saved and reloaded pipeline predicts exactly as the original on every
-    test row (the oracle: all test rows, no difference)."""
-    model, te, _ = _fit_pipeline(spark, sf_dir)
+    """A saved and reloaded pipeline, encoder and scaler included, predicts from
+    raw rows exactly as the original on every test row."""
+    model, te = _fit_pipeline(spark, sf_dir)
     path = FS.scratch_path(spark, "pipeline")
     model.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    a = model.transform(te).select("key", F.col("prediction").alias("a"))
-    b = back.transform(te).select("key", F.col("prediction").alias("b"))
-    j = a.join(b, "key")
-    return j.agg(F.count("*").alias("rows"), F.count_if(F.col("a") != F.col("b")).alias("differences"))
+    a = PL.score_raw(model, te).select("key", F.col(PRED_COL).alias("a"), F.col(PROBA_COL).alias("pa"))
+    b = PL.score_raw(PipelineModel.load(path), te).select("key", F.col(PRED_COL).alias("b"), F.col(PROBA_COL).alias("pb"))
+    differ = ~(F.col("a").eqNullSafe(F.col("b")) & F.col("pa").eqNullSafe(F.col("pb")))
+    return a.join(b, "key").agg(F.count("*").alias("rows"), F.count_if(differ).alias("differences"))
+
+
+@plan("model_pipeline_scores", uses=("P",), sql=SCORED_SQL + "SELECT * FROM sc WHERE key % 5 = 0")
+def model_pipeline_scores(spark, sf_dir):
+    """Raw test rows scored by a pipeline that was saved and loaded: encoding and
+    scaling fitted on the training rows, stored weights as classifier."""
+    p = SI.prospects(spark, sf_dir)
+    prepared = PL.FitEncoding(numeric=SI.NUM_COLS, categorical=SI.CAT_COLS).fit(train_rows(p))
+    weights = [COEF.get(f, 0.0) for f in PL.features_of(prepared)]
+    path = FS.scratch_path(spark, "pipeline")
+    PipelineModel([prepared, PL.LinearScorer(weights=weights, intercept=INTERCEPT)]).write().save(path)
+    return rounded_scores(PL.score_raw(PipelineModel.load(path), p.where(F.col("key") % 5 == 0)))
 
 
 @plan("score_model_choice")
 def score_model_choice(spark, sf_dir):
-    """Pick a model by name among the manifests whose files exist."""
-    model, te, feats = _fit_pipeline(spark, sf_dir)
-    folder = FS.scratch_path(spark, "models")
-    save_with_manifest(spark, model, "logreg", feats, 0.0, folder)
-    manifests = spark.read.parquet(f"{folder}/manifest-*")
-    existing = FS.file_catalog(spark, folder, "*.parquet").select(
-        F.regexp_extract("path", r"/manifest-([^/]+)/", 1).alias("model_name")).distinct()
-    chosen = manifests.where(F.col("model_name") == "logreg").join(existing, "model_name", "left_semi")
-    row = chosen.first()
-    loaded = PipelineModel.load(row["model_path"])
-    scored = ML.positive_proba(loaded.transform(te))
-    return scored.select("key", F.col("prediction").cast("int").alias("prediction"),
-                         F.round("p", 6).alias("score_souscription"))
+    """Two published models: the raw test rows scored by the one of the best test
+    AUC and by one chosen by name."""
+    p = SI.prospects(spark, sf_dir)
+    registry = _registry(spark)
+    for name, est in (("logreg", LogisticRegression(weightCol="weight", maxIter=50)),
+                      ("cart", DecisionTreeClassifier(weightCol="weight", maxDepth=5, seed=SEED))):
+        model, te = _fit_pipeline(spark, sf_dir, est)
+        registry.publish(name, model, _test_auc(model, te), train_rows(p), "y")
+    best, version = registry.best()
+    te = p.where(F.col("key") % 5 == 0)
+    scored = [PL.score_raw(registry.load(name, v), te).select(
+        F.lit(choice).alias("choice"), F.lit(name).alias("model"), "key", PRED_COL, F.round(PROBA_COL, 6).alias(PROBA_COL))
+        for choice, name, v in (("best", best, version), ("by name", "logreg", None))]
+    return scored[0].unionAll(scored[1])
 
 
 @plan("score_model_facts")
 def score_model_facts(spark, sf_dir):
+    """Facts of the tuned forest: type, size, parameters, best features, and the
+    parameters that won among those tried (validation: one training fold)."""
     frame, feats = prospect_frame(spark, sf_dir)
     tr, _ = split(frame)
-    model = RandomForestClassifier(weightCol="weight", numTrees=20, maxDepth=5, seed=SEED).fit(tr)
-    return spark.createDataFrame(ML.model_facts(model, feats), "fact string, value string")
+    tried = {(n, d): RandomForestClassifier(weightCol="weight", numTrees=n, maxDepth=d, seed=SEED) for n in (10, 20) for d in (3, 5)}
+    scores = ML.score_folds(tr, {f"{n}|{d}": est for (n, d), est in tried.items()}, "fold", [4])
+    found = {r["model"]: r["auc"] for r in ML.fold_metrics(scores).collect()}     # one row per candidate
+    best = max(tried, key=lambda k: (found[f"{k[0]}|{k[1]}"] or 0.0, -k[0], -k[1]))
+    facts = ML.model_facts(tried[best].fit(tr), feats)
+    facts += [("best.numTrees", str(best[0])), ("best.maxDepth", str(best[1])),
+              ("best.validation_auc", f"{found[f'{best[0]}|{best[1]}']:.4f}")]
+    return spark.createDataFrame(facts, "fact string, value string")
