@@ -9,6 +9,7 @@ codegen stage, whatever the number of rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -69,6 +70,7 @@ def onehot(df: DataFrame, levels: Mapping[str, Sequence[str]], keep: Sequence[st
     """Full one-hot (``pd.get_dummies``): the categorical columns are replaced
     by one 0/1 column per level; other columns stay in place."""
     keep_cols = [x for x in df.columns if x not in levels] if keep is None else list(keep)
+    _check_names([*keep_cols, *[dummy_name(col, x) for col, lv in levels.items() for x in lv]])
     return df.select(*[c(x) for x in keep_cols], *onehot_exprs(levels))
 
 
@@ -87,6 +89,14 @@ def onehot_drop_first(df: DataFrame, cat_cols: Sequence[str],
     return onehot(df, drop_first_levels(lv))
 
 
+def _check_names(names: Sequence[str]) -> None:
+    """Two columns of one name (``a`` with level ``b_x``, ``a_b`` with level ``x``)
+    could not be told apart later."""
+    twice = sorted({x for x, n in Counter(names).items() if n > 1})
+    if twice:
+        raise ValueError(f"columns of one name: {twice}")
+
+
 def _check_keep(keep: Sequence[str], features: Sequence[str]) -> None:
     both = sorted(set(keep) & set(features))
     if both:
@@ -133,24 +143,27 @@ class FeatureSpec:
         return out
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        """Metadata table ``(pos, feature, mean, std)``."""
-        rows = [(i, f, self.mean.get(f), self.std.get(f)) for i, f in enumerate(self.features)]
-        return spark.createDataFrame(rows, "pos int, feature string, mean double, std double")
+        """Metadata table ``(pos, feature, mean, std, column, level)``: the column a
+        feature comes from, and its level where it is a 0/1 entry."""
+        origin = [(x, None) for x in self.numeric] + [(col, x) for col, lv in self.levels.items() for x in lv]
+        rows = [(i, f, self.mean.get(f), self.std.get(f), *o) for i, (f, o) in enumerate(zip(self.features, origin, strict=True))]
+        return spark.createDataFrame(rows, "pos int, feature string, mean double, std double, column string, level string")
 
     @staticmethod
     def from_df(df: DataFrame, numeric: Sequence[str], cat_cols: Sequence[str]) -> FeatureSpec:
-        rows = sorted(df.collect(), key=lambda r: r["pos"])
+        """The specification a metadata table holds (one row per feature, at most
+        ``MAX_LEVELS`` per column)."""
+        most = len(numeric) + len(cat_cols) * MAX_LEVELS
+        rows = df.orderBy("pos").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} features")
         levels: dict[str, list[str]] = {x: [] for x in cat_cols}
         mean, std = {}, {}
         for r in rows:
-            f = r["feature"]
-            if f in numeric:
-                mean[f], std[f] = r["mean"], r["std"]
-                continue
-            for col in cat_cols:
-                if f.startswith(col + "_"):
-                    levels[col].append(f[len(col) + 1:])
-                    break
+            if r["level"] is not None and r["column"] in levels:
+                levels[r["column"]].append(r["level"])
+            elif r["feature"] in numeric:
+                mean[r["feature"]], std[r["feature"]] = r["mean"], r["std"]
         return FeatureSpec(list(numeric), levels, mean, std)
 
 
@@ -183,7 +196,7 @@ def fit_spec(train: DataFrame, numeric: Sequence[str], cat_cols: Sequence[str],
     for i in range(len(numeric)):
         aggs += [F.avg(f"__x{i}").alias(f"m{i}"), F.stddev_pop(f"__x{i}").alias(f"s{i}")]
     g = base.groupingSets(sets, *[F.col(f"__k{i}") for i in range(len(cat_cols))]).agg(*aggs)
-    cap = len(cat_cols) * max_levels + 2
+    cap = len(cat_cols) * (max_levels + 1) + 2   # null is a group of its own, not a level
     rows = g.limit(cap).collect()
     if len(rows) >= cap:
         raise ValueError(f"more than {max_levels} levels in one of {list(cat_cols)}")
@@ -231,6 +244,7 @@ def encode(df: DataFrame, spec: FeatureSpec, keep: Sequence[str] = (), scale: bo
     base level and unseen levels all give the zero vector (``get_dummies`` +
     ``reindex``)."""
     present = set(df.columns)
+    _check_names(spec.features)
     _check_keep(keep, spec.features)
     cols = [c(k) for k in keep]
     for x in spec.numeric:

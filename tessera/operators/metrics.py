@@ -128,7 +128,9 @@ def confusion(df: DataFrame, label: str = "y", pred: str = "pred",
               classes: Sequence | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Long confusion matrix (by..., label, pred, n) over the full class grid;
     absent pairs are 0.  The grid comes from the class list (given, or the
-    classes seen — at most k values per group) exploded twice from one row."""
+    classes seen — at most k values per group) exploded twice from one row.  A null
+    group is a group, and among the classes seen null is a class; with a list of
+    classes, rows of other classes (null ones too) have no entry."""
     counts = df.groupBy(*[c(b).alias(b) for b in by], c(label).alias("label"),
                         c(pred).alias("pred")).agg(F.count("*").alias("n"))
     if classes is not None:
@@ -137,12 +139,15 @@ def confusion(df: DataFrame, label: str = "y", pred: str = "pred",
         grid = base.select(*by, F.explode(cls).alias("label")).select(
             *by, "label", F.explode(cls).alias("pred"))
     else:
-        seen = counts.groupBy(*by).agg(F.array_sort(F.array_union(
-            F.collect_set("label"), F.collect_set("pred"))).alias("__cls"))
-        grid = seen.select(*by, F.explode("__cls").alias("label"), "__cls").select(
-            *by, "label", F.explode("__cls").alias("pred"))
-    return grid.join(counts, on=[*by, "label", "pred"], how="left").select(
-        *by, "label", "pred", F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+        # inside a struct a null is collected as well
+        one = lambda x: F.collect_set(F.struct(F.col(x).alias("v")))
+        seen = counts.groupBy(*by).agg(F.array_union(one("label"), one("pred")).alias("__cls"))
+        grid = seen.select(*by, F.explode("__cls.v").alias("label"), "__cls").select(
+            *by, "label", F.explode("__cls.v").alias("pred"))
+    keys = [*by, "label", "pred"]
+    known = counts.select(*[c(k).alias(f"__k{i}") for i, k in enumerate(keys)], "n")
+    on = [c(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return grid.join(known, on, "left").select(*keys, F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
 def confusion_wide(df: DataFrame, label: str = "y", pred: str = "pred", classes: Sequence = (0, 1)
@@ -175,24 +180,24 @@ def f1_binary(df: DataFrame, label: str = "y", pred: str = "pred", by: Sequence[
 def class_report(df: DataFrame, label: str = "y", pred: str = "pred",
                  names: dict | None = None) -> DataFrame:
     """``classification_report``: per class precision/recall/f1/support, then
-    accuracy, macro avg and weighted avg rows (support = all rows)."""
-    counts = confusion(df, label, pred)
-    per = counts.groupBy(F.col("label").alias("cls")).agg(
-        F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"),
-        F.sum("n").alias("support"))
-    predicted = counts.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("npred"))
-    t = per.join(predicted, "cls", "full_outer").select(
-        "cls", F.coalesce("tp", F.lit(0)).alias("tp"),
-        F.coalesce("support", F.lit(0)).alias("support"),
-        F.coalesce("npred", F.lit(0)).alias("npred"))
+    accuracy, macro avg and weighted avg rows (support = all rows).  Null labels and
+    decisions are a class of their own, ``null``."""
+    # per pair of classes: its truth's share of the support, its decision's of the predicted
+    counts = df.groupBy(c(label).alias("label"), c(pred).alias("pred")).agg(F.count("*").alias("n"))
+    right = F.when(F.col("label").eqNullSafe(F.col("pred")), F.col("n")).otherwise(0)
+    none = F.lit(0).cast("long")
+    t = counts.select(F.inline(F.array(
+        F.struct(F.col("label").alias("cls"), right.alias("tp"), F.col("n").alias("support"), none.alias("npred")),
+        F.struct(F.col("pred").alias("cls"), none.alias("tp"), none.alias("support"), F.col("n").alias("npred"))))).groupBy("cls").agg(
+        *[F.sum(x).alias(x) for x in ("tp", "support", "npred")])
     prec = safe_div(F.col("tp"), F.col("npred"))
     rec = safe_div(F.col("tp"), F.col("support"))
     f1 = safe_div(2 * F.col("tp"), F.col("support") + F.col("npred"))
     if names:
         m = F.create_map(*[x for kv in names.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-        cname = F.coalesce(m[F.col("cls")], F.col("cls").cast("string"))
+        cname = F.coalesce(m[F.col("cls")], F.col("cls").cast("string"), F.lit("null"))
     else:
-        cname = F.col("cls").cast("string")
+        cname = F.coalesce(F.col("cls").cast("string"), F.lit("null"))
     rows = t.select(cname.alias("class"), prec.alias("precision"), rec.alias("recall"),
                     f1.alias("f1"), F.col("support").cast("long").alias("support"), "tp")
     # summary rows: one small aggregate over <= k class rows

@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.exprs import c, safe_corr
+from tessera.functions.exprs import c
+from tessera.operators import gram
+from tessera.operators.features import bounded_broadcast
 from tessera.operators.quantiles import exact_quantiles
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -109,16 +111,10 @@ def head(df: DataFrame, key: str, n: int = 20) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, decimals: int = 6) -> DataFrame:
-    """Pearson correlation for every ordered pair (a, b) in one aggregation; each
-    unordered pair is computed once, over the rows where both values exist."""
+    """Pearson correlation for every ordered pair (a, b), over the rows where both
+    values exist, from blocked Gram matrices."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[safe_corr(c(a), c(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    ordered = [(x, y, i) for i, (a, b) in enumerate(pairs) for x, y in ({(a, b), (b, a)})]
-    rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                              F.round(F.col(f"r{i}"), decimals).alias("r"))
-                     for a, b, i in sorted(ordered)])
-    return one.select(F.inline(rows))
+    return gram.correlations(df, cols).withColumn("r", F.round("r", decimals))
 
 
 def category_vs_target(df: DataFrame, cat_cols: Sequence[str], target: str) -> DataFrame:
@@ -134,10 +130,10 @@ def histogram(df: DataFrame, cols: Sequence[str] | None = None, bins: int = 10)
     """Equal-width bins per numeric column on [min, max], last bin closed;
     empty bins are emitted (count 0).  Bin of x: ``floor((x-lo)/(hi-lo)*n)+1``
     clamped to n; lo = hi puts everything in bin 1."""
-    long = long_numeric(df, cols).where(F.col("value").isNotNull())
+    long = long_numeric(df, cols)
+    # one row per column, also of columns that are null throughout (no edges, counts 0)
     rng = long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    # one row per column: a bounded table joined back (AQE broadcasts it)
-    j = long.join(F.broadcast(rng), "column")
+    j = long.where(F.col("value").isNotNull()).join(bounded_broadcast(rng), "column")
     width = F.col("hi") - F.col("lo")
     b = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor((F.col("value") - F.col("lo")) / width * bins) + 1, F.lit(bins))).cast("int")
@@ -163,18 +159,8 @@ def scatter_pairs(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 
 def regression_lines(df: DataFrame, cols: Sequence[str], decimals: int = 6) -> DataFrame:
     """Least-squares line of y on x for every numeric pair: slope, intercept, r2."""
-    pairs = list(combinations(cols, 2))
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        aggs += [F.regr_slope(c(b), c(a)).alias(f"s{i}"), F.regr_intercept(c(b), c(a)).alias(f"i{i}"),
-                 F.regr_r2(c(b), c(a)).alias(f"r{i}")]
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(a).alias("x_col"), F.lit(b).alias("y_col"),
-                              F.round(F.col(f"s{i}"), decimals).alias("slope"),
-                              F.round(F.col(f"i{i}"), decimals).alias("intercept"),
-                              F.round(F.col(f"r{i}"), decimals).alias("r2"))
-                     for i, (a, b) in enumerate(pairs)])
-    return one.select(F.inline(rows))
+    found = gram.lines(df, cols)
+    return found.select("x_col", "y_col", *[F.round(x, decimals).alias(x) for x in ("slope", "intercept", "r2")])
 
 
 def transpose_small(df: DataFrame, id_col: str, value_cols: Sequence[str],

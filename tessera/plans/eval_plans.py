@@ -122,6 +122,44 @@ def eval_class_report(spark, sf_dir):
     return r.select("class", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1")], "support")
 
 
+_NULLS = f"""n AS (SELECT CASE WHEN key % 7 <> 0 THEN segment END AS segment, CASE WHEN key % 11 <> 0 THEN y END AS y,
+  CASE WHEN key % 13 <> 0 THEN {_PRED} END AS pred FROM S)"""
+
+
+def scored_with_nulls(spark, sf_dir):
+    """Segments, labels and decisions that are null for some rows."""
+    s = scored_with_pred(spark, sf_dir)
+    return s.select(F.when(F.col("key") % 7 != 0, F.col("segment")).alias("segment"), F.when(F.col("key") % 11 != 0, F.col("y")).alias("y"),
+                    F.when(F.col("key") % 13 != 0, F.col("pred")).alias("pred"))
+
+
+@plan("eval_confusion_nulls", uses=("S",), sql=f"""
+WITH {_NULLS}, cl AS (SELECT segment, y AS c FROM n UNION SELECT segment, pred FROM n),
+k AS (SELECT segment, y, pred, COUNT(*) AS n FROM n GROUP BY ALL)
+SELECT l.segment, l.c AS label, p.c AS pred, CAST(COALESCE(k.n, 0) AS BIGINT) AS n
+FROM cl l JOIN cl p ON l.segment IS NOT DISTINCT FROM p.segment
+LEFT JOIN k ON k.segment IS NOT DISTINCT FROM l.segment AND k.y IS NOT DISTINCT FROM l.c AND k.pred IS NOT DISTINCT FROM p.c""")
+def eval_confusion_nulls(spark, sf_dir):
+    return M.confusion(scored_with_nulls(spark, sf_dir), "y", "pred", by=["segment"])
+
+
+@plan("eval_class_report_nulls", uses=("S",), sql=f"""
+WITH {_NULLS}, c AS (SELECT y AS cls FROM n UNION SELECT pred FROM n),
+per AS (SELECT cls, (SELECT COUNT(*) FROM n WHERE y IS NOT DISTINCT FROM cls AND pred IS NOT DISTINCT FROM cls) AS tp,
+               (SELECT COUNT(*) FROM n WHERE y IS NOT DISTINCT FROM cls) AS support,
+               (SELECT COUNT(*) FROM n WHERE pred IS NOT DISTINCT FROM cls) AS npred FROM c),
+r AS (SELECT COALESCE(CAST(cls AS VARCHAR), 'null') AS class, tp / npred::DOUBLE AS precision, tp / support::DOUBLE AS recall,
+             2.0::DOUBLE * tp / (support + npred) AS f1, CAST(support AS BIGINT) AS support, tp FROM per)
+SELECT class, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1, 6) AS f1, support FROM r
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(SUM(tp) / SUM(support)::DOUBLE, 6), CAST(SUM(support) AS BIGINT) FROM r
+UNION ALL SELECT 'macro avg', ROUND(AVG(precision), 6), ROUND(AVG(recall), 6), ROUND(AVG(f1), 6), CAST(SUM(support) AS BIGINT) FROM r
+UNION ALL SELECT 'weighted avg', ROUND(SUM(precision * support) / SUM(support), 6), ROUND(SUM(recall * support) / SUM(support), 6),
+                 ROUND(SUM(f1 * support) / SUM(support), 6), CAST(SUM(support) AS BIGINT) FROM r""")
+def eval_class_report_nulls(spark, sf_dir):
+    r = M.class_report(scored_with_nulls(spark, sf_dir), "y", "pred")
+    return r.select("class", *[F.round(x, 6).alias(x) for x in ("precision", "recall", "f1")], "support")
+
+
 @plan("eval_accuracy", uses=("S",), sql=f"""
 SELECT ROUND(AVG(CAST({_PRED} = y AS DOUBLE)), 6) AS accuracy FROM S""")
 def eval_accuracy(spark, sf_dir):
