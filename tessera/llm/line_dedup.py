@@ -36,10 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD, collect_garbage, text_or_empty
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, release
 
 PERCENT = 80
 SLOTS = 1 << 20
+#: a class with more than this share of all lines is a common one
+COMMON = 1 << 12
 #: min-hash groups of a class
 GROUPS = 4
 #: the white space besides the blank
@@ -137,7 +139,7 @@ def group_keys(words_: Column) -> Column:
 
 
 def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """(c1, c2) of the later class of every pair (a_c1, b_c1) whose whole sets
+    """(c1, c2), written, of the later class of every pair (a_c1, b_c1) whose whole sets
     reach the similarity.  At most SLOTS numbers pick the first lines of the
     classes before any word is hashed, so little of the text is taken up again
     and little moves to the exact join."""
@@ -158,12 +160,14 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int)
     links = both.where(shared * 100 >= (F.size("a_words") + F.size("b_words") - shared) * percent)
     later = F.when(F.col("a_place") > F.col("b_place"), F.struct(F.col("a_c1").alias("c1"), F.col("a_c2").alias("c2"))).otherwise(
         F.struct(F.col("b_c1").alias("c1"), F.col("b_c2").alias("c2")))
-    return links.select(later.alias("c")).select("c.*").distinct()
+    out = cut_lineage(links.select(later.alias("c")).select("c.*").distinct())
+    release(wanted, sets)
+    return out
 
 
 def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(c1, c2, first, similar) of every class: the place of its first line, and
-    whether that line is similar to an earlier class's (true or null)."""
+    """(c1, c2, first, lines, similar), written, of every class: the place of its first line,
+    its number of lines, and whether that line is similar to an earlier class's (true or null)."""
     spark = docs.sparkSession
     counts = slot_counts(lines(docs))
     # what the join needs of each class, from its first line
@@ -177,7 +181,7 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         parity(F.col("words"), 1).alias("p1"), group_keys(F.col("words")).alias("groups")).select(
         "c1", "c2", "place", size.alias("n"), "p0", "p1", "groups", prefix.alias("prefix"))
     firsts = cut_lineage(described.groupBy("c1", "c2").agg(
-        F.min("place").alias("first"), *[F.first(x).alias(x) for x in ("n", "p0", "p1", "groups", "prefix")]))
+        F.min("place").alias("first"), F.count("*").alias("lines"), *[F.first(x).alias(x) for x in ("n", "p0", "p1", "groups", "prefix")]))
     collect_garbage(spark)
     # each class against the earliest of its groups
     grouped = firsts.select("c1", "first", "n", "p0", "p1", F.explode("groups").alias("key"))
@@ -187,8 +191,9 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             for side in "ab")
     stars = a.where("a_first = head").drop("head").join(b.drop("head"), "key").where(
         (F.col("a_c1") != F.col("b_c1")) & may_be_similar(percent)).select("a_c1", "b_c1").distinct()
-    decided = cut_lineage(verified(cut_lineage(stars), firsts, docs, percent))
-    collect_garbage(spark)
+    stars = cut_lineage(stars)
+    decided = verified(stars, firsts, docs, percent)
+    release(stars)
     # the prefix join, for an earlier partner of the undecided
     marked = firsts.join(decided.withColumn("decided", F.lit(True)), ["c1", "c2"], "left").withColumn(
         "open", F.col("decided").isNull().cast("int"))
@@ -205,24 +210,35 @@ def similar_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     near = a.join(b, (a["key"] == b["key"]) & (earlier | tied) & (room >= least_overlap(percent)) & may_be_similar(percent))
     pairs = cut_lineage(near.select("a_c1", "b_c1").distinct())
     collect_garbage(spark)
-    later = decided.unionByName(verified(pairs, firsts, docs, percent)).distinct()
-    return firsts.select("c1", "c2", "first").join(later.withColumn("similar", F.lit(True)), ["c1", "c2"], "left")
+    more = verified(pairs, firsts, docs, percent)
+    later = decided.unionByName(more).distinct().withColumn("similar", F.lit(True))
+    out = cut_lineage(firsts.select("c1", "c2", "first", "lines").join(later, ["c1", "c2"], "left"))
+    # what is not read any more goes at once
+    release(firsts, decided, pairs, more)
+    return out
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n_lines, removed): lines with words, and the numbers of
     those that go, of every document that has a line with words."""
+    classes = similar_classes(docs, percent)
     found = cut_lineage(with_class(lines(docs)).select("doc_id", "text_key", "line_no", "c1", "c2"))
-    judged = found.join(similar_classes(docs, percent), ["c1", "c2"]).withColumn(
+    # at most COMMON classes hold more than that share of all lines: those are sent
+    # to every task, so a line that stands in a third of the documents is no hot key
+    common = F.broadcast(classes.where(F.col("lines") * COMMON > found.count()))
+    known = ["c1", "c2", "first", "similar"]
+    rest = found.join(common, ["c1", "c2"], "left_anti").join(classes.select(*known), ["c1", "c2"])
+    judged = found.join(common.select(*known), ["c1", "c2"]).unionByName(rest).withColumn(
         "gone", F.col("similar").isNotNull() | (place() > F.col("first")))
-    return cut_lineage(judged.groupBy("doc_id", "text_key").agg(
+    out = cut_lineage(judged.groupBy("doc_id", "text_key").agg(
         F.count_distinct("line_no").alias("n_lines"),
         F.collect_set(F.when(F.col("gone"), F.col("line_no"))).alias("removed")))
+    release(classes, found)
+    return out
 
 
-def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with their text shortened, and the columns ``n_lines``
-    and ``n_removed``."""
+def _shortened(docs: DataFrame, percent: int) -> DataFrame:
+    """(row, text, n_lines, n_removed) of every row of ``docs``."""
     removed = removed_lines(docs, percent).select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("n_lines").alias("__n"), "removed")
     collect_garbage(docs.sparkSession)
@@ -233,6 +249,18 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shorter = F.concat_ws("\n", F.transform(kept, lambda i: F.get(all_lines, i)))
     n_removed = F.coalesce(F.size("removed"), F.lit(0))
     text = F.when(n_removed > 0, shorter).otherwise(F.col("row.text"))
-    others = [F.col(f"row.`{c}`") for c in docs.columns if c != "text"]
-    return joined.select(*others, text.alias("text"), F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias("n_lines"),
+    return joined.select("row", text.alias("text"), F.coalesce(F.col("__n"), F.lit(0)).cast("long").alias("n_lines"),
                          n_removed.cast("long").alias("n_removed"))
+
+
+def shorten(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, all columns in place, with their text shortened."""
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
+    return _shortened(docs, percent).select(*columns)
+
+
+def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` with their text shortened, and the columns ``n_lines``
+    and ``n_removed`` (columns of these names are replaced)."""
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    return _shortened(docs, percent).select(*others, "text", "n_lines", "n_removed")

@@ -3,7 +3,8 @@
 Documents are linked when the Jaccard similarity of their word-shingle sets
 reaches a threshold; the result names every document's component of links.
 
-1. Equal sets become one node, numbered by 64 bits of the set's digest.
+1. Equal sets become one node, told apart by 128 bits of the set's digest (the
+   number has 64; sets that share it, if there are any, are numbered anew).
 2. Signatures of 128 minima fall into 32 bands; nodes that agree in a band are
    candidates.  A pair at similarity 0.8 shares no band with probability 5e-8.
 3. Candidates are compared signature batch by signature batch: with a uniform
@@ -145,22 +146,33 @@ def facts(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, node, signature) of every row."""
     small_batches(docs)
 
-    @F.pandas_udf("n_shingles long, node long, signature binary")
+    @F.pandas_udf("n_shingles long, node long, node2 long, signature binary")
     def describe(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
             sets = [shingles(t, n) for t in s]
             yield pd.DataFrame({
                 "n_shingles": [len(x) for x in sets],
-                "node": [_node(x) for x in sets],
+                **_numbers(sets),
                 "signature": [signature(x).astype("<u4").tobytes() if len(x) else None for x in sets]})
 
     return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), describe(text_or_empty()).alias("f")).select(
         "doc_id", "text_key", "f.*")
 
 
-def _node(hashes: np.ndarray) -> int:
-    """The number of a set."""
-    return int.from_bytes(hashlib.blake2b(hashes.astype("<u8").tobytes(), digest_size=8).digest(), "little", signed=True)
+def _numbers(sets: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """128 bits of the digest of every set: its node number, and 64 bits more."""
+    digests = b"".join(hashlib.blake2b(x.astype("<u8").tobytes(), digest_size=16).digest() for x in sets)
+    both = np.frombuffer(digests, "<i8").reshape(-1, 2)
+    return {"node": both[:, 0], "node2": both[:, 1]}
+
+
+def _told_apart(rows: DataFrame, clashes: DataFrame) -> DataFrame:
+    """Rows whose node number belongs to several sets (``clashes``: node, lo) keep
+    it where their second number is the least, and take the second elsewhere."""
+    lo = clashes.select(F.col("node").alias("shared"), "lo")
+    other = F.col("lo").isNotNull() & (F.col("node2") != F.col("lo"))
+    return rows.join(lo, rows["node"] == F.col("shared"), "left").withColumn(
+        "node", F.when(other, F.col("node2")).otherwise(F.col("node"))).drop("shared", "lo")
 
 
 def _bayes(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -277,6 +289,12 @@ def judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     # numbered where it is written, so that one of several equal rows can be told
     described = cut_lineage(facts(docs, shingle).withColumn("row_no", F.monotonically_increasing_id()))
+    # sets that differ but share 64 bits of their digest: none, or very few
+    several = described.where("n_shingles > 0").groupBy("node").agg(F.min("node2").alias("lo"), F.max("node2").alias("hi"))
+    clashes = cut_lineage(several.where("lo <> hi").select("node", "lo"))
+    clash = bool(clashes.head(1))
+    if clash:
+        described = cut_lineage(_told_apart(described, clashes))
     spoken = described.where("n_shingles > 0")
     first = F.struct(F.col("doc_id").isNull().alias("unnumbered"), "doc_id", "text_key", "row_no")
     classes = cut_lineage(spoken.groupBy("node").agg(F.min(first).alias("first")))
@@ -296,14 +314,16 @@ def judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("text_key", F.xxhash64("text")).select(
         at, "text").join(wanted, "at", "left_semi")
 
-    @F.pandas_udf("node long, hashes binary")
+    @F.pandas_udf("node long, node2 long, hashes binary")
     def hashes(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
             sets = [shingles(t, shingle) for t in s]
-            yield pd.DataFrame({"node": [_node(x) for x in sets],
+            yield pd.DataFrame({**_numbers(sets),
                                 "hashes": pd.Series([x.astype("<u8").tobytes() for x in sets], dtype=object)})
 
-    sets = cut_lineage(rows.select(hashes("text").alias("s")).select("s.*").dropDuplicates(["node"]))
+    fetched = rows.select(hashes("text").alias("s")).select("s.*")
+    fetched = _told_apart(fetched, clashes) if clash else fetched
+    sets = cut_lineage(fetched.drop("node2").dropDuplicates(["node"]))
     collect_garbage(spark)
     # first each node against the smallest node of its buckets
     stars = cut_lineage(candidates.where("node <> first").select(

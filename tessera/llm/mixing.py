@@ -93,13 +93,30 @@ def mixed(docs: DataFrame) -> DataFrame:
     # rows, so that texts move once
     what = [F.col("doc_id"), F.col("source"), F.col("text_crc32")]
     key = {"k1": F.xxhash64(*what), "k2": F.xxhash64(F.lit(1), *what)}
-    rows = docs.select("doc_id", "source", F.crc32(text_or_empty()).alias("text_crc32"), F.struct("*").alias("row"))
-    rows = rows.withColumns(key).select("k1", "k2", "row")
-    taken = copies(docs).withColumns(key).groupBy("k1", "k2").agg(
-        F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    joined = rows.join(taken, ["k1", "k2"]).withColumn(
-        "nth", F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(1))))
+    rows = docs.select("doc_id", "source", F.crc32(text_or_empty()).alias("text_crc32"), F.struct("*").alias("row"),
+                       F.spark_partition_id().alias("part"))
+    rows = rows.withColumns(key).select("k1", "k2", "row", "part")
+    taken = cut_lineage(copies(docs).withColumns(key).groupBy("k1", "k2").agg(
+        F.sum("copies").alias("copies"), F.count("*").alias("rows")))
+    joined = rows.join(taken, ["k1", "k2"])
+    if taken.where("rows > 1").head(1):
+        joined = _numbered(joined)
+    else:
+        joined = joined.withColumn("nth", F.lit(1))
     # equal rows share their copies evenly
     own = F.expr("CAST(copies DIV rows + IF(nth <= copies % rows, 1, 0) AS INT)")
     return joined.withColumn("own", own).where("own > 0").select(
         "row", F.explode(F.sequence(F.lit(1), F.col("own"))).alias("copy")).select("row.*")
+
+
+def _numbered(joined: DataFrame) -> DataFrame:
+    """``nth``: the place of a row among the rows of its key.  Rows are numbered
+    inside the partition they were read from, behind the counts of the partitions
+    before it: a row that is repeated in a third of the table is never one task's."""
+    written = cut_lineage(joined)
+    counts = written.where("rows > 1").groupBy("k1", "k2", "part").agg(F.count("*").alias("here"))
+    before = F.sum("here").over(Window.partitionBy("k1", "k2").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("k1", "k2", "part", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("k1", "k2", "part").orderBy(F.lit(1)))
+    several = written.where("rows > 1").join(offsets, ["k1", "k2", "part"]).withColumn("nth", F.col("before") + inside).drop("before")
+    return written.where("rows = 1").withColumn("nth", F.lit(1).cast("long")).unionByName(several)

@@ -1,7 +1,8 @@
 """Shards along a Hilbert curve over document metadata.
 
 Several metadata dimensions (source, language, size, document number) are
-quantised into 16 cells each, by quantiles over all documents; the cell numbers
+quantised into 16 cells each, by quantiles over all documents (strings by their
+rank); the cell numbers
 are the coordinates of a point, whose position on the Hilbert curve orders the
 documents.  Runs of the curve order become shards, so a shard holds a compact
 region of every dimension at once and min/max statistics prune on any of them.
@@ -18,11 +19,13 @@ columns are read, so other names cannot clash.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_or_empty
-from tessera.operators.prefix import global_position
+from tessera.operators.prefix import global_position, running_totals
 
 SHARDS = 16
 #: bits per dimension: 2**BITS cells
@@ -76,28 +79,36 @@ def curve_index(cells: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.array(*points), start, step, lambda acc: acc["at"])
 
 
-def as_number(name: str, kind: str) -> Column:
-    """An order-preserving number of a metadata column: the first six bytes of
-    a string, any other type as it is; null is below everything."""
-    col = F.col(name)
-    if kind == "string":
-        col = F.conv(F.rpad(F.substring(F.hex(col), 1, 12), 12, "0"), 16, 10)
-    return F.coalesce(col.cast("double"), F.lit(-1.0))
+def string_cuts(facts: DataFrame, name: str, bits: int) -> list[str]:
+    """Values that begin a new cell of a string column: the rank of a value is the
+    number of rows below it (nulls first), its cell the share of the rank in all
+    rows.  Ranks come from one count per value and a distributed running total; at
+    most ``2**bits - 1`` values reach the driver."""
+    counts = facts.groupBy(name).agg(F.count("*").alias("rows"))
+    below = running_totals(counts, [name], ["rows"], inclusive=False)
+    n = facts.count()
+    cell = F.floor(F.col("cum_rows") * (1 << bits) / F.lit(max(n, 1)))
+    found = below.where(F.col(name).isNotNull()).groupBy(cell.alias("cell")).agg(F.min(name).alias("cut")).collect()
+    # the lowest value itself begins no cell, unless nulls lie below it
+    return sorted(r["cut"] for r in found if r["cell"] > 0)
 
 
 def quantised(facts: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, bits: int = BITS) -> list[Column]:
     """Cell number of each dimension, by quantile cuts over all rows (at most
-    ``2**bits - 1`` numbers per dimension reach the driver)."""
+    ``2**bits - 1`` values per dimension reach the driver): numbers by their
+    value, strings by their rank."""
     kinds = dict(facts.dtypes)
-    numbers = [as_number(d, kinds[d]) for d in dimensions]
+    numbers = [d for d in dimensions if kinds[d] != "string"]
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = facts.agg(*[F.percentile_approx(x, shares, 10000).alias(f"c{i}") for i, x in enumerate(numbers)]).first()
+    value = lambda d: F.coalesce(F.col(d).cast("double"), F.lit(-1.0))  # noqa: E731  null is below everything
+    cuts = facts.agg(*[F.percentile_approx(value(d), shares, 10000).alias(d) for d in numbers]).first() if numbers else {}
     cells = []
-    for i, x in enumerate(numbers):
-        cell = F.lit(0)
-        for cut in sorted(set(cuts[i] or [])):
-            cell = cell + (x >= F.lit(float(cut))).cast("int")
-        cells.append(cell)
+    for d in dimensions:
+        if d in numbers:
+            over = [value(d) >= F.lit(float(cut)) for cut in sorted(set(cuts[d] or []))]
+        else:
+            over = [F.coalesce(F.col(d) >= F.lit(cut), F.lit(False)) for cut in string_cuts(facts, d, bits)]
+        cells.append(functools.reduce(Column.__add__, [x.cast("int") for x in over], F.lit(0)))
     return cells
 
 
@@ -119,9 +130,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """Write ``docs`` as one folder per shard, rows in curve order in each file."""
+    """Write ``docs`` as one folder per shard, rows in curve order in each file;
+    columns of ``docs`` that are called ``shard`` or ``slot`` are left out."""
     at = placed.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "shard", "slot").dropDuplicates(
         ["__id", "__crc"])
-    rows = docs.join(at, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.crc32(text_or_empty()) == F.col("__crc")))
+    rows = docs.drop("shard", "slot").join(
+        at, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.crc32(text_or_empty()) == F.col("__crc")))
     (rows.drop("__id", "__crc").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
         .drop("slot").write.partitionBy("shard").parquet(path))

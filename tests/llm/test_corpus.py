@@ -212,3 +212,36 @@ def test_similar_pairs(spark):
         got = {(r["a"], r["b"]): r["likeness"] for r in fingerprints.similar_pairs(df, percent).collect()}
         want = {(i, j): jaccard(a, b) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]) if 100 * jaccard(a, b) >= percent}
         assert got == pytest.approx(want)
+
+
+def test_shards_of_strings_with_one_beginning(spark):
+    """Sources that differ behind a long common beginning still prune, and cells
+    follow the order of the values."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('https://site', lpad(cast(id % 20 as string), 2, '0'), '.org') AS source",
+                                        "'en' AS lang", "repeat('x', cast(id % 50 as int)) AS text")
+    per = sharding.shard_documents(docs).join(docs, "doc_id").groupBy("shard").agg(F.count_distinct("source").alias("n")).collect()
+    assert max(r["n"] for r in per) <= 12 and len(per) == 16
+    facts = docs.select("source").unionAll(spark.createDataFrame([(None,)] * 400, "source string"))
+    cells = facts.select("source", sharding.quantised(facts, ("source",))[0].alias("cell")).distinct().collect()
+    order = sorted(cells, key=lambda r: (r["source"] is not None, r["source"] or ""))
+    n, below, want = 4400, 0, []
+    for r in order:
+        want.append(below * 16 // n)
+        below += 400 if r["source"] is None else 200
+    numbers = {c: i for i, c in enumerate(sorted(set(want)))}
+    assert [r["cell"] for r in order] == [numbers[c] for c in want]
+
+
+def test_mixed_repeats(spark):
+    """Rows repeated over many partitions: every copy once, others untouched."""
+    rows = [(1, "a b c", "s0", "one")] * 300 + [(None, None, None, "null")] * 200 + [(i, "w " * (i % 9), f"s{i % 3}", "own") for i in range(100, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, nth string").repartition(7)
+    counts = {}
+    for r in mixing.copies(docs).collect():
+        key = (r["doc_id"], r["source"])
+        counts[key] = counts.get(key, 0) + r["copies"]
+    got = {}
+    for r in mixing.mixed(docs).collect():
+        key = (r["doc_id"], r["source"])
+        got[key] = got.get(key, 0) + 1
+    assert got == {k: n for k, n in counts.items() if n} and mixing.mixed(docs).columns == docs.columns

@@ -287,3 +287,21 @@ def test_pipeline(spark, edge):
     assert steps[4].count() == sum(copies.values())
     run = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert run.columns == steps[4].columns and run.count() > 0
+
+
+def test_line_dedup_with_its_own_column_names(spark):
+    rows = [(1, "a b c d e\nx y", 7, 8, "k"), (2, "a b c d e\nz", 9, 1, "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines long, n_removed long, row string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    assert (got[2]["text"], got[2]["n_lines"], got[2]["n_removed"]) == ("z", 2, 1)
+    short = line_dedup.shorten(df)
+    assert short.columns == df.columns
+    assert {r["doc_id"]: (r["text"], r["n_lines"]) for r in short.collect()} == {1: (rows[0][1], 7), 2: ("z", 9)}
+
+
+def test_sets_that_share_a_number(spark, monkeypatch):
+    """Different sets with one 64-bit number stay different nodes."""
+    rows = spark.createDataFrame([(5, 1, "a"), (5, 2, "b"), (5, 1, "a"), (6, 3, "c")], "node long, node2 long, of string")
+    clashes = rows.groupBy("node").agg(F.min("node2").alias("lo"), F.max("node2").alias("hi")).where("lo <> hi").select("node", "lo")
+    got = {(r["of"], r["node"]) for r in minhash._told_apart(rows, clashes).collect()}
+    assert got == {("a", 5), ("b", 2), ("c", 6)}
