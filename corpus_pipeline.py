@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``documents``.  Rows a stage drops stay dropped; line
 dedup shortens texts and keeps every document (a text that loses all its lines
 becomes empty); mixing repeats rows.
+
+Defined results: a null or empty text fails the quality rules, and so goes in the
+first stage; rows without a doc_id, and rows that share one, are documents told
+apart by their texts; of rows equal in doc_id and text one stays behind near dedup;
+null sources mix as a source of their own; an empty table gives an empty one in
+every stage; further columns pass through to the mix (``n_chars`` is set anew, also
+where it was null), the last stage keeps ``doc_id``, ``lang`` and ``source``.
 """
 
 from __future__ import annotations
@@ -23,8 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines go that are like an earlier line of the corpus."""
-    shorter = line_dedup.dedup_lines(docs)
-    return shorter.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return line_dedup.shorten(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
