@@ -7,14 +7,16 @@ as numpy operations over the blocks.
 Three predictions share the code space of the next id:
 
 * order 0: how often each group of 64 neighbouring ids occurred in the block so
-  far, even inside a group (byte-pair ids are numbered by frequency);
+  far (byte-pair ids are numbered by frequency), times the share of the id in its
+  group by a *prior*: the ids' frequencies over many blocks, one byte for each,
+  which the caller stores beside the blocks; groups start from the prior as well;
 * order 1 and order 2: the id last seen behind the previous one or two ids, from
   hashed tables that hold an id and a confidence.
 
-An order-1 or order-2 prediction gets a share that follows how often predictions
-of its confidence came true in this block; where both predict the same id their
-shares add up.  The rest goes to order 0.  Shares and order-0 tables are made
-anew after 32, 64, 128, ... ids.  A carry-less range coder with 64-bit state
+The order-2 prediction gets the share of its confidence's predictions that came
+true in this block, the order-1 prediction that of its own in what is left, and
+order 0 the rest; where both predict the same id their shares add up.  Shares and
+order-0 tables are made anew after 32, 64, 128, ... ids.  A carry-less range coder with 64-bit state
 codes the interval; it moves 32 bits out when its range has no more than 32 bits
 left.
 
@@ -32,17 +34,18 @@ MAGIC = b"TIB1"
 _HEAD = struct.Struct("<4sIII")
 
 GROUP_BITS = 6              # ids of a group
+MEMBER_BITS = 9             # a group's ids share 2**9 units
 UNIT_BITS = 14              # group tables sum to 2**14
-TOTAL_BITS = GROUP_BITS + UNIT_BITS
-SHARE_BITS = 5              # code space is dealt out in 32 shares
+TOTAL_BITS = MEMBER_BITS + UNIT_BITS
+SHARE_BITS = 6              # code space is dealt out in 64 shares
 GAIN = 16                   # weight of an occurrence against an unseen group
+PRIOR_GAIN = 64 * GAIN      # weight of the prior of all groups together
 BITS1, BITS2 = 10, 11       # slots of the hashed tables
 LEVELS = 4                  # confidences
 FIRST_REFRESH = 32
 LANES = 2048                # blocks side by side
 
 U = np.uint64
-_MEMBER = (1 << GROUP_BITS) - 1
 _SHIFT, _WORD = U(TOTAL_BITS + SHARE_BITS), U(32)
 _LOW32 = U(0xFFFFFFFF)
 _MASK1, _MASK2 = (1 << BITS1) - 1, (1 << BITS2) - 1
@@ -60,12 +63,43 @@ def _epochs(steps: int) -> list[tuple[int, int]]:
     return list(zip(cuts, [*cuts[1:], steps], strict=True))
 
 
+def prior_of(ids: np.ndarray, size: int) -> bytes:
+    """One byte per id: its frequency in quarter powers of two, 0 for none."""
+    n = np.bincount(np.asarray(ids, np.int64), minlength=size)[:size]
+    return np.where(n, np.minimum(np.round(4 * np.log2(np.maximum(n, 1))) + 1, 255), 0).astype(np.uint8).tobytes()
+
+
+class _Prior:
+    """What the prior says about groups, and about ids inside their group."""
+
+    def __init__(self, size: int, prior: bytes | None):
+        self.groups = -(-size // (1 << GROUP_BITS))
+        steps = np.zeros(self.groups << GROUP_BITS, np.int64)
+        if prior is not None:
+            steps[:size] = np.frombuffer(prior, np.uint8)
+        # whole numbers, so that every machine makes the same tables
+        quarter = np.array([256, 304, 362, 431], np.int64)
+        weight = np.where(steps, (quarter[(steps - 1) & 3] << np.minimum((steps - 1) >> 2, 40)) >> 8, 0).reshape(self.groups, -1)
+        total = weight.sum(axis=1)
+        # every id has a unit of its group, the others go by weight
+        free = (1 << MEMBER_BITS) - (1 << GROUP_BITS)
+        even = np.arange(1, (1 << GROUP_BITS) + 1) * free >> GROUP_BITS
+        cum = np.where(total[:, None] > 0, np.cumsum(weight, axis=1) * free // np.maximum(total, 1)[:, None], even)
+        cum += np.arange(1, (1 << GROUP_BITS) + 1)
+        wide = np.diff(cum, axis=1, prepend=0)
+        self.wide = wide.reshape(-1)
+        self.low = (cum - wide).reshape(-1)
+        self.member_of = np.repeat(np.tile(np.arange(1 << GROUP_BITS, dtype=np.uint8), self.groups), self.wide)
+        whole = int(total.sum())
+        self.start = total * PRIOR_GAIN // whole if whole else np.zeros(self.groups, np.int64)
+
+
 class _OrderZero:
     """Cumulative group tables of several blocks."""
 
-    def __init__(self, lanes: int, size: int, decoding: bool):
-        self.lanes, self.decoding, self.t = lanes, decoding, 0
-        self.groups = -(-size // (1 << GROUP_BITS))
+    def __init__(self, lanes: int, prior: _Prior, decoding: bool):
+        self.lanes, self.decoding, self.t, self.prior = lanes, decoding, 0, prior
+        self.groups = prior.groups
         self.counts = np.zeros((lanes, self.groups), np.int64)
         self.row = np.arange(lanes) * (self.groups + 1)
         self.unit_row = np.arange(lanes) << UNIT_BITS
@@ -76,9 +110,9 @@ class _OrderZero:
             at = (ids >> GROUP_BITS) + np.arange(self.lanes) * self.groups
             self.counts += np.bincount(at.reshape(-1), minlength=self.counts.size).reshape(self.counts.shape)
         self.t += len(ids)
-        space, total = (1 << UNIT_BITS) - self.groups, self.groups + GAIN * self.t
+        space, total = (1 << UNIT_BITS) - self.groups, self.groups + GAIN * self.t + int(self.prior.start.sum())
         cum = np.zeros((self.lanes, self.groups + 1), np.int64)
-        np.cumsum(1 + GAIN * self.counts, axis=1, out=cum[:, 1:])
+        np.cumsum(1 + self.prior.start + GAIN * self.counts, axis=1, out=cum[:, 1:])
         cum *= space
         cum //= total
         cum += np.arange(self.groups + 1)
@@ -93,17 +127,17 @@ class _OrderZero:
         at = (x >> GROUP_BITS) + self.row
         low = self.cum.take(at)
         width = self.cum.take(at + 1) - low
-        return (low << GROUP_BITS) + (x & _MEMBER) * width, width
+        return (low << MEMBER_BITS) + self.prior.low.take(x) * width, self.prior.wide.take(x) * width
 
     def find(self, lanes: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(id, lower end, width) of the intervals that hold ``v``, for some lanes."""
-        group = self.group_of.take(self.unit_row.take(lanes) + (v >> GROUP_BITS)).astype(np.int64)
+        group = self.group_of.take(self.unit_row.take(lanes) + (v >> MEMBER_BITS)).astype(np.int64)
         at = self.row.take(lanes) + group
         low = self.cum.take(at)
         width = self.cum.take(at + 1) - low
-        low <<= GROUP_BITS
-        member = (v - low) // width
-        return (group << GROUP_BITS) + member, low + member * width, width
+        low <<= MEMBER_BITS
+        x = (group << GROUP_BITS) + self.prior.member_of.take((group << MEMBER_BITS) + (v - low) // width)
+        return x, low + self.prior.low.take(x) * width, self.prior.wide.take(x) * width
 
 
 class _Contexts:
@@ -125,15 +159,16 @@ class _Contexts:
         self.refresh()
 
     def refresh(self) -> None:
-        """Shares from how often predictions came true so far: 1 to 15 of 32."""
+        """Shares from how often predictions came true so far."""
         if self.t:
             seen, hits = self.seen[: self.t], self.hits[: self.t]
             for level in range(LEVELS):
                 at = seen == level
                 self.tried[level::LEVELS] += np.count_nonzero(at, axis=0)
                 self.came[level::LEVELS] += np.count_nonzero(at & hits, axis=0)
-        shares = np.clip((self.came * 32 / self.tried).astype(np.int64), 1, 15)
-        self.mass = shares << TOTAL_BITS
+        most = 1 << SHARE_BITS
+        # of the whole for order 2, of what order 2 leaves for order 1
+        self.shares = np.clip((self.came * most / self.tried).astype(np.int64), 1, most - 3)
         self.t = 0
 
     def slots(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -147,10 +182,12 @@ class _Contexts:
         n, self.slot = self.lanes, slot
         self.entry = self.table.take(slot)
         self.c, self.k = self.entry & 0xFFFF, self.entry >> 16
-        mass = self.mass.take(self.level_row + self.k)
-        self.m1 = mass[:n]
-        self.m12 = self.m1 + mass[n:]
-        self.rest = (_WHOLE - self.m12) >> TOTAL_BITS
+        shares, most = self.shares.take(self.level_row + self.k), 1 << SHARE_BITS
+        second = shares[n:]
+        first = np.maximum(1, (most - second) * shares[:n] >> SHARE_BITS)
+        self.m1 = first << TOTAL_BITS
+        self.m12 = (first + second) << TOTAL_BITS
+        self.rest = most - first - second
 
     def interval(self, xx: np.ndarray, low: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, width) of ids (stacked twice) with the order-0 span (low,
@@ -171,13 +208,13 @@ def _longest_epoch(steps: int) -> int:
     return max(b - a for a, b in _epochs(steps))
 
 
-def _encode(lanes: np.ndarray, size: int) -> list[bytes]:
+def _encode(lanes: np.ndarray, prior: _Prior) -> list[bytes]:
     """Code of every row of ``lanes`` (blocks x ids)."""
     n, steps = lanes.shape
     behind = np.zeros((steps + 2, n), np.int64)
     behind[2:] = lanes.T
     ids = behind[2:]
-    zero, contexts = _OrderZero(n, size, False), _Contexts(n, steps)
+    zero, contexts = _OrderZero(n, prior, False), _Contexts(n, steps)
     low, rng = np.zeros(n, U), np.full(n, U(2**64 - 1))
     out, pos = np.zeros(n * (steps + 4), "<u4"), np.arange(n) * (steps + 4)
     begin = pos.copy()
@@ -212,9 +249,9 @@ def _encode(lanes: np.ndarray, size: int) -> list[bytes]:
     return [out[a:b].tobytes() for a, b in zip(begin.tolist(), pos.tolist(), strict=True)]
 
 
-def _decode(codes: list[bytes], steps: int, size: int) -> np.ndarray:
+def _decode(codes: list[bytes], steps: int, prior: _Prior) -> np.ndarray:
     n = len(codes)
-    zero, contexts = _OrderZero(n, size, True), _Contexts(n, steps)
+    zero, contexts = _OrderZero(n, prior, True), _Contexts(n, steps)
     words = np.array([len(c) // 4 for c in codes])
     units = np.frombuffer(b"".join(codes) + bytes(16), "<u4").astype(U)
     pos = np.cumsum(words) - words
@@ -254,8 +291,9 @@ def _decode(codes: list[bytes], steps: int, size: int) -> np.ndarray:
     return out[2:].T
 
 
-def encode(ids: np.ndarray, size: int, block: int) -> bytes:
+def encode(ids: np.ndarray, size: int, block: int, prior: bytes | None = None) -> bytes:
     """``ids`` (below ``size``) as a sequence of blocks of ``block`` ids."""
+    about = _Prior(size, prior)
     ids = np.asarray(ids, np.uint16)
     rows = -(-len(ids) // block)
     full = np.zeros(rows * block, np.uint16)
@@ -263,15 +301,15 @@ def encode(ids: np.ndarray, size: int, block: int) -> bytes:
     full = full.reshape(rows, block)
     out = []
     for k in range(0, rows, LANES):
-        for i, code in enumerate(_encode(full[k : k + LANES], size), k):
+        for i, code in enumerate(_encode(full[k : k + LANES], about), k):
             own = ids[i * block : (i + 1) * block].astype("<u2").tobytes()
             out.append(_HEAD.pack(MAGIC, len(own) // 2, len(code), zlib.crc32(own)) + code)
     return b"".join(out)
 
 
-def decode(data: bytes, size: int, block: int) -> np.ndarray:
+def decode(data: bytes, size: int, block: int, prior: bytes | None = None) -> np.ndarray:
     """The ids of a sequence of blocks; ValueError where a block is damaged."""
-    blocks, at = [], 0
+    about, blocks, at = _Prior(size, prior), [], 0
     while at < len(data):
         if len(data) - at < _HEAD.size:
             raise ValueError("block header cut short")
@@ -284,7 +322,7 @@ def decode(data: bytes, size: int, block: int) -> np.ndarray:
     out = []
     for k in range(0, len(blocks), LANES):
         part = blocks[k : k + LANES]
-        for (n, _, crc), row in zip(part, _decode([c for _, c, _ in part], block, size), strict=True):
+        for (n, _, crc), row in zip(part, _decode([c for _, c, _ in part], block, about), strict=True):
             own = row[:n].astype("<u2")
             if zlib.crc32(own.tobytes()) != crc:
                 raise ValueError("block checksum does not match")

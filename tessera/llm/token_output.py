@@ -2,8 +2,8 @@
 
 Documents are put in ranges of ascending ``doc_id``; each range is a shard.  A
 task encodes its documents with the tokenizer library, appends an end id to
-each, and writes segments: a directory (document numbers and lengths, with its
-own checksum) and the ids as blocks of the range coder, each independently
+each, and writes segments: a directory (document numbers, lengths and the prior of
+the ids, with its own checksum) and the ids as blocks of the range coder, each independently
 reset and checksummed.  Segments end between documents, so any segment can be
 read alone; a shard's segments in order, and the shards in order, hold the ids
 of the corpus.  The container is a Parquet table with one row per segment,
@@ -11,7 +11,7 @@ written by Spark into any folder that the cluster shares.
 
 Defined results: null and empty texts have the end id only; special strings
 inside texts become their added token, as the library does by default; rows with
-equal doc_id follow each other by text; null doc_ids come first; an empty table
+equal doc_id follow each other by the hash of the text; null doc_ids come first; an empty table
 gives an empty file set; only ``doc_id`` and ``text`` are read.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tessera.llm import pretokens, rangecoder
 from tessera.llm.common import partitions_for, small_batches, text_or_empty, tokenizer_path
 from tessera.operators.prefix import running_totals
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import cut_lineage, ensure_checkpoint_dir, remove
 
 END_ID = 0
 #: input bytes of a shard; ids after which a segment ends; bounds of a block
@@ -107,15 +107,16 @@ def _encoder(path: str) -> _Encoder:
     return _Encoder(path)
 
 
-def pack_directory(doc_ids: list, lengths: np.ndarray) -> bytes:
-    """Document numbers (nulls allowed) and id counts of a segment."""
+def pack_directory(doc_ids: list, lengths: np.ndarray, prior: bytes = b"") -> bytes:
+    """Document numbers (nulls allowed) and id counts of a segment, and the prior
+    of its ids."""
     known = np.array([d is not None for d in doc_ids], bool)
     numbers = np.array([0 if d is None else d for d in doc_ids], "<i8")
-    body = zlib.compress(np.packbits(known).tobytes() + numbers.tobytes() + lengths.astype("<u4").tobytes(), 1)
+    body = zlib.compress(np.packbits(known).tobytes() + numbers.tobytes() + lengths.astype("<u4").tobytes() + prior, 6)
     return _DIRECTORY.pack(_MAGIC, len(doc_ids), len(body), zlib.crc32(body)) + body
 
 
-def unpack_directory(data: bytes) -> tuple[list, np.ndarray]:
+def unpack_directory(data: bytes) -> tuple[list, np.ndarray, bytes]:
     magic, n, length, crc = _DIRECTORY.unpack_from(data)
     body = data[_DIRECTORY.size :]
     if magic != _MAGIC or len(body) != length or zlib.crc32(body) != crc:
@@ -124,7 +125,7 @@ def unpack_directory(data: bytes) -> tuple[list, np.ndarray]:
     known = np.unpackbits(np.frombuffer(body[:bits], np.uint8), count=n).astype(bool)
     numbers = np.frombuffer(body, "<i8", n, bits).tolist()
     lengths = np.frombuffer(body, "<u4", n, bits + 8 * n)
-    return [d if k else None for d, k in zip(numbers, known.tolist(), strict=True)], lengths
+    return [d if k else None for d, k in zip(numbers, known.tolist(), strict=True)], lengths, body[bits + 12 * n :]
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> None:
@@ -149,9 +150,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k
             ids = np.frombuffer(b"".join(held), "<u2")
             # enough blocks to advance side by side, whatever the shard's size
             block = int(np.clip(len(ids) // (rangecoder.LANES // 4), *BLOCK_IDS))
+            prior = rangecoder.prior_of(ids, size)
             return pd.DataFrame({
                 "shard": [shard], "segment": [number], "n_ids": [len(ids)], "size": [size], "block": [block],
-                "directory": [pack_directory(numbers, lengths)], "ids": [rangecoder.encode(ids, size, block)]})
+                "directory": [pack_directory(numbers, lengths, prior)], "ids": [rangecoder.encode(ids, size, block, prior)]})
 
         for batch in batches:
             for doc_id, ids in zip(batch["doc_id"], encoder.encode(batch["text"].tolist()), strict=True):
@@ -165,7 +167,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k
             yield segment()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    laid = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one doc_id, or of none, may be many: their texts order them on
+    laid = rows.repartitionByRange(shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     laid.mapInPandas(segments, SEGMENT).write.parquet(path)
 
 
@@ -177,8 +180,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for s in batch.itertuples(index=False):
-                numbers, lengths = unpack_directory(s.directory)
-                ids = rangecoder.decode(s.ids, s.size, s.block)
+                numbers, lengths, prior = unpack_directory(s.directory)
+                ids = rangecoder.decode(s.ids, s.size, s.block, prior)
                 ends = np.cumsum(lengths, dtype=np.int64)
                 if len(ids) != s.n_ids or (len(ends) and ends[-1] != s.n_ids):
                     raise ValueError("segment is not whole")
@@ -199,5 +202,8 @@ def token_files(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> DataFr
     """Write the corpus to the shared folder and read it back."""
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files/{uuid.uuid4().hex}"
-    write_token_files(docs, path, tokenizer)
-    return read_token_files(spark, path)
+    try:
+        write_token_files(docs, path, tokenizer)
+        return cut_lineage(read_token_files(spark, path))
+    finally:
+        remove(spark, path)

@@ -10,6 +10,7 @@ import public_tokenizers as P
 import pytest
 import regex
 import tiktoken
+import xxhash
 from llm_cases import SF_CHECK, texts_of
 from tokenizers import Tokenizer
 
@@ -106,10 +107,34 @@ def test_range_coder_round_trip(block):
                 rng.zipf(1.3, 9000) % 50257, np.tile(rng.integers(0, 50257, 37), 90), np.full(100, 50256)):
         data = rangecoder.encode(ids, 50257, block)
         assert (rangecoder.decode(data, 50257, block) == ids).all()
+        for prior in (rangecoder.prior_of(ids, 50257), rangecoder.prior_of(ids[::2] // 2, 50257)):
+            data = rangecoder.encode(ids, 50257, block, prior)
+            assert (rangecoder.decode(data, 50257, block, prior) == ids).all()
     # what repeats gets short
     assert len(rangecoder.encode(np.tile(np.arange(50), 200), 50257, 4096)) < 10000 * 2 / 8
 
 
+def test_fewer_bits_than_zlib(library):
+    """On ids of documents, blocks and their prior together."""
+    import duckdb
+
+    texts = duckdb.sql(f"SELECT text FROM '{SF_CHECK}/documents.parquet' WHERE text IS NOT NULL ORDER BY doc_id").fetchall()
+    ids = np.concatenate([np.array([*e.ids, 0], "<u2") for e in library.encode_batch([t for t, in texts], add_special_tokens=False)])
+    prior = rangecoder.prior_of(ids, 50257)
+    data = rangecoder.encode(ids, 50257, 4096, prior)
+    assert len(data) + len(zlib.compress(prior, 6)) < 0.95 * len(zlib.compress(ids.tobytes(), 6))
+
+
+def test_priors_of_any_frequency():
+    """Tables are whole for very frequent ids, and for ids the prior has not seen."""
+    counts = np.array([1 << 60, 1, 3, 0, 0, 7])
+    prior = np.where(counts, np.minimum(np.round(4 * np.log2(np.maximum(counts, 1))) + 1, 255), 0).astype(np.uint8).tobytes()
+    about = rangecoder._Prior(6, prior)
+    assert (about.wide > 0).all() and (about.wide.reshape(-1, 64).sum(axis=1) == 512).all() and len(about.member_of) == 512
+    ids = np.array([3, 0, 0, 4, 5, 1, 2] * 20)
+    assert (rangecoder.decode(rangecoder.encode(ids, 6, 50, prior), 6, 50, prior) == ids).all()
+
+
 def test_blocks_are_independent_and_checked():
     ids = np.random.default_rng(1).integers(0, 50257, 1000)
     data = rangecoder.encode(ids, 50257, 100)
@@ -126,7 +151,9 @@ def test_blocks_are_independent_and_checked():
 
 def expected_files(rows, library):
     at, out = 0, Counter()
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+    # equal doc_ids, and rows without one, in the order of the texts' hashes
+    signed = lambda t: np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64)
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1]), r[1])):
         ids = library.encode(t, add_special_tokens=False).ids + [0]
         out[(i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] += 1
         at += len(ids)
@@ -159,7 +186,7 @@ def test_encoder_matches_library(library, monkeypatch):
 
 def test_directory_round_trip():
     ids, lengths = [None, 5, -3, 2**62], np.array([1, 0, 7, 9])
-    back, n = token_output.unpack_directory(token_output.pack_directory(ids, lengths))
-    assert back == ids and n.tolist() == lengths.tolist()
+    back, n, prior = token_output.unpack_directory(token_output.pack_directory(ids, lengths, b"\1\2\3"))
+    assert back == ids and n.tolist() == lengths.tolist() and prior == b"\1\2\3"
     with pytest.raises(ValueError):
         token_output.unpack_directory(token_output.pack_directory(ids, lengths)[:-1] + b"x")
