@@ -305,3 +305,32 @@ def test_sets_that_share_a_number(spark, monkeypatch):
     clashes = rows.groupBy("node").agg(F.min("node2").alias("lo"), F.max("node2").alias("hi")).where("lo <> hi").select("node", "lo")
     got = {(r["of"], r["node"]) for r in minhash._told_apart(rows, clashes).collect()}
     assert got == {("a", 5), ("b", 2), ("c", 6)}
+
+
+def test_pipeline_edges(spark, edge, empty):
+    """Null and shared doc_ids, repeated rows, further columns whose names the
+    operators use, and an empty table, in every stage."""
+    import corpus_pipeline
+
+    prose = "the river ran over stone and under the old bridge while nobody looked at the water that rose all night"
+    odd = [(None, prose, None, None), (None, prose, None, None), (None, "other " + prose[::-1], "en", "s1"), (900, prose + " again", "en", "s1"),
+           (900, " ".join(reversed(prose.split())), "en", "s2"), (901, None, "en", "s2"), (902, "", None, None)]
+    more = spark.createDataFrame([(i, t, lang, src, None if t is None else len(t), 9, 9) for i, t, lang, src in odd],
+                                 "doc_id long, text string, lang string, source string, n_chars long, n_lines int, shard int")
+    docs = edge.select("doc_id", "text", "lang", "source", "n_chars", F.lit(3).alias("n_lines"), "shard").unionAll(more)
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF_CHECK).cache()
+        assert now.columns == docs.columns, name
+        rows = [r["text"] for r in now.select("text").collect()]
+        assert rows and None not in rows
+        if name == "near_dedup":
+            left = [(r["doc_id"], r["text"]) for r in now.select("doc_id", "text").collect() if r["text"].strip()]
+            assert len(left) == len(set(left)) and sum(i is None for i, _ in left) >= 1
+        if name == "line_dedup":
+            # values of a further column stay what they were
+            assert {r["n_lines"] for r in now.select("n_lines").collect()} <= {3, 9}
+    out = corpus_pipeline.STAGES[-1][1](spark, now, SF_CHECK)
+    assert out.count() == now.count()
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF_CHECK).count() == 0, name
