@@ -7,7 +7,8 @@ becomes empty); mixing repeats rows.
 
 Defined results: a null or empty text fails the quality rules, and so goes in the
 first stage; rows without a doc_id, and rows that share one, are documents told
-apart by their texts; of rows equal in doc_id and text one stays behind near dedup;
+apart by their texts; of rows equal in doc_id and text one stays behind near dedup
+(texts that line dedup has emptied are like nothing, and stay);
 null sources mix as a source of their own; an empty table gives an empty one in
 every stage; further columns pass through to the mix (``n_chars`` is set anew, also
 where it was null), the last stage keeps ``doc_id``, ``lang`` and ``source``.
