@@ -58,7 +58,7 @@ BLOCK = 2048
 MAX_WORDS = 300_000
 #: bits of the parity sketches, and pairs looked at together
 SKETCH = 4096
-PORTION = 1 << 18
+PORTION = 1 << 16
 SEED = 20231
 
 
