@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import pretokens
-from tessera.llm.common import small_batches, text_or_empty, tokenizer_path
+from tessera.llm.common import give_back, portions, small_batches, text_or_empty, tokenizer_path
 
 #: upper bounds of the length buckets
 WIDTHS = (4, 8, 12, 16, 24, 32, 64)
@@ -202,7 +202,8 @@ def encode(docs: DataFrame, ranks: str = "byte_bpe_50k.tiktoken", keep: tuple[st
     @F.pandas_udf("binary")
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
-            yield pd.Series(encode_texts(s.tolist(), path), dtype=object)
+            yield pd.Series([x for p in portions(s) for x in encode_texts(p, path)], dtype=object)
+        give_back()
 
     out = docs.select(*keep, ids(text_or_empty()).alias("ids"))
     return out.select(*keep, F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"), "ids")
@@ -217,6 +218,7 @@ def decode(encoded: DataFrame, ranks: str = "byte_bpe_50k.tiktoken") -> DataFram
     def decoded(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in ids:
             yield pd.Series(decode_ids(s.tolist(), path), dtype=object)
+        give_back()
 
     return encoded.withColumn("decoded", decoded("ids"))
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +22,9 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: rows in one Arrow batch handed to Python: bounds a worker's memory
 BATCH_ROWS = 1000
 
+#: characters that a worker takes on at a time (one text at least)
+PORTION_CHARS = 1 << 20
+
 #: a word: a run of anything but the six ASCII white-space characters
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -39,6 +47,30 @@ def batch_rows(spark: SparkSession, n: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(n))
 
 
+def portions(texts: pd.Series, chars: int = PORTION_CHARS) -> Iterator[list[str]]:
+    """The texts of a batch, in order, in lists of at most ``chars`` characters
+    or one text: what a worker builds from them does not grow with the batch."""
+    rows = texts.tolist()
+    if not rows:
+        yield rows
+    sizes = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))
+    begin = 0
+    while begin < len(rows):
+        before = int(sizes[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, before + chars, side="right")))
+        yield rows[begin:end]
+        begin = end
+
+
+def give_back() -> None:
+    """Return what a worker no longer uses to the system: Spark keeps idle
+    workers beside the JVM for a while."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     """Partitions for a shuffle of ``df``: one per ``bytes_each`` of its input
     and at least one per shuffle partition of the session."""

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import collect_garbage, small_batches, text_or_empty
+from tessera.llm.common import collect_garbage, give_back, portions, small_batches, text_or_empty
 from tessera.llm.graph import components
 from tessera.session import cut_lineage
 
@@ -71,6 +71,12 @@ class _WordHashes(dict):
 _word_hashes = _WordHashes()
 
 
+def forget() -> None:
+    """Drop the word hashes of a worker and return its memory."""
+    _word_hashes.clear()
+    give_back()
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -149,11 +155,15 @@ def facts(docs: DataFrame, n: int) -> DataFrame:
     @F.pandas_udf("n_shingles long, node long, node2 long, signature binary")
     def describe(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
-            sets = [shingles(t, n) for t in s]
-            yield pd.DataFrame({
-                "n_shingles": [len(x) for x in sets],
-                **_numbers(sets),
-                "signature": [signature(x).astype("<u4").tobytes() if len(x) else None for x in sets]})
+            parts = []
+            for p in portions(s):
+                sets = [shingles(t, n) for t in p]
+                parts.append(pd.DataFrame({
+                    "n_shingles": [len(x) for x in sets],
+                    **_numbers(sets),
+                    "signature": [signature(x).astype("<u4").tobytes() if len(x) else None for x in sets]}))
+            yield pd.concat(parts, ignore_index=True)
+        forget()
 
     return docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), describe(text_or_empty()).alias("f")).select(
         "doc_id", "text_key", "f.*")
@@ -320,6 +330,7 @@ def judged(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             sets = [shingles(t, shingle) for t in s]
             yield pd.DataFrame({**_numbers(sets),
                                 "hashes": pd.Series([x.astype("<u8").tobytes() for x in sets], dtype=object)})
+        forget()
 
     fetched = rows.select(hashes("text").alias("s")).select("s.*")
     fetched = _told_apart(fetched, clashes) if clash else fetched

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORD, small_batches, text_or_empty
+from tessera.llm.common import WORD, give_back, portions, small_batches, text_or_empty
 
 MIN_WORDS = 10
 BASE_NGRAM = 5
@@ -137,7 +137,8 @@ def verdict(text: Column) -> Column:
     @F.pandas_udf(RESULT)
     def measured(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
-            yield measure(s.tolist())
+            yield pd.concat([measure(p) for p in portions(s)], ignore_index=True)
+        give_back()
 
     return measured(text)
 
