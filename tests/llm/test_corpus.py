@@ -178,6 +178,26 @@ def jaccard(a, b):
     return 1.0 if not a and not b else len(a & b) / len(a | b)
 
 
+def spots(text):
+    """Chains as word tuples, found word by word."""
+    words = re.findall(r"\w+", text.lower())
+    out = set()
+    for i, w in enumerate(words):
+        if w in fingerprints.ANCHORS:
+            chain = [x for x in words[i + 1:i + 1 + 400] if x not in fingerprints.ANCHORS][:2]
+            if len(chain) == 2:
+                out.add((w, *chain))
+    if not out and words:
+        size = min(2, len(words))
+        out = {("", *words[i:i + size]) for i in range(len(words) - size + 1)}
+    return out
+
+
+def likeness_by_hand(a, b):
+    j = jaccard(a, b)
+    return j if j >= fingerprints.FLOOR else 0.0
+
+
 def test_op9(spark, edge, empty):
     for df in (edge, spark.read.parquet(f"{SF_CHECK}/documents.parquet"), edge.where("doc_id = 4")):
         rows = sorted(texts_of(df), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
@@ -185,14 +205,44 @@ def test_op9(spark, edge, empty):
         for k, (i, t) in enumerate(rows):
             after = rows[(k + 1) % len(rows)][1]
             changed = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
-            a, b, c = (set(fingerprints.signatures(x).tolist()) for x in (t, changed, after))
-            want[(i, len(t), hashlib.sha256(changed.encode()).hexdigest(), round(jaccard(a, b), 9), round(jaccard(a, c), 9))] += 1
+            a, b, c = spots(t), spots(changed), spots(after)
+            want[(i, len(t), hashlib.sha256(changed.encode()).hexdigest(), round(likeness_by_hand(a, b), 9), round(likeness_by_hand(a, c), 9))] += 1
         out = fingerprints.fingerprint_next(df).collect()
         assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9))
                        for r in out) == want
     assert fingerprints.fingerprint_next(empty).collect() == []
 
 
+def test_op9_hot_numbers(spark, monkeypatch):
+    """A third of the rows without a doc_id, a third with one doc_id: spread over
+    ranges, each row once, in the order of the hash."""
+    texts = [f"the river {i} walks of stone {i % 7} and blue {i % 5} in water {i}" for i in range(900)]
+    ids = [None if i % 3 == 0 else 77 if i % 3 == 1 else i for i in range(900)]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(4)
+    ranged, n = fingerprints._ranges(docs, 9)
+    sizes = [r[1] for r in ranged.groupBy("rng").count().collect()]
+    assert n >= 9 and max(sizes) <= 200 and sum(sizes) == 900
+    hashed = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    rows = sorted(zip(ids, texts, strict=True), key=lambda r: (r[0] is None, -(r[0] or 0), hashed[r[1]]))
+    want = Counter()
+    for k, (i, t) in enumerate(rows):
+        after = rows[(k + 1) % len(rows)][1]
+        want[i, hashlib.sha256((t[: len(t) - len(t) // 3] + after[: len(t) // 3]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in fingerprints.fingerprint_next(docs).collect()) == want
+
+
+def test_pruned_likeness():
+    """Above the floor exact, below it 0, whatever the lengths."""
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        n, m = rng.integers(0, 3000, 2) // rng.integers(1, 60, 2)
+        a = np.unique(rng.integers(0, 4000, n)).astype("<u4")
+        b = np.unique(np.concatenate([rng.choice(a, int(len(a) * rng.random())) if len(a) else a, rng.integers(0, 4000, m)])).astype("<u4")
+        j = jaccard(set(a.tolist()), set(b.tolist()))
+        for floor in (0.05, 0.5, 0.8):
+            assert fingerprints.likeness(a, b, floor) == (pytest.approx(j) if j >= floor else 0.0)
+
+
 def test_equal_texts_equal_fingerprints(edge):
     rows = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint_next(edge).collect()}
     assert rows[5] == rows[6] and rows[7] == rows[8] and rows[5] != rows[7] and rows[2] == ""
@@ -214,6 +264,51 @@ def test_similar_pairs(spark):
         assert got == pytest.approx(want)
 
 
+def test_similar_classes(spark):
+    """Many copies of a fingerprint are one class; pairs lie between classes only."""
+    sets = [{1, 2, 3, 4, 5}, {1, 2, 3, 4, 6}, {7, 8}, {1, 2, 3, 4, 5}]
+    rows = [(i, fingerprints.as_text(np.array(sorted(s), "<u4"))) for i, s in enumerate(sets)]
+    rows += [(100 + i, rows[1][1]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    pairs = fingerprints.similar_pairs(df, 50).collect()
+    assert [(r["a"], r["b"], round(r["likeness"], 6)) for r in pairs] == [(0, 1, round(4 / 6, 6))]
+    of = dict(fingerprints.classes(df).collect())
+    assert of[3] == 0 and of[2] == 2 and all(of[100 + i] == 1 for i in range(300)) and len(of) == 304
+
+
+def test_op4_risk_and_gradient():
+    """The parts of the risk by their definition, the gradients by finite differences."""
+    rng = np.random.default_rng(1)
+    weights = [rng.normal(0, 1, (4, 3)), rng.normal(0, 1, 3), rng.normal(0, 1, 3), rng.normal(0, 1, 1)]
+    p, u, prior = rng.normal(0.5, 1, (7, 4)), rng.normal(0, 1, (11, 4)), 0.4
+
+    def parts(w):
+        out = [np.tanh(x @ w[0] + w[1]) @ w[2] + w[3][0] for x in (p, u)]
+        plus, minus = np.log(1 + np.exp(-out[0])).mean(), [np.log(1 + np.exp(o)).mean() for o in out]
+        return prior * plus, minus[1] - prior * minus[0]
+
+    first, bracket, *grads = quality_classifier.risk(weights, p, u, prior)
+    assert (first, bracket) == pytest.approx(parts(weights))
+    for part, grad in enumerate(grads):
+        for k, g in enumerate(grad):
+            for at in np.ndindex(g.shape):
+                up, down = ([w.copy() for w in weights] for _ in range(2))
+                up[k][at] += 1e-5
+                down[k][at] -= 1e-5
+                assert g[at] == pytest.approx((parts(up)[part] - parts(down)[part]) / 2e-5, abs=1e-6)
+
+
+def test_op4_prior():
+    """The prior comes back from positives and unlabelled rows alone."""
+    rng = np.random.default_rng(3)
+    for share in (0.2, 0.5, 0.8):
+        positive = rng.normal(1.5, 1, (3000, 3))
+        of = rng.random(6000) < share
+        unlabelled = np.where(of[:, None], rng.normal(1.5, 1, (6000, 3)), rng.normal(-1.5, 1, (6000, 3)))
+        assert quality_classifier.class_prior(positive, unlabelled) == pytest.approx(share, abs=0.06)
+    assert quality_classifier.class_prior(positive[:5], unlabelled) == quality_classifier.NO_PRIOR
+
+
 def test_shards_of_strings_with_one_beginning(spark):
     """Sources that differ behind a long common beginning still prune, and cells
     follow the order of the values."""
