@@ -149,19 +149,23 @@ def fold_summary(metrics: DataFrame, test_fold: int) -> DataFrame:
 
 # ---- class balance for estimators without weightCol ---------------------------
 
-def balance_by_replication(df: DataFrame, label: str = "label") -> DataFrame:
-    """Replicate each row ``round(max_count / class_count)`` times (exact and
-    deterministic, unlike sampling); counts per class reach the driver (one
-    number per class)."""
+def class_copies(df: DataFrame, label: str = "label") -> Column:
+    """How often a row counts when the classes are balanced: ``round(max_count /
+    class_count)``; counts per class reach the driver (one number per class)."""
     rows = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
     if len(rows) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     if not rows:
-        return df
+        return F.lit(1)
     counts = {r[0]: r[1] for r in rows}
     top = max(counts.values())
-    rep = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(round(top / n))))])
-    return df.withColumn("__rep", F.explode(F.sequence(F.lit(1), rep[F.col(label)]))).drop("__rep")
+    return F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(round(top / n))))])[F.col(label)]
+
+
+def balance_by_replication(df: DataFrame, label: str = "label") -> DataFrame:
+    """Replicate each row ``class_copies`` times (exact and deterministic, unlike
+    sampling)."""
+    return df.withColumn("__rep", F.explode(F.sequence(F.lit(1), class_copies(df, label)))).drop("__rep")
 
 
 # ---- deterministic bootstrap (Poisson(1) weights) -----------------------------

@@ -28,6 +28,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import clip
+from tessera.operators import blocks as BL
 from tessera.operators import features as FE
 from tessera.operators import knn
 from tessera.operators import models as ML
@@ -57,7 +58,8 @@ def prospect_frame(spark, sf_dir):
         "key", "features", F.col("y").cast("double").alias("label"), "weight",
         F.when(F.col("key") % 5 == 0, "test").otherwise("train").alias("split"),
         (F.col("key") % 5).cast("int").alias("fold"))
-    return cut_lineage(frame), spec.features
+    # spread by rows: the join's few megabytes would leave the fits a few tasks
+    return cut_lineage(BL.spread(frame, "key", p.count(), 8 * len(spec.features) + 40)), spec.features
 
 
 def split(frame):
@@ -233,9 +235,8 @@ def _mlp(spark, sf_dir, name, hidden, features_filter=None, max_iter=100):
     else:
         n_in = len(feats)
     tr, te = split(frame)
-    # MLP has no weightCol: balance the classes by exact replication
-    tr = ML.balance_by_replication(tr, "label")
-    est = MultilayerPerceptronClassifier(layers=[n_in, *hidden, 2], maxIter=max_iter, seed=SEED, blockSize=128)
+    # the classes are balanced: a row counts as often as exact replication repeats it
+    est = BL.Network([n_in, *hidden, 2], max_iter, SEED, ML.class_copies)
     _, res = ML.fit_and_evaluate(name, est, tr, te)
     return ML.results_frame(spark, [res])
 
@@ -384,8 +385,7 @@ def _adaboost(train, rows):
 
 def _network(train, rows):
     size = train.select(F.size(vector_to_array("features"))).first()[0]
-    est = MultilayerPerceptronClassifier(layers=[size, 16, 2], maxIter=30, seed=SEED, blockSize=128)
-    return est.fit(ML.balance_by_replication(train, "label")).transform(rows)
+    return BL.Network([size, 16, 2], 30, SEED, ML.class_copies).fit(train).transform(rows)
 
 
 def _kernel(df):
