@@ -89,18 +89,61 @@ class Index:
     between: np.ndarray        # distances of the pivots
     blocks: pd.DataFrame       # block, cell, n, lo, hi; numbered from 0
 
-    def bounds(self, Q: np.ndarray) -> np.ndarray:
-        """Lower bound of the distance from each test row to each block's rows."""
-        to = distances(Q, self.pivots)
-        own = to.argmin(1)
+    def __post_init__(self) -> None:
+        """Blocks by cell: number of the first, how many, and per ring (in order of
+        the distance to the pivot) the least and greatest distance."""
         cell = self.blocks["cell"].to_numpy()
+        self.held = self.blocks["n"].to_numpy()
+        self.start = np.searchsorted(cell, np.arange(len(self.pivots)))
+        self.count = np.bincount(cell, minlength=len(self.pivots))
+        ring = np.arange(len(cell)) - self.start[cell]
+        self.lo, self.hi = (np.full((len(self.pivots), int(self.count.max())), np.inf) for _ in range(2))
+        self.lo[cell, ring], self.hi[cell, ring] = self.blocks["lo"], self.blocks["hi"]
+
+    def _few(self, to: np.ndarray, k: int) -> list[int]:
+        """Blocks that hold k rows, of the nearest cells, for one test row."""
+        out, n = [], 0
+        for c in np.argsort(to, kind="stable"):
+            rings = slice(0, self.count[c])
+            low = np.maximum(to[c] - self.hi[c, rings], self.lo[c, rings] - to[c])
+            for j in np.argsort(low, kind="stable"):
+                out.append(self.start[c] + j)
+                n += self.held[out[-1]]
+                if n >= k:
+                    return out
+        return out
+
+    def visits(self, Q: np.ndarray, ub: np.ndarray, k: int, first: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(test row, block) by test row.  First: its nearest pivot's ring, or the
+        nearest blocks that hold k rows.  Second: the blocks not yet visited whose
+        lower bound does not exceed ``ub``.  Cells are sorted out before their rings
+        are looked at, so a test row costs by pivots, not by blocks."""
+        to = distances(Q, self.pivots)
+        own, rows = to.argmin(1), np.arange(len(Q))
+        r = to[rows, own]
+        block = self.start[own] + np.minimum((self.hi[own] < r[:, None]).sum(1), self.count[own] - 1)
+        one = np.flatnonzero((self.held[block] >= k) & (self.count[own] > 0))
+        few = [(i, x) for i in np.setdiff1d(rows, one) for x in self._few(to[i], k)]
+        seen = np.concatenate([np.stack([one, block[one]], 1), np.array(few, np.int64).reshape(-1, 2)])
+        if first:
+            seen = seen[np.argsort(seen[:, 0], kind="stable")]
+            return seen[:, 0], seen[:, 1]
         with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (to**2 - (to.min(1) ** 2)[:, None]) / (2 * self.between[own])
-        plane = np.where(np.isfinite(plane), plane, 0.0)
-        at = to[:, cell]
-        low = np.maximum(at - self.blocks["hi"].to_numpy(), self.blocks["lo"].to_numpy() - at)
+            plane = (to**2 - (r**2)[:, None]) / (2 * self.between[own])
         # less than rounding could have added
-        return np.maximum(np.maximum(low, plane[:, cell]) - 1e-9 * (1 + at), 0.0)
+        slack = 1e-9 * (1 + to)
+        i, c = np.nonzero(~(plane - slack > ub[:, None]) | ~np.isfinite(plane))
+        found = [np.zeros((0, 2), np.int64)]
+        for a in range(0, len(i), 1 << 15):
+            ii, cc = i[a : a + (1 << 15)], c[a : a + (1 << 15)]
+            at, far = to[ii, cc], slack[ii, cc] + ub[ii]
+            hit = (self.hi[cc] >= (at - far)[:, None]) & (self.lo[cc] <= (at + far)[:, None])
+            pair, j = np.nonzero(hit & (np.arange(self.hi.shape[1]) < self.count[cc][:, None]))
+            found.append(np.stack([ii[pair], self.start[cc[pair]] + j], 1))
+        pairs = np.concatenate(found)
+        code = lambda x: x[:, 0] * len(self.held) + x[:, 1]
+        pairs = pairs[~np.isin(code(pairs), code(seen))]
+        return pairs[:, 0], pairs[:, 1]
 
 
 def build_index(train: DataFrame, vec: str, key: str, label: str, block_rows: int) -> Index:
@@ -141,20 +184,16 @@ def routes(test: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
     """(qid, qv, ub, block): the blocks a test row visits in its first round
     (those nearest that hold k rows), or in its second (those not yet visited
     whose lower bound does not exceed ``ub``)."""
-    held = index.blocks["n"].to_numpy()
-    bounds = replace(index, rows=None).bounds     # tasks need the numbers alone
+    numbers = replace(index, rows=None)     # tasks need the numbers alone
 
     @F.pandas_udf("array<int>")
     def visited(vectors: pd.Series, ub: pd.Series) -> pd.Series:
         out = []
         vectors, ub = vectors.to_numpy(), ub.to_numpy(np.float64)
-        for a in range(0, len(vectors), 64):
-            low = bounds(np.stack(vectors[a : a + 64]).astype(np.float64))
-            order = np.argsort(low, axis=1, kind="stable")
-            for i, o in enumerate(order):
-                n = int(np.searchsorted(np.cumsum(held[o]), k)) + 1
-                rest = o[n:]
-                out.append((o[:n] if first else rest[low[i, rest] <= ub[a + i]]).astype(np.int32))
+        for a in range(0, len(vectors), 512):
+            Q = np.stack(vectors[a : a + 512]).astype(np.float64)
+            i, block = numbers.visits(Q, ub[a : a + 512], k, first)
+            out += np.split(block.astype(np.int32), np.searchsorted(i, np.arange(1, len(Q))))
         return pd.Series(out)
 
     return test.select("qid", "qv", "ub", F.explode(visited("qv", "ub")).alias("block"))

@@ -70,3 +70,34 @@ def test_unprunable_vectors_visit_all(spark):
     train, test = rng.normal(size=(200, 40)), rng.normal(size=(8, 40))
     check(spark, list(train), list(test), 4, block_rows=20)
     assert knn.compared(table(spark, train), table(spark, test), "v", "id", "label", 4, 20).agg(F.max("pairs")).first()[0] == 200
+
+
+def test_routing_costs_by_pivots_not_by_blocks():
+    """Over 65536 blocks: the blocks that the bounds allow, without a number per
+    test row and block."""
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    pivots = rng.normal(size=(1024, 2))
+    edges = np.sort(rng.uniform(0, 0.2, (1024, 65)), axis=1)
+    blocks = pd.DataFrame({"block": np.arange(65536), "cell": np.repeat(np.arange(1024), 64), "n": rng.integers(1, 40, 65536),
+                           "lo": edges[:, :-1].ravel(), "hi": edges[:, 1:].ravel()})
+    index = knn.Index(None, pivots, knn.distances(pivots, pivots), blocks)
+    q, ub = rng.normal(size=(64, 2)), np.full(64, 0.01)
+    ub[0] = 1.0
+    tracemalloc.start()
+    first, second = index.visits(q, ub, 5, True), index.visits(q, ub, 5, False)
+    assert tracemalloc.get_traced_memory()[1] < 60e6       # 64 x 65536 doubles alone: 34e6, five of them at once before
+    tracemalloc.stop()
+    to, cell = knn.distances(q, pivots), blocks["cell"].to_numpy()
+    for i in range(64):
+        own = to[i].argmin()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = np.nan_to_num((to[i] ** 2 - to[i, own] ** 2) / (2 * index.between[own]), nan=0, posinf=0, neginf=0)
+        at = to[i][cell]
+        low = np.maximum(np.maximum(at - blocks["hi"], blocks["lo"] - at), plane[cell])
+        seen = set(first[1][first[0] == i])
+        assert blocks["n"].to_numpy()[list(seen)].sum() >= 5
+        assert set(second[1][second[0] == i]) == set(np.flatnonzero(low - 1e-9 * (1 + at) <= ub[i])) - seen
