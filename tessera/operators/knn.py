@@ -31,7 +31,7 @@ from tessera.session import cut_lineage
 
 MAX_PIVOTS, MAX_RINGS = 1024, 64
 #: distances held by one task at a time
-MAX_DISTANCES = 1 << 24
+MAX_DISTANCES = 1 << 21
 #: rows of either side in one task
 PART_ROWS = 20000
 FOUND = "qid long, tid long, tl long, d double"
@@ -63,8 +63,11 @@ def nearest_in(Q: np.ndarray, T: np.ndarray, tid: np.ndarray, k: int, within: np
         q = Q[lo : lo + max(1, max_distances // len(T))]
         P = q - centre
         p2 = (P * P).sum(1)
-        d = p2[:, None] - 2 * P @ near.T + t2[None, :]
-        limit = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+        P *= -2
+        d = P @ near.T          # one matrix, filled in place
+        d += p2[:, None]
+        d += t2[None, :]
+        limit = np.partition(d, kk - 1, axis=1)[:, kk - 1].copy()   # not a view of all distances
         if within is not None:
             limit = np.minimum(limit, within[lo : lo + len(q)] ** 2)
         # whatever may tie with the k-th stays; exact distances decide

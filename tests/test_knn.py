@@ -101,3 +101,19 @@ def test_routing_costs_by_pivots_not_by_blocks():
         seen = set(first[1][first[0] == i])
         assert blocks["n"].to_numpy()[list(seen)].sum() >= 5
         assert set(second[1][second[0] == i]) == set(np.flatnonzero(low - 1e-9 * (1 + at) <= ub[i])) - seen
+
+
+def test_distances_of_a_full_task_stay_small():
+    """A task's largest pair of parts, 20000 rows of either side (here 20000 x 1000),
+    holds few distances at a time; the result is that of any other portion."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    q, t = rng.normal(size=(20000, 8)), rng.normal(size=(1000, 8))
+    tid = np.arange(len(t))
+    tracemalloc.start()
+    found = knn.nearest_in(q, t, tid, 5)
+    assert tracemalloc.get_traced_memory()[1] < 100e6      # 16.8 M distances, three times over, before
+    tracemalloc.stop()
+    few = knn.nearest_in(q[:300], t, tid, 5, max_distances=7000)
+    assert all((a[:1500] == b).all() for a, b in zip(found, few, strict=True))
