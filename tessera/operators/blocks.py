@@ -1,4 +1,4 @@
-"""Trainers on blocks of rows.
+"""Trainers on blocks of rows: networks and kernel machines.
 
 Spark ML's network keeps every copy of a minority row and works on few
 partitions, one Java loop per neuron; its linear machine keeps the kernel features
@@ -18,6 +18,7 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -210,3 +211,69 @@ class Network:
         weights, self.values = minimise(value, start, self.max_iter)
         release(blocks)
         return shell.setInitialWeights(Vectors.dense(weights)).fit(form)
+
+
+# ---- kernel machines -------------------------------------------------------------
+
+def fourier(x: np.ndarray, turn: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Random Fourier features of a block's rows: sqrt(2/D) cos(W x + b)."""
+    z = x @ turn.T
+    z += shift
+    np.cos(z, out=z)
+    z *= np.float32(math.sqrt(2.0 / len(shift)))
+    return z
+
+
+class FourierMachine:
+    """A linear support vector machine (hinge loss, ``reg`` on the coefficients of
+    standardised features, as Spark ML's) on random Fourier features that each
+    evaluation computes from the raw features: 64 numbers a row are never kept."""
+
+    def __init__(self, turn: np.ndarray, shift: np.ndarray, max_iter: int, reg: float, weight: str = "weight"):
+        self.turn, self.shift, self.max_iter, self.reg, self.weight = turn, shift, max_iter, reg, weight
+
+    def fit(self, train: DataFrame) -> FourierMachine:
+        blocks = pack(train, weight=F.col(self.weight))
+        turn, shift, d = self.turn.astype(np.float32), self.shift.astype(np.float32), len(self.shift)
+
+        def moments(x, y, w):
+            z = fourier(x, turn, shift)
+            return 0.0, np.r_[w @ z, w @ (z * z)]
+
+        _, n, sums = total(blocks, moments)
+        mean = sums[:d] / n
+        std = np.sqrt(np.maximum(sums[d:] / n - mean**2, 0.0))
+        scale = np.divide(1.0, std, out=np.zeros(d), where=std > 1e-6)
+
+        def value(at: np.ndarray) -> tuple[float, np.ndarray]:
+            beta = (at[:d] * scale).astype(np.float32)
+            offset = np.float32(at[d] - (at[:d] * scale) @ mean)
+
+            def hinge(x, y, w):
+                z = fourier(x, turn, shift)
+                sign = np.where(y > 0, np.float32(1), np.float32(-1))
+                slack = 1 - sign * (z @ beta + offset)
+                pull = np.where(slack > 0, -sign * w, np.float32(0))
+                return float((np.maximum(slack, 0) * w).sum(dtype=np.float64)), np.r_[pull @ z, pull.sum()]
+
+            loss, _, g = total(blocks, hinge)
+            slope = np.r_[(g[:d] - mean * g[d]) * scale + self.reg * n * at[:d], g[d]] / n
+            return loss / n + self.reg / 2 * float(at[:d] @ at[:d]), slope
+
+        at, self.values = minimise(value, np.zeros(d + 1), self.max_iter)
+        release(blocks)
+        self.coefficients = at[:d] * scale
+        self.intercept = float(at[d] - self.coefficients @ mean)
+        return self
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``rawPrediction`` (minus the margin, the margin) and ``prediction``."""
+        turn, shift, coefficients, intercept = self.turn, self.shift, self.coefficients, self.intercept
+
+        @F.pandas_udf("double")
+        def margin(x: pd.Series) -> pd.Series:
+            return pd.Series(fourier(np.stack(x), turn, shift) @ coefficients + intercept if len(x) else [], dtype="float64")
+
+        out = rows.withColumn("__m", margin(vector_to_array("features")))
+        return out.withColumn("rawPrediction", array_to_vector(F.array(-F.col("__m"), F.col("__m")))).withColumn(
+            "prediction", (F.col("__m") > 0).cast("double")).drop("__m")

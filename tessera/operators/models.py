@@ -258,15 +258,20 @@ def adaboost(train: DataFrame, key: str, rounds: int = 10, seed: int = 7) -> tup
 
 # ---- random Fourier features (RBF kernel approximation) ----------------------
 
+def fourier_weights(d: int, n_components: int = 64, gamma: float = 0.1, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """W ~ N(0, 2 gamma), b ~ U(0, 2 pi) of the features, from the seed."""
+    rng = np.random.default_rng(seed)
+    Wm = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, d))
+    return Wm, rng.uniform(0.0, 2 * math.pi, size=n_components)
+
+
 def fourier_vector(x: Column, d: int, n_components: int = 64, gamma: float = 0.1, seed: int = 11) -> Column:
     """z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi), as a vector
     of a feature array of ``d`` entries: the projection (D x d numbers, from the
     seed) is folded in as literals."""
     from tessera.operators.images import dense
 
-    rng = np.random.default_rng(seed)
-    Wm = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, d))
-    bv = rng.uniform(0.0, 2 * math.pi, size=n_components)
+    Wm, bv = fourier_weights(d, n_components, gamma, seed)
     # W x + b as one dense layer over the feature array (array functions keep
     # the generated code small whatever D is), then sqrt(2/D) cos(.)
     scale = math.sqrt(2.0 / n_components)

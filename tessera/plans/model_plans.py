@@ -16,7 +16,6 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassificationModel,
     GBTClassifier,
-    LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
     NaiveBayes,
@@ -212,15 +211,10 @@ def ml_knn_prospects(spark, sf_dir):
 
 @plan("ml_svm_rbf_approx")
 def ml_svm_rbf_approx(spark, sf_dir):
-    p = SI.prospects(spark, sf_dir)
-    spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
-    enc = FE.encode(p, spec, keep=["key", "y"])
-    z = ML.fourier_features(enc, spec.features, n_components=64, gamma=0.1, seed=SEED, keep=["key", "y"])
-    w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
-    z = z.join(FE.bounded_broadcast(w), "y").select("key", "features", F.col("y").cast("double").alias("label"), "weight")
-    tr, te = z.where(F.col("key") % 5 != 0), z.where(F.col("key") % 5 == 0)
-    # LinearSVC has no probability: the margin of the positive class is the score
-    svc = LinearSVC(weightCol="weight", maxIter=30, regParam=0.01)
+    frame, features = prospect_frame(spark, sf_dir)
+    tr, te = split(frame)
+    # no probability: the margin of the positive class is the score
+    svc = BL.FourierMachine(*ML.fourier_weights(len(features), 64, 0.1, SEED), max_iter=30, reg=0.01)
     _, res = ML.fit_and_evaluate("SVM (RBF, Fourier features)", svc, tr, te, score="margin")
     return ML.results_frame(spark, [res])
 
@@ -388,18 +382,14 @@ def _network(train, rows):
     return BL.Network([size, 16, 2], 30, SEED, ML.class_copies).fit(train).transform(rows)
 
 
-def _kernel(df):
-    size = df.select(F.size(vector_to_array("features"))).first()[0]
-    return df.withColumn("features", ML.fourier_vector(vector_to_array("features"), size, 64, 0.1, SEED))
-
-
 def _svm(train, rows):
     """A linear machine on Fourier features; its margin calibrated on a fourth of
     the training rows that it has not seen."""
     fit, held = train.where(F.col("key") % 4 != 1), train.where(F.col("key") % 4 == 1)
-    svc = LinearSVC(weightCol="weight", maxIter=15, regParam=0.01).fit(_kernel(fit))
-    margins = lambda df: svc.transform(_kernel(df)).withColumn(
-        "margin", F.element_at(vector_to_array("rawPrediction"), 2)).drop("probability", "rawPrediction")
+    size = train.select(F.size(vector_to_array("features"))).first()[0]
+    svc = BL.FourierMachine(*ML.fourier_weights(size, 64, 0.1, SEED), max_iter=15, reg=0.01).fit(fit)
+    margins = lambda df: svc.transform(df).withColumn(
+        "margin", F.element_at(vector_to_array("rawPrediction"), 2)).drop("rawPrediction")
     return ML.calibrated(ML.calibrate(margins(held)), margins(rows))
 
 

@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -54,3 +54,16 @@ def test_rows_a_network_cannot_learn_from_fail(rows):
         BL.Network([3, 2]).fit(rows.where("false"))
     with pytest.raises(Exception, match="labels outside"):
         BL.Network([3, 2], 2).fit(rows.withColumn("label", F.lit(2.0)))
+
+
+def test_fourier_machine_is_the_linear_machine_on_kept_features(rows):
+    from pyspark.ml.functions import vector_to_array
+
+    machine = BL.FourierMachine(*ML.fourier_weights(3, 16, 0.3, 5), max_iter=12, reg=0.01).fit(rows)
+    kept = rows.withColumn("features", ML.fourier_vector(vector_to_array("features"), 3, 16, 0.3, 5))
+    own = LinearSVC(weightCol="weight", maxIter=12, regParam=0.01).fit(kept)
+    assert machine.values[-1] <= 1.05 * own.summary().objectiveHistory[-1]
+    both = machine.transform(rows).select("key", "prediction", F.element_at(vector_to_array("rawPrediction"), 2).alias("m")).join(
+        own.transform(kept).select("key", F.col("prediction").alias("p"), F.element_at(vector_to_array("rawPrediction"), 2).alias("n")), "key")
+    same, corr = both.agg(F.avg((F.col("prediction") == F.col("p")).cast("double")), F.corr("m", "n")).first()
+    assert same > 0.95 and corr > 0.98
