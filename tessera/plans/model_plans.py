@@ -38,17 +38,23 @@ from tessera.plans import standins as SI
 from tessera.plans.registry import plan
 from tessera.operators.scoring import PRED_COL, PROBA_COL
 from tessera.plans.scoring_plans import COEF, INTERCEPT, SCORED_SQL, rounded_scores, train_rows
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, release
 from tessera.sources import files as FS
 from tessera.sources.registry import ModelRegistry
 
 SEED = 42
 
 
+def raw_prospects(spark, sf_dir):
+    """The raw prospects, written once: every pass over the join would gather the
+    customers on the driver again, wherever Spark broadcasts them."""
+    return cut_lineage(SI.prospects(spark, sf_dir))
+
+
 def prospect_frame(spark, sf_dir):
     """(key, features, label, weight, split, fold) + the frozen feature list;
     written once, since every fit and evaluation reads it again."""
-    p = SI.prospects(spark, sf_dir)
+    p = raw_prospects(spark, sf_dir)
     spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key", "y"])
     w = FE.class_weights(enc.where(F.col("key") % 5 != 0), "y").select("y", "weight")
@@ -58,7 +64,9 @@ def prospect_frame(spark, sf_dir):
         F.when(F.col("key") % 5 == 0, "test").otherwise("train").alias("split"),
         (F.col("key") % 5).cast("int").alias("fold"))
     # spread by rows: the join's few megabytes would leave the fits a few tasks
-    return cut_lineage(BL.spread(frame, "key", p.count(), 8 * len(spec.features) + 40)), spec.features
+    laid = cut_lineage(BL.spread(frame, "key", p.count(), 8 * len(spec.features) + 40))
+    release(p)
+    return laid, spec.features
 
 
 def split(frame):
@@ -202,7 +210,7 @@ SELECT qid AS key, CAST(tl AS INT) AS pred, n / 5.0::DOUBLE AS share FROM w WHER
 def ml_knn_prospects(spark, sf_dir):
     """kNN over the encoded, scaled prospects: every test row against the index
     of the training rows."""
-    p = SI.prospects(spark, sf_dir)
+    p = raw_prospects(spark, sf_dir)
     spec = fit_spec(train_rows(p), SI.NUM_COLS, SI.CAT_COLS)
     enc = FE.encode(p, spec, keep=["key", "y"])
     rows = cut_lineage(enc.select("key", "y", F.array(*[F.col(f"`{f}`").cast("double") for f in spec.features]).alias("v")))
@@ -529,9 +537,8 @@ def _raw_training(p):
     return FE.attach_row_weight(tr, "y").withColumn("label", F.col("y").cast("double"))
 
 
-def _fit_pipeline(spark, sf_dir, estimator=None):
+def _fit_pipeline(p, estimator=None):
     """A pipeline fitted on raw training rows, and the raw test rows."""
-    p = SI.prospects(spark, sf_dir)
     estimator = estimator or LogisticRegression(weightCol="weight", maxIter=50)
     pipe = Pipeline(stages=[PL.FitEncoding(numeric=SI.NUM_COLS, categorical=SI.CAT_COLS), estimator])
     return pipe.fit(_raw_training(p)), p.where(F.col("key") % 5 == 0)
@@ -557,9 +564,10 @@ FROM P WHERE key % 5 <> 0""")
 def sink_manifest_contents(spark, sf_dir):
     """What the manifest and the stored stages of a published model say: features
     from the levels seen, training rows by class, scaler statistics."""
-    model, _ = _fit_pipeline(spark, sf_dir)
+    p = raw_prospects(spark, sf_dir)
+    model, _ = _fit_pipeline(p)
     registry = _registry(spark)
-    registry.publish("logreg", model, None, train_rows(SI.prospects(spark, sf_dir)), "y")
+    registry.publish("logreg", model, None, train_rows(p), "y")
     scaler = registry.load("logreg").stages[0].stages[1]
     stats = {f"{n}_{x}": v for n, values in (("mean", scaler.mean), ("std", scaler.std))
              for x, v in zip(SI.NUM_COLS, scaler.getOrDefault(values), strict=True)}
@@ -570,9 +578,10 @@ def sink_manifest_contents(spark, sf_dir):
 
 @plan("sink_model_manifest")
 def sink_model_manifest(spark, sf_dir):
-    model, te = _fit_pipeline(spark, sf_dir)
+    p = raw_prospects(spark, sf_dir)
+    model, te = _fit_pipeline(p)
     registry = _registry(spark)
-    registry.publish("logreg", model, _test_auc(model, te), train_rows(SI.prospects(spark, sf_dir)), "y", {"maxIter": 50})
+    registry.publish("logreg", model, _test_auc(model, te), train_rows(p), "y", {"maxIter": 50})
     return registry.manifests()
 
 
@@ -581,7 +590,7 @@ SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS differences FROM P WHERE key % 5 =
 def model_save_load(spark, sf_dir):
     """A saved and reloaded pipeline, encoder and scaler included, predicts from
     raw rows exactly as the original on every test row."""
-    model, te = _fit_pipeline(spark, sf_dir)
+    model, te = _fit_pipeline(raw_prospects(spark, sf_dir))
     path = FS.scratch_path(spark, "pipeline")
     model.write().overwrite().save(path)
     a = PL.score_raw(model, te).select("key", F.col(PRED_COL).alias("a"), F.col(PROBA_COL).alias("pa"))
@@ -594,7 +603,7 @@ def model_save_load(spark, sf_dir):
 def model_pipeline_scores(spark, sf_dir):
     """Raw test rows scored by a pipeline that was saved and loaded: encoding and
     scaling fitted on the training rows, stored weights as classifier."""
-    p = SI.prospects(spark, sf_dir)
+    p = raw_prospects(spark, sf_dir)
     prepared = PL.FitEncoding(numeric=SI.NUM_COLS, categorical=SI.CAT_COLS).fit(train_rows(p))
     weights = [COEF.get(f, 0.0) for f in PL.features_of(prepared)]
     path = FS.scratch_path(spark, "pipeline")
@@ -606,11 +615,11 @@ def model_pipeline_scores(spark, sf_dir):
 def score_model_choice(spark, sf_dir):
     """Two published models: the raw test rows scored by the one of the best test
     AUC and by one chosen by name."""
-    p = SI.prospects(spark, sf_dir)
+    p = raw_prospects(spark, sf_dir)
     registry = _registry(spark)
     for name, est in (("logreg", LogisticRegression(weightCol="weight", maxIter=50)),
                       ("cart", DecisionTreeClassifier(weightCol="weight", maxDepth=5, seed=SEED))):
-        model, te = _fit_pipeline(spark, sf_dir, est)
+        model, te = _fit_pipeline(p, est)
         registry.publish(name, model, _test_auc(model, te), train_rows(p), "y")
     best, version = registry.best()
     te = p.where(F.col("key") % 5 == 0)
