@@ -30,6 +30,10 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 MAX_PIVOTS, MAX_RINGS = 1024, 64
+#: groups of training rows that some test rows are not compared with, at most
+MAX_GROUPS = 256
+#: stand for no group: no training row is in a test row's, and the reverse
+NO_GROUP = {"tg": -(1 << 63), "qg": -(1 << 63) + 1}
 #: distances held by one task at a time
 MAX_DISTANCES = 1 << 21
 #: rows of either side in one task
@@ -42,18 +46,39 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances of rows to few rows, from differences."""
+    """Euclidean distances of rows to few rows: from the expanded square where
+    nothing cancels, from differences where rows are close for their size."""
     out = np.empty((len(a), len(b)))
-    for j in range(len(b)):
-        diff = a - b[j]
-        out[:, j] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+    if not out.size:
+        return out
+    b = np.broadcast_to(b, (len(b), a.shape[1]))    # the pivot of a table of one block has one entry
+    centre = b.mean(axis=0)
+    near = b - centre
+    b2 = np.einsum("ij,ij->i", near, near)
+    step = max(1, (1 << 17) // len(b))
+    for lo in range(0, len(a), step):
+        rows = a[lo : lo + step] - centre
+        a2 = np.einsum("ij,ij->i", rows, rows)
+        d = out[lo : lo + step]
+        np.matmul(rows, near.T, out=d)
+        d *= -2
+        size = a2[:, None] + b2[None, :]
+        d += size
+        size *= 1e-3
+        # not finite either: far-off rows
+        i, j = np.nonzero(~((d > size) & (d < np.inf)))
+        diff = a[lo + i] - b[j]
+        d[i, j] = np.einsum("ij,ij->i", diff, diff)
+        np.sqrt(d, out=d)
     return out
 
 
 def nearest_in(Q: np.ndarray, T: np.ndarray, tid: np.ndarray, k: int, within: np.ndarray | None = None,
-               max_distances: int = MAX_DISTANCES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+               max_distances: int = MAX_DISTANCES, groups: tuple[np.ndarray, np.ndarray] | None = None
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(test row, training row, squared distance) of the k nearest of every
-    test row, ties by training key; ``within``: greatest distance of interest."""
+    test row, ties by training key; ``within``: greatest distance of interest;
+    ``groups`` (of the test rows, of the training rows): rows of one group do not meet."""
     centre = T.mean(axis=0)
     near = T - centre            # far-off coordinates would cancel in the expanded square
     t2 = (near * near).sum(1)
@@ -67,11 +92,17 @@ def nearest_in(Q: np.ndarray, T: np.ndarray, tid: np.ndarray, k: int, within: np
         d = P @ near.T          # one matrix, filled in place
         d += p2[:, None]
         d += t2[None, :]
+        same = None if groups is None else groups[0][lo : lo + len(q), None] == groups[1][None, :]
+        if same is not None:
+            d[same] = np.inf
         limit = np.partition(d, kk - 1, axis=1)[:, kk - 1].copy()   # not a view of all distances
         if within is not None:
             limit = np.minimum(limit, within[lo : lo + len(q)] ** 2)
         # whatever may tie with the k-th stays; exact distances decide
-        r, j = np.nonzero(d <= (limit + 1e-9 * (p2 + t2.max() + 1e-300))[:, None])
+        hit = d <= (limit + 1e-9 * (p2 + t2.max() + 1e-300))[:, None]
+        if same is not None:
+            hit &= ~same
+        r, j = np.nonzero(hit)
         exact = np.empty(len(r))
         for a in range(0, len(r), 1 << 16):
             diff = q[r[a : a + (1 << 16)]] - T[j[a : a + (1 << 16)]]
@@ -87,10 +118,11 @@ def nearest_in(Q: np.ndarray, T: np.ndarray, tid: np.ndarray, k: int, within: np
 
 @dataclass
 class Index:
-    rows: DataFrame | None     # block, r, tid, tl, tv
+    rows: DataFrame | None     # block, r, tid, tl, tg, tv
     pivots: np.ndarray         # one row per cell
     between: np.ndarray        # distances of the pivots
     blocks: pd.DataFrame       # block, cell, n, lo, hi; numbered from 0
+    inside: pd.DataFrame | None = None     # tg, block, n: rows of a group in a block
 
     def __post_init__(self) -> None:
         """Blocks by cell: number of the first, how many, and per ring (in order of
@@ -102,8 +134,21 @@ class Index:
         ring = np.arange(len(cell)) - self.start[cell]
         self.lo, self.hi = (np.full((len(self.pivots), int(self.count.max())), np.inf) for _ in range(2))
         self.lo[cell, ring], self.hi[cell, ring] = self.blocks["lo"], self.blocks["hi"]
-
-    def _few(self, to: np.ndarray, k: int) -> list[int]:
+        # rows a group's test rows may meet, by block; the last line: rows without a group
+        self.groups = np.unique(self.inside["tg"]) if self.inside is not None else np.zeros(0, np.int64)
+        self.open = np.tile(self.held, (len(self.groups) + 1, 1))
+        if self.inside is not None:
+            np.subtract.at(self.open, (np.searchsorted(self.groups, self.inside["tg"]), self.inside["block"].to_numpy()),
+                           self.inside["n"].to_numpy())
+
+    def _line(self, group: np.ndarray) -> np.ndarray:
+        """The line of ``open`` of each test row's group."""
+        if not len(self.groups):
+            return np.zeros(len(group), int)
+        at = np.minimum(np.searchsorted(self.groups, group), len(self.groups) - 1)
+        return np.where(self.groups[at] == group, at, len(self.groups))
+
+    def _few(self, to: np.ndarray, k: int, held: np.ndarray) -> list[int]:
         """Blocks that hold k rows, of the nearest cells, for one test row."""
         out, n = [], 0
         for c in np.argsort(to, kind="stable"):
@@ -111,12 +156,13 @@ class Index:
             low = np.maximum(to[c] - self.hi[c, rings], self.lo[c, rings] - to[c])
             for j in np.argsort(low, kind="stable"):
                 out.append(self.start[c] + j)
-                n += self.held[out[-1]]
+                n += held[out[-1]]
                 if n >= k:
                     return out
         return out
 
-    def visits(self, Q: np.ndarray, ub: np.ndarray, k: int, first: bool) -> tuple[np.ndarray, np.ndarray]:
+    def visits(self, Q: np.ndarray, ub: np.ndarray, k: int, first: bool, group: np.ndarray | None = None
+               ) -> tuple[np.ndarray, np.ndarray]:
         """(test row, block) by test row.  First: its nearest pivot's ring, or the
         nearest blocks that hold k rows.  Second: the blocks not yet visited whose
         lower bound does not exceed ``ub``.  Cells are sorted out before their rings
@@ -125,8 +171,9 @@ class Index:
         own, rows = to.argmin(1), np.arange(len(Q))
         r = to[rows, own]
         block = self.start[own] + np.minimum((self.hi[own] < r[:, None]).sum(1), self.count[own] - 1)
-        one = np.flatnonzero((self.held[block] >= k) & (self.count[own] > 0))
-        few = [(i, x) for i in np.setdiff1d(rows, one) for x in self._few(to[i], k)]
+        line = self._line(np.full(len(Q), NO_GROUP["qg"]) if group is None else group)
+        one = np.flatnonzero((self.open[line, block] >= k) & (self.count[own] > 0))
+        few = [(i, x) for i in np.setdiff1d(rows, one) for x in self._few(to[i], k, self.open[line[i]])]
         seen = np.concatenate([np.stack([one, block[one]], 1), np.array(few, np.int64).reshape(-1, 2)])
         if first:
             seen = seen[np.argsort(seen[:, 0], kind="stable")]
@@ -149,10 +196,18 @@ class Index:
         return pairs[:, 0], pairs[:, 1]
 
 
-def build_index(train: DataFrame, vec: str, key: str, label: str, block_rows: int) -> Index:
+def _group(group: str | None, out: str):
+    """The group column; rows without one meet all."""
+    none = F.lit(NO_GROUP[out]).cast("long")
+    return (none if group is None else F.coalesce(F.col(group).cast("long"), none)).alias(out)
+
+
+def build_index(train: DataFrame, vec: str, key: str, label: str, block_rows: int, group: str | None = None) -> Index:
     spark = train.sparkSession
     rows = train.where(F.col(vec).isNotNull()).select(
-        F.col(key).cast("long").alias("tid"), F.col(label).cast("long").alias("tl"), F.col(vec).alias("tv"))
+        F.col(key).cast("long").alias("tid"), F.col(label).cast("long").alias("tl"), _group(group, "tg"), F.col(vec).alias("tv"))
+    if group is not None and len(rows.select("tg").distinct().limit(MAX_GROUPS + 1).collect()) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
     n = rows.count()
     blocks = max(1, math.ceil(n / block_rows))
     cells = min(MAX_PIVOTS, blocks)
@@ -161,6 +216,7 @@ def build_index(train: DataFrame, vec: str, key: str, label: str, block_rows: in
     pivots = np.unique(np.array([r[0] for r in sample], np.float64), axis=0) if sample else None
     if pivots is None:
         only = pd.DataFrame({"block": [0], "cell": [0], "n": [n], "lo": [0.0], "hi": [np.inf]})
+        # whatever its groups, a test row meets the one block
         return Index(rows.select(F.lit(0).alias("block"), F.lit(0.0).alias("r"), "*"), np.zeros((1, 1)), np.zeros((1, 1)), only)
     rings = min(MAX_RINGS, math.ceil(blocks / len(pivots)))
 
@@ -169,7 +225,7 @@ def build_index(train: DataFrame, vec: str, key: str, label: str, block_rows: in
         d = distances(_matrix(vectors), pivots) if len(vectors) else np.zeros((0, 1))
         return pd.DataFrame({"cell": d.argmin(1).astype(np.int32), "r": d.min(1)})
 
-    laid = cut_lineage(rows.withColumn("at", nearest("tv")).select("at.*", "tid", "tl", "tv"))
+    laid = cut_lineage(rows.withColumn("at", nearest("tv")).select("at.*", "tid", "tl", "tg", "tv"))
     # one row per cell
     cuts = laid.groupBy("cell").agg(F.percentile_approx("r", [i / rings for i in range(1, rings)] or [0.5], 100 * rings).alias("cuts"))
     ring = F.size(F.filter("cuts", lambda x: x < F.col("r"))) if rings > 1 else F.lit(0)
@@ -179,32 +235,36 @@ def build_index(train: DataFrame, vec: str, key: str, label: str, block_rows: in
     found = found.sort_values(["cell", "ring"], ignore_index=True)
     found.insert(0, "block", np.arange(len(found)))
     numbers = spark.createDataFrame(found[["block", "cell", "ring"]])
-    return Index(ringed.join(F.broadcast(numbers), ["cell", "ring"]).select(F.col("block").cast("int"), "r", "tid", "tl", "tv"),
-                 pivots, distances(pivots, pivots), found.drop(columns="ring"))
+    inside = None
+    if group is not None:   # at most MAX_GROUPS times as many
+        inside = ringed.groupBy("tg", "cell", "ring").agg(F.count("*").alias("n")).toPandas().merge(
+            found[["block", "cell", "ring"]], on=["cell", "ring"])[["tg", "block", "n"]]
+    return Index(ringed.join(F.broadcast(numbers), ["cell", "ring"]).select(F.col("block").cast("int"), "r", "tid", "tl", "tg", "tv"),
+                 pivots, distances(pivots, pivots), found.drop(columns="ring"), inside)
 
 
 def routes(test: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
-    """(qid, qv, ub, block): the blocks a test row visits in its first round
+    """(qid, qv, qg, ub, block): the blocks a test row visits in its first round
     (those nearest that hold k rows), or in its second (those not yet visited
     whose lower bound does not exceed ``ub``)."""
     numbers = replace(index, rows=None)     # tasks need the numbers alone
 
     @F.pandas_udf("array<int>")
-    def visited(vectors: pd.Series, ub: pd.Series) -> pd.Series:
+    def visited(vectors: pd.Series, ub: pd.Series, group: pd.Series) -> pd.Series:
         out = []
-        vectors, ub = vectors.to_numpy(), ub.to_numpy(np.float64)
+        vectors, ub, group = vectors.to_numpy(), ub.to_numpy(np.float64), group.to_numpy(np.int64)
         for a in range(0, len(vectors), 512):
             Q = np.stack(vectors[a : a + 512]).astype(np.float64)
-            i, block = numbers.visits(Q, ub[a : a + 512], k, first)
+            i, block = numbers.visits(Q, ub[a : a + 512], k, first, group[a : a + 512])
             out += np.split(block.astype(np.int32), np.searchsorted(i, np.arange(1, len(Q))))
         return pd.Series(out)
 
-    return test.select("qid", "qv", "ub", F.explode(visited("qv", "ub")).alias("block"))
+    return test.select("qid", "qv", "qg", "ub", F.explode(visited("qv", "ub", "qg")).alias("block"))
 
 
 def search(index: Index, visits: DataFrame, k: int, part_rows: int = PART_ROWS, max_distances: int = MAX_DISTANCES) -> DataFrame:
     """The k nearest of every visit (``FOUND``), no farther than its ``ub``."""
-    visits = cut_lineage(visits)
+    visits = visits if hasattr(visits, "_cut_path") else cut_lineage(visits)
     asked = visits.groupBy("block").agg(F.count("*").alias("asked"))   # one row per block
     sizes = visits.sparkSession.createDataFrame(index.blocks[["block", "n"]])
     deal = asked.join(sizes, "block").select(
@@ -221,10 +281,12 @@ def search(index: Index, visits: DataFrame, k: int, part_rows: int = PART_ROWS,
         if not len(q) or not len(t):
             return pd.DataFrame({x: [] for x in names})
         tid, tl = t["tid"].to_numpy(np.int64), t["tl"].to_numpy()
-        i, j, d = nearest_in(_matrix(q["qv"]), _matrix(t["tv"]), tid, k, q["ub"].to_numpy(np.float64), max_distances)
+        qg, tg = q["qg"].to_numpy(np.int64), t["tg"].to_numpy(np.int64)
+        groups = (qg, tg) if np.isin(qg, tg).any() else None
+        i, j, d = nearest_in(_matrix(q["qv"]), _matrix(t["tv"]), tid, k, q["ub"].to_numpy(np.float64), max_distances, groups)
         return pd.DataFrame(dict(zip(names, (q["qid"].to_numpy(np.int64)[i], tid[j], tl[j], d), strict=True)))
 
-    both = left.select(*keys, "qid", "qv", "ub").groupBy(*keys).cogroup(right.select(*keys, "tid", "tl", "tv").groupBy(*keys))
+    both = left.select(*keys, "qid", "qv", "qg", "ub").groupBy(*keys).cogroup(right.select(*keys, "tid", "tl", "tg", "tv").groupBy(*keys))
     return both.applyInPandas(cell, FOUND)
 
 
@@ -246,19 +308,21 @@ def visits_of(index: Index, test: DataFrame, k: int, part_rows: int = PART_ROWS,
     # a rounding step above the k-th distance, so that ties are seen
     kth = found.groupBy("qid").agg(F.count("*").alias("n"), F.max("d").alias("d")).where(F.col("n") >= k).select(
         "qid", (F.sqrt("d") * (1 + 1e-9) + 1e-300).alias("limit"))
-    bounded = test.join(kth, "qid", "left").select("qid", "qv", F.coalesce("limit", F.lit(float("inf"))).alias("ub"))
+    bounded = test.join(kth, "qid", "left").select("qid", "qv", "qg", F.coalesce("limit", F.lit(float("inf"))).alias("ub"))
     return first, found.drop("rank"), cut_lineage(routes(bounded, index, k, first=False))
 
 
 def nearest(train: DataFrame, test: DataFrame, vec: str, key: str, label: str, k: int = 5, block_rows: int = 2048,
-            part_rows: int = PART_ROWS, max_distances: int = MAX_DISTANCES) -> DataFrame:
+            part_rows: int = PART_ROWS, max_distances: int = MAX_DISTANCES, group: str | None = None) -> DataFrame:
     """(qid, tid, tl, d, rank): the k nearest training rows of every test row by
     squared L2 distance, ties by training key.
 
     Rows without a vector take no part; fewer than k training rows give fewer
-    neighbours; keys are unique on either side."""
-    index = build_index(train, vec, key, label, block_rows)
-    asked = test.where(F.col(vec).isNotNull()).select(F.col(key).cast("long").alias("qid"), F.col(vec).alias("qv"))
+    neighbours; keys are unique on either side.  With ``group`` (a whole number, at
+    most ``MAX_GROUPS`` values) the neighbours are of another group than the test
+    row: all folds of a table are searched over one index."""
+    index = build_index(train, vec, key, label, block_rows, group)
+    asked = test.where(F.col(vec).isNotNull()).select(F.col(key).cast("long").alias("qid"), F.col(vec).alias("qv"), _group(group, "qg"))
     _, found, second = visits_of(index, asked, k, part_rows, max_distances)
     if second is not None:
         found = found.unionAll(search(index, second, k, part_rows, max_distances))
@@ -268,7 +332,7 @@ def nearest(train: DataFrame, test: DataFrame, vec: str, key: str, label: str, k
 def compared(train: DataFrame, test: DataFrame, vec: str, key: str, label: str, k: int = 5, block_rows: int = 2048) -> DataFrame:
     """(qid, pairs): how many training rows each test row is compared with."""
     index = build_index(train, vec, key, label, block_rows)
-    asked = test.where(F.col(vec).isNotNull()).select(F.col(key).cast("long").alias("qid"), F.col(vec).alias("qv"))
+    asked = test.where(F.col(vec).isNotNull()).select(F.col(key).cast("long").alias("qid"), F.col(vec).alias("qv"), _group(None, "qg"))
     first, _, second = visits_of(index, asked, k)
     visits = first.select("qid", "block") if second is None else first.select("qid", "block").unionAll(second.select("qid", "block"))
     sizes = train.sparkSession.createDataFrame(index.blocks[["block", "n"]])

@@ -13,7 +13,7 @@ from __future__ import annotations
 import functools
 import math
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -96,29 +96,48 @@ def margin(prediction: DataFrame) -> Column:
     return F.element_at(vector_to_array(F.col(of)), 2)
 
 
+class AllFolds:
+    """A candidate that scores all folds at once: ``score`` (training rows of all
+    folds, rows, fold) -> rows with ``key``, ``label``, the fold, ``p`` and
+    ``prediction``, no row being scored by training rows of its own fold."""
+
+    def __init__(self, score: Callable[[DataFrame, DataFrame, str], DataFrame]):
+        self.score = score
+
+
 def score_folds(frame: DataFrame, candidates: Mapping[str, object], fold: str, folds: Sequence[int],
-                seconds: dict | None = None) -> DataFrame:
+                seconds: dict | None = None, test_fold: int | None = None) -> DataFrame:
     """Every candidate fitted without each fold and scored on it: one written table
-    of ``SCORED`` rows, whatever the number of models and folds.
+    of ``SCORED`` rows, whatever the number of models and folds.  No candidate
+    learns from the rows of ``test_fold``.
+
+    A candidate is an estimator, a function (training rows, rows) -> rows with
+    ``key``, ``label``, ``p`` and ``prediction``, or ``AllFolds``.  ``seconds`` takes
+    the time of each fit, by (model, fold); of ``AllFolds`` the time of all folds."""
+    learnt = frame.where(F.col(fold).isNotNull() if test_fold is None else F.col(fold) != test_fold)
 
-    A candidate is an estimator, or a function (training rows, rows) -> rows with
-    ``key``, ``label``, ``p`` and ``prediction``.  ``seconds`` takes the time of
-    each fit, by (model, fold)."""
+    def scored(name: str, done: DataFrame, k) -> DataFrame:
+        return done.select(F.lit(name).alias("model"), k.cast("int").alias("fold"), F.col("key").cast("long").alias("key"),
+                           margin(done).cast("double").alias("p"), F.col("prediction").cast("int").alias("pred"),
+                           F.col("label").cast("int").alias("y"))
 
     def one(job: tuple) -> DataFrame:
-        (name, candidate), k = job
-        train, held = frame.where(F.col(fold) != k), frame.where(F.col(fold) == k)
+        name, candidate, of = job
         t0 = time.time()
-        done = candidate(train, held) if callable(candidate) else candidate.fit(train).transform(held)
+        if isinstance(candidate, AllFolds):
+            done, k = candidate.score(learnt, frame.where(F.col(fold).isin(list(of))), fold), F.col(fold)
+        else:
+            train, held, k = learnt.where(F.col(fold) != of[0]), frame.where(F.col(fold) == of[0]), F.lit(of[0])
+            done = candidate(train, held) if callable(candidate) else candidate.fit(train).transform(held)
         if seconds is not None:
-            seconds[name, k] = time.time() - t0
-        return done.select(F.lit(name).alias("model"), F.lit(k).cast("int").alias("fold"), F.col("key").cast("long").alias("key"),
-                           margin(done).cast("double").alias("p"), F.col("prediction").cast("int").alias("pred"),
-                           F.col("label").cast("int").alias("y"))
+            seconds.update({(name, x): time.time() - t0 for x in of})
+        return scored(name, done, k)
 
-    jobs = [(c_, k) for c_ in candidates.items() for k in folds]
+    jobs = [(name, x, of) for name, x in candidates.items() for of in ([folds] if isinstance(x, AllFolds) else [[k] for k in folds])]
+    jobs.sort(key=lambda job: -len(job[2]))     # the longest first
     with ThreadPool(PARALLEL_FITS) as pool:
-        parts = pool.map(inheritable_thread_target(frame.sparkSession)(one), jobs)
+        # one job at a time: the fits take from a second to a minute
+        parts = pool.map(inheritable_thread_target(frame.sparkSession)(one), jobs, chunksize=1)
     return cut_lineage(functools.reduce(DataFrame.unionAll, parts))
 
 

@@ -117,3 +117,38 @@ def test_distances_of_a_full_task_stay_small():
     tracemalloc.stop()
     few = knn.nearest_in(q[:300], t, tid, 5, max_distances=7000)
     assert all((a[:1500] == b).all() for a, b in zip(found, few, strict=True))
+
+
+def test_groups_over_one_index(spark):
+    """Neighbours of another group than the test row, against all pairs; groups that
+    fill whole blocks, rows without a group, too few rows outside a group."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 3))
+    x[100:160] = rng.integers(0, 2, (60, 3))
+    group = [int(v) for v in rng.integers(0, 4, 300)]
+    for i in range(200, 260):
+        x[i], group[i] = x[200] + (i - 200) * 1e-6, 9
+    group[5] = group[6] = None
+    rows = [(i, [float(a) for a in x[i]], 0, group[i]) for i in range(300)]
+    table_of = lambda r: spark.createDataFrame(r, SCHEMA + ", g int").repartition(3)
+    for block_rows, train in ((10_000, rows), (15, rows), (4, rows), (2, [r for r in rows if r[3] == 9] + rows[:3])):
+        got = knn.nearest(table_of(train), table_of(rows), "v", "id", "label", 5, block_rows=block_rows, group="g").collect()
+        found = {}
+        for r in sorted(got, key=lambda r: r["rank"]):
+            found.setdefault(r["qid"], []).append(r["tid"])
+        want = {}
+        for i, v, _, g in rows:
+            d = sorted((float(((x[j] - x[i]) ** 2).sum()), j) for j, _, _, h in train if g is None or h is None or g != h)
+            want[i] = [j for _, j in d[:5]]
+        assert found == {i: w for i, w in want.items() if w}
+
+
+def test_distances_of_close_and_far_off_rows():
+    rng = np.random.default_rng(3)
+    b = rng.normal(size=(40, 4))
+    b[30:] = 1e6 + rng.normal(size=(10, 4)) * 1e-3
+    a = np.concatenate([rng.normal(size=(500, 4)), b, b + 1e-9, b * 1e3])
+    want = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(2))
+    got = knn.distances(a, b)
+    assert np.all(np.abs(got - want) <= 1e-11 * want) and np.all(got[500:540].diagonal() == 0)
+    assert knn.distances(a[:0], b).shape == (0, 40)
