@@ -82,6 +82,19 @@ def test_op2_shared_places(spark):
         [(i, t, 1, 0) for i, t in rows[:30]] + [(i, "", 1, 1) for i, _ in rows[30:]])
 
 
+def test_op2_hashes_lines_once(spark, monkeypatch):
+    """The words of all lines are hashed for one table; counts and verification
+    do not take up every line again."""
+    hashed, lines = [], line_dedup.lines
+    monkeypatch.setattr(line_dedup, "lines", lambda docs: hashed.append(1) or lines(docs))
+    near = " ".join(f"w{k}" for k in range(20))
+    rows = [(1, f"{near}\nA\tb"), (2, f"{near} more\nb  a\r"), (3, "\x0b\nown")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in got} == {
+        1: (rows[0][1], 2, 0), 2: ("", 2, 2), 3: (rows[2][1], 1, 0)}
+    assert len(hashed) == 1
+
+
 def in_order(row):
     """The order of documents: doc_id (null last), then Spark's hash of the text."""
     key = xxhash.xxh64_intdigest(row[1].encode(), seed=42)
