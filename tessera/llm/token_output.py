@@ -42,6 +42,8 @@ SEGMENT_IDS = 1 << 23
 BLOCK_IDS = (256, 4096)
 #: pieces, and words, whose ids a worker keeps
 MAX_PIECES = 600_000
+#: words that the library takes as one text
+JOINED_WORDS = 4096
 
 SEGMENT = "shard int, segment int, n_ids long, size int, block int, directory binary, ids binary"
 _DIRECTORY = struct.Struct("<4sIII")
@@ -54,13 +56,16 @@ _LOOSE_BLANK = re.compile(r" (?:\s|$)")
 
 class _Encoder:
     """Ids (little-endian 16-bit) by the library, which merges each piece of its
-    cut separately, so each distinct piece is encoded once."""
+    cut separately, so each distinct word or piece is encoded once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        # the byte alphabet writes a blank as U+0120
+        self.blank_first = np.zeros(self.library.get_vocab_size(), bool)
+        self.blank_first[[i for t, i in self.library.get_vocab().items() if t[0] == "\u0120"]] = True
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -75,6 +80,23 @@ class _Encoder:
         self._learn(cuts)
         return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cuts]
 
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words that have a blank before them: laid end to end they are
+        cut as they are alone, and a word begins where an id begins with a blank."""
+        if any(" " in s for s in self.special):
+            return self._whole([" " + w for w in words])
+        out: list[bytes] = []
+        for k in range(0, len(words), JOINED_WORDS):
+            part = words[k : k + JOINED_WORDS]
+            [e] = self.library.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)
+            ids = np.array(e.ids, "<u2")
+            begins = (2 * np.flatnonzero(self.blank_first[ids])).tolist()
+            whole = ids.tobytes()
+            if len(begins) != len(part) or begins[0]:
+                raise ValueError("the library cuts joined words otherwise")
+            out += [whole[a:b] for a, b in zip(begins, [*begins[1:], len(whole)], strict=True)]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         for kept in (self.pieces, self.words):
             if len(kept) > MAX_PIECES:
@@ -96,7 +118,7 @@ class _Encoder:
         firsts = self._whole([ws[0] for ws in words])
         known = self.words
         new = [w for w in set().union(*[ws[1:] for ws in words]) if w not in known]
-        known.update(zip(new, self._whole([" " + w for w in new]), strict=True))
+        known.update(zip(new, self._joined(new), strict=True))
         for i, first, ws in zip(simple, firsts, words, strict=True):
             out[i] = first + b"".join(map(known.__getitem__, ws[1:]))
         return out

@@ -184,6 +184,33 @@ def test_encoder_matches_library(library, monkeypatch):
     assert encoder.encode([]) == []
 
 
+def test_encoder_joins_new_words(library, monkeypatch):
+    """New words go to the library many at a time, and come back as they are alone."""
+    class Counting:
+        taken = 0
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode_batch_fast(self, texts, **kwargs):
+            Counting.taken += len(texts)
+            return library.encode_batch_fast(texts, **kwargs)
+
+    words = [f"{a}{b}{c}" for a in ("qu", "Zé", "'s", "9", "\u3042") for b in range(40) for c in ("\n", "\n\nx", ".", "\u00a0", "!?\r\n")]
+    texts = ["one " + " ".join(words[k::7]) for k in range(7)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = token_output._Encoder(JSON)
+    encoder.library = Counting()
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == want
+    assert Counting.taken < 10
+    # over several texts, and where a special string holds a blank
+    for special in ([], ["never here"]):
+        monkeypatch.setattr(token_output, "JOINED_WORDS", 3)
+        other = token_output._Encoder(JSON)
+        other.special += special
+        assert [np.frombuffer(x, "<u2").tolist() for x in other.encode(texts)] == want
+
+
 def test_directory_round_trip():
     ids, lengths = [None, 5, -3, 2**62], np.array([1, 0, 7, 9])
     back, n, prior = token_output.unpack_directory(token_output.pack_directory(ids, lengths, b"\1\2\3"))
