@@ -3,23 +3,31 @@
 Spark ML's network keeps every copy of a minority row and works on few
 partitions, one Java loop per neuron; its linear machine keeps the kernel features
 of all rows (64 doubles a row).  Here the training rows are written once as blocks
-(matrices of ``BLOCK_ROWS`` rows, single precision) over enough partitions.  An
-evaluation of loss and gradient is one Spark job: NumPy on each block, sums in
-double precision per task, then over the tasks, so the driver gets one gradient
-whatever the number of rows.  L-BFGS on the driver keeps ten pairs of vectors.
-Rows that count several times are weighted, which is the loss of their copies.
+(matrices of ``BLOCK_ROWS`` rows, single precision) over enough partitions and held
+as bytes (in memory, on disk where that is short), which a job hands to Python as
+they are.  An evaluation of loss and gradient is one Spark job: NumPy on each block,
+sums in double precision per task, then over the tasks, so the driver gets a bounded
+number of gradients whatever the number of rows.  L-BFGS on the driver keeps ten
+pairs of vectors.  Rows that count several times are weighted, which is the loss of
+their copies.
+
+Models that learn from different rows of one table (folds) are trained side by side:
+a row has a weight for each of them, 0 where it is not theirs, and one job evaluates
+all models at their points.  Each takes the steps it would take alone.
 
 A trained network is Spark ML's own model, started from Spark's own first weights.
 """
 
 from __future__ import annotations
 
+import copy
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Generator, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -28,83 +36,130 @@ from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, release
 
-BLOCK_ROWS = 512
+BLOCK_ROWS = 1024
 #: bytes of blocks in one task, at most
 PART_BYTES = 32 << 20
-PARTIAL = "loss double, total double, gradient binary"
+#: tasks whose sums go to the driver as they are
+DIRECT_TASKS = 32
+
+
+def parts_of(rows: DataFrame, n: int, row_bytes: int) -> int:
+    """At least two tasks a core, the same number for each core."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return cores * max(2, math.ceil(n * row_bytes / PART_BYTES / cores))
 
 
 def spread(rows: DataFrame, key: str, n: int, row_bytes: int) -> DataFrame:
     """Rows over at least two tasks a core, in an order that depends on them only."""
-    parts = max(2 * rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n * row_bytes / PART_BYTES))
-    return rows.repartition(parts, key).sortWithinPartitions(key)
+    return rows.repartition(parts_of(rows, n, row_bytes), key).sortWithinPartitions(key)
 
 
-def pack(rows: DataFrame, key: str = "key", label: str = "label", weight: Column | None = None) -> DataFrame:
-    """(n, x, y, w): the training rows as blocks, written once."""
+def pack(rows: DataFrame, key: str = "key", label: str = "label", weight: Column | Sequence[Column] | None = None,
+         by: str | None = None) -> DataFrame:
+    """(n, x, y, w): the training rows as blocks, written once.  Several weights, one
+    for each model, are the columns of ``w``; a block has rows of one value of ``by``."""
     weight = F.lit(1.0) if weight is None else weight
-    flat = rows.select(F.col(key).alias("key"), vector_to_array("features", "float32").alias("x"),
-                       F.col(label).cast("int").alias("y"), weight.cast("float").alias("w"))
+    weights = [weight] if isinstance(weight, Column) else list(weight)
+    many = len(weights)
+    flat = rows.select(F.col(key).alias("key"), (F.lit(0) if by is None else F.col(by).cast("int")).alias("b"),
+                       vector_to_array("features", "float32").alias("x"), F.col(label).cast("int").alias("y"),
+                       F.array(*[w.cast("float") for w in weights]).alias("w"))
     first = flat.select("x").first()
     if first is None:
         raise ValueError("no training rows")
-    laid = spread(flat, "key", flat.count(), 4 * len(first[0]) + 8).select("x", "y", "w")
+    if flat.rdd.getNumPartitions() < flat.sparkSession.sparkContext.defaultParallelism:
+        flat = spread(flat, "key", flat.count(), 4 * len(first[0]) + 4 + 4 * many)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if any(batch.column(i).null_count for i in range(3)):
+            if any(batch.column(i).null_count for i in range(4)) or batch.column(3).flatten().null_count:
                 raise ValueError("training rows need features, a label and a weight")
-            for lo in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(lo, BLOCK_ROWS)
-                x, y, w = (part.column(0).flatten().to_numpy(), part.column(1).to_numpy(), part.column(2).to_numpy())
-                yield pa.RecordBatch.from_pydict({"n": pa.array([part.num_rows], pa.int32()), **{
-                    k: pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for k, v in (("x", x), ("y", y), ("w", w))}})
-
+            n = batch.num_rows
+            b, x, y, w = (batch.column(i).flatten().to_numpy().reshape(n, -1) if i in (1, 3) else batch.column(i).to_numpy() for i in range(4))
+            order = np.argsort(b, kind="stable")
+            edges = np.r_[0, np.flatnonzero(np.diff(b[order])) + 1, n]
+            for lo, hi in ((at, min(at + BLOCK_ROWS, end)) for start, end in zip(edges, edges[1:], strict=False) for at in range(start, end, BLOCK_ROWS)):
+                part = order[lo:hi]
+                yield pa.RecordBatch.from_pydict({"n": pa.array([len(part)], pa.int32()), **{
+                    k: pa.array([np.ascontiguousarray(v[part]).tobytes()], pa.binary()) for k, v in (("x", x), ("y", y), ("w", w))}})
+
+    laid = flat.select("b", "x", "y", "w")
     return cut_lineage(laid.mapInArrow(blocks, "n int, x binary, y binary, w binary"))
 
 
 BlockLoss = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[float, np.ndarray]]
+Sums = dict[int, tuple[float, float, np.ndarray]]
+
+
+class Held:
+    """Packed blocks for many passes: dealt evenly, kept as bytes."""
+
+    def __init__(self, blocks: DataFrame):
+        self.blocks = blocks
+        flat = blocks.select("n", "x", "y", "w").rdd.map(lambda r: (r[0], bytes(r[1]), bytes(r[2]), bytes(r[3])))
+        parts = flat.context.defaultParallelism
+        # as many for each core, whatever the splits of the files
+        parts *= max(2, math.ceil(flat.getNumPartitions() / parts))
+        self.rdd = flat.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def totals(self, losses: Mapping[int, BlockLoss], prepare: Callable[[np.ndarray], np.ndarray] | None = None) -> Sums:
+        """Per model (the number of its weight) the sums over all blocks of its loss
+        (X, y, w) -> (loss, vector), and of its weights; ``prepare`` makes X of a
+        block's features, once for all models."""
+
+        def task(held: Iterator[tuple]) -> Iterator[tuple]:
+            sums: Sums = {}
+            for n, x, y, w in held:
+                X, y, w = np.frombuffer(x, np.float32).reshape(n, -1), np.frombuffer(y, np.int32), np.frombuffer(w, np.float32).reshape(n, -1)
+                made = None
+                for k, of in losses.items():
+                    wk = np.ascontiguousarray(w[:, k])
+                    if not wk.any():
+                        continue
+                    if made is None:
+                        made = X if prepare is None else prepare(X)
+                    loss, g = of(made, y, wk)
+                    l0, w0, v = sums.get(k, (0.0, 0.0, 0.0))
+                    sums[k] = (l0 + loss, w0 + float(wk.sum(dtype=np.float64)), v + g.astype(np.float64))
+            for k, (loss, weight, vector) in sums.items():
+                yield k, loss, weight, vector.tobytes()
+
+        def joined(found: Iterator[tuple]) -> Iterator[tuple]:
+            by: dict = {}
+            for k, *rest in found:
+                by.setdefault(k, []).append(tuple(rest))
+            for k, rows in by.items():
+                vector = np.zeros(len(rows[0][2]) // 8)
+                for row in sorted(rows):    # the order of the tasks' ends does not count
+                    vector += np.frombuffer(row[2])
+                yield k, math.fsum(r[0] for r in rows), math.fsum(r[1] for r in rows), vector.tobytes()
+
+        found, parts = self.rdd.mapPartitions(task), self.rdd.getNumPartitions()
+        if parts > DIRECT_TASKS:
+            deal = math.isqrt(parts)
+            found = found.mapPartitionsWithIndex(lambda i, rows: ((i % deal, r) for r in rows)).partitionBy(
+                deal, lambda i: i).values().mapPartitions(joined)
+        return {k: (loss, weight, np.frombuffer(v)) for k, loss, weight, v in joined(iter(found.collect()))}
+
+    def release(self) -> None:
+        self.rdd.unpersist()
+        release(self.blocks)
 
 
 def total(blocks: DataFrame, of: BlockLoss) -> tuple[float, float, np.ndarray]:
     """Sums over all blocks of ``of`` (X, y, w) -> (loss, vector), and of the weights."""
+    return Held(blocks).totals({0: of})[0]
 
-    def row(loss, weight, vector):
-        return pa.RecordBatch.from_pydict({"loss": pa.array([loss], pa.float64()), "total": pa.array([weight], pa.float64()),
-                                           "gradient": pa.array([vector.tobytes()], pa.binary())})
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss, weight, vector = 0.0, 0.0, None
-        for batch in batches:
-            n, x, y, w = (batch.column(i) for i in range(4))
-            for i in range(batch.num_rows):
-                rows = n[i].as_py()
-                wi = np.frombuffer(w[i].as_buffer(), np.float32)
-                part, g = of(np.frombuffer(x[i].as_buffer(), np.float32).reshape(rows, -1), np.frombuffer(y[i].as_buffer(), np.int32), wi)
-                loss, weight = loss + part, weight + float(wi.sum(dtype=np.float64))
-                vector = g.astype(np.float64) if vector is None else vector + g
-        if vector is not None:
-            yield row(loss, weight, vector)
-
-    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = sorted((x["loss"], x["total"], x["gradient"]) for batch in batches for x in batch.to_pylist())
-        if found:
-            vector = np.zeros(len(found[0][2]) // 8)
-            for _, _, g in found:
-                vector += np.frombuffer(g)
-            yield row(math.fsum(x[0] for x in found), math.fsum(x[1] for x in found), vector)
-
-    # one row a task, then one row
-    found = blocks.mapInArrow(task, PARTIAL).repartition(1).mapInArrow(tasks, PARTIAL).collect()
-    return found[0]["loss"], found[0]["total"], np.frombuffer(bytes(found[0]["gradient"]))
-
-
-def minimise(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, max_iter: int,
-             tol: float = 1e-6, memory: int = 10) -> tuple[np.ndarray, list[float]]:
-    """L-BFGS with a Wolfe line search; it stops when the last 20 values lie within
-    ``tol`` of the first value, the gradient is as small, or no step goes down.
-    Returns the point and the value after each iteration."""
-    f, g = value(x)
+Value = tuple[float, np.ndarray]
+
+
+def descend(x: np.ndarray, max_iter: int, tol: float = 1e-6, memory: int = 10) -> Generator[np.ndarray, Value, tuple[np.ndarray, list[float]]]:
+    """L-BFGS with a Wolfe line search: it asks for the value and the slope at a point
+    and is sent them.  It stops when the last 20 values lie within ``tol`` of the first
+    value, the gradient is as small, or no step goes down.  Returns the point and the
+    value after each iteration."""
+    f, g = yield x
     values, pairs = [f], []
     for it in range(max_iter):
         if np.linalg.norm(g) <= max(tol * abs(f), 1e-8):
@@ -124,7 +179,7 @@ def minimise(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndar
             d, slope, pairs = -g, -(g @ g), []
         step, lo, hi, found = (1.0 if pairs else 1.0 / np.linalg.norm(d)), 0.0, math.inf, None
         for _ in range(20):
-            fn, gn = value(x + step * d)
+            fn, gn = yield x + step * d
             if not fn <= f + 1e-4 * step * slope:
                 hi = step
             else:
@@ -146,44 +201,74 @@ def minimise(value: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndar
     return x, values
 
 
+def minimise(value: Callable[[np.ndarray], Value], x: np.ndarray, max_iter: int,
+             tol: float = 1e-6, memory: int = 10) -> tuple[np.ndarray, list[float]]:
+    """``descend`` by a function of one point."""
+    return minimise_all(lambda at: {0: value(at[0])}, {0: x}, max_iter, tol, memory)[0]
+
+
+def minimise_all(values: Callable[[dict[int, np.ndarray]], Mapping[int, Value]], starts: Mapping[int, np.ndarray], max_iter: int,
+                 tol: float = 1e-6, memory: int = 10) -> dict[int, tuple[np.ndarray, list[float]]]:
+    """Several models descend side by side: ``values`` is asked once for the points of
+    all that still go on."""
+    runs = {k: descend(x, max_iter, tol, memory) for k, x in starts.items()}
+    at, done = {k: next(run) for k, run in runs.items()}, {}
+    while at:
+        asked, at = values(at), {}
+        for k, found in asked.items():
+            try:
+                at[k] = runs[k].send(found)
+            except StopIteration as end:
+                done[k] = end.value
+    return done
+
+
 # ---- networks --------------------------------------------------------------------
 
 def network_loss(layers: Sequence[int], weights: np.ndarray) -> BlockLoss:
     """Cross entropy and its gradient of a network with sigmoid hidden layers and a
-    softmax, its weights in Spark ML's order."""
+    softmax, its weights in Spark ML's order.  Inside, a row is a column: a layer's
+    numbers lie together, with a line of ones for the biases, and are changed in place."""
     mats, at = [], 0
     for a, b in zip(layers, layers[1:], strict=False):
-        mats.append((weights[at : at + a * b].reshape(a, b).astype(np.float32), weights[at + a * b : at + a * b + b].astype(np.float32)))
-        at += a * b + b
+        mats.append(weights[at : at + (a + 1) * b].reshape(a + 1, b).astype(np.float32))
+        at += (a + 1) * b
+    forth = [np.ascontiguousarray(-m.T) for m in mats[:-1]] + [np.ascontiguousarray(mats[-1].T)]
+    back = [np.ascontiguousarray(m[:-1]) for m in mats]
+    space: dict[int, tuple] = {}
 
     def of(X: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray]:
-        if len(y) and not 0 <= y.min() <= y.max() < layers[-1]:
+        n = len(y)
+        if n and not 0 <= y.min() <= y.max() < layers[-1]:
             raise ValueError(f"labels outside 0 to {layers[-1] - 1}")
-        acts = [X]
+        if n not in space:
+            space.clear()
+            space[n] = ([np.ones((h + 1, n), np.float32) for h in layers[:-1]],
+                        *([np.empty((h, n), np.float32) for h in layers[:-1]] for _ in range(2)), np.arange(n))
+        acts, deltas, spare, rows = space[n]
+        acts[0][:-1] = X.T
         with np.errstate(over="ignore"):
-            for W, b in mats[:-1]:
-                z = acts[-1] @ W
-                z += b
-                np.negative(z, out=z)
+            for i, W in enumerate(forth[:-1]):
+                z = np.matmul(W, acts[i], out=acts[i + 1][:-1])
                 np.exp(z, out=z)
                 z += 1
-                acts.append(np.reciprocal(z, out=z))
-        W, b = mats[-1]
-        z = acts[-1] @ W + b
-        z -= z.max(axis=1, keepdims=True)
-        e = np.exp(z)
-        s, rows = e.sum(axis=1), np.arange(len(y))
-        loss = float(((np.log(s) - z[rows, y]) * w).sum(dtype=np.float64))
-        delta = e / s[:, None]
-        delta[rows, y] -= 1
-        delta *= w[:, None]
+                np.reciprocal(z, out=z)
+        z = forth[-1] @ acts[-1]
+        z -= z.max(axis=0)
+        right = z[y, rows]
+        delta = np.exp(z, out=z)
+        s = delta.sum(axis=0)
+        loss = float(((np.log(s) - right) * w).sum(dtype=np.float64))
+        delta /= s
+        delta[y, rows] -= 1
+        delta *= w
         parts = []
         for i in range(len(mats) - 1, -1, -1):
-            parts.append(np.r_[(acts[i].T @ delta).ravel(), delta.sum(axis=0)])
+            parts.append((acts[i] @ delta.T).ravel())
             if i:
-                delta = delta @ mats[i][0].T
-                delta *= acts[i]
-                delta *= 1 - acts[i]
+                a, delta = acts[i][:-1], np.matmul(back[i], delta, out=deltas[i])
+                delta *= a      # times a (1 - a)
+                delta -= np.multiply(delta, a, out=spare[i])
         return loss, np.concatenate(parts[::-1])
 
     return of
@@ -197,20 +282,39 @@ class Network:
         self.layers, self.max_iter, self.seed, self.weight = list(layers), max_iter, seed, weight
 
     def fit(self, train: DataFrame):
+        models, (self.values,) = self._fit(train, [F.lit(1.0) if self.weight is None else self.weight(train)])
+        return models[0]
+
+    def fit_folds(self, train: DataFrame, fold: str, folds: Sequence[int]) -> dict[int, object]:
+        """For each fold the model of ``fit`` on the rows of the others, trained side by side."""
+        models, self.fold_values = self._fit(train, fold_weights(train, fold, folds, self.weight), fold)
+        return dict(zip(folds, models, strict=True))
+
+    def _fit(self, train: DataFrame, weights: Sequence[Column], by: str | None = None) -> tuple[list, list]:
         spark = train.sparkSession
         # the form of the data is all that Spark needs for its first weights and its model
         form = spark.range(2).select(array_to_vector(F.array_repeat(F.lit(0.0), self.layers[0])).alias("features"), F.col("id").cast("double").alias("label"))
         shell = MultilayerPerceptronClassifier(layers=self.layers, maxIter=0, seed=self.seed)
         start = shell.fit(form).weights.toArray()
-        blocks = pack(train, weight=self.weight and self.weight(train))
+        held = Held(pack(train, weight=weights, by=by))
+
+        def values(at: dict[int, np.ndarray]) -> dict[int, Value]:
+            sums = held.totals({k: network_loss(self.layers, x) for k, x in at.items()})
+            missing = sorted(set(at) - set(sums))
+            if missing:
+                raise ValueError("no training rows")
+            return {k: (loss / n, g / n) for k, (loss, n, g) in sums.items()}
 
-        def value(at: np.ndarray) -> tuple[float, np.ndarray]:
-            loss, n, gradient = total(blocks, network_loss(self.layers, at))
-            return loss / n, gradient / n
+        found = minimise_all(values, dict.fromkeys(range(len(weights)), start), self.max_iter)
+        held.release()
+        return ([shell.copy().setInitialWeights(Vectors.dense(found[k][0])).fit(form) for k in range(len(weights))],
+                [found[k][1] for k in range(len(weights))])
 
-        weights, self.values = minimise(value, start, self.max_iter)
-        release(blocks)
-        return shell.setInitialWeights(Vectors.dense(weights)).fit(form)
+
+def fold_weights(train: DataFrame, fold: str, folds: Sequence[int], weight: Callable[[DataFrame], Column] | None = None) -> list[Column]:
+    """For each fold the rows' weights in the model that learns from the others."""
+    own = [F.col(fold) == k for k in folds]
+    return [F.when(x, F.lit(0.0)).otherwise(F.lit(1.0) if weight is None else weight(train.where(~x))) for x in own]
 
 
 # ---- kernel machines -------------------------------------------------------------
@@ -233,38 +337,57 @@ class FourierMachine:
         self.turn, self.shift, self.max_iter, self.reg, self.weight = turn, shift, max_iter, reg, weight
 
     def fit(self, train: DataFrame) -> FourierMachine:
-        blocks = pack(train, weight=F.col(self.weight))
+        return self._fit(train, [F.col(self.weight)])[0]
+
+    def fit_folds(self, train: DataFrame, fold: str, folds: Sequence[int]) -> dict[int, FourierMachine]:
+        """For each fold the machine of ``fit`` on the rows of the others, trained side
+        by side: a row's kernel features are computed once for all."""
+        return dict(zip(folds, self._fit(train, fold_weights(train, fold, folds, lambda _: F.col(self.weight)), fold), strict=True))
+
+    def _fit(self, train: DataFrame, weights: Sequence[Column], by: str | None = None) -> list[FourierMachine]:
+        held = Held(pack(train, weight=weights, by=by))
         turn, shift, d = self.turn.astype(np.float32), self.shift.astype(np.float32), len(self.shift)
+        kernel = lambda x: fourier(x, turn, shift)
 
-        def moments(x, y, w):
-            z = fourier(x, turn, shift)
+        def moments(z, y, w):
             return 0.0, np.r_[w @ z, w @ (z * z)]
 
-        _, n, sums = total(blocks, moments)
-        mean = sums[:d] / n
-        std = np.sqrt(np.maximum(sums[d:] / n - mean**2, 0.0))
-        scale = np.divide(1.0, std, out=np.zeros(d), where=std > 1e-6)
+        mean, scale, total = {}, {}, {}
+        for k, (_, n, sums) in held.totals(dict.fromkeys(range(len(weights)), moments), kernel).items():
+            mean[k], total[k] = sums[:d] / n, n
+            std = np.sqrt(np.maximum(sums[d:] / n - mean[k] ** 2, 0.0))
+            scale[k] = np.divide(1.0, std, out=np.zeros(d), where=std > 1e-6)
+        if len(total) < len(weights):
+            raise ValueError("no training rows")
 
-        def value(at: np.ndarray) -> tuple[float, np.ndarray]:
-            beta = (at[:d] * scale).astype(np.float32)
-            offset = np.float32(at[d] - (at[:d] * scale) @ mean)
+        def hinge(k: int, at: np.ndarray) -> BlockLoss:
+            beta = (at[:d] * scale[k]).astype(np.float32)
+            offset = np.float32(at[d] - (at[:d] * scale[k]) @ mean[k])
 
-            def hinge(x, y, w):
-                z = fourier(x, turn, shift)
+            def of(z, y, w):
                 sign = np.where(y > 0, np.float32(1), np.float32(-1))
                 slack = 1 - sign * (z @ beta + offset)
                 pull = np.where(slack > 0, -sign * w, np.float32(0))
                 return float((np.maximum(slack, 0) * w).sum(dtype=np.float64)), np.r_[pull @ z, pull.sum()]
 
-            loss, _, g = total(blocks, hinge)
-            slope = np.r_[(g[:d] - mean * g[d]) * scale + self.reg * n * at[:d], g[d]] / n
-            return loss / n + self.reg / 2 * float(at[:d] @ at[:d]), slope
-
-        at, self.values = minimise(value, np.zeros(d + 1), self.max_iter)
-        release(blocks)
-        self.coefficients = at[:d] * scale
-        self.intercept = float(at[d] - self.coefficients @ mean)
-        return self
+            return of
+
+        def values(at: dict[int, np.ndarray]) -> dict[int, Value]:
+            out = {}
+            for k, (loss, _, g) in held.totals({k: hinge(k, x) for k, x in at.items()}, kernel).items():
+                n, x = total[k], at[k]
+                slope = np.r_[(g[:d] - mean[k] * g[d]) * scale[k] + self.reg * n * x[:d], g[d]] / n
+                out[k] = (loss / n + self.reg / 2 * float(x[:d] @ x[:d]), slope)
+            return out
+
+        found = minimise_all(values, dict.fromkeys(range(len(weights)), np.zeros(d + 1)), self.max_iter)
+        held.release()
+        machines = [self if len(weights) == 1 else copy.copy(self) for _ in weights]
+        for k, machine in enumerate(machines):
+            at, machine.values = found[k]
+            machine.coefficients = at[:d] * scale[k]
+            machine.intercept = float(at[d] - machine.coefficients @ mean[k])
+        return machines
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """Rows with ``rawPrediction`` (minus the margin, the margin) and ``prediction``."""

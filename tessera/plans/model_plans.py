@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tessera.functions.exprs import clip
 from tessera.operators import blocks as BL
 from tessera.operators import features as FE
+from tessera.operators import grouped as GR
 from tessera.operators import knn
 from tessera.operators import models as ML
 from tessera.operators import pipeline as PL
@@ -320,7 +321,8 @@ def _importances(frame, feats):
     """(feature, model, importance) of the tuned trees on the training rows: one
     row per feature and model."""
     tr, _ = split(frame)
-    return [r for name, est in _tuned().items() for r in ML.importances_rows(est.fit(tr), feats, name)]
+    on_groups = GR.Shared()
+    return [r for name, est in _tuned().items() for r in ML.importances_rows(on_groups(est).fit(tr), feats, name)]
 
 
 def ranked_features(rows):
