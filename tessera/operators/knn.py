@@ -12,6 +12,8 @@ which bounds its k-th distance from above, and then only the other blocks whose
 lower bound does not exceed that.  The result is that of comparing all pairs.
 Blocks too large for a task are dealt into parts by a hash of the key, and so are
 the test rows that a popular block attracts, so no task grows with the data.
+Inside a task a tree of bounding boxes (``Boxes``) sorts out training rows, wherever
+it can: then few large blocks are better than many small ones.
 
 Vectors without a near or a far (independent coordinates in many dimensions)
 cannot be pruned by any metric bound; then all blocks are visited.
@@ -24,10 +26,11 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, shuffle_partitions
 
 MAX_PIVOTS, MAX_RINGS = 1024, 64
 #: groups of training rows that some test rows are not compared with, at most
@@ -38,6 +41,9 @@ NO_GROUP = {"tg": -(1 << 63), "qg": -(1 << 63) + 1}
 MAX_DISTANCES = 1 << 21
 #: rows of either side in one task
 PART_ROWS = 20000
+MAX_TASKS = 2000
+#: rows of a leaf in a task's tree of boxes, and coordinates that boxes can bound
+LEAF, MAX_BOX_WIDTH = 64, 64
 FOUND = "qid long, tid long, tl long, d double"
 
 
@@ -73,12 +79,173 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+class Boxes:
+    """Training rows in leaves of at most ``LEAF`` by halving the widest side of their
+    bounding box, with every node's own box."""
+
+    def __init__(self, T: np.ndarray):
+        self.order, leaves, nodes = np.arange(len(T)), [], []
+
+        def grow(lo: int, hi: int, depth: int) -> int:
+            part = self.order[lo:hi]
+            x = T[part]
+            least, most = x.min(axis=0), x.max(axis=0)
+            at = len(nodes)
+            nodes.append(None)
+            axis = int((most - least).argmax())
+            if hi - lo <= LEAF:
+                leaves.append((lo, hi))
+                nodes[at] = (least, most, -1, -1, 0, 0.0, len(leaves) - 1)
+                return at
+            v = x[:, axis]
+            # in the middle of the box, so that few values part cleanly; far-off rows are not peeled off for ever
+            cut = least[axis] + (most[axis] - least[axis]) / 2
+            below = v < cut
+            mid = int(below.sum())
+            if not 0 < mid < hi - lo or (depth > 40 and min(mid, hi - lo - mid) < (hi - lo) / 8):
+                mid = (hi - lo) // 2
+                halves = np.argpartition(v, mid)
+                cut = v[halves[mid]]
+            else:
+                halves = np.argsort(~below, kind="stable")
+            self.order[lo:hi] = part[halves]
+            left, right = grow(lo, lo + mid, depth + 1), grow(lo + mid, hi, depth + 1)
+            nodes[at] = (least, most, left, right, axis, float(cut), -1)
+            return at
+
+        grow(0, len(T), 0)
+        self.leaves = leaves
+        self.least, self.most = (np.ascontiguousarray(np.stack([n[i] for n in nodes], 1)) for i in (0, 1))
+        self.left, self.right, self.axis, self.leaf = (np.array([n[i] for n in nodes]) for i in (2, 3, 4, 6))
+        self.cut = np.array([n[5] for n in nodes])
+
+    def home(self, Q: np.ndarray) -> np.ndarray:
+        """The leaf on a row's side of every cut."""
+        at, rows = np.zeros(len(Q), int), np.arange(len(Q))
+        while len(rows := rows[self.left[at[rows]] >= 0]):
+            node = at[rows]
+            at[rows] = np.where(Q[rows, self.axis[node]] < self.cut[node], self.left[node], self.right[node])
+        return self.leaf[at]
+
+    def near(self, Q: np.ndarray, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf), by leaf: the leaves whose box is not farther than the root of ``within``."""
+        columns, square = np.ascontiguousarray(Q.T), within * (1 + 1e-9) + 1e-300
+        q, at, found = np.arange(len(Q)), np.zeros(len(Q), int), []
+        while len(q):
+            d = np.zeros(len(q))
+            for x, least, most in zip(columns, self.least, self.most, strict=True):
+                v = x[q]
+                out = np.maximum(least[at] - v, v - most[at])
+                np.maximum(out, 0, out=out)
+                out *= out
+                d += out
+            keep = ~(d > square[q])
+            q, at = q[keep], at[keep]
+            end = self.leaf[at] >= 0
+            found.append((q[end], self.leaf[at[end]]))
+            q, at = q[~end], at[~end]
+            q, at = np.concatenate([q, q]), np.concatenate([self.left[at], self.right[at]])
+        i, leaf = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(leaf, kind="stable")
+        return i[order], leaf[order]
+
+
+def _by_value(x: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, from, to) of the runs of a sorted array."""
+    at = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, int)
+    return list(zip(x[at].tolist(), at.tolist(), np.r_[at[1:], len(x)].tolist(), strict=True))
+
+
+def nearest_by_boxes(Q: np.ndarray, T: np.ndarray, tid: np.ndarray, k: int, within: np.ndarray | None = None,
+                     max_distances: int = MAX_DISTANCES, groups: tuple[np.ndarray, np.ndarray] | None = None
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """``nearest_in`` over a tree of boxes; None where boxes sort out too little."""
+    if not (np.isfinite(T).all() and np.isfinite(Q).all()):
+        return None
+    boxes = Boxes(T)
+    sets = [boxes.order[a:b] for a, b in boxes.leaves]
+    near = [_Near(T, x) for x in sets]
+    # any k rows bound the distance; a small leaf takes those beside it
+    beside = [_Near(T, boxes.order[max(0, a - LEAF // 2) : b + LEAF // 2]) if b - a < LEAF // 2 else near[i]
+              for i, (a, b) in enumerate(boxes.leaves)]
+    found, portion, lo = [], min(512, len(Q)), 0
+    while lo < len(Q):
+        q = Q[lo : lo + portion]
+        qg = None if groups is None else groups[0][lo : lo + len(q)]
+        bound = np.full(len(q), np.inf) if within is None else within[lo : lo + len(q)].astype(float) ** 2
+        home = boxes.home(q)
+        order = np.argsort(home, kind="stable")
+        for leaf, a, b in _by_value(home[order]):
+            i, to = order[a:b], beside[leaf]
+            if len(to.rows) < k:
+                continue
+            d, slack = to.about(q[i])
+            if groups is not None:
+                d[qg[i][:, None] == groups[1][to.rows][None, :]] = np.inf
+            bound[i] = np.minimum(bound[i], np.maximum(np.partition(d, k - 1, axis=1)[:, k - 1], 0) + slack)
+        i, leaf = boxes.near(q, bound)
+        if not lo and len(i) > 0.25 * len(q) * len(sets):
+            return None
+        r, j = [], []
+        for x, a, b in _by_value(leaf):
+            rows, to = i[a:b], near[x]
+            d, slack = to.about(q[rows])
+            m, n = np.nonzero(d <= (bound[rows] + slack)[:, None])
+            r.append(rows[m])
+            j.append(to.rows[n])
+        r, j = (np.concatenate(x) if x else np.zeros(0, int) for x in (r, j))
+        if groups is not None:
+            other = qg[r] != groups[1][j]
+            r, j = r[other], j[other]
+        # whatever may be among the nearest is left; exact distances decide
+        exact = np.empty(len(r))
+        for a in range(0, len(r), 1 << 14):
+            diff = q[r[a : a + (1 << 14)]] - T[j[a : a + (1 << 14)]]
+            exact[a : a + (1 << 14)] = (diff * diff).sum(1)
+        if within is not None:
+            inside = exact <= bound[r] * (1 + 1e-9) + 1e-300
+            r, j, exact = r[inside], j[inside], exact[inside]
+        order = np.lexsort((tid[j], exact, r))
+        r, j, exact = r[order], j[order], exact[order]
+        runs = np.flatnonzero(np.r_[True, r[1:] != r[:-1]]) if len(r) else np.zeros(0, int)
+        keep = np.arange(len(r)) - np.repeat(runs, np.diff(np.r_[runs, len(r)])) < k
+        found.append((r[keep] + lo, j[keep], exact[keep]))
+        lo += len(q)
+        # as many rows as their pairs with leaves, so far, let fit
+        portion = max(1, min(8192, max_distances // max(1, LEAF * len(i) // len(q))))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int),) * 3
+
+
+class _Near:
+    """A few training rows about their centre, which lets nothing cancel that counts."""
+
+    def __init__(self, T: np.ndarray, rows: np.ndarray):
+        self.rows, self.centre = rows, T[rows].mean(axis=0)
+        near = T[rows] - self.centre
+        self.square = np.einsum("ij,ij->i", near, near)
+        self.minus2 = np.ascontiguousarray(-2 * near.T)
+        self.size = self.square.max() + 1e-300
+
+    def about(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances, and per row of ``q`` how far off rounding may have left them."""
+        P = q - self.centre
+        p2 = np.einsum("ij,ij->i", P, P)
+        d = P @ self.minus2
+        d += p2[:, None]
+        d += self.square
+        return d, 1e-9 * (p2 + self.size)
+
+
 def nearest_in(Q: np.ndarray, T: np.ndarray, tid: np.ndarray, k: int, within: np.ndarray | None = None,
                max_distances: int = MAX_DISTANCES, groups: tuple[np.ndarray, np.ndarray] | None = None
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(test row, training row, squared distance) of the k nearest of every
     test row, ties by training key; ``within``: greatest distance of interest;
     ``groups`` (of the test rows, of the training rows): rows of one group do not meet."""
+    if len(T) >= 8 * LEAF and len(Q) >= LEAF and T.shape[1] <= MAX_BOX_WIDTH:
+        found = nearest_by_boxes(Q, T, tid, k, within, max_distances, groups)
+        if found is not None:
+            return found
     centre = T.mean(axis=0)
     near = T - centre            # far-off coordinates would cancel in the expanded square
     t2 = (near * near).sum(1)
@@ -276,18 +443,28 @@ def search(index: Index, visits: DataFrame, k: int, part_rows: int = PART_ROWS,
     right = index.rows.join(F.broadcast(deal), "block").withColumn("tpart", part("tid", "tparts")).withColumn("qpart", upto("qparts"))
     keys = ["block", "qpart", "tpart"]
 
-    def cell(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        names = [x.split()[0] for x in FOUND.split(", ")]
-        if not len(q) or not len(t):
-            return pd.DataFrame({x: [] for x in names})
-        tid, tl = t["tid"].to_numpy(np.int64), t["tl"].to_numpy()
-        qg, tg = q["qg"].to_numpy(np.int64), t["tg"].to_numpy(np.int64)
-        groups = (qg, tg) if np.isin(qg, tg).any() else None
-        i, j, d = nearest_in(_matrix(q["qv"]), _matrix(t["tv"]), tid, k, q["ub"].to_numpy(np.float64), max_distances, groups)
-        return pd.DataFrame(dict(zip(names, (q["qid"].to_numpy(np.int64)[i], tid[j], tl[j], d), strict=True)))
-
-    both = left.select(*keys, "qid", "qv", "qg", "ub").groupBy(*keys).cogroup(right.select(*keys, "tid", "tl", "tg", "tv").groupBy(*keys))
-    return both.applyInPandas(cell, FOUND)
+    def cell(q: pa.Table, t: pa.Table) -> pa.Table:
+        whole = lambda x, name: x.column(name).combine_chunks()
+        matrix = lambda v: v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(v), -1)
+        if not q.num_rows or not t.num_rows:
+            i = j = np.zeros(0, np.int64)
+            qid = tid = tl = i
+            d = np.zeros(0)
+        else:
+            qid, qg, ub = (whole(q, x).to_numpy(zero_copy_only=False) for x in ("qid", "qg", "ub"))
+            tid, tl, tg = (whole(t, x).to_numpy(zero_copy_only=False) for x in ("tid", "tl", "tg"))
+            groups = (qg, tg) if np.isin(qg, tg).any() else None
+            i, j, d = nearest_in(matrix(whole(q, "qv")), matrix(whole(t, "tv")), tid, k, ub, max_distances, groups)
+        names, kinds = zip(*(x.split() for x in FOUND.split(", ")), strict=True)
+        return pa.table([pa.array(v, pa.int64() if kind == "long" else pa.float64(), from_pandas=True)
+                         for v, kind in zip((qid[i], tid[j], tl[j], d), kinds, strict=True)], names=list(names))
+
+    # a few blocks a task, so that none waits for one that met the large ones
+    tasks = max(shuffle_partitions(visits.sparkSession), min(MAX_TASKS, len(index.blocks) // 8))
+    left, right = (x.repartition(tasks, *keys).groupBy(*keys) for x in (
+        left.select(*keys, "qid", "qv", "qg", "ub"), right.select(*keys, "tid", "tl", "tg", "tv")))
+    both = left.cogroup(right)
+    return both.applyInArrow(cell, FOUND)
 
 
 def best(found: DataFrame, k: int) -> DataFrame:

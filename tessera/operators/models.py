@@ -246,17 +246,19 @@ def _stump_vote(stump) -> Column:
     return F.when(at <= F.lit(float(split.threshold())), F.lit(left)).otherwise(F.lit(right))
 
 
-def adaboost(train: DataFrame, key: str, rounds: int = 10, seed: int = 7) -> tuple[list, Column]:
+def adaboost(train: DataFrame, key: str, rounds: int = 10, seed: int = 7, count: str | None = None) -> tuple[list, Column]:
     """Discrete AdaBoost with stumps (depth 1) and exponential loss: per round
     fit a weighted stump, weighted error e, alpha = 0.5 ln((1-e)/e), weights
     x exp(alpha) on mistakes, renormalised.  Stops when e >= 1/2.
 
     Returns the log (round, error, alpha) and the score as an expression of a
     feature array ``x``: a stump is a feature and a threshold, so the rows are
-    written once and their weights are an expression of the stumps so far."""
-    rows = cut_lineage(train.select(key, "features", "label", vector_to_array("features").alias("x")))
-    n = rows.count()
-    score, weight, log = F.lit(0.0), F.lit(1.0 / max(1, n)), []
+    written once and their weights are an expression of the stumps so far.  ``count``:
+    how many equal rows a row stands for."""
+    times = F.lit(1) if count is None else F.col(count)
+    rows = cut_lineage(train.select(key, "features", "label", vector_to_array("features").alias("x"), times.alias("times")))
+    n = rows.agg(F.sum("times")).first()[0] or 0
+    score, weight, log = F.lit(0.0), F.lit(1.0 / max(1, n)) * F.col("times"), []
     for r in range(rounds):
         cur = rows.withColumn("w", weight)
         stump = DecisionTreeClassifier(maxDepth=1, weightCol="w", seed=seed).fit(cur)

@@ -152,3 +152,42 @@ def test_distances_of_close_and_far_off_rows():
     got = knn.distances(a, b)
     assert np.all(np.abs(got - want) <= 1e-11 * want) and np.all(got[500:540].diagonal() == 0)
     assert knn.distances(a[:0], b).shape == (0, 40)
+
+
+def test_boxes_in_a_task_find_what_all_pairs_find():
+    """The tree of boxes against brute force: mixed columns, copies, ties, far-off rows,
+    groups, bounds; where nothing can be sorted out it steps back."""
+    rng = np.random.default_rng(9)
+    t = np.c_[rng.normal(size=(3000, 2)), rng.integers(0, 2, (3000, 3))]
+    t[500:900] = t[500]
+    t[900:1300] = np.round(t[900:1300])
+    t[2990:] += 1e6
+    q = np.concatenate([np.c_[rng.normal(size=(300, 2)), rng.integers(0, 2, (300, 3))], t[480:560], t[1000:1050], t[2985:]])
+    tid, groups = rng.permutation(3000), (rng.integers(0, 4, len(q)), rng.integers(0, 4, 3000))
+    groups[0][:20] = 9
+    d = ((q[:, None, :] - t[None, :, :]) ** 2).sum(2)
+    within = np.sqrt(np.partition(d, 8, axis=1)[:, 8]) * rng.choice([0.5, 2.0], len(q))
+    for g in (None, groups):
+        for w in (None, within):
+            i, j, found = knn.nearest_by_boxes(q, t, tid, 5, w, 1 << 16, g)
+            ok = np.ones_like(d, bool) if g is None else g[0][:, None] != g[1][None, :]
+            for r in range(len(q)):
+                want = sorted((d[r, c], tid[c]) for c in np.flatnonzero(ok[r]))[:5]
+                got = list(zip(found[i == r], tid[j[i == r]], strict=True))
+                want = [x for x in want if w is None or x[0] <= w[r] ** 2]
+                assert [x[1] for x in got][: len(want)] == [x[1] for x in want] and len(got) <= 5
+                assert np.allclose([x[0] for x in got][: len(want)], [x[0] for x in want], rtol=1e-9, atol=1e-12)
+    wide = rng.normal(size=(2000, 30))
+    assert knn.nearest_by_boxes(wide, wide, np.arange(2000), 5) is None
+
+
+def test_boxes_sort_out_most_rows_of_a_task():
+    rng = np.random.default_rng(10)
+    t, q = (np.c_[rng.uniform(size=(16000, 2)), rng.integers(0, 2, (16000, 2))] for _ in range(2))
+    boxes = knn.Boxes(t)
+    assert max(b - a for a, b in boxes.leaves) <= knn.LEAF and len(boxes.leaves) < 4 * 16000 / knn.LEAF
+    seen, real = [], knn._Near.about
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(knn._Near, "about", lambda self, x: seen.append(len(x) * len(self.rows)) or real(self, x))
+        knn.nearest_in(q, t, np.arange(16000), 5)
+    assert sum(seen) < 0.06 * 16000 * 16000      # all pairs before
