@@ -228,8 +228,8 @@ def ml_svm_rbf_approx(spark, sf_dir):
     return ML.results_frame(spark, [res])
 
 
-def _mlp(spark, sf_dir, name, hidden, features_filter=None, max_iter=100):
-    frame, feats = prospect_frame(spark, sf_dir)
+def _mlp(spark, sf_dir, name, hidden, features_filter=None, max_iter=100, prepared=None):
+    frame, feats = prepared or prospect_frame(spark, sf_dir)
     if features_filter is not None:
         keep_idx = [i for i, f in enumerate(feats) if f in features_filter]
         sub = F.array(*[F.element_at(vector_to_array("features"), i + 1) for i in keep_idx])
@@ -260,7 +260,7 @@ def ml_mlp_top10(spark, sf_dir):
     only, rate highest on average."""
     frame, feats = prospect_frame(spark, sf_dir)
     top = ranked_features(_importances(frame, feats))[:10]
-    return _mlp(spark, sf_dir, "ANN Top10", [64, 32, 16], features_filter=set(top))
+    return _mlp(spark, sf_dir, "ANN Top10", [64, 32, 16], features_filter=set(top), prepared=(frame, feats))
 
 
 @plan("ml_mlp_images")

@@ -82,3 +82,13 @@ def test_importances_are_those_of_groups(spark, monkeypatch):
                                                "u": DecisionTreeClassifier(weightCol="weight", maxDepth=3, seed=1)})
     assert len(MP._importances(frame, feats)) == 2 * len(feats)
     assert len(found) == 2 and found[0] is found[1] and found[0].rows.agg(F.sum("n")).first()[0] == frame.where("split = 'train'").count()
+
+
+def test_top10_prepares_its_rows_once(spark, monkeypatch):
+    """Trees and network read one prospect frame."""
+    made, real = [], MP.prospect_frame
+    monkeypatch.setattr(MP, "prospect_frame", lambda *a: made.append(1) or real(*a))
+    monkeypatch.setattr(MP, "_tuned", lambda: {"t": DecisionTreeClassifier(weightCol="weight", maxDepth=2, seed=1)})
+    network = MP.BL.Network
+    monkeypatch.setattr(MP.BL, "Network", lambda layers, iterations, *a: network(layers, 1, *a))
+    assert MP.ml_mlp_top10(spark, "/root/testdata/sf0.001").first()["model"] == "ANN Top10" and len(made) == 1
